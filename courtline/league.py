@@ -10,7 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.plans import core, marts
+from courtline.plans import core, marts, ratings
 from courtline.plans.staging import staging
 from courtline.sources import league as fixture
 
@@ -69,3 +69,53 @@ class League:
         return marts.champion_mart(self.fct_tournament_standings, self.dim_tournaments,
                                    self.fct_matches, self.dim_team_tournaments,
                                    self.stg["team_rankings"], self.asof_method)
+
+    # Elo
+    @cached_property
+    def elo_match_feed(self) -> DataFrame:
+        return ratings.elo_match_feed(self.fct_matches, self.dim_tournaments,
+                                      self.dim_team_tournaments)
+
+    @cached_property
+    def elo_ratings(self) -> DataFrame:
+        return ratings.elo_ratings(self.elo_match_feed)
+
+    @cached_property
+    def elo_round_weight(self) -> DataFrame:
+        from pyspark.sql import functions as F
+        from courtline.operators.elo import round_weight
+        return self.elo_match_feed.select(
+            "match_id", "tournament_gender", "round_phase", "round_name", "is_final",
+            "is_pool_phase", round_weight(F.col("round_phase"), F.col("round_name"),
+                                          F.col("is_final"), F.col("is_pool_phase")).alias("weight"))
+
+    @cached_property
+    def elo_expected_score(self) -> DataFrame:
+        from pyspark.sql import functions as F
+        return self.elo_ratings.select(
+            "player_id", "gender", "match_id",
+            F.round("expected", 6).alias("expected_score"),
+            F.round("expected_rw", 6).alias("expected_score_rw"))
+
+    def _history(self, rw: bool) -> DataFrame:
+        return ratings.elo_history(self.elo_ratings, round_weighted=rw)
+
+    @cached_property
+    def elo_history(self) -> DataFrame:
+        return ratings.history_mart(self._history(False), self.stg["players"],
+                                    self.stg["matches"], self.dim_tournaments)
+
+    @cached_property
+    def elo_history_round_weighted(self) -> DataFrame:
+        return ratings.history_mart(self._history(True), self.stg["players"],
+                                    self.stg["matches"], self.dim_tournaments)
+
+    @cached_property
+    def elo_latest(self) -> DataFrame:
+        return ratings.latest_mart(self._history(False), self.stg["players"], self.stg["matches"],
+                                   self.dim_tournaments, self.dim_team_tournaments)
+
+    @cached_property
+    def elo_latest_round_weighted(self) -> DataFrame:
+        return ratings.latest_mart(self._history(True), self.stg["players"], self.stg["matches"],
+                                   self.dim_tournaments, self.dim_team_tournaments)
