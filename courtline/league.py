@@ -10,7 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.plans import core, marts, ratings
+from courtline.plans import analytics, core, marts, ratings
 from courtline.plans.staging import staging
 from courtline.sources import league as fixture
 
@@ -119,3 +119,36 @@ class League:
     def elo_latest_round_weighted(self) -> DataFrame:
         return ratings.latest_mart(self._history(True), self.stg["players"], self.stg["matches"],
                                    self.dim_tournaments, self.dim_team_tournaments)
+
+    # analytics
+    @cached_property
+    def teams_list(self) -> DataFrame:
+        return analytics.teams_list(self.dim_team_tournaments)
+
+    @cached_property
+    def players_list(self) -> DataFrame:
+        return analytics.players_list(self.stg["players"])
+
+    @cached_property
+    def perf_country_team_core(self) -> DataFrame:
+        return analytics.perf_country_team_core(self.fct_matches, self.dim_tournaments,
+                                                self.fct_tournament_standings)
+
+    @cached_property
+    def perf_country_team(self) -> DataFrame:
+        return analytics.perf_country_team(self.tournament_mart)
+
+    @cached_property
+    def perf_country_player(self) -> DataFrame:
+        return analytics.perf_country_player(self.tournament_mart, self.dim_team_tournaments)
+
+    @cached_property
+    def perf_country_player_core(self) -> DataFrame:
+        return analytics.perf_country_player_core(self.fct_matches, self.dim_tournaments,
+                                                  self.dim_team_tournaments,
+                                                  self.fct_tournament_standings)
+
+    @cached_property
+    def perf_over_time(self) -> DataFrame:
+        return analytics.perf_over_time(self.tournament_mart, majors_only=True, gender="W",
+                                        time_axis="season_year")

@@ -31,7 +31,8 @@ def model_sql(select: str, recursive: bool = False, extra_ctes: str = "") -> str
 
 
 def oracle_queries() -> dict[str, str]:
-    out = {name: model_sql(sel) for name, sel in _MODEL_SELECTS.items()}
+    from courtline.oracle.analytics_sql import ANALYTICS_SELECTS
+    out = {name: model_sql(sel) for name, sel in {**_MODEL_SELECTS, **ANALYTICS_SELECTS}.items()}
     from courtline.oracle.elo_sql import ELO_CTES, ELO_SELECTS
     out.update({name: model_sql(sel, recursive=True, extra_ctes=ELO_CTES)
                 for name, sel in ELO_SELECTS.items()})

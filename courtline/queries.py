@@ -37,7 +37,9 @@ def registry() -> dict[str, Query]:
     for n in ("dim_tournaments", "dim_team_tournaments", "fct_team_rankings", "fct_matches",
               "fct_tournament_standings", "match_mart", "tournament_mart", "champion_mart",
               "elo_match_feed", "elo_round_weight", "elo_expected_score", "elo_history",
-              "elo_history_round_weighted", "elo_latest", "elo_latest_round_weighted"):
+              "elo_history_round_weighted", "elo_latest", "elo_latest_round_weighted",
+              "teams_list", "players_list", "perf_country_team_core", "perf_country_team",
+              "perf_country_player", "perf_country_player_core", "perf_over_time"):
         q[n] = _model(n)
     q["fct_matches_range"] = _model("fct_matches", "range")
     from courtline import extra_queries
