@@ -1,7 +1,265 @@
-"""Ingest-side queries (filled in as the ingest operators land)."""
+"""Ingest-side queries over the driver's tables.
+
+Response bodies are built from table rows with string concatenation (the
+oracle builds the same text), then parsed and normalised by the library; the
+expected values come from the source columns.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from courtline.league import League
+from courtline.operators import preview, upsert as up
+from courtline.sources import ingest as ing
+from courtline.sources.sinks import csv_roundtrip
+from courtline.sources.tables import read_table
+
+# Fixed parameters of the registered ingest queries.
+AS_OF = "2001-09-01 00:00:00"          # the "now" of the fixture
+UPSERT_AT = "2024-12-31 00:00:00"
+FIXTURE_MIN_YEAR = 1998                 # fixture years are 1995-2001
+SOURCE_SEASONS = ("1997", "1998-99", "2001")
+PREVIEW_LIMIT = 10_000
+SAMPLE_LIMIT = 10
+LINES_PER_ORDER = 2
+
+
+def _s(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
+
+def _lit_ts(s: str) -> Column:
+    return F.lit(s).cast("timestamp")
+
+
+def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "events")
+    target = up.last_wins(e.filter(F.col("event_id") % 2 == 0), ["user_id"], ["event_id"]) \
+        .withColumn("ingested_at", F.col("ts").cast("timestamp"))
+    batch = e.filter(F.col("event_id") % 2 == 1)
+    return up.upsert(target, batch, ["user_id"], "event_id", _lit_ts(UPSERT_AT))
+
+
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return League.from_testdata(spark, sf_dir).raw["results"]
+
+
+def phase_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _results(spark, sf_dir)
+    pos = F.col("finishing_pos")
+    phases = {
+        "none": r,
+        "MainDraw": r.filter(pos <= 8).withColumn("points", F.col("points") + 1000),
+        "Qualification": r.filter((pos > 4) & (pos <= 12)).withColumn("points", F.col("points") + 2000),
+    }
+    return up.phase_merge(phases, ["tournament_id", "team_id"])
+
+
+def snapshot_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rk = League.from_testdata(spark, sf_dir).raw["team_rankings"]
+    latest = rk.filter(F.col("snapshot_date") == rk.select(F.max("snapshot_date")).scalar())
+    cols = ["position", "no_player1", "no_player2", "team_name", "earned_points"]
+    lists = {(t, g): latest.filter((F.col("ranking_type") == t) & (F.col("gender") == g)).select(*cols)
+             for t in ("beach_world_tour", "beach_olympic") for g in ("M", "W")}
+    return up.snapshot_stamp(lists, F.to_date(_lit_ts(AS_OF)))
+
+
+def expand_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = League.from_testdata(spark, sf_dir).raw["tournaments"]
+    return up.expand_set(t, F.to_date(_lit_ts(AS_OF)), FIXTURE_MIN_YEAR)
+
+
+def _ingest_times(lg: League) -> tuple[DataFrame, DataFrame]:
+    """Fixture ingest times: results and rounds loaded some days after the event."""
+    tid = F.col("tournament_id")
+    y, m = F.floor(tid / 1000).cast("int"), (F.floor(tid / 10) % 100).cast("int")
+    res = lg.raw["results"].withColumn(
+        "ingested_at", F.date_add(F.make_date(y, m, F.lit(1)), (F.col("team_id") % 400).cast("int"))
+        .cast("timestamp"))
+    rnd = lg.raw["rounds"].withColumn(
+        "ingested_at", F.date_add(F.col("start_date"), (F.col("round_id") % 500).cast("int"))
+        .cast("timestamp"))
+    return res, rnd
+
+
+def _checked_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tournaments asked for: every (ship month, parity) of the line items."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(((F.year("l_shipdate") * 100 + F.month("l_shipdate")) * 10
+                      + F.col("l_orderkey") % 2).cast("long").alias("tournament_id")).distinct()
+
+
+def empty_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lg = League.from_testdata(spark, sf_dir)
+    return up.empty_checks(_checked_ids(spark, sf_dir), lg.raw["results"], lg.raw["rounds"],
+                           _lit_ts(AS_OF))
+
+
+def ingest_skip_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lg = League.from_testdata(spark, sf_dir)
+    res, rnd = _ingest_times(lg)
+    checks = up.empty_checks(_checked_ids(spark, sf_dir), lg.raw["results"], lg.raw["rounds"],
+                             _lit_ts(AS_OF))
+    skip = up.skip_set(lg.raw["tournaments"], res, rnd, checks, _lit_ts(AS_OF))
+    cand = up.expand_set(lg.raw["tournaments"], F.to_date(_lit_ts(AS_OF)), FIXTURE_MIN_YEAR)
+    load = up.to_load(cand, skip).select("tournament_id", F.lit(True).alias("load"))
+    return (cand.select("tournament_id")
+            .join(skip.withColumn("skip", F.lit(True)), "tournament_id", "left")
+            .join(load, "tournament_id", "left")
+            .select("tournament_id", F.coalesce("skip", F.lit(False)).alias("skip"),
+                    F.coalesce("load", F.lit(False)).alias("load")))
+
+
+def source_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = League.from_testdata(spark, sf_dir).raw["tournaments"]
+    return up.source_filter_tournaments(t, SOURCE_SEASONS)
+
+
+def rows_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem")
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    return preview.rows_capped(li, ["l_orderkey"], order, LINES_PER_ORDER)
+
+
+def head_tail_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return preview.head_tail_sample(o, ["o_orderkey"], SAMPLE_LIMIT)
+
+
+def typed_filter_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    filters = [("o_orderpriority", "urgent"), ("o_totalprice", (1000, 100000)),
+               ("o_orderdate", ("1996-01-01", "1997-12-31"))]
+    return preview.typed_filter(o, filters, PREVIEW_LIMIT, order=["o_orderkey"])
+
+
+def _json_bodies(e: DataFrame) -> DataFrame:
+    p = F.col("props")
+    shape = F.col("event_id") % 4
+    body = (F.when(F.col("event_type") == "error", F.lit("not json"))
+            .when(shape == 0, F.concat(F.lit("["), p, F.lit("]")))
+            .when(shape == 1, F.concat(F.lit('{"data": ['), p, F.lit(", "), p, F.lit("]}")))
+            .when(shape == 2, F.concat(F.lit('{"meta": 1, "data": '), p, F.lit("}")))
+            .otherwise(F.concat(F.lit('{"count": 1, "items": ['), p, F.lit("]}"))))
+    return e.select("event_id", F.lit("application/json").alias("content_type"), body.alias("body"))
+
+
+def parse_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = ing.parse_json(_json_bodies(read_table(spark, sf_dir, "events")))
+    return recs.select("event_id", F.array_join(F.array_sort(F.map_keys("rec")), ",").alias("keys"),
+                       ing.safe_int(F.col("rec")["K"]).alias("k"))
+
+
+def _xml_bodies(o: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
+    item = F.concat(F.lit('<x:BeachMatch No="'), _s(k), F.lit('" Status="'), F.col("o_orderstatus"),
+                    F.lit('" Name="A &amp; B &lt;'), _s(F.col("o_custkey")), F.lit('&gt;"><Priority>'),
+                    F.col("o_orderpriority"), F.lit("</Priority><Empty></Empty></x:BeachMatch>"))
+    plain = F.regexp_replace(item, "x:", "")
+    body = (F.when(k % 5 == 0, F.lit("<Responses><BeachMatch No=\"1\"")).when(
+        k % 2 == 0, F.concat(F.lit('<Responses xmlns:x="urn:v"><BeachMatchs NbItems="1">'), item,
+                             F.lit("</BeachMatchs></Responses>")))
+            .otherwise(F.concat(F.lit("<Responses>"), plain, F.lit("</Responses>"))))
+    return o.select("o_orderkey", F.lit("text/xml").alias("content_type"), body.alias("body"))
+
+
+def parse_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    recs = ing.parse_xml(_xml_bodies(o), "BeachMatch", ["No", "Status", "Name", "Priority", "Empty"])
+    r = F.col("rec")
+    return recs.select("o_orderkey", ing.safe_int(r["No"]).alias("match_id"),
+                       ing.text(r["Status"]).alias("status"), ing.text(r["Name"]).alias("name"),
+                       ing.text(r["Priority"]).alias("priority"), ing.text(r["Empty"]).alias("empty"))
+
+
+def _num(c: Column) -> Column:
+    return F.coalesce(_s(c), F.lit("null"))
+
+
+def _quoted(c: Column) -> Column:
+    return F.when(c.isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), _s(c), F.lit('"')))
+
+
+def match_bodies(m: DataFrame) -> DataFrame:
+    """JSON match records (camelCase) from fixture matches, in both body shapes."""
+    mid = F.col("match_id")
+    w, t1, t2 = F.col("winner_team_id"), F.col("team1_id"), F.col("team2_id")
+    pa = F.when(w == t1, 2).when(w == t2, 0).otherwise(1)
+    pb = F.when(w == t1, 0).when(w == t2, 2).otherwise(1)
+    rec = F.concat(
+        F.lit('{"no": '), _s(mid), F.lit(', "noTournament": '), _s(F.col("tournament_id")),
+        F.lit(', "noRound": '), F.when(mid % 3 == 0, F.lit("0")).otherwise(F.lit('""')),
+        F.lit(', "roundCode": '), _quoted(F.col("round")),
+        F.lit(', "noTeamA": '), _num(t1), F.lit(', "noTeamB": '), _quoted(t2),
+        F.lit(', "matchPointsA": '), _s(pa), F.lit(', "matchPointsB": "'), _s(pb), F.lit('"'),
+        F.lit(', "durationSet1": '), _s(mid % 900), F.lit(', "durationSet2": "'), _s(mid % 700),
+        F.lit('", "durationSet3": '), F.when(mid % 4 == 0, F.lit('"x"')).otherwise(F.lit("null")),
+        F.lit(', "beginDateTimeUtc": '), _quoted(F.date_format("played_at", "yyyy-MM-dd HH:mm:ss")),
+        F.lit(', "status": '), _s(mid % 3), F.lit("}"))
+    body = F.when(mid % 2 == 0, F.concat(F.lit('{"data": '), rec, F.lit("}"))) \
+        .otherwise(F.concat(F.lit('{"data": ['), rec, F.lit("]}")))
+    return m.select(F.lit("application/json").alias("content_type"), body.alias("body"))
+
+
+def norm_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = League.from_testdata(spark, sf_dir).raw["matches"]
+    recs = ing.usable(ing.parse_json(match_bodies(m)))
+    return ing.norm_match(recs, ingested_at=_lit_ts(UPSERT_AT)).filter(
+        F.col("match_id").isNotNull()).drop("payload")
+
+
+def player_bodies(c: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    first = F.when(k % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("F"), _s(k)))
+    h = F.when(k % 4 == 0, F.lit('""')).when(k % 4 == 1, _s(1000000 + k * 10000)) \
+        .when(k % 4 == 2, _s(150 + k % 60)).otherwise(F.concat(F.lit('"'), _s(k % 900), F.lit('"')))
+    rec = F.concat(
+        F.lit('{"no": '), F.when(k % 2 == 0, _s(k)).otherwise(F.concat(F.lit('"'), _s(k), F.lit('"'))),
+        F.lit(', "firstName": "'), first, F.lit('", "lastName": "'), F.col("c_mktsegment"),
+        F.lit('", "fullName": "'), F.col("c_name"), F.lit('", "height": '), h,
+        F.lit(', "gender": '), _s(k % 2), F.lit(', "federationCode": " N'), _s(F.col("c_nationkey")),
+        F.lit(' ", "birthdate": "'), _s(1950 + k % 50), F.lit("-"), _s(1 + k % 12), F.lit("-"),
+        _s(1 + k % 28), F.lit('"}'))
+    return c.select(F.lit("json").alias("content_type"),
+                    F.concat(F.lit('{"data": ['), rec, F.lit("]}")).alias("body"))
+
+
+def norm_player(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = ing.usable(ing.parse_json(player_bodies(read_table(spark, sf_dir, "customer"))), ["No"])
+    return ing.norm_player(recs, _lit_ts(UPSERT_AT)).drop("payload")
+
+
+def team_bodies(t: DataFrame) -> DataFrame:
+    b = F.col("player_b_id")
+    item = F.concat(F.lit('<BeachTeam No="'), _s(F.col("team_id")), F.lit('" NoTournament="'),
+                    _s(F.col("tournament_id")), F.lit('" NoPlayer1="'), _s(F.col("player_a_id")),
+                    F.lit('" NoPlayer2="'), F.coalesce(_s(b), F.lit("")), F.lit('" CountryCode="'),
+                    F.col("country_code"), F.lit('" Status="'), _s(F.col("team_id") % 3),
+                    F.lit('"><ValidFrom>2001-1-5</ValidFrom></BeachTeam>'))
+    return t.select(F.lit("text/xml").alias("content_type"),
+                    F.concat(F.lit("<Responses><BeachTeams>"), item,
+                             F.lit("</BeachTeams></Responses>")).alias("body"))
+
+
+def norm_team(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = League.from_testdata(spark, sf_dir).raw["teams"]
+    recs = ing.parse_xml(team_bodies(t), "BeachTeam",
+                         ["No", "NoTournament", "NoPlayer1", "NoPlayer2", "CountryCode", "Status",
+                          "ValidFrom", "ValidTo"])
+    return ing.norm_team(recs, _lit_ts(UPSERT_AT)).filter(
+        F.col("team_id").isNotNull() & F.col("tournament_id").isNotNull()).drop("payload")
+
+
+def export_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_roundtrip(read_table(spark, sf_dir, "nation"), "nation")
+
 
 def registry() -> dict:
-    return {}
+    return {f.__name__: f for f in (
+        upsert_latest, phase_merge, snapshot_stamp, expand_set, empty_checks, ingest_skip_set,
+        source_filter, rows_capped, head_tail_sample, typed_filter_preview, parse_json_records,
+        parse_xml_records, norm_match, norm_player, norm_team, export_csv_roundtrip)}
+

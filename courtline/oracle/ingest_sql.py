@@ -1,3 +1,142 @@
-"""Oracle SQL for the ingest operators (filled in as they land)."""
+"""Oracle SQL for the ingest-side queries: expected values from the source columns."""
 
-INGEST_SQL: dict[str, str] = {}
+from courtline.oracle.sql import model_sql
+
+_EXPAND = """
+select tournament_id, year from (
+  select tournament_id,
+         cast(coalesce(case when regexp_full_match(trim(season), '[+-]?[0-9]+')
+                             and try_cast(trim(season) as int) between 1900 and 2100
+                            then try_cast(trim(season) as int) end,
+                       year(start_date), year(end_date)) as int) as year,
+         start_date
+  from raw_tournaments) t
+where (year is null or year >= 1998) and (start_date is null or start_date <= date '2001-09-01')"""
+
+_CHECKS = """
+select c.tournament_id,
+       case when not exists (select 1 from raw_results r where r.tournament_id = c.tournament_id)
+            then timestamp '2001-09-01 00:00:00' end as results_empty_at,
+       case when not exists (select 1 from raw_rounds o where o.tournament_id = c.tournament_id)
+            then timestamp '2001-09-01 00:00:00' end as rounds_empty_at
+from (select distinct cast((year(l_shipdate) * 100 + month(l_shipdate)) * 10 + l_orderkey % 2 as bigint)
+        as tournament_id from lineitem) c"""
+
+INGEST_SQL = {
+    "upsert_latest": """
+with t as (select *, cast(ts as timestamp) as ingested_at from events where event_id % 2 = 0
+           qualify row_number() over (partition by user_id order by event_id desc) = 1),
+     b as (select *, timestamp '2024-12-31 00:00:00' as ingested_at from events where event_id % 2 = 1
+           qualify row_number() over (partition by user_id order by event_id desc) = 1)
+select event_id, ts, user_id, event_type, value, props, ingested_at from b
+union all
+select event_id, ts, user_id, event_type, value, props, ingested_at from t
+where not exists (select 1 from b where b.user_id = t.user_id)""",
+    "phase_merge": model_sql("""
+, phased as (
+  select tournament_id, team_id, finishing_pos, points, prize_money, 'none' as phase, 0 as prio from raw_results
+  union all
+  select tournament_id, team_id, finishing_pos, points + 1000, prize_money, 'MainDraw', 1 from raw_results
+  where finishing_pos <= 8
+  union all
+  select tournament_id, team_id, finishing_pos, points + 2000, prize_money, 'Qualification', 2 from raw_results
+  where finishing_pos > 4 and finishing_pos <= 12)
+select tournament_id, team_id, finishing_pos, points, prize_money, phase from phased
+qualify row_number() over (partition by tournament_id, team_id order by prio desc) = 1"""),
+    "snapshot_stamp": model_sql("""
+select ranking_type, date '2001-09-01' as snapshot_date, gender, position, no_player1, no_player2, team_name,
+       earned_points
+from raw_team_rankings where snapshot_date = (select max(snapshot_date) from raw_team_rankings)"""),
+    "expand_set": model_sql(_EXPAND),
+    "empty_checks": model_sql(_CHECKS),
+    "ingest_skip_set": model_sql(f"""
+, res as (select tournament_id,
+                 cast(make_date(cast(tournament_id // 1000 as int), cast((tournament_id // 10) % 100 as int), 1)
+                      + cast(team_id % 400 as int) as timestamp) as ingested_at from raw_results),
+rnd as (select tournament_id, cast(start_date + cast(round_id % 500 as int) as timestamp) as ingested_at
+        from raw_rounds),
+last_ingest as (select tournament_id, max(ingested_at) as last_ingested
+                from (select * from res union all select * from rnd) x group by tournament_id),
+checks as ({_CHECKS}),
+skip as (
+  select i.tournament_id from last_ingest i join raw_tournaments t on t.tournament_id = i.tournament_id
+  where (t.start_date >= date '2001-09-01' - interval 90 day
+         and i.last_ingested >= timestamp '2001-09-01 00:00:00' - interval 24 hour)
+     or (t.start_date is null or t.start_date < date '2001-09-01' - interval 90 day)
+        and i.last_ingested >= timestamp '2001-09-01 00:00:00' - interval 30 day
+  union
+  select tournament_id from checks
+  where results_empty_at is not null and rounds_empty_at is not null
+    and results_empty_at >= timestamp '2001-09-01 00:00:00' - interval 30 day
+    and rounds_empty_at >= timestamp '2001-09-01 00:00:00' - interval 30 day),
+cand as ({_EXPAND})
+select c.tournament_id, s.tournament_id is not null as skip, s.tournament_id is null as load
+from cand c left join skip s on s.tournament_id = c.tournament_id"""),
+    "source_filter": model_sql("""
+select * from raw_tournaments where season in ('1997', '1998-99', '2001')"""),
+    "rows_capped": """
+select * from lineitem
+qualify row_number() over (partition by l_orderkey
+                           order by l_linenumber nulls first, l_partkey nulls first, l_suppkey nulls first,
+                                    l_quantity nulls first, l_extendedprice nulls first, l_discount nulls first,
+                                    l_tax nulls first, l_returnflag nulls first, l_linestatus nulls first,
+                                    l_shipdate nulls first) <= 2""",
+    "head_tail_sample": """
+with o as (select o_orderkey, o_custkey, o_totalprice,
+                  row_number() over (order by o_orderkey) as ra, row_number() over (order by o_orderkey desc) as rd,
+                  count(*) over () as total
+           from orders)
+select o_orderkey, o_custkey, o_totalprice,
+       case when total <= 10 or ra <= 5 then ra else rd end as pos,
+       case when total <= 10 or ra <= 5 then 'head' else 'tail' end as part, total
+from o where total <= 10 or ra <= 5 or rd <= 5""",
+    "typed_filter_preview": """
+select * from orders
+where cast(o_orderpriority as varchar) ilike '%urgent%'
+  and o_totalprice >= 1000 and o_totalprice <= 100000
+  and cast(o_orderdate as date) >= date '1996-01-01' and cast(o_orderdate as date) <= date '1997-12-31'
+order by o_orderkey limit 10000""",
+    "parse_json_records": """
+with ok as (select event_id, props from events
+            where coalesce(event_type, '') <> 'error' and props is not null)
+select event_id, 'K' as keys, cast(json_extract(props, '$.k') as bigint) as k from ok
+union all
+select event_id, 'K', cast(json_extract(props, '$.k') as bigint) from ok where event_id % 4 = 1""",
+    "parse_xml_records": """
+select o_orderkey, o_orderkey as match_id, nullif(o_orderstatus, '') as status,
+       'A & B <' || cast(o_custkey as varchar) || '>' as name, nullif(o_orderpriority, '') as priority,
+       cast(null as varchar) as empty
+from orders where o_orderkey % 5 <> 0""",
+    "norm_match": model_sql("""
+select match_id, tournament_id, cast(null as varchar) as phase, round, team1_id, team2_id,
+       case when team2_id is null then null else winner_team_id end as winner_team_id,
+       cast(case when winner_team_id = team1_id then 2 when winner_team_id = team2_id then 0 else 1 end as varchar)
+         || '-' ||
+       cast(case when winner_team_id = team1_id then 0 when winner_team_id = team2_id then 2 else 1 end as varchar)
+         as score_sets,
+       case when match_id % 900 + match_id % 700 <> 0
+            then cast(floor((match_id % 900 + match_id % 700) / 60) as int) end as duration_minutes,
+       played_at, cast(null as varchar) as result_type, cast(match_id % 3 as varchar) as status,
+       timestamp '2024-12-31 00:00:00' as ingested_at
+from raw_matches"""),
+    "norm_player": """
+select c_custkey as player_id,
+       case when c_custkey % 3 = 0 then null else 'F' || cast(c_custkey as varchar) end as first_name,
+       c_mktsegment as last_name,
+       case when c_custkey % 3 = 0 then c_mktsegment else 'F' || cast(c_custkey as varchar) || ' ' || c_mktsegment end
+         as full_name,
+       cast(c_custkey % 2 as varchar) as gender,
+       make_date(cast(1950 + c_custkey % 50 as int), cast(1 + c_custkey % 12 as int), cast(1 + c_custkey % 28 as int))
+         as birth_date,
+       cast(case c_custkey % 4 when 0 then null when 1 then 100 + c_custkey when 2 then 150 + c_custkey % 60
+                 else case when c_custkey % 900 < 500 then c_custkey % 900 end end as int) as height_cm,
+       'N' || cast(c_nationkey as varchar) as country_code, cast(null as varchar) as profile_url,
+       timestamp '2024-12-31 00:00:00' as ingested_at
+from customer""",
+    "norm_team": model_sql("""
+select team_id, tournament_id, player_a_id, player_b_id, country_code, cast(team_id % 3 as varchar) as status,
+       date '2001-01-05' as valid_from, cast(null as date) as valid_to,
+       timestamp '2024-12-31 00:00:00' as ingested_at
+from raw_teams"""),
+    "export_csv_roundtrip": "select * from nation",
+}
