@@ -22,10 +22,18 @@ class League:
         self.asof_method = asof_method
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str, asof_method: str = "fill") -> "League":
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, asof_method: str = "fill",
+                      materialize: bool = True) -> "League":
+        """Models over the raw layer derived from the driver's tables.
+
+        With ``materialize`` the raw layer is written once per session (as a
+        real warehouse's raw tables are stored); otherwise it stays a plan.
+        """
         from courtline.session import configure
         configure(spark)
-        return cls(fixture.raw_tables(spark, sf_dir), asof_method)
+        raw = (fixture.materialized_raw_tables(spark, sf_dir) if materialize
+               else fixture.raw_tables(spark, sf_dir))
+        return cls(raw, asof_method)
 
     # core
     @cached_property
@@ -44,7 +52,7 @@ class League:
     @cached_property
     def fct_matches(self) -> DataFrame:
         return core.fct_matches(self.stg["matches"], self.dim_tournaments, self.stg["rounds"],
-                                self.dim_team_tournaments, self.stg["team_rankings"],
+                                self.stg["teams"], self.stg["players"], self.stg["team_rankings"],
                                 self.asof_method)
 
     @cached_property

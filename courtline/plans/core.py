@@ -90,8 +90,40 @@ def _phase_text(r_phase: Column, m_phase: Column) -> Column:
     return F.lower(F.coalesce(r_phase, m_phase, F.lit("")))
 
 
+def attach_team(df: DataFrame, team_col: str, tid_col: str, stg_teams: DataFrame,
+                stg_players: DataFrame, prefix: str,
+                extra: tuple[str, ...] = ()) -> DataFrame:
+    """Left-join a team row and its two players onto ``df`` (star join on base tables).
+
+    The same rows as joining ``dim_team_tournaments`` (teams left-joined to
+    players), reassociated so each join has a stored table on its right:
+    Spark checks the file size of each against the broadcast threshold and
+    broadcasts it, or falls back to a shuffle join beyond it.
+    """
+    t = stg_teams.select(
+        F.col("team_id").alias(f"{prefix}team_id"), F.col("tournament_id").alias(f"{prefix}tid"),
+        F.col("player_a_id").alias(f"{prefix}player_a_id"),
+        F.col("player_b_id").alias(f"{prefix}player_b_id"),
+        F.col("country_code").alias(f"{prefix}country_code"))
+    pcols = ["full_name", *extra]
+    pa = stg_players.select(F.col("player_id").alias(f"{prefix}pa_id"),
+                            *[F.col(c).alias(f"{prefix}pa_{c}") for c in pcols])
+    pb = stg_players.select(F.col("player_id").alias(f"{prefix}pb_id"),
+                            *[F.col(c).alias(f"{prefix}pb_{c}") for c in pcols])
+    j = (df.join(t, (F.col(f"{prefix}team_id") == F.col(team_col))
+                 & (F.col(f"{prefix}tid") == F.col(tid_col)), "left")
+         .join(pa, F.col(f"{prefix}pa_id") == F.col(f"{prefix}player_a_id"), "left")
+         .join(pb, F.col(f"{prefix}pb_id") == F.col(f"{prefix}player_b_id"), "left"))
+    name = lambda c: F.coalesce(F.col(c), F.lit("Unknown"))
+    # a name only where a team row matched, as the dimension's column would be
+    return j.withColumn(f"{prefix}team_display_name",
+                        F.when(F.col(f"{prefix}team_id").isNotNull(),
+                               F.concat(name(f"{prefix}pa_full_name"), F.lit(" / "),
+                                        name(f"{prefix}pb_full_name"))))
+
+
 def match_base(stg_matches: DataFrame, dim_t: DataFrame, stg_rounds: DataFrame,
-               dim_tt: DataFrame) -> DataFrame:
+               stg_teams: DataFrame, stg_players: DataFrame) -> DataFrame:
     """Matches with tournament, round and both team rows (the left-join spine).
 
     A duplicated (tournament, round code) multiplies matches here, as the
@@ -102,17 +134,11 @@ def match_base(stg_matches: DataFrame, dim_t: DataFrame, stg_rounds: DataFrame,
                       "start_date").alias("dt")
     r = stg_rounds.select("tournament_id", "code", "start_date", "name", "bracket",
                           "phase").alias("r")
-    cols = ["team_id", "tournament_id", "player_a_id", "player_b_id", "team_display_name",
-            "country_code"]
-    t1 = dim_tt.select(*cols).alias("t1")
-    t2 = dim_tt.select(*cols).alias("t2")
     j = (m.join(dt, F.col("dt.tournament_id") == F.col("m.tournament_id"), "left")
          .join(r, (F.col("r.tournament_id") == F.col("m.tournament_id"))
-               & (F.col("r.code") == F.col("m.round_code")), "left")
-         .join(t1, (F.col("t1.team_id") == F.col("m.team1_id"))
-               & (F.col("t1.tournament_id") == F.col("m.tournament_id")), "left")
-         .join(t2, (F.col("t2.team_id") == F.col("m.team2_id"))
-               & (F.col("t2.tournament_id") == F.col("m.tournament_id")), "left"))
+               & (F.col("r.code") == F.col("m.round_code")), "left"))
+    j = attach_team(j, "m.team1_id", "m.tournament_id", stg_teams, stg_players, "t1_")
+    j = attach_team(j, "m.team2_id", "m.tournament_id", stg_teams, stg_players, "t2_")
     match_ts = F.coalesce(F.col("m.played_at"), F.col("r.start_date"), F.col("dt.start_date"))
     return j.select(
         "m.match_id", "m.tournament_id", "m.played_at",
@@ -125,16 +151,16 @@ def match_base(stg_matches: DataFrame, dim_t: DataFrame, stg_rounds: DataFrame,
         F.col("dt.gender").alias("tournament_gender"), F.col("dt.tier").alias("tournament_tier"),
         F.col("r.name").alias("round_name"), F.col("r.bracket").alias("round_bracket"),
         F.col("r.phase").alias("round_phase"),
-        F.col("t1.team_display_name").alias("team1_display_name"),
-        F.col("t2.team_display_name").alias("team2_display_name"),
-        F.col("t1.country_code").alias("team1_country_code"),
-        F.col("t2.country_code").alias("team2_country_code"),
+        F.col("t1_team_display_name").alias("team1_display_name"),
+        F.col("t2_team_display_name").alias("team2_display_name"),
+        F.col("t1_country_code").alias("team1_country_code"),
+        F.col("t2_country_code").alias("team2_country_code"),
         # join markers and pair members for the ranking lookup
         F.col("dt.tournament_id").isNotNull().alias("_has_t"),
-        F.col("t1.team_id").isNotNull().alias("_has_t1"),
-        F.col("t2.team_id").isNotNull().alias("_has_t2"),
-        F.col("t1.player_a_id").alias("_t1_pa"), F.col("t1.player_b_id").alias("_t1_pb"),
-        F.col("t2.player_a_id").alias("_t2_pa"), F.col("t2.player_b_id").alias("_t2_pb"))
+        F.col("t1_team_id").isNotNull().alias("_has_t1"),
+        F.col("t2_team_id").isNotNull().alias("_has_t2"),
+        F.col("t1_player_a_id").alias("_t1_pa"), F.col("t1_player_b_id").alias("_t1_pb"),
+        F.col("t2_player_a_id").alias("_t2_pa"), F.col("t2_player_b_id").alias("_t2_pb"))
 
 
 def match_side_rankings(base: DataFrame, snaps: DataFrame, method: str = "fill") -> DataFrame:
@@ -161,11 +187,16 @@ def match_side_rankings(base: DataFrame, snaps: DataFrame, method: str = "fill")
                        snap_date="snapshot_date", values=["ranking_type", "position"],
                        tie_break=["ranking_type", "position"], method=method)
     hit = ev.join(best, ["gender", "p_lo", "p_hi", "match_date"])
-    one = latest_per_key(hit, ["match_id", "side"],
-                         [F.col("snapshot_date").desc(), "ranking_type", "position"])
-    return one.groupBy("match_id").agg(
-        F.max(F.when(F.col("side") == 1, F.col("position"))).alias("team1_ranking_position"),
-        F.max(F.when(F.col("side") == 2, F.col("position"))).alias("team2_ranking_position"))
+    # newest snapshot per (match, side) across fan-out rows, in the same aggregation
+    # that pivots the two sides: min of (-date, type, position) = the first row under
+    # (snapshot_date desc, ranking_type, position)
+    rank = F.struct((-F.unix_date("snapshot_date")).alias("d"), "ranking_type", "position")
+
+    def side_pos(n: int):
+        return F.min(F.when(F.col("side") == n, rank))["position"]
+
+    return hit.groupBy("match_id").agg(side_pos(1).alias("team1_ranking_position"),
+                                       side_pos(2).alias("team2_ranking_position"))
 
 
 FCT_MATCH_COLUMNS = [
@@ -179,8 +210,9 @@ FCT_MATCH_COLUMNS = [
 
 
 def fct_matches(stg_matches: DataFrame, dim_t: DataFrame, stg_rounds: DataFrame,
-                dim_tt: DataFrame, stg_rankings: DataFrame, method: str = "fill") -> DataFrame:
-    base = match_base(stg_matches, dim_t, stg_rounds, dim_tt)
+                stg_teams: DataFrame, stg_players: DataFrame, stg_rankings: DataFrame,
+                method: str = "fill") -> DataFrame:
+    base = match_base(stg_matches, dim_t, stg_rounds, stg_teams, stg_players)
     ranks = match_side_rankings(base, ranking_snapshots(stg_rankings), method)
     j = base.join(ranks, "match_id", "left")
     winner, t1 = F.col("winner_team_id"), F.col("team1_id")

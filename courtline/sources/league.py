@@ -228,6 +228,34 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
+_MATERIALIZED: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def materialized_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw layer written once per session as parquet, then read back.
+
+    In the modelled system the raw layer is a set of stored tables; writing
+    the derived tables to the shared checkpoint folder cuts their lineage and
+    gives the planner real file sizes (small dimensions get broadcast, large
+    facts are shuffled).  Each table goes to a fresh folder and is only
+    registered after its write succeeded; a failed task is retried by Spark.
+    """
+    import uuid
+
+    from courtline.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    paths = _MATERIALIZED.get(key)
+    if paths is None:
+        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/courtline-raw/{uuid.uuid4().hex}"
+        paths = {}
+        for name, df in raw_tables(spark, sf_dir).items():
+            path = f"{base}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            paths[name] = path
+        _MATERIALIZED[key] = paths
+    return {name: spark.read.parquet(path) for name, path in paths.items()}
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events from the driver's ``events`` table (one per event_id)."""
     e = read_table(spark, sf_dir, "events")
