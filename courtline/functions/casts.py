@@ -47,8 +47,18 @@ def _is_string(v: Column) -> Column:
 
 
 def as_string(v: Column) -> Column:
-    """The value as text (numbers in their JSON spelling); NULL for null/absent."""
-    return F.try_variant_get(v, "$", "string")
+    """The value as text; NULL for null/absent.
+
+    A fractional JSON number is a float to the loader, so 1.0 reads "1.0"
+    (not "1"); integers keep their digits.  VARIANT stores an integer that
+    fits a long as BIGINT, so a DECIMAL of up to 18 digits came from text with
+    a fraction or exponent (1.0 is DECIMAL(1,0)).
+    """
+    k = kind(v)
+    big_integer = k.rlike(r"^DECIMAL\((19|[2-3][0-9]),\s*0\)$")
+    fractional = (k.startswith("DECIMAL") & ~big_integer) | k.isin("DOUBLE", "FLOAT")
+    return F.when(fractional, F.try_variant_get(v, "$", "double").cast("string")) \
+        .otherwise(F.try_variant_get(v, "$", "string"))
 
 
 def _strip(s: Column) -> Column:

@@ -128,7 +128,8 @@ def usable(records: DataFrame, required: Sequence[str] = ()) -> DataFrame:
     return records.filter(cond)
 
 
-def norm_event(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def norm_event(records: DataFrame, ingested_at: Column | None = None,
+        carry: Sequence[str] = ()) -> DataFrame:
     return records.select(
         safe_int(_f("No")).alias("event_id"), text(_f("Code")).alias("code"),
         text(_f("Name")).alias("name"), safe_date(_f("StartDate")).alias("start_date"),
@@ -139,7 +140,7 @@ def norm_event(records: DataFrame, ingested_at: Column | None = None) -> DataFra
         safe_bool(_f("HasMenTournament")).alias("has_men_tournament"),
         safe_bool(_f("HasWomenTournament")).alias("has_women_tournament"),
         safe_bool(_f("IsVisManaged")).alias("is_vis_managed"),
-        *_trailer(ingested_at))
+        *_trailer(ingested_at), *carry)
 
 
 def infer_city(name: Column, city: Column) -> Column:
@@ -149,7 +150,8 @@ def infer_city(name: Column, city: Column) -> Column:
     return F.coalesce(city, F.when(one_word, clean))
 
 
-def norm_tournament(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def norm_tournament(records: DataFrame, ingested_at: Column | None = None,
+        carry: Sequence[str] = ()) -> DataFrame:
     name = text(_f("Name"))
     end = F.coalesce(safe_date(_f("EndDate")), safe_date(_f("EndDateMainDraw")),
                      safe_date(_f("EndDateQualification")))
@@ -162,10 +164,11 @@ def norm_tournament(records: DataFrame, ingested_at: Column | None = None) -> Da
         text(_f("CountryName")).alias("country_name"),
         text_if_present(_f("Gender")).alias("gender"),
         text_if_present(_f("Status")).alias("status"),
-        text(_f("Timezone")).alias("timezone"), *_trailer(ingested_at))
+        text(_f("Timezone")).alias("timezone"), *_trailer(ingested_at), *carry)
 
 
-def norm_team(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def norm_team(records: DataFrame, ingested_at: Column | None = None,
+        carry: Sequence[str] = ()) -> DataFrame:
     return records.select(
         safe_int(_f("No")).alias("team_id"), safe_int(_f("NoTournament")).alias("tournament_id"),
         safe_int(_f("NoPlayer1")).alias("player_a_id"),
@@ -173,7 +176,7 @@ def norm_team(records: DataFrame, ingested_at: Column | None = None) -> DataFram
         text(_f("CountryCode")).alias("country_code"),
         text_if_present(_f("Status")).alias("status"),
         safe_date(_f("ValidFrom")).alias("valid_from"), safe_date(_f("ValidTo")).alias("valid_to"),
-        *_trailer(ingested_at))
+        *_trailer(ingested_at), *carry)
 
 
 def _strict_int(v: Column) -> Column:
@@ -200,7 +203,8 @@ def duration_minutes(*sets: Column) -> Column:
 
 
 def norm_match(records: DataFrame, tournament_id: Column | None = None,
-               ingested_at: Column | None = None) -> DataFrame:
+               ingested_at: Column | None = None,
+        carry: Sequence[str] = ()) -> DataFrame:
     pa, pb = _f("MatchPointsA"), _f("MatchPointsB")
     has_points = ~(is_missing(pa) | is_missing(pb))
     tid = safe_int(_f("NoTournament"))
@@ -218,11 +222,12 @@ def norm_match(records: DataFrame, tournament_id: Column | None = None,
          .alias("duration_minutes"),
         safe_timestamp(played).alias("played_at"),
         text_if_present(_f("ResultType")).alias("result_type"),
-        text_if_present(_f("Status")).alias("status"), *_trailer(ingested_at))
+        text_if_present(_f("Status")).alias("status"), *_trailer(ingested_at), *carry)
 
 
 def norm_result(records: DataFrame, tournament_id: Column,
-                ingested_at: Column | None = None) -> DataFrame:
+                ingested_at: Column | None = None,
+        carry: Sequence[str] = ()) -> DataFrame:
     pos = first_truthy(_f("Rank"), _f("Position"))
     pos_text = _strip(as_string(pos))
     return records.select(
@@ -231,10 +236,11 @@ def norm_result(records: DataFrame, tournament_id: Column,
          .alias("finishing_pos"),
         safe_int(first_truthy(_f("EarnedPointsTeam"), _f("Points"))).cast("int").alias("points"),
         safe_double(first_truthy(_f("EarningsTotalTeam"), _f("PrizeMoney"))).alias("prize_money"),
-        *_trailer(ingested_at))
+        *_trailer(ingested_at), *carry)
 
 
-def norm_player(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def norm_player(records: DataFrame, ingested_at: Column | None = None,
+        carry: Sequence[str] = ()) -> DataFrame:
     first = F.coalesce(text(_f("FirstName")), F.lit(""))
     last = F.coalesce(text(_f("LastName")), F.lit(""))
     joined = _strip(F.concat(first, F.lit(" "), last))
@@ -249,20 +255,22 @@ def norm_player(records: DataFrame, ingested_at: Column | None = None) -> DataFr
         text_if_present(_f("Gender")).alias("gender"),
         safe_date(first_truthy(_f("BirthDate"), _f("Birthdate"))).alias("birth_date"),
         height.alias("height_cm"), country.alias("country_code"),
-        F.lit(None).cast("string").alias("profile_url"), *_trailer(ingested_at))
+        F.lit(None).cast("string").alias("profile_url"), *_trailer(ingested_at), *carry)
 
 
-def norm_round(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def norm_round(records: DataFrame, ingested_at: Column | None = None,
+        carry: Sequence[str] = ()) -> DataFrame:
     return records.select(
         safe_int(_f("No")).alias("round_id"), safe_int(_f("NoTournament")).alias("tournament_id"),
         text(_f("Code")).alias("code"), text(_f("Name")).alias("name"),
         text(_f("Bracket")).alias("bracket"), text(_f("Phase")).alias("phase"),
         safe_date(_f("StartDate")).alias("start_date"), safe_date(_f("EndDate")).alias("end_date"),
-        text(_f("RankMethod")).alias("rank_method"), *_trailer(ingested_at))
+        text(_f("RankMethod")).alias("rank_method"), *_trailer(ingested_at), *carry)
 
 
 def norm_round_ranking(records: DataFrame, round_id: Column,
-                       ingested_at: Column | None = None) -> DataFrame:
+                       ingested_at: Column | None = None,
+        carry: Sequence[str] = ()) -> DataFrame:
     return records.select(
         round_id.cast("long").alias("round_id"), safe_int(_f("Position")).cast("int").alias("position"),
         safe_int(_f("Rank")).cast("int").alias("rank"),
@@ -270,15 +278,16 @@ def norm_round_ranking(records: DataFrame, round_id: Column,
         text(_f("TeamName")).alias("team_name"),
         safe_int(_f("MatchPoints")).cast("int").alias("match_points"),
         safe_int(_f("MatchesWon")).cast("int").alias("matches_won"),
-        safe_int(_f("MatchesLost")).cast("int").alias("matches_lost"), *_trailer(ingested_at))
+        safe_int(_f("MatchesLost")).cast("int").alias("matches_lost"), *_trailer(ingested_at), *carry)
 
 
 def norm_team_ranking(records: DataFrame, ranking_type: Column, snapshot_date: Column,
-                      gender: Column, ingested_at: Column | None = None) -> DataFrame:
+                      gender: Column, ingested_at: Column | None = None,
+        carry: Sequence[str] = ()) -> DataFrame:
     return records.select(
         ranking_type.alias("ranking_type"), snapshot_date.cast("date").alias("snapshot_date"),
         gender.alias("gender"), safe_int(_f("Position")).cast("int").alias("position"),
         safe_int(_f("NoPlayer1")).alias("no_player1"), safe_int(_f("NoPlayer2")).alias("no_player2"),
         text(_f("TeamName")).alias("team_name"),
         safe_int(first_truthy(_f("EarnedPointsTeam"), _f("Points"))).cast("int")
-         .alias("earned_points"), *_trailer(ingested_at))
+         .alias("earned_points"), *_trailer(ingested_at), *carry)
