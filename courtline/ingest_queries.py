@@ -253,6 +253,136 @@ def norm_team(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("team_id").isNotNull() & F.col("tournament_id").isNotNull()).drop("payload")
 
 
+def _json_q(c: Column) -> Column:
+    """A JSON string literal of a column (NULL -> null)."""
+    return _quoted(c)
+
+
+def event_bodies(e: DataFrame) -> DataFrame:
+    k = F.col("event_id")
+    beach = (F.when(k % 4 == 0, F.lit('"1"')).when(k % 4 == 1, F.lit("true"))
+             .when(k % 4 == 2, F.lit('"yes "')).otherwise(F.lit("0")))
+    rec = F.concat(
+        F.lit('{"no": '), _s(k), F.lit(', "code": '), _json_q(F.upper("event_type")),
+        F.lit(', "name": "", "startDate": '), _json_q(F.date_format("ts", "yyyy-MM-dd")),
+        F.lit(', "endDate": null, "type": '), _json_q(F.col("event_type")),
+        F.lit(', "noParentEvent": '), _s(F.col("user_id") % 3),
+        F.lit(', "countryCode": "", "hasBeachTournament": '), beach,
+        F.lit(', "hasMenTournament": "On", "hasWomenTournament": null, "isVisManaged": "false"}'))
+    return e.select(F.lit("json").alias("content_type"),
+                    F.concat(F.lit('{"data": {"items": 1, "row": '), rec, F.lit("}}")).alias("body"))
+
+
+def norm_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bodies = event_bodies(read_table(spark, sf_dir, "events"))
+    # the records sit one level down: {"data": {"items": 1, "row": {...}}} -> data is the object
+    recs = ing.parse_json(bodies).select(
+        ing._pascal_keys(F.try_variant_get(F.col("rec")["Row"], "$", ing.RECORD_TYPE)).alias("rec"))
+    return ing.norm_event(recs, _lit_ts(UPSERT_AT)).drop("payload")
+
+
+def tournament_bodies(t: DataFrame) -> DataFrame:
+    m = F.col("m")
+    name = F.when(m % 3 == 0, F.concat(F.lit("C"), _s(m))).otherwise(F.col("name"))
+    rec = F.concat(
+        F.lit('{"no": '), _s(F.col("tournament_id")), F.lit(', "name": '), _json_q(name),
+        F.lit(', "season": '), _json_q(F.col("season")), F.lit(', "type": '), _s(m),
+        F.lit(', "startDate": '), _json_q(_s(F.col("start_date"))),
+        F.lit(', "endDateMainDraw": '), _json_q(_s(F.col("end_date"))),
+        F.lit(', "endDateQualification": '), _json_q(_s(F.date_add("start_date", 3))),
+        F.lit(', "countryCode": '), _json_q(F.col("country_code")),
+        F.lit(', "countryName": '), _json_q(F.col("country_name")),
+        F.lit(', "gender": '), _s(F.col("g")), F.lit(', "timezone": ""}'))
+    return t.select(F.lit("json").alias("content_type"), F.concat(F.lit("["), rec, F.lit("]")).alias("body"))
+
+
+def norm_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtline.sources.league import base, tournaments
+    t = tournaments(base(spark, sf_dir))
+    recs = ing.parse_json(tournament_bodies(t))
+    return ing.norm_tournament(recs, _lit_ts(UPSERT_AT)).drop("payload")
+
+
+def _attr(name: str, c: Column) -> Column:
+    return F.concat(F.lit(f' {name}="'), F.coalesce(_s(c), F.lit("")), F.lit('"'))
+
+
+def result_bodies(r: DataFrame) -> DataFrame:
+    item = F.concat(F.lit("<BeachTeamRanking"), _attr("Rank", F.col("finishing_pos")),
+                    _attr("NoTeam", F.col("team_id")), _attr("EarnedPointsTeam", F.col("points")),
+                    F.lit(' Points="999"'), _attr("EarningsTotalTeam", F.col("prize_money").cast("long")),
+                    F.lit(' PrizeMoney="5"/>'))
+    return r.select("tournament_id", F.lit("xml").alias("content_type"),
+                    F.concat(F.lit("<Responses><BeachTournamentRanking>"), item,
+                             F.lit("</BeachTournamentRanking></Responses>")).alias("body"))
+
+
+def norm_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = League.from_testdata(spark, sf_dir).raw["results"]
+    recs = ing.parse_xml(result_bodies(r), "BeachTeamRanking",
+                         ["Rank", "Position", "NoTeam", "EarnedPointsTeam", "Points",
+                          "EarningsTotalTeam", "PrizeMoney"], wrapper="BeachTournamentRanking")
+    return ing.norm_result(recs, F.col("tournament_id"), _lit_ts(UPSERT_AT)).drop("payload")
+
+
+def round_bodies(r: DataFrame) -> DataFrame:
+    item = F.concat(F.lit("<BeachRound"), _attr("No", F.col("round_id")),
+                    _attr("NoTournament", F.col("tournament_id")), _attr("Code", F.col("code")),
+                    _attr("Name", F.col("name")),
+                    F.when(F.col("bracket").isNull(), F.lit("")).otherwise(_attr("Bracket", F.col("bracket"))),
+                    _attr("Phase", F.col("phase")), _attr("StartDate", F.col("start_date")),
+                    F.lit(' RankMethod="&lt;DirectElimination /&gt;"/>'))
+    return r.select(F.lit("xml").alias("content_type"),
+                    F.concat(F.lit("<Responses><BeachRounds>"), item,
+                             F.lit("</BeachRounds></Responses>")).alias("body"))
+
+
+def norm_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = League.from_testdata(spark, sf_dir).raw["rounds"]
+    recs = ing.parse_xml(round_bodies(r), "BeachRound",
+                         ["No", "NoTournament", "Code", "Name", "Bracket", "Phase", "StartDate",
+                          "EndDate", "RankMethod"])
+    return ing.norm_round(recs, _lit_ts(UPSERT_AT)).drop("payload")
+
+
+def round_ranking_bodies(r: DataFrame) -> DataFrame:
+    pos = F.col("finishing_pos")
+    item = F.concat(F.lit("<BeachRoundRanking"), _attr("Position", pos),
+                    _attr("Rank", F.when(pos % 4 == 0, F.lit(-1)).otherwise(pos)),
+                    _attr("TeamFederationCode", F.concat(F.lit("N"), _s(F.col("team_id") % 6))),
+                    F.lit(' TeamName=""'), _attr("MatchPoints", F.col("points")),
+                    _attr("MatchesWon", 15 - pos), _attr("MatchesLost", pos - 1), F.lit("/>"))
+    return r.select((F.col("tournament_id") * 10).alias("round_id"), F.lit("xml").alias("content_type"),
+                    F.concat(F.lit("<Responses><BeachRoundRankings>"), item,
+                             F.lit("</BeachRoundRankings></Responses>")).alias("body"))
+
+
+def norm_round_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = League.from_testdata(spark, sf_dir).raw["results"]
+    recs = ing.usable(ing.parse_xml(round_ranking_bodies(r), "BeachRoundRanking",
+                                    ["Position", "Rank", "TeamFederationCode", "TeamName",
+                                     "MatchPoints", "MatchesWon", "MatchesLost"]), ["Position"])
+    return ing.norm_round_ranking(recs, F.col("round_id"), _lit_ts(UPSERT_AT)).drop("payload")
+
+
+def team_ranking_bodies(rk: DataFrame) -> DataFrame:
+    wt = F.col("ranking_type") == "beach_world_tour"
+    rec = F.concat(
+        F.lit('{"position": '), _s(F.col("position")), F.lit(', "noPlayer1": '), _s(F.col("no_player1")),
+        F.lit(', "noPlayer2": "'), _s(F.col("no_player2")), F.lit('", "teamName": ""'),
+        F.lit(', "earnedPointsTeam": '), F.when(wt, _s(F.col("earned_points"))).otherwise(F.lit("0")),
+        F.lit(', "points": '), _s(F.col("earned_points")), F.lit("}"))
+    return rk.select("ranking_type", "snapshot_date", "gender", F.lit("json").alias("content_type"),
+                     F.concat(F.lit('{"data": ['), rec, F.lit("]}")).alias("body"))
+
+
+def norm_team_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rk = League.from_testdata(spark, sf_dir).raw["team_rankings"]
+    recs = ing.usable(ing.parse_json(team_ranking_bodies(rk)), ["Position"])
+    return ing.norm_team_ranking(recs, F.col("ranking_type"), F.col("snapshot_date"),
+                                 F.col("gender"), _lit_ts(UPSERT_AT)).drop("payload")
+
+
 def export_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_roundtrip(read_table(spark, sf_dir, "nation"), "nation")
 
@@ -261,5 +391,6 @@ def registry() -> dict:
     return {f.__name__: f for f in (
         upsert_latest, phase_merge, snapshot_stamp, expand_set, empty_checks, ingest_skip_set,
         source_filter, rows_capped, head_tail_sample, typed_filter_preview, parse_json_records,
-        parse_xml_records, norm_match, norm_player, norm_team, export_csv_roundtrip)}
+        parse_xml_records, norm_match, norm_player, norm_team, norm_event, norm_tournament,
+        norm_result, norm_round, norm_round_ranking, norm_team_ranking, export_csv_roundtrip)}
 

@@ -139,4 +139,37 @@ select team_id, tournament_id, player_a_id, player_b_id, country_code, cast(team
        timestamp '2024-12-31 00:00:00' as ingested_at
 from raw_teams"""),
     "export_csv_roundtrip": "select * from nation",
+    "norm_event": """
+select event_id, upper(event_type) as code, cast(null as varchar) as name, cast(ts as date) as start_date,
+       cast(null as date) as end_date, event_type as type, user_id % 3 as no_parent_event,
+       cast(null as varchar) as country_code, event_id % 4 <> 3 as has_beach_tournament,
+       true as has_men_tournament, false as has_women_tournament, false as is_vis_managed,
+       timestamp '2024-12-31 00:00:00' as ingested_at
+from events""",
+    "norm_tournament": model_sql("""
+select tournament_id, case when m % 3 = 0 then 'C' || cast(m as varchar) else name end as name, season,
+       cast(m as varchar) as tier, start_date, coalesce(end_date, start_date + 3) as end_date,
+       case when m % 3 = 0 then 'C' || cast(m as varchar) end as city, country_code, country_name,
+       cast(g as varchar) as gender, cast(null as varchar) as status, cast(null as varchar) as timezone,
+       timestamp '2024-12-31 00:00:00' as ingested_at
+from lg_tournaments"""),
+    "norm_result": model_sql("""
+select tournament_id, team_id, finishing_pos, coalesce(points, 999) as points,
+       coalesce(prize_money, 5.0) as prize_money, timestamp '2024-12-31 00:00:00' as ingested_at
+from raw_results"""),
+    "norm_round": model_sql("""
+select round_id, tournament_id, code, name, bracket, phase, start_date, cast(null as date) as end_date,
+       '<DirectElimination />' as rank_method, timestamp '2024-12-31 00:00:00' as ingested_at
+from raw_rounds"""),
+    "norm_round_ranking": model_sql("""
+select tournament_id * 10 as round_id, finishing_pos as position,
+       case when finishing_pos % 4 = 0 then -1 else finishing_pos end as rank,
+       'N' || cast(team_id % 6 as varchar) as team_federation_code, cast(null as varchar) as team_name,
+       points as match_points, 15 - finishing_pos as matches_won, finishing_pos - 1 as matches_lost,
+       timestamp '2024-12-31 00:00:00' as ingested_at
+from raw_results"""),
+    "norm_team_ranking": model_sql("""
+select ranking_type, snapshot_date, gender, position, no_player1, no_player2, cast(null as varchar) as team_name,
+       earned_points, timestamp '2024-12-31 00:00:00' as ingested_at
+from raw_team_rankings"""),
 }
