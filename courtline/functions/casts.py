@@ -32,21 +32,38 @@ def kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def is_missing(v: Column) -> Column:
+class Val:
+    """A VARIANT value with its kind, so the kind is derived once per field.
+
+    Every helper below takes a Column or a Val; normalisers pass Vals whose
+    kind was computed in an earlier projection.
+    """
+
+    def __init__(self, v: Column, k: Column | None = None, s: Column | None = None):
+        self.v = v
+        self.k = kind(v) if k is None else k
+        self.s = F.try_variant_get(v, "$", "string") if s is None else s
+
+
+def _val(x: Column | Val) -> Val:
+    return x if isinstance(x, Val) else Val(x)
+
+
+def is_missing(x: Column | Val) -> Column:
     """Absent key or JSON null."""
-    return v.isNull() | F.is_variant_null(v)
+    x = _val(x)
+    return x.v.isNull() | (x.k == "VOID")
 
 
-def _is_number(v: Column) -> Column:
-    k = kind(v)
-    return k.isin(*_NUMBER_KINDS) | k.startswith("DECIMAL")
+def _is_number(x: Val) -> Column:
+    return x.k.isin(*_NUMBER_KINDS) | x.k.startswith("DECIMAL")
 
 
-def _is_string(v: Column) -> Column:
-    return kind(v) == "STRING"
+def _is_string(x: Val) -> Column:
+    return x.k == "STRING"
 
 
-def as_string(v: Column) -> Column:
+def as_string(x: Column | Val) -> Column:
     """The value as text; NULL for null/absent.
 
     A fractional JSON number is a float to the loader, so 1.0 reads "1.0"
@@ -54,73 +71,85 @@ def as_string(v: Column) -> Column:
     fits a long as BIGINT, so a DECIMAL of up to 18 digits came from text with
     a fraction or exponent (1.0 is DECIMAL(1,0)).
     """
-    k = kind(v)
+    x = _val(x)
+    k = x.k
     big_integer = k.rlike(r"^DECIMAL\((19|[2-3][0-9]),\s*0\)$")
     fractional = (k.startswith("DECIMAL") & ~big_integer) | k.isin("DOUBLE", "FLOAT")
-    return F.when(fractional, F.try_variant_get(v, "$", "double").cast("string")) \
-        .otherwise(F.try_variant_get(v, "$", "string"))
+    return F.when(fractional, F.try_variant_get(x.v, "$", "double").cast("string")) \
+        .otherwise(x.s)
 
 
 def _strip(s: Column) -> Column:
     return F.regexp_replace(s, r"^\s+|\s+$", "")
 
 
-def safe_int(v: Column) -> Column:
-    s = _strip(as_string(v))
+def safe_int(x: Column | Val) -> Column:
+    x = _val(x)
+    s = _strip(x.s)
     from_text = F.when(s.rlike(_INT_TEXT), s.try_cast("long"))
-    from_number = F.try_variant_get(v, "$", "double").try_cast("long")
-    from_bool = F.when(kind(v) == "BOOLEAN",
-                       F.try_variant_get(v, "$", "boolean").cast("long"))
-    return (F.when(_is_string(v), from_text)
-            .when(_is_number(v), from_number)
+    from_number = F.try_variant_get(x.v, "$", "double").try_cast("long")
+    from_bool = F.when(x.k == "BOOLEAN", F.try_variant_get(x.v, "$", "boolean").cast("long"))
+    return (F.when(_is_string(x), from_text)
+            .when(_is_number(x), from_number)
             .otherwise(from_bool))
 
 
-def safe_double(v: Column) -> Column:
-    s = _strip(as_string(v))
-    return (F.when(_is_string(v), F.when(s != "", s.try_cast("double")))
-            .when(_is_number(v), F.try_variant_get(v, "$", "double"))
-            .when(kind(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double")))
+def safe_double(x: Column | Val) -> Column:
+    x = _val(x)
+    s = _strip(x.s)
+    return (F.when(_is_string(x), F.when(s != "", s.try_cast("double")))
+            .when(_is_number(x), F.try_variant_get(x.v, "$", "double"))
+            .when(x.k == "BOOLEAN", F.try_variant_get(x.v, "$", "boolean").cast("double")))
 
 
-def safe_date(v: Column) -> Column:
-    s10 = F.substring(as_string(v), 1, 10)
-    return F.when(_is_string(v) & s10.rlike(_DATE_TEXT), F.try_to_date(s10, "yyyy-M-d"))
+def safe_date(x: Column | Val) -> Column:
+    x = _val(x)
+    s10 = F.substring(x.s, 1, 10)
+    return F.when(_is_string(x) & s10.rlike(_DATE_TEXT), F.try_to_date(s10, "yyyy-M-d"))
 
 
-def safe_timestamp(v: Column) -> Column:
+def safe_timestamp(x: Column | Val) -> Column:
     """Date-time text as a timestamp (session zone UTC), else NULL."""
-    return F.when(_is_string(v), F.try_to_timestamp(as_string(v)))
+    x = _val(x)
+    return F.when(_is_string(x), F.try_to_timestamp(x.s))
 
 
-def safe_bool(v: Column) -> Column:
-    word = F.lower(_strip(as_string(v)))
-    return (F.when(kind(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
+def safe_bool(x: Column | Val) -> Column:
+    x = _val(x)
+    word = F.lower(_strip(as_string(x)))
+    return (F.when(x.k == "BOOLEAN", F.try_variant_get(x.v, "$", "boolean"))
             .otherwise(F.coalesce(word.isin(*TRUE_WORDS), F.lit(False))))
 
 
-def truthy(v: Column) -> Column:
-    k = kind(v)
-    return (F.when(is_missing(v), F.lit(False))
-            .when(k == "STRING", as_string(v) != "")
-            .when(k == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
-            .when(_is_number(v), F.try_variant_get(v, "$", "double") != 0)
+def truthy(x: Column | Val) -> Column:
+    x = _val(x)
+    k = x.k
+    return (F.when(is_missing(x), F.lit(False))
+            .when(k == "STRING", x.s != "")
+            .when(k == "BOOLEAN", F.try_variant_get(x.v, "$", "boolean"))
+            .when(_is_number(x), F.try_variant_get(x.v, "$", "double") != 0)
             .otherwise(F.lit(True)))
 
 
-def text(v: Column) -> Column:
+def text(x: Column | Val) -> Column:
     """``value or None`` stored as text."""
-    return F.when(truthy(v), as_string(v))
+    x = _val(x)
+    return F.when(truthy(x), as_string(x))
 
 
-def text_if_present(v: Column) -> Column:
+def text_if_present(x: Column | Val) -> Column:
     """``str(value) if value is not None``."""
-    return F.when(~is_missing(v), as_string(v))
-
-
-def first_truthy(*vs: Column) -> Column:
-    """``a or b or ...`` over raw values; the chosen raw value (a VARIANT)."""
-    out = vs[-1]
-    for v in reversed(vs[:-1]):
-        out = F.when(truthy(v), v).otherwise(out)
-    return out
+    x = _val(x)
+    return F.when(~is_missing(x), as_string(x))
+
+
+def first_truthy(*xs: Column | Val) -> Val:
+    """``a or b or ...`` over raw values; the chosen raw value and its kind."""
+    vals = [_val(x) for x in xs]
+    v, k, s = vals[-1].v, vals[-1].k, vals[-1].s
+    for x in reversed(vals[:-1]):
+        t = truthy(x)
+        v = F.when(t, x.v).otherwise(v)
+        k = F.when(t, x.k).otherwise(k)
+        s = F.when(t, x.s).otherwise(s)
+    return Val(v, k, s)

@@ -18,9 +18,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtline.functions.casts import (as_string, first_truthy, is_missing, kind, safe_bool,
-                                       safe_date, safe_double, safe_int, safe_timestamp, text,
-                                       text_if_present, truthy)
+from courtline.functions.casts import (Val, as_string, first_truthy, is_missing, kind,
+                                       safe_bool, safe_date, safe_double, safe_int,
+                                       safe_timestamp, text, text_if_present, truthy)
 
 # Fixed stop list: a one-word tournament name that is one of these is not a city.
 CITY_STOP_WORDS = ("open", "cup", "championship", "masters", "satellite", "challenger",
@@ -39,15 +39,17 @@ def _pascal_keys(m: Column) -> Column:
                                                       F.substring(k, 2, 1 << 20)))
 
 
-def _is_container(v: Column) -> Column:
-    k = kind(v)
-    return k.startswith("ARRAY") | k.startswith("OBJECT")
+def _as_array(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _as_items(v: Column) -> Column:
-    """A list value as its items, an object value as a one-item list."""
-    return (F.when(kind(v).startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
-            .when(kind(v).startswith("OBJECT"), F.array(v)))
+def _as_object(v: Column) -> Column:
+    return F.try_variant_get(v, "$", RECORD_TYPE)
+
+
+def _items(v: Column) -> Column:
+    """A list value as its items, an object value as a one-item list, else NULL."""
+    return F.coalesce(_as_array(v), F.when(_as_object(v).isNotNull(), F.array(v)))
 
 
 def parse_json(responses: DataFrame, body: str = "body") -> DataFrame:
@@ -55,21 +57,31 @@ def parse_json(responses: DataFrame, body: str = "body") -> DataFrame:
 
     A top-level list is the record list; otherwise ``data`` (a list, or one
     object); otherwise the first list or object value in key order.
-    Unparseable bodies and non-object items give no rows.
+    Unparseable bodies and non-object items give no rows.  Shapes are tested
+    with typed extraction (cheap), not by deriving each body's schema; the
+    key-order fallback (a second parse) only runs for bodies that need it.
     """
-    top = F.try_parse_json(F.col(body))
-    top_map = F.try_variant_get(top, "$", "map<string,variant>")
-    ordered_keys = F.map_keys(F.from_json(F.col(body), "map<string,string>"))
-    first_key = F.get(F.filter(ordered_keys, lambda k: _is_container(top_map[k])), 0)
-    data = F.try_variant_get(top, "$.data", "variant")
-    items = (F.when(kind(top).startswith("ARRAY"), _as_items(top))
-             .when(kind(top).startswith("OBJECT"),
-                   F.coalesce(_as_items(data), _as_items(top_map[first_key]))))
     others = [c for c in responses.columns if c != body]
-    recs = (responses.select(*others, F.explode(items).alias("_item"))
-            .filter(kind(F.col("_item")).startswith("OBJECT")))
-    return recs.select(*others, _pascal_keys(F.try_variant_get(F.col("_item"), "$", RECORD_TYPE))
-                       .alias("rec"))
+    # each extraction is its own projection, so it runs once per row
+    x = responses.select(*others, body, F.try_parse_json(F.col(body)).alias("_top"))
+    x = x.select(*others, body, "_top", _as_array(F.col("_top")).alias("_arr"),
+                 F.try_variant_get(F.col("_top"), "$.data", "variant").alias("_data"))
+    x = x.select(*others, body, "_top", "_arr", "_data",
+                 _as_array(F.col("_data")).alias("_darr"),
+                 _as_object(F.col("_data")).isNotNull().alias("_dobj"))
+    primary = F.coalesce(F.col("_arr"), F.col("_darr"),
+                         F.when(F.col("_dobj"), F.array(F.col("_data"))))
+    x = x.select(*others, body, "_top", primary.alias("_primary"))
+    # key-order fallback (a second parse) only where no list/data was found
+    top_map = _as_object(F.col("_top"))
+    ordered_keys = F.map_keys(F.from_json(F.col(body), "map<string,string>"))
+    first_key = F.get(F.filter(ordered_keys, lambda k: _items(top_map[k]).isNotNull()), 0)
+    items = F.when(F.col("_primary").isNotNull(), F.col("_primary")) \
+        .otherwise(_items(top_map[first_key]))
+    recs = (x.select(*others, F.explode(items).alias("_item"))
+            .select(*others, _as_object(F.col("_item")).alias("_rec"))
+            .filter(F.col("_rec").isNotNull()))
+    return recs.select(*others, _pascal_keys(F.col("_rec")).alias("rec"))
 
 
 def strip_namespaces(xml: Column) -> Column:
@@ -111,8 +123,24 @@ def parse_responses(responses: DataFrame, node: str, fields: Sequence[str]) -> D
 
 # ---- normalisers (S20-S28) -------------------------------------------------------------
 
-def _f(name: str) -> Column:
-    return F.col("rec")[name]
+def _cname(name: str) -> str:
+    """Helper column name; Spark names are case-insensitive (BirthDate vs Birthdate)."""
+    return "".join(f"_{c.lower()}" if c.isupper() else c for c in name)
+
+
+def _f(name: str) -> Val:
+    """A record field with its kind, both computed once by :func:`with_fields`."""
+    c = _cname(name)
+    return Val(F.col(f"__v{c}"), F.col(f"__k{c}"), F.col(f"__s{c}"))
+
+
+def with_fields(records: DataFrame, fields: list[str]) -> DataFrame:
+    """Project each needed field and its VARIANT kind once (the casts reuse them)."""
+    rec = F.col("rec")
+    return records.select("*", *[rec[f].alias(f"__v{_cname(f)}") for f in fields],
+                          *[kind(rec[f]).alias(f"__k{_cname(f)}") for f in fields],
+                          *[F.try_variant_get(rec[f], "$", "string").alias(f"__s{_cname(f)}")
+                            for f in fields])
 
 
 def _trailer(ingested_at: Column | None) -> list[Column]:
@@ -124,12 +152,13 @@ def usable(records: DataFrame, required: Sequence[str] = ()) -> DataFrame:
     """Drop records carrying ``Errors`` or missing a required field."""
     cond = ~F.map_contains_key(F.col("rec"), "Errors")
     for r in required:
-        cond = cond & ~is_missing(_f(r))
+        cond = cond & ~is_missing(F.col("rec")[r])
     return records.filter(cond)
 
 
 def norm_event(records: DataFrame, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
+    records = with_fields(records, ['No', 'Code', 'Name', 'StartDate', 'EndDate', 'Type', 'NoParentEvent', 'CountryCode', 'HasBeachTournament', 'HasMenTournament', 'HasWomenTournament', 'IsVisManaged'])
     return records.select(
         safe_int(_f("No")).alias("event_id"), text(_f("Code")).alias("code"),
         text(_f("Name")).alias("name"), safe_date(_f("StartDate")).alias("start_date"),
@@ -152,6 +181,7 @@ def infer_city(name: Column, city: Column) -> Column:
 
 def norm_tournament(records: DataFrame, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
+    records = with_fields(records, ['No', 'Name', 'Season', 'Type', 'StartDate', 'EndDate', 'EndDateMainDraw', 'EndDateQualification', 'City', 'CountryCode', 'CountryName', 'Gender', 'Status', 'Timezone'])
     name = text(_f("Name"))
     end = F.coalesce(safe_date(_f("EndDate")), safe_date(_f("EndDateMainDraw")),
                      safe_date(_f("EndDateQualification")))
@@ -169,6 +199,7 @@ def norm_tournament(records: DataFrame, ingested_at: Column | None = None,
 
 def norm_team(records: DataFrame, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
+    records = with_fields(records, ['No', 'NoTournament', 'NoPlayer1', 'NoPlayer2', 'CountryCode', 'Status', 'ValidFrom', 'ValidTo'])
     return records.select(
         safe_int(_f("No")).alias("team_id"), safe_int(_f("NoTournament")).alias("tournament_id"),
         safe_int(_f("NoPlayer1")).alias("player_a_id"),
@@ -205,6 +236,7 @@ def duration_minutes(*sets: Column) -> Column:
 def norm_match(records: DataFrame, tournament_id: Column | None = None,
                ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
+    records = with_fields(records, ['No', 'NoTournament', 'Phase', 'NoRound', 'RoundCode', 'NoTeamA', 'NoTeamB', 'MatchPointsA', 'MatchPointsB', 'DurationSet1', 'DurationSet2', 'DurationSet3', 'BeginDateTimeUtc', 'DateTimeLocal', 'ResultType', 'Status'])
     pa, pb = _f("MatchPointsA"), _f("MatchPointsB")
     has_points = ~(is_missing(pa) | is_missing(pb))
     tid = safe_int(_f("NoTournament"))
@@ -228,11 +260,12 @@ def norm_match(records: DataFrame, tournament_id: Column | None = None,
 def norm_result(records: DataFrame, tournament_id: Column,
                 ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
+    records = with_fields(records, ['Rank', 'Position', 'NoTeam', 'EarnedPointsTeam', 'Points', 'EarningsTotalTeam', 'PrizeMoney'])
     pos = first_truthy(_f("Rank"), _f("Position"))
     pos_text = _strip(as_string(pos))
     return records.select(
         tournament_id.cast("long").alias("tournament_id"), safe_int(_f("NoTeam")).alias("team_id"),
-        F.when(pos.isNotNull() & (pos_text != ""), safe_int(pos)).cast("int")
+        F.when(~is_missing(pos) & (pos_text != ""), safe_int(pos)).cast("int")
          .alias("finishing_pos"),
         safe_int(first_truthy(_f("EarnedPointsTeam"), _f("Points"))).cast("int").alias("points"),
         safe_double(first_truthy(_f("EarningsTotalTeam"), _f("PrizeMoney"))).alias("prize_money"),
@@ -241,6 +274,7 @@ def norm_result(records: DataFrame, tournament_id: Column,
 
 def norm_player(records: DataFrame, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
+    records = with_fields(records, ['No', 'FirstName', 'LastName', 'FullName', 'Gender', 'BirthDate', 'Birthdate', 'Height', 'FederationCode'])
     first = F.coalesce(text(_f("FirstName")), F.lit(""))
     last = F.coalesce(text(_f("LastName")), F.lit(""))
     joined = _strip(F.concat(first, F.lit(" "), last))
@@ -260,6 +294,7 @@ def norm_player(records: DataFrame, ingested_at: Column | None = None,
 
 def norm_round(records: DataFrame, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
+    records = with_fields(records, ['No', 'NoTournament', 'Code', 'Name', 'Bracket', 'Phase', 'StartDate', 'EndDate', 'RankMethod'])
     return records.select(
         safe_int(_f("No")).alias("round_id"), safe_int(_f("NoTournament")).alias("tournament_id"),
         text(_f("Code")).alias("code"), text(_f("Name")).alias("name"),
@@ -271,6 +306,7 @@ def norm_round(records: DataFrame, ingested_at: Column | None = None,
 def norm_round_ranking(records: DataFrame, round_id: Column,
                        ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
+    records = with_fields(records, ['Position', 'Rank', 'TeamFederationCode', 'TeamName', 'MatchPoints', 'MatchesWon', 'MatchesLost'])
     return records.select(
         round_id.cast("long").alias("round_id"), safe_int(_f("Position")).cast("int").alias("position"),
         safe_int(_f("Rank")).cast("int").alias("rank"),
@@ -284,6 +320,7 @@ def norm_round_ranking(records: DataFrame, round_id: Column,
 def norm_team_ranking(records: DataFrame, ranking_type: Column, snapshot_date: Column,
                       gender: Column, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
+    records = with_fields(records, ['Position', 'NoPlayer1', 'NoPlayer2', 'TeamName', 'EarnedPointsTeam', 'Points'])
     return records.select(
         ranking_type.alias("ranking_type"), snapshot_date.cast("date").alias("snapshot_date"),
         gender.alias("gender"), safe_int(_f("Position")).cast("int").alias("position"),
