@@ -160,3 +160,21 @@ class League:
     def perf_over_time(self) -> DataFrame:
         return analytics.perf_over_time(self.tournament_mart, majors_only=True, gender="W",
                                         time_axis="season_year")
+
+    @cached_property
+    def elo_history_components(self) -> DataFrame:
+        """``elo_history`` rated per connected component of players (same rows)."""
+        r = ratings.elo_ratings(self.elo_match_feed, pools="component")
+        return ratings.history_mart(ratings.elo_history(r), self.stg["players"],
+                                    self.stg["matches"], self.dim_tournaments)
+
+    @cached_property
+    def player_pools(self) -> DataFrame:
+        """(node = gender:player, component) of the played-with/against graph."""
+        from courtline.operators.elo import component_pools
+        from pyspark.sql import functions as F
+        wf = ratings.weighted_feed(self.elo_match_feed)
+        pooled = component_pools(wf)
+        nodes = pooled.select("gender", "pool", F.explode(F.array("a1", "a2", "b1", "b2")).alias("p"))
+        return nodes.select(F.concat(F.col("gender"), F.lit(":"), F.col("p").cast("string"))
+                            .alias("node"), F.col("pool").alias("comp")).distinct()

@@ -121,6 +121,19 @@ ELO_SELECTS = {
     "elo_expected_score": "select player_id, gender, match_id, round(expected, 6) as expected_score, "
                           "round(expected_rw, 6) as expected_score_rw from elo_player_rows",
     "elo_history": history_mart("elo_hist_std"),
+    "elo_history_components": history_mart("elo_hist_std"),
+    "player_pools": """
+, pool_edges as (
+  select tournament_gender || ':' || cast(team1_player_a_id as varchar) as src,
+         tournament_gender || ':' || cast(p as varchar) as dst
+  from elo_match_feed, unnest([team1_player_b_id, team2_player_a_id, team2_player_b_id]) t(p)
+  where match_date is not null),
+und as (select src, dst from pool_edges union select dst, src from pool_edges),
+reach(src, dst) as (
+  select src, src from und
+  union
+  select r.src, u.dst from reach r join und u on u.src = r.dst)
+select dst as node, min(src) as comp from reach group by dst""",
     "elo_history_round_weighted": history_mart("elo_hist_rw"),
     "elo_latest": latest_mart("elo_hist_std"),
     "elo_latest_round_weighted": latest_mart("elo_hist_rw"),

@@ -46,9 +46,18 @@ def weighted_feed(feed: DataFrame) -> DataFrame:
                      F.col("is_pool_phase")).alias("weight"))
 
 
-def elo_ratings(feed: DataFrame, pool: str = "gender") -> DataFrame:
-    """Both Elo variants per (player, gender, match); one row per key (last wins)."""
-    r = rate(weighted_feed(feed), pool=pool)
+def elo_ratings(feed: DataFrame, pools: str = "gender") -> DataFrame:
+    """Both Elo variants per (player, gender, match); one row per key (last wins).
+
+    ``pools="component"`` rates each connected component of players separately
+    (same result, more parallel tasks).
+    """
+    wf = weighted_feed(feed)
+    if pools == "component":
+        from courtline.operators.elo import component_pools
+        r = rate(component_pools(wf), pool="pool")
+    else:
+        r = rate(wf, pool="gender")
     # a player listed twice in one match gets two rows with the same final value
     return r.dropDuplicates(["player_id", "gender", "match_id"])
 

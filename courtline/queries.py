@@ -39,7 +39,8 @@ def registry() -> dict[str, Query]:
               "elo_match_feed", "elo_round_weight", "elo_expected_score", "elo_history",
               "elo_history_round_weighted", "elo_latest", "elo_latest_round_weighted",
               "teams_list", "players_list", "perf_country_team_core", "perf_country_team",
-              "perf_country_player", "perf_country_player_core", "perf_over_time"):
+              "perf_country_player", "perf_country_player_core", "perf_over_time",
+              "elo_history_components", "player_pools"):
         q[n] = _model(n)
     q["fct_matches_range"] = _model("fct_matches", "range")
     from courtline import extra_queries

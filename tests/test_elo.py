@@ -82,3 +82,19 @@ def test_round_weight_order(spark):
 def test_latest_wins_plus_losses(spark, small_dir):
     lt = League.from_testdata(spark, small_dir).elo_latest
     assert lt.filter(F.col("wins") + F.col("losses") != F.col("matches_played")).count() == 0
+
+
+def test_component_pools_give_same_ratings(spark, feed):
+    from courtline.operators.elo import component_pools
+    by_gender = {(r.player_id, r.match_id): r.elo_rw for r in rate(feed).collect()}
+    pooled = component_pools(feed)
+    assert pooled.count() == feed.count()
+    by_comp = {(r.player_id, r.match_id): r.elo_rw for r in rate(pooled, pool="pool").collect()}
+    assert by_gender == by_comp
+
+
+def test_connected_components(spark):
+    from courtline.operators.graph import connected_components
+    e = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y"), ("d", "c")], "src string, dst string")
+    got = {r.node: r.comp for r in connected_components(e).collect()}
+    assert got == {"a": "a", "b": "a", "c": "a", "d": "a", "x": "x", "y": "x"}
