@@ -16,10 +16,16 @@ from courtline.sources import league as fixture
 
 
 class League:
-    def __init__(self, raw: dict[str, DataFrame], asof_method: str = "fill"):
+    def __init__(self, raw: dict[str, DataFrame], asof_method: str = "fill", store=None):
+        """``store(name, df) -> df`` materialises reused models (None: keep them as plans)."""
         self.raw = raw
         self.stg = staging(raw)
         self.asof_method = asof_method
+        self.store = store
+
+    def _stored(self, name: str, build) -> DataFrame:
+        """The model from the store (built and written on first use), or its plan."""
+        return self.store(name, build) if self.store is not None else build()
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, asof_method: str = "fill",
@@ -31,9 +37,10 @@ class League:
         """
         from courtline.session import configure
         configure(spark)
-        raw = (fixture.materialized_raw_tables(spark, sf_dir) if materialize
-               else fixture.raw_tables(spark, sf_dir))
-        return cls(raw, asof_method)
+        if not materialize:
+            return cls(fixture.raw_tables(spark, sf_dir), asof_method)
+        store = fixture.ModelStore(spark, (sf_dir.rstrip("/"), asof_method))
+        return cls(fixture.materialized_raw_tables(spark, sf_dir), asof_method, store)
 
     # core
     @cached_property
@@ -42,8 +49,8 @@ class League:
 
     @cached_property
     def dim_team_tournaments(self) -> DataFrame:
-        return core.dim_team_tournaments(self.stg["teams"], self.stg["players"],
-                                         self.dim_tournaments)
+        return self._stored("dim_team_tournaments", lambda: core.dim_team_tournaments(
+            self.stg["teams"], self.stg["players"], self.dim_tournaments))
 
     @cached_property
     def fct_team_rankings(self) -> DataFrame:
@@ -51,15 +58,15 @@ class League:
 
     @cached_property
     def fct_matches(self) -> DataFrame:
-        return core.fct_matches(self.stg["matches"], self.dim_tournaments, self.stg["rounds"],
-                                self.stg["teams"], self.stg["players"], self.stg["team_rankings"],
-                                self.asof_method)
+        return self._stored("fct_matches", lambda: core.fct_matches(
+            self.stg["matches"], self.dim_tournaments, self.stg["rounds"], self.stg["teams"],
+            self.stg["players"], self.stg["team_rankings"], self.asof_method))
 
     @cached_property
     def fct_tournament_standings(self) -> DataFrame:
-        return core.fct_tournament_standings(self.stg["results"], self.dim_tournaments,
-                                             self.dim_team_tournaments,
-                                             self.stg["team_rankings"], self.asof_method)
+        return self._stored("fct_tournament_standings", lambda: core.fct_tournament_standings(
+            self.stg["results"], self.dim_tournaments, self.dim_team_tournaments,
+            self.stg["team_rankings"], self.asof_method))
 
     # marts
     @cached_property
@@ -69,8 +76,8 @@ class League:
 
     @cached_property
     def tournament_mart(self) -> DataFrame:
-        return marts.tournament_mart(self.fct_matches, self.fct_tournament_standings,
-                                     self.dim_tournaments)
+        return self._stored("tournament_mart", lambda: marts.tournament_mart(
+            self.fct_matches, self.fct_tournament_standings, self.dim_tournaments))
 
     @cached_property
     def champion_mart(self) -> DataFrame:
@@ -81,12 +88,12 @@ class League:
     # Elo
     @cached_property
     def elo_match_feed(self) -> DataFrame:
-        return ratings.elo_match_feed(self.fct_matches, self.dim_tournaments,
-                                      self.dim_team_tournaments)
+        return self._stored("elo_match_feed", lambda: ratings.elo_match_feed(
+            self.fct_matches, self.dim_tournaments, self.dim_team_tournaments))
 
     @cached_property
     def elo_ratings(self) -> DataFrame:
-        return ratings.elo_ratings(self.elo_match_feed)
+        return self._stored("elo_ratings", lambda: ratings.elo_ratings(self.elo_match_feed))
 
     @cached_property
     def elo_round_weight(self) -> DataFrame:

@@ -228,7 +228,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
-_MATERIALIZED: dict[tuple[str, str], dict[str, str]] = {}
+_MATERIALIZED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def materialized_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -244,16 +244,45 @@ def materialized_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataF
 
     from courtline.session import ensure_checkpoint_dir
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    paths = _MATERIALIZED.get(key)
-    if paths is None:
+    tables = _MATERIALIZED.get(key)
+    if tables is None:
         base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/courtline-raw/{uuid.uuid4().hex}"
-        paths = {}
+        tables = {}
         for name, df in raw_tables(spark, sf_dir).items():
             path = f"{base}/{name}"
             df.write.mode("overwrite").parquet(path)
-            paths[name] = path
-        _MATERIALIZED[key] = paths
-    return {name: spark.read.parquet(path) for name, path in paths.items()}
+            tables[name] = spark.read.parquet(path)
+        _MATERIALIZED[key] = tables
+    return dict(tables)
+
+
+class ModelStore:
+    """Writes a model once per session under the shared checkpoint folder and reads it back.
+
+    Models reused by several others (facts, the tournament mart, Elo ratings)
+    are stored like a warehouse stores them: downstream plans then start from
+    a table instead of re-deriving (and re-analysing) the whole subtree, and
+    a lost executor only costs the tasks of the current job.
+    """
+
+    _TABLES: dict[tuple, DataFrame] = {}
+
+    def __init__(self, spark: SparkSession, key: tuple):
+        self.spark = spark
+        self.key = (spark.sparkContext.applicationId, *key)
+
+    def __call__(self, name: str, build) -> DataFrame:
+        import uuid
+
+        from courtline.session import ensure_checkpoint_dir
+        k = (*self.key, name)
+        table = self._TABLES.get(k)
+        if table is None:
+            path = (f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/courtline-models/"
+                    f"{name}-{uuid.uuid4().hex}")
+            build().write.mode("overwrite").parquet(path)
+            table = self._TABLES[k] = self.spark.read.parquet(path)
+        return table
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
