@@ -39,10 +39,12 @@ class Val:
     kind was computed in an earlier projection.
     """
 
-    def __init__(self, v: Column, k: Column | None = None, s: Column | None = None):
+    def __init__(self, v: Column, k: Column | None = None, s: Column | None = None,
+                 t: Column | None = None):
         self.v = v
         self.k = kind(v) if k is None else k
         self.s = F.try_variant_get(v, "$", "string") if s is None else s
+        self.t = t          # precomputed truthiness, if any
 
 
 def _val(x: Column | Val) -> Val:
@@ -123,6 +125,8 @@ def safe_bool(x: Column | Val) -> Column:
 
 def truthy(x: Column | Val) -> Column:
     x = _val(x)
+    if x.t is not None:
+        return x.t
     k = x.k
     return (F.when(is_missing(x), F.lit(False))
             .when(k == "STRING", x.s != "")

@@ -131,16 +131,20 @@ def _cname(name: str) -> str:
 def _f(name: str) -> Val:
     """A record field with its kind, both computed once by :func:`with_fields`."""
     c = _cname(name)
-    return Val(F.col(f"__v{c}"), F.col(f"__k{c}"), F.col(f"__s{c}"))
+    return Val(F.col(f"__v{c}"), F.col(f"__k{c}"), F.col(f"__s{c}"), F.col(f"__t{c}"))
 
 
 def with_fields(records: DataFrame, fields: list[str]) -> DataFrame:
     """Project each needed field and its VARIANT kind once (the casts reuse them)."""
     rec = F.col("rec")
-    return records.select("*", *[rec[f].alias(f"__v{_cname(f)}") for f in fields],
-                          *[kind(rec[f]).alias(f"__k{_cname(f)}") for f in fields],
-                          *[F.try_variant_get(rec[f], "$", "string").alias(f"__s{_cname(f)}")
-                            for f in fields])
+    x = records.select("*", *[rec[f].alias(f"__v{_cname(f)}") for f in fields],
+                       *[kind(rec[f]).alias(f"__k{_cname(f)}") for f in fields],
+                       *[F.try_variant_get(rec[f], "$", "string").alias(f"__s{_cname(f)}")
+                         for f in fields])
+    # truthiness per field from the projected value/kind/text (one small CASE each)
+    return x.select("*", *[truthy(Val(F.col(f"__v{_cname(f)}"), F.col(f"__k{_cname(f)}"),
+                                      F.col(f"__s{_cname(f)}"))).alias(f"__t{_cname(f)}")
+                           for f in fields])
 
 
 def _trailer(ingested_at: Column | None) -> list[Column]:
