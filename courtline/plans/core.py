@@ -187,13 +187,12 @@ def match_side_rankings(base: DataFrame, snaps: DataFrame, method: str = "fill")
                        snap_date="snapshot_date", values=["ranking_type", "position"],
                        tie_break=["ranking_type", "position"], method=method)
     hit = ev.join(best, ["gender", "p_lo", "p_hi", "match_date"])
-    # newest snapshot per (match, side) across fan-out rows, in the same aggregation
-    # that pivots the two sides: min of (-date, type, position) = the first row under
-    # (snapshot_date desc, ranking_type, position)
-    rank = F.struct((-F.unix_date("snapshot_date")).alias("d"), "ranking_type", "position")
-
+    # newest snapshot per (match, side) across fan-out rows, in the aggregation that
+    # pivots the sides.  Candidates of one side share the pair, so two with the same
+    # snapshot date are the same (already tie-broken) snapshot: max_by on the date is
+    # exact, and its fixed-width buffer keeps the aggregation hash-based.
     def side_pos(n: int):
-        return F.min(F.when(F.col("side") == n, rank))["position"]
+        return F.max_by(F.col("position"), F.when(F.col("side") == n, F.col("snapshot_date")))
 
     return hit.groupBy("match_id").agg(side_pos(1).alias("team1_ranking_position"),
                                        side_pos(2).alias("team2_ranking_position"))
