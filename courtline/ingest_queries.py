@@ -21,6 +21,7 @@ AS_OF = "2001-09-01 00:00:00"          # the "now" of the fixture
 UPSERT_AT = "2024-12-31 00:00:00"
 FIXTURE_MIN_YEAR = 1998                 # fixture years are 1995-2001
 SOURCE_SEASONS = ("1997", "1998-99", "2001")
+EVENT_RANGE = ("2024-01-01", "2024-01-31")
 PREVIEW_LIMIT = 10_000
 SAMPLE_LIMIT = 10
 LINES_PER_ORDER = 2
@@ -117,6 +118,11 @@ def source_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return up.source_filter_tournaments(t, SOURCE_SEASONS)
 
 
+def source_filter_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = League.from_testdata(spark, sf_dir).raw["events"]
+    return up.source_filter_events(e, EVENT_RANGE[0], EVENT_RANGE[1])
+
+
 def rows_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -390,7 +396,7 @@ def export_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict:
     return {f.__name__: f for f in (
         upsert_latest, phase_merge, snapshot_stamp, expand_set, empty_checks, ingest_skip_set,
-        source_filter, rows_capped, head_tail_sample, typed_filter_preview, parse_json_records,
+        source_filter, source_filter_events, rows_capped, head_tail_sample, typed_filter_preview, parse_json_records,
         parse_xml_records, norm_match, norm_player, norm_team, norm_event, norm_tournament,
         norm_result, norm_round, norm_round_ranking, norm_team_ranking, export_csv_roundtrip)}
 

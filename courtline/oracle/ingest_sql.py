@@ -74,6 +74,10 @@ select c.tournament_id, s.tournament_id is not null as skip, s.tournament_id is
 from cand c left join skip s on s.tournament_id = c.tournament_id"""),
     "source_filter": model_sql("""
 select * from raw_tournaments where season in ('1997', '1998-99', '2001')"""),
+    "source_filter_events": model_sql("""
+select * from raw_events
+where start_date >= date '2024-01-01' and end_date <= date '2024-01-31' and has_beach_tournament
+  and coalesce(no_parent_event, 0) = 0"""),
     "rows_capped": """
 select * from lineitem
 qualify row_number() over (partition by l_orderkey
