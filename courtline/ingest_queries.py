@@ -155,8 +155,10 @@ def _json_bodies(e: DataFrame) -> DataFrame:
 
 def parse_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = ing.parse_json(_json_bodies(read_table(spark, sf_dir, "events")))
-    return recs.select("event_id", F.array_join(F.array_sort(F.map_keys("rec")), ",").alias("keys"),
-                       ing.safe_int(F.col("rec")["K"]).alias("k"))
+    return recs.select("event_id",
+                       F.array_join(F.array_sort(F.map_keys(ing.pascal_keys(F.col("rec")))), ",")
+                       .alias("keys"),
+                       ing.safe_int(ing.field(F.col("rec"), "K")).alias("k"))
 
 
 def _xml_bodies(o: DataFrame) -> DataFrame:
@@ -175,10 +177,11 @@ def _xml_bodies(o: DataFrame) -> DataFrame:
 def parse_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     recs = ing.parse_xml(_xml_bodies(o), "BeachMatch", ["No", "Status", "Name", "Priority", "Empty"])
-    r = F.col("rec")
-    return recs.select("o_orderkey", ing.safe_int(r["No"]).alias("match_id"),
-                       ing.text(r["Status"]).alias("status"), ing.text(r["Name"]).alias("name"),
-                       ing.text(r["Priority"]).alias("priority"), ing.text(r["Empty"]).alias("empty"))
+    def r(name):
+        return ing.field(F.col("rec"), name)
+    return recs.select("o_orderkey", ing.safe_int(r("No")).alias("match_id"),
+                       ing.text(r("Status")).alias("status"), ing.text(r("Name")).alias("name"),
+                       ing.text(r("Priority")).alias("priority"), ing.text(r("Empty")).alias("empty"))
 
 
 def _num(c: Column) -> Column:
@@ -282,8 +285,7 @@ def event_bodies(e: DataFrame) -> DataFrame:
 def norm_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = event_bodies(read_table(spark, sf_dir, "events"))
     # the records sit one level down: {"data": {"items": 1, "row": {...}}} -> data is the object
-    recs = ing.parse_json(bodies).select(
-        ing._pascal_keys(F.try_variant_get(F.col("rec")["Row"], "$", ing.RECORD_TYPE)).alias("rec"))
+    recs = ing.parse_json(bodies).select(ing.field(F.col("rec"), "Row").alias("rec"))
     return ing.norm_event(recs, _lit_ts(UPSERT_AT)).drop("payload")
 
 

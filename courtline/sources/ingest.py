@@ -6,9 +6,12 @@ tournament a per-tournament request was made for).  Parsing and
 normalisation are column expressions, so a table of a billion bodies is
 processed in parallel with no Python on the rows.
 
-Records are ``MAP<STRING, VARIANT>`` keyed by PascalCase field names: JSON
-values keep their types (the loader's fall-through rules treat the number 0
-and the text '0' differently), XML values are text.
+A record is a VARIANT object.  JSON values keep their types (the loader's
+fall-through rules treat the number 0 and the text '0' differently), XML
+values are text.  Field names are PascalCase after normalisation; a field is
+read by path as ``$.NoTournament`` or, as received in camelCase,
+``$.noTournament`` (the key normalisation, without building a new map per
+record).
 """
 
 from __future__ import annotations
@@ -47,9 +50,28 @@ def _as_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", RECORD_TYPE)
 
 
+def _is_object(v: Column) -> Column:
+    """Cheap object test: an object casts to an empty struct, anything else does not."""
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
+
+
 def _items(v: Column) -> Column:
     """A list value as its items, an object value as a one-item list, else NULL."""
-    return F.coalesce(_as_array(v), F.when(_as_object(v).isNotNull(), F.array(v)))
+    return F.coalesce(_as_array(v), F.when(_is_object(v), F.array(v)))
+
+
+def pascal_keys(rec: Column) -> Column:
+    """S3: the record as a map with PascalCase keys (camelCase -> PascalCase)."""
+    return _pascal_keys(_as_object(rec))
+
+
+def field(rec: Column, name: str) -> Column:
+    """Field ``name`` (PascalCase) of a record, as sent in PascalCase or camelCase."""
+    camel = name[:1].lower() + name[1:]
+    pas = F.try_variant_get(rec, f"$.{name}", "variant")
+    if camel == name:
+        return pas
+    return F.coalesce(pas, F.try_variant_get(rec, f"$.{camel}", "variant"))
 
 
 def parse_json(responses: DataFrame, body: str = "body") -> DataFrame:
@@ -68,7 +90,7 @@ def parse_json(responses: DataFrame, body: str = "body") -> DataFrame:
                  F.try_variant_get(F.col("_top"), "$.data", "variant").alias("_data"))
     x = x.select(*others, body, "_top", "_arr", "_data",
                  _as_array(F.col("_data")).alias("_darr"),
-                 _as_object(F.col("_data")).isNotNull().alias("_dobj"))
+                 _is_object(F.col("_data")).alias("_dobj"))
     primary = F.coalesce(F.col("_arr"), F.col("_darr"),
                          F.when(F.col("_dobj"), F.array(F.col("_data"))))
     x = x.select(*others, body, "_top", primary.alias("_primary"))
@@ -78,10 +100,8 @@ def parse_json(responses: DataFrame, body: str = "body") -> DataFrame:
     first_key = F.get(F.filter(ordered_keys, lambda k: _items(top_map[k]).isNotNull()), 0)
     items = F.when(F.col("_primary").isNotNull(), F.col("_primary")) \
         .otherwise(_items(top_map[first_key]))
-    recs = (x.select(*others, F.explode(items).alias("_item"))
-            .select(*others, _as_object(F.col("_item")).alias("_rec"))
-            .filter(F.col("_rec").isNotNull()))
-    return recs.select(*others, _pascal_keys(F.col("_rec")).alias("rec"))
+    return (x.select(*others, F.explode(items).alias("rec"))
+            .filter(_is_object(F.col("rec"))))
 
 
 def strip_namespaces(xml: Column) -> Column:
@@ -110,8 +130,7 @@ def parse_xml(responses: DataFrame, node: str, fields: Sequence[str], body: str
     x = responses.select(*others, F.explode(nodes).alias("_n"))
     rec_struct = F.struct(*[F.coalesce(F.col(f"_n.{f}"), F.col(f"_n._{f}")).alias(f)
                             for f in fields])
-    rec = F.try_variant_get(F.parse_json(F.to_json(rec_struct)), "$", RECORD_TYPE)
-    return x.select(*others, rec.alias("rec"))
+    return x.select(*others, F.parse_json(F.to_json(rec_struct)).alias("rec"))
 
 
 def parse_responses(responses: DataFrame, node: str, fields: Sequence[str]) -> DataFrame:
@@ -137,10 +156,10 @@ def _f(name: str) -> Val:
 def with_fields(records: DataFrame, fields: list[str]) -> DataFrame:
     """Project each needed field and its VARIANT kind once (the casts reuse them)."""
     rec = F.col("rec")
-    x = records.select("*", *[rec[f].alias(f"__v{_cname(f)}") for f in fields],
-                       *[kind(rec[f]).alias(f"__k{_cname(f)}") for f in fields],
-                       *[F.try_variant_get(rec[f], "$", "string").alias(f"__s{_cname(f)}")
-                         for f in fields])
+    x = records.select("*", *[field(rec, f).alias(f"__v{_cname(f)}") for f in fields])
+    x = x.select("*", *[kind(F.col(f"__v{_cname(f)}")).alias(f"__k{_cname(f)}") for f in fields],
+                 *[F.try_variant_get(F.col(f"__v{_cname(f)}"), "$", "string").alias(f"__s{_cname(f)}")
+                   for f in fields])
     # truthiness per field from the projected value/kind/text (one small CASE each)
     return x.select("*", *[truthy(Val(F.col(f"__v{_cname(f)}"), F.col(f"__k{_cname(f)}"),
                                       F.col(f"__s{_cname(f)}"))).alias(f"__t{_cname(f)}")
@@ -154,9 +173,9 @@ def _trailer(ingested_at: Column | None) -> list[Column]:
 
 def usable(records: DataFrame, required: Sequence[str] = ()) -> DataFrame:
     """Drop records carrying ``Errors`` or missing a required field."""
-    cond = ~F.map_contains_key(F.col("rec"), "Errors")
+    cond = field(F.col("rec"), "Errors").isNull()
     for r in required:
-        cond = cond & ~is_missing(F.col("rec")[r])
+        cond = cond & ~is_missing(field(F.col("rec"), r))
     return records.filter(cond)
 
 

@@ -22,7 +22,7 @@ def test_json_shapes(spark):
               ("d", "json", '{"count": 1, "items": [{"no": 5}], "other": {"no": 99}}'),
               ("e", "json", 'not json'), ("f", "json", '{"data": 7}')]
     recs = I.parse_json(spark.createDataFrame(bodies, RESP))
-    got = sorted((r[0], r[1]) for r in recs.select("request_type", I.safe_int(F.col("rec")["No"])).collect())
+    got = sorted((r[0], r[1]) for r in recs.select("request_type", I.safe_int(I.field(F.col("rec"), "No"))).collect())
     assert got == [("a", 1), ("a", 2), ("b", 3), ("c", 4), ("d", 5)]
 
 
