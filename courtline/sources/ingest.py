@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtline.sources.schemas import ENTITY_FIELDS
 from courtline.functions.casts import (Val, as_string, first_truthy, is_missing, kind,
                                        safe_bool, safe_date, safe_double, safe_int,
                                        safe_timestamp, text, text_if_present, truthy)
@@ -153,7 +154,7 @@ def _f(name: str) -> Val:
     return Val(F.col(f"__v{c}"), F.col(f"__k{c}"), F.col(f"__s{c}"), F.col(f"__t{c}"))
 
 
-def with_fields(records: DataFrame, fields: list[str]) -> DataFrame:
+def with_fields(records: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Project each needed field and its VARIANT kind once (the casts reuse them)."""
     rec = F.col("rec")
     x = records.select("*", *[field(rec, f).alias(f"__v{_cname(f)}") for f in fields])
@@ -181,7 +182,7 @@ def usable(records: DataFrame, required: Sequence[str] = ()) -> DataFrame:
 
 def norm_event(records: DataFrame, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
-    records = with_fields(records, ['No', 'Code', 'Name', 'StartDate', 'EndDate', 'Type', 'NoParentEvent', 'CountryCode', 'HasBeachTournament', 'HasMenTournament', 'HasWomenTournament', 'IsVisManaged'])
+    records = with_fields(records, ENTITY_FIELDS["event"])
     return records.select(
         safe_int(_f("No")).alias("event_id"), text(_f("Code")).alias("code"),
         text(_f("Name")).alias("name"), safe_date(_f("StartDate")).alias("start_date"),
@@ -204,7 +205,7 @@ def infer_city(name: Column, city: Column) -> Column:
 
 def norm_tournament(records: DataFrame, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
-    records = with_fields(records, ['No', 'Name', 'Season', 'Type', 'StartDate', 'EndDate', 'EndDateMainDraw', 'EndDateQualification', 'City', 'CountryCode', 'CountryName', 'Gender', 'Status', 'Timezone'])
+    records = with_fields(records, ENTITY_FIELDS["tournament"])
     name = text(_f("Name"))
     end = F.coalesce(safe_date(_f("EndDate")), safe_date(_f("EndDateMainDraw")),
                      safe_date(_f("EndDateQualification")))
@@ -222,7 +223,7 @@ def norm_tournament(records: DataFrame, ingested_at: Column | None = None,
 
 def norm_team(records: DataFrame, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
-    records = with_fields(records, ['No', 'NoTournament', 'NoPlayer1', 'NoPlayer2', 'CountryCode', 'Status', 'ValidFrom', 'ValidTo'])
+    records = with_fields(records, ENTITY_FIELDS["team"])
     return records.select(
         safe_int(_f("No")).alias("team_id"), safe_int(_f("NoTournament")).alias("tournament_id"),
         safe_int(_f("NoPlayer1")).alias("player_a_id"),
@@ -259,7 +260,7 @@ def duration_minutes(*sets: Column) -> Column:
 def norm_match(records: DataFrame, tournament_id: Column | None = None,
                ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
-    records = with_fields(records, ['No', 'NoTournament', 'Phase', 'NoRound', 'RoundCode', 'NoTeamA', 'NoTeamB', 'MatchPointsA', 'MatchPointsB', 'DurationSet1', 'DurationSet2', 'DurationSet3', 'BeginDateTimeUtc', 'DateTimeLocal', 'ResultType', 'Status'])
+    records = with_fields(records, ENTITY_FIELDS["match"])
     pa, pb = _f("MatchPointsA"), _f("MatchPointsB")
     has_points = ~(is_missing(pa) | is_missing(pb))
     tid = safe_int(_f("NoTournament"))
@@ -283,7 +284,7 @@ def norm_match(records: DataFrame, tournament_id: Column | None = None,
 def norm_result(records: DataFrame, tournament_id: Column,
                 ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
-    records = with_fields(records, ['Rank', 'Position', 'NoTeam', 'EarnedPointsTeam', 'Points', 'EarningsTotalTeam', 'PrizeMoney'])
+    records = with_fields(records, ENTITY_FIELDS["result"])
     pos = first_truthy(_f("Rank"), _f("Position"))
     pos_text = _strip(as_string(pos))
     return records.select(
@@ -297,7 +298,7 @@ def norm_result(records: DataFrame, tournament_id: Column,
 
 def norm_player(records: DataFrame, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
-    records = with_fields(records, ['No', 'FirstName', 'LastName', 'FullName', 'Gender', 'BirthDate', 'Birthdate', 'Height', 'FederationCode'])
+    records = with_fields(records, ENTITY_FIELDS["player"])
     first = F.coalesce(text(_f("FirstName")), F.lit(""))
     last = F.coalesce(text(_f("LastName")), F.lit(""))
     joined = _strip(F.concat(first, F.lit(" "), last))
@@ -317,7 +318,7 @@ def norm_player(records: DataFrame, ingested_at: Column | None = None,
 
 def norm_round(records: DataFrame, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
-    records = with_fields(records, ['No', 'NoTournament', 'Code', 'Name', 'Bracket', 'Phase', 'StartDate', 'EndDate', 'RankMethod'])
+    records = with_fields(records, ENTITY_FIELDS["round"])
     return records.select(
         safe_int(_f("No")).alias("round_id"), safe_int(_f("NoTournament")).alias("tournament_id"),
         text(_f("Code")).alias("code"), text(_f("Name")).alias("name"),
@@ -329,7 +330,7 @@ def norm_round(records: DataFrame, ingested_at: Column | None = None,
 def norm_round_ranking(records: DataFrame, round_id: Column,
                        ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
-    records = with_fields(records, ['Position', 'Rank', 'TeamFederationCode', 'TeamName', 'MatchPoints', 'MatchesWon', 'MatchesLost'])
+    records = with_fields(records, ENTITY_FIELDS["round_ranking"])
     return records.select(
         round_id.cast("long").alias("round_id"), safe_int(_f("Position")).cast("int").alias("position"),
         safe_int(_f("Rank")).cast("int").alias("rank"),
@@ -343,7 +344,7 @@ def norm_round_ranking(records: DataFrame, round_id: Column,
 def norm_team_ranking(records: DataFrame, ranking_type: Column, snapshot_date: Column,
                       gender: Column, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
-    records = with_fields(records, ['Position', 'NoPlayer1', 'NoPlayer2', 'TeamName', 'EarnedPointsTeam', 'Points'])
+    records = with_fields(records, ENTITY_FIELDS["team_ranking"])
     return records.select(
         ranking_type.alias("ranking_type"), snapshot_date.cast("date").alias("snapshot_date"),
         gender.alias("gender"), safe_int(_f("Position")).cast("int").alias("position"),
