@@ -72,3 +72,31 @@ def test_unique_tests(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (None, 3), (None, 3)], "a long, b long")
     assert Q.unique(df, "a").count() == 1
     assert Q.unique_combination(df, ["a", "b"]).count() == 1
+
+
+def test_typed_filter_categories(spark):
+    from courtline.operators.preview import typed_filter
+    df = spark.createDataFrame([(1, "Alpha", 5.0, d.date(2020, 1, 5), True),
+                                (2, "beta", 50.0, d.date(2021, 1, 5), False),
+                                (3, "ALPHABET", 7.0, d.date(2020, 2, 1), True)],
+                               "id long, s string, x double, dt date, flag boolean")
+    out = typed_filter(df, [("s", "alpha"), ("x", (1, 10)), ("dt", ("2020-01-01", "2020-12-31")),
+                            ("flag", " TRUE "), ("id", "")], limit=10, order=["id"])
+    assert [r.id for r in out.collect()] == [1, 3]
+    assert [r.id for r in typed_filter(df, [], limit=2, order=["id"]).collect()] == [1, 2]
+
+
+def test_head_tail_sample_small_and_large(spark):
+    from courtline.operators.preview import head_tail_sample
+    small = spark.range(4).withColumnRenamed("id", "k")
+    got = sorted((r.k, r.part) for r in head_tail_sample(small, ["k"], 10).collect())
+    assert got == [(0, "head"), (1, "head"), (2, "head"), (3, "head")]
+    big = spark.range(100).withColumnRenamed("id", "k")
+    rows = head_tail_sample(big, ["k"], 5).collect()
+    assert sorted(r.k for r in rows) == [0, 1, 97, 98, 99] and {r.total for r in rows} == {100}
+
+
+def test_rows_capped_floor_of_one(spark):
+    from courtline.operators.preview import rows_capped
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "g long, o long")
+    assert rows_capped(df, ["g"], ["o"], 0).count() == 2      # max(1, cap)
