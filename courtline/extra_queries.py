@@ -70,7 +70,7 @@ def pipeline_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     lg = League.from_testdata(spark, sf_dir)
     m, feed = lg.raw["matches"], lg.elo_match_feed
     return q.row_counts({
-        "raw_fivb_matches": m,
+        "raw_matches": m,
         "raw with winner": m.filter(F.col("winner_team_id").isNotNull()),
         "elo_match_feed": feed,
         "feed with played_at": feed.filter(F.col("played_at").isNotNull()),

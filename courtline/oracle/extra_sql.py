@@ -83,7 +83,7 @@ select 'raw_tournaments' as "table", count(*) as cnt, count(*) > 0 as ok from ra
 union all select 'raw_teams', count(*), count(*) > 0 from raw_teams
 union all select 'raw_matches', count(*), count(*) > 0 from raw_matches"""),
         "pipeline_funnel": model_sql("""
-select 'raw_fivb_matches' as stage, count(*) as cnt from raw_matches
+select 'raw_matches' as stage, count(*) as cnt from raw_matches
 union all select 'raw with winner', count(*) from raw_matches where winner_team_id is not null
 union all select 'elo_match_feed', count(*) from elo_match_feed
 union all select 'feed with played_at', count(*) from elo_match_feed where played_at is not null
