@@ -17,12 +17,32 @@ def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtline.llm.language_id import fit, held_out, identify
+    docs = _table(spark, sf_dir, "documents")
+    return identify(docs, fit(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtline.llm.repetition import repetition_rules
+    return repetition_rules(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtline.llm.token_counts import token_counts
     return token_counts(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_mixture_packing, op8_token_counts)}
+def op10_piece_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode, then decode what was encoded: ids as a hash, the decoded text as size and digest."""
+    from courtline.llm.piece_model import decode, encode
+    ids = encode(_table(spark, sf_dir, "documents")).withColumn("ids_xxhash64", F.xxhash64("ids"))
+    back = decode(ids, keep=("doc_id", "ids_xxhash64", "parity"))
+    return back.select("doc_id", "n_tokens", "ids_xxhash64", "parity", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op3_mixture_packing, op5_language_id, op6_repetition_rules, op8_token_counts, op10_piece_model)}
 
 #: DuckDB SQL of those that SQL can express.
 ORACLES: dict[str, str] = {}
