@@ -33,6 +33,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtline.llm.chosen_path import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_piece_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode, then decode what was encoded: ids as a hash, the decoded text as size and digest."""
     from courtline.llm.piece_model import decode, encode
@@ -42,7 +47,7 @@ def op10_piece_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op3_mixture_packing, op5_language_id, op6_repetition_rules, op8_token_counts, op10_piece_model)}
+    op3_mixture_packing, op5_language_id, op6_repetition_rules, op8_token_counts, op9_near_duplicates, op10_piece_model)}
 
 #: DuckDB SQL of those that SQL can express.
 ORACLES: dict[str, str] = {}
