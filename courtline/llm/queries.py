@@ -28,6 +28,11 @@ def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_table(spark, sf_dir, "documents"))
 
 
+def op7_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtline.llm.bwt_dedup import remove_repeats
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtline.llm.token_counts import token_counts
     return token_counts(_table(spark, sf_dir, "documents"))
@@ -47,7 +52,7 @@ def op10_piece_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op3_mixture_packing, op5_language_id, op6_repetition_rules, op8_token_counts, op9_near_duplicates, op10_piece_model)}
+    op3_mixture_packing, op5_language_id, op6_repetition_rules, op7_bwt_dedup, op8_token_counts, op9_near_duplicates, op10_piece_model)}
 
 #: DuckDB SQL of those that SQL can express.
 ORACLES: dict[str, str] = {}
