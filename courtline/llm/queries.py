@@ -12,6 +12,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtline.llm.product_quantisation import embedding_duplicates
+    return embedding_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtline.llm.packing import pack
     return pack(_table(spark, sf_dir, "documents"))
@@ -52,7 +57,7 @@ def op10_piece_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op3_mixture_packing, op5_language_id, op6_repetition_rules, op7_bwt_dedup, op8_token_counts, op9_near_duplicates, op10_piece_model)}
+    op1_embedding_duplicates, op3_mixture_packing, op5_language_id, op6_repetition_rules, op7_bwt_dedup, op8_token_counts, op9_near_duplicates, op10_piece_model)}
 
 #: DuckDB SQL of those that SQL can express.
 ORACLES: dict[str, str] = {}
