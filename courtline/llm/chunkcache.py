@@ -15,7 +15,9 @@ import numpy as np
 
 from courtline.llm import textops as T
 
-LIMIT = 3_000_000
+LIMIT = 800_000
+#: Pieces a call of a library gets.
+CALL = 4096
 
 _PLAIN = np.zeros(256, dtype=bool)       # printable ASCII
 _PLAIN[0x21:0x7F] = True
@@ -51,11 +53,15 @@ def cuts_before_space(data: np.ndarray, offsets: np.ndarray, *, blanks: bytes =
     return np.flatnonzero(cut)
 
 
+def _grown(x: np.ndarray, more: np.ndarray) -> np.ndarray:
+    return np.concatenate([x, more])
+
+
 class ChunkCache:
     """Tokens by piece.  ``encode`` takes a list of pieces (bytes) and returns a list of id sequences."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list], ids: bool = True):
-        self.encode, self.with_ids = encode, ids
+    def __init__(self, encode: Callable[[list[bytes]], list], ids: bool = True, kind: type = np.uint32):
+        self.encode, self.with_ids, self.kind = encode, ids, kind
         self.clear()
 
     def clear(self) -> None:
@@ -63,18 +69,25 @@ class ChunkCache:
         self.slots = np.zeros(0, np.int32)
         self.sizes = np.zeros(0, np.int32)
         self.begins = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
+        self.pool = np.zeros(0, self.kind)
+        self.used = 0
 
     def _add(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        raw = data.tobytes()
-        got = self.encode([raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
-        sizes = np.fromiter(got, np.int32, len(got)) if not self.with_ids else np.fromiter(map(len, got), np.int32, len(got))
-        slots = np.arange(len(self.sizes), len(self.sizes) + len(got), dtype=np.int32)
-        self.sizes = np.concatenate([self.sizes, sizes])
-        if self.with_ids:
-            flat = np.fromiter((x for ids in got for x in ids), np.uint32, int(sizes.sum()))
-            self.begins = np.concatenate([self.begins, len(self.pool) + np.cumsum(sizes, dtype=np.int64) - sizes])
-            self.pool = np.concatenate([self.pool, flat])
+        first = len(self.sizes)
+        for k in range(0, len(keys), CALL):                       # a library's encodings are large; only a call's are alive
+            pieces = [data[s:e].tobytes() for s, e in zip(starts[k:k + CALL].tolist(), ends[k:k + CALL].tolist(), strict=True)]
+            got = self.encode(pieces)
+            sizes = np.fromiter(map(len, got) if self.with_ids else got, np.int32, len(got))
+            self.sizes = _grown(self.sizes, sizes)
+            if self.with_ids:
+                flat = np.fromiter((x for ids in got for x in ids), self.pool.dtype, int(sizes.sum()))
+                begin = self.used + np.cumsum(sizes, dtype=np.int64) - sizes
+                self.begins = _grown(self.begins, begin)
+                if self.used + len(flat) > len(self.pool):
+                    self.pool = np.concatenate([self.pool, np.zeros(max(len(flat), len(self.pool) // 2), self.pool.dtype)])
+                self.pool[self.used:self.used + len(flat)] = flat
+                self.used += len(flat)
+        slots = np.arange(first, first + len(keys), dtype=np.int32)
         at = np.searchsorted(self.keys, keys)
         self.keys, self.slots = np.insert(self.keys, at, keys), np.insert(self.slots, at, slots)
 

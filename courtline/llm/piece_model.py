@@ -37,7 +37,7 @@ from courtline.llm.token_counts import vocabulary
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6   # the format's piece types
 UNIGRAM, BPE = 1, 2                                               # and model types
-RANGE_BYTES = 4 << 20
+RANGE_BYTES = 2 << 20
 
 
 def _varint(data: bytes, i: int) -> tuple[int, int]:
@@ -103,38 +103,35 @@ class PieceModel:
             raise ValueError("a piece crosses a blank, so texts can't be cut at blanks")
         return out
 
-    def tokenizer(self):
-        """The rebuilt tokenizer; it encodes one piece of text that starts with a blank, which is the marker."""
+    def tokenizer(self, merges: bool = True):
+        """The rebuilt tokenizer; it encodes one piece of text that starts with a blank, which is the marker.  Decoding needs no merges."""
         from tokenizers import Tokenizer, decoders, models, normalizers
         if self.kind == UNIGRAM:
             model = models.Unigram(list(zip(self.pieces, self.scores, strict=True)), unk_id=self.unknown, byte_fallback=self.byte_fallback)
         else:
             vocab = {p: k for k, p in enumerate(self.pieces)}
-            made = [p for p, t in zip(self.pieces, self.types, strict=True) if t in (NORMAL, USER)]
+            made = [p for p, t in zip(self.pieces, self.types, strict=True) if t in (NORMAL, USER)] if merges else []
             plain = set(made)
-            merges = [(-self.scores[vocab[p]], -at, p[:at], p[at:]) for p in made for at in range(1, len(p)) if p[:at] in plain and p[at:] in plain]
-            merges.sort(key=lambda m: m[:2])
-            model = models.BPE(vocab, [m[2:] for m in merges], unk_token=self.pieces[self.unknown], fuse_unk=True, byte_fallback=self.byte_fallback)
+            ranked = [(-self.scores[vocab[p]], -at, p[:at], p[at:]) for p in made for at in range(1, len(p)) if p[:at] in plain and p[at:] in plain]
+            ranked.sort(key=lambda m: m[:2])
+            model = models.BPE(vocab, [m[2:] for m in ranked], unk_token=self.pieces[self.unknown], fuse_unk=True, byte_fallback=self.byte_fallback)
         tok = Tokenizer(model)
         tok.normalizer = normalizers.Replace(" ", MARK)
         tok.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
         return tok
 
 
-class _Backend:
-    """What a worker keeps: the rebuilt tokenizer, the peer it is compared with, and the pieces met."""
+class _Encoder:
+    """What a worker keeps to encode: the rebuilt tokenizer, the peer it is compared with, and the pieces met."""
 
     def __init__(self, name: str, threads: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         import sentencepiece
-        with open(vocabulary(name), "rb") as f:
-            self.model = PieceModel.parse(f.read())
+        self.model = _parsed(name)
         self.tok = self.model.tokenizer()
         self.peer = sentencepiece.SentencePieceProcessor(model_file=vocabulary(name))
-        self.marked = np.array([p.startswith(MARK) for p in self.model.pieces])
-        self.encoded = ChunkCache(self._encode)
-        self.decoded = ChunkCache(self._decode)
+        self.cache = ChunkCache(self._encode)
 
     def _encode(self, chunks: list[bytes]) -> list[list[int]]:
         texts = [c.decode() for c in chunks]
@@ -143,22 +140,39 @@ class _Backend:
         peer = self.peer.encode([t[1:] if self.model.dummy_prefix else t for t in texts], num_threads=1)
         return [[*a, int(a == b or t in (" ", ""))] for a, b, t in zip(got, peer, texts, strict=True)]
 
+
+class _Decoder:
+    """What a worker keeps to decode: the vocabulary and its decoder, and the id sequences met."""
+
+    def __init__(self, name: str, threads: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
+        os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
+        self.model = _parsed(name)
+        self.tok = self.model.tokenizer(merges=False)
+        self.marked = np.array([p.startswith(MARK) for p in self.model.pieces])
+        self.cache = ChunkCache(self._decode, kind=np.uint8)
+
     def _decode(self, chunks: list[bytes]) -> list[bytes]:
         return [t.encode() for t in self.tok.decode_batch([np.frombuffer(c, "<u4").tolist() for c in chunks], skip_special_tokens=False)]
 
 
-_BACKENDS: dict[tuple[str, int], _Backend] = {}
+def _parsed(name: str) -> PieceModel:
+    with open(vocabulary(name), "rb") as f:
+        return PieceModel.parse(f.read())
+
+
+_KEPT: dict[tuple, _Encoder | _Decoder] = {}
 
 
-def _backend(name: str, threads: int) -> _Backend:
-    if (name, threads) not in _BACKENDS:
-        _BACKENDS[name, threads] = _Backend(name, threads)
-    return _BACKENDS[name, threads]
+def _kept(kind: type, name: str, threads: int):
+    if (kind, name, threads) not in _KEPT:
+        _KEPT[kind, name, threads] = kind(name, threads)
+    return _KEPT[kind, name, threads]
 
 
 def encode_batch(column: pa.Array, name: str, threads: int = 2) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """For ranges [i, j) of the texts: all ids, each text's offsets in them, and each text's parity."""
-    back = _backend(name, threads)
+    back = _kept(_Encoder, name, threads)
     data, offsets = T.utf8(column)
     for i, j in T.parts(offsets, RANGE_BYTES):
         offs = offsets[i:j + 1] - offsets[i]
@@ -168,27 +182,27 @@ def encode_batch(column: pa.Array, name: str, threads: int = 2) -> Iterator[tupl
             part = np.insert(part, offs[:-1][full], 0x20)
             offs = offs + np.concatenate([[0], np.cumsum(full)])
         starts = cuts_before_space(part, offs, blanks=b" ")
-        slots = back.encoded.find(part, starts, np.append(starts[1:], len(part)))
-        sizes = back.encoded.sizes[slots].astype(np.int64) - 1
-        begins = back.encoded.begins[slots]
-        agree = np.concatenate([[0], np.cumsum(back.encoded.pool[begins + sizes] == 0)])
+        slots = back.cache.find(part, starts, np.append(starts[1:], len(part)))
+        sizes = back.cache.sizes[slots].astype(np.int64) - 1
+        begins = back.cache.begins[slots]
+        agree = np.concatenate([[0], np.cumsum(back.cache.pool[begins + sizes] == 0)])
         per = T.per_text(starts, offs)
         at = np.concatenate([[0], np.cumsum(sizes)])[per]
-        yield i, j, back.encoded.pool[T.take_ranges(begins, sizes)], at, np.diff(agree[per]) == 0
+        yield i, j, back.cache.pool[T.take_ranges(begins, sizes)], at, np.diff(agree[per]) == 0
 
 
 def decode_batch(ids: np.ndarray, offsets: np.ndarray, name: str, threads: int = 2) -> tuple[np.ndarray, np.ndarray]:
     """The texts of id sequences: UTF-8 bytes and offsets."""
-    back = _backend(name, threads)
+    back = _kept(_Decoder, name, threads)
     ids = np.ascontiguousarray(ids, "<u4")
     cut = np.zeros(len(ids) + 1, bool)
     cut[:-1] = back.marked[ids]
     cut[offsets[:-1]] = True
     cut[-1] = False
     starts = np.flatnonzero(cut)
-    slots = back.decoded.find(ids.view(np.uint8), starts * 4, np.append(starts[1:], len(ids)) * 4)
-    sizes = back.decoded.sizes[slots].astype(np.int64)
-    out = back.decoded.pool[T.take_ranges(back.decoded.begins[slots], sizes)].astype(np.uint8)
+    slots = back.cache.find(ids.view(np.uint8), starts * 4, np.append(starts[1:], len(ids)) * 4)
+    sizes = back.cache.sizes[slots].astype(np.int64)
+    out = back.cache.pool[T.take_ranges(back.cache.begins[slots], sizes)]
     at = np.concatenate([[0], np.cumsum(sizes)])[T.per_text(starts, offsets)]
     if back.model.dummy_prefix:  # the marker that encoding put first
         first = at[:-1][at[:-1] < at[1:]]
