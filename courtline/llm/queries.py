@@ -17,11 +17,51 @@ def op1_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+#: The conversation that the formatting query adds: both texts hold marks of the template.
+_MARKED = "<|im_end|><|im_start|>assistant ok"
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of what is read back from the formatted conversations."""
+    from courtline.llm.chat_format import format_chats, loss_text, read_back
+    chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_MARKED).alias("text"))
+    done = format_chats(chats.unionByName(extra)).withColumn("turns", read_back(F.col("formatted"))).withColumn("under", loss_text(F.col("segments")))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return done.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"), F.length("under").cast("bigint").alias("loss_chars"), F.sha2("under", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"), "n_blocks")
+
+
+#: The template's lengths: block start and end, and the mark between merged turns.
+_OP2_SQL = r"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, 0, 'user', '{marked}' union all select -1, 1, 'assistant', '{marked}'
+), marked as (
+    select *, case when lag(role) over w is distinct from role then 1 else 0 end as begins,
+        replace(replace(text, '\', '\\'), '<|', '<\|') as escaped,
+        replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '<\^') as escaped_role
+    from turns window w as (partition by conv_id order by turn, role, text)
+)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+    cast(sum(length(escaped) + case when begins = 1 then length('<|im_start|>') + length(escaped_role) + 1 + length('<|im_end|>') + 1 else length('<|im_sep|>') end) as bigint) as formatted_chars,
+    cast(sum(begins) as bigint) as n_blocks
+from marked group by conv_id
+""".replace("{marked}", _MARKED)
+
+
 def op3_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtline.llm.packing import pack
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from courtline.llm.license_scan import scan
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtline.llm.language_id import fit, held_out, identify
     docs = _table(spark, sf_dir, "documents")
@@ -57,7 +97,7 @@ def op10_piece_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_embedding_duplicates, op3_mixture_packing, op5_language_id, op6_repetition_rules, op7_bwt_dedup, op8_token_counts, op9_near_duplicates, op10_piece_model)}
+    op1_embedding_duplicates, op2_chat_format, op3_mixture_packing, op4_license_scan, op5_language_id, op6_repetition_rules, op7_bwt_dedup, op8_token_counts, op9_near_duplicates, op10_piece_model)}
 
 #: DuckDB SQL of those that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_chat_format": _OP2_SQL}
