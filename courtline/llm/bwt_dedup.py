@@ -95,7 +95,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
-    """doc_id, dk (its place in the order), tie, z (the text's bytes, packed for the shuffle)."""
+    """doc_id, dk (its place in the order), tie, z (the text's bytes, packed for the shuffle), rest (the other columns)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
@@ -103,9 +103,9 @@ def _prepared(docs: DataFrame) -> DataFrame:
             data, offsets = T.utf8(b.column("text"))
             view = memoryview(np.ascontiguousarray(data))
             each = [view[s:e] for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("doc_id").fill_null(_LAST), _ties(each), pa.array([pack.compress(x) for x in each], pa.binary())], ["doc_id", "dk", "tie", "z"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("doc_id").fill_null(_LAST), _ties(each), pa.array([pack.compress(x) for x in each], pa.binary()), b.column("rest")], ["doc_id", "dk", "tie", "z", "rest"])
 
-    return docs.mapInArrow(run, "doc_id bigint, dk bigint, tie bigint, z binary")
+    return docs.mapInArrow(run, f"doc_id bigint, dk bigint, tie bigint, z binary, rest {docs.schema['rest'].dataType.simpleString()}")
 
 
 def _ties(each: list) -> pa.Array:
@@ -305,11 +305,12 @@ def _as_rows(contexts: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def remove_repeats(df: DataFrame, *, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the bytes that stay) and, if asked for,
-    kept_text (characters that a cut has split are left out) of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the bytes that stay) of every row; ``with_text``: also
+    kept_text (characters that a cut has split are left out) and rest (a struct of the row's other columns)."""
     tune(df.sparkSession)
-    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    each = stored(_anchored(docs, length, gram), "anchors")
+    other = [F.col(f"`{c}`") for c in df.columns if with_text and c not in (id_col, text_col)]
+    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), (F.struct(*other) if other else F.lit(True)).alias("rest"))
+    each = stored(_anchored(docs.select("doc_id", "text"), length, gram), "anchors")
     flat = each.select("dk", "tie", F.explode(F.arrays_zip("fps", "ats")).alias("p")).select("dk", "tie", F.col("p.fps").alias("fp"), F.col("p.ats").alias("at"))
     counts = each.select(F.explode("fps").alias("fp")).groupBy("fp").agg(F.count("*").alias("c")).filter("c > 1")
     repeated = stored(counts.select("fp", (F.col("c") > hot).alias("hot")), "repeated")
@@ -317,14 +318,14 @@ def remove_repeats(df: DataFrame, *, length: int = LENGTH, gram: int = GRAM, hot
 
     texts = _prepared(docs)
     # both joins read the same shuffle of the texts
-    contexts = _contexts(texts.join(own, ["dk", "tie"]).select("doc_id", "dk", "tie", "z", "own"), length, gram)
+    contexts = _contexts(texts.join(own, ["dk", "tie"]).select("doc_id", "dk", "tie", "z", "rest", "own"), length, gram)
     cold = _merged(contexts.filter(~F.col("hot")).drop("hot"), length, gram)
     ranges = cold
     if not repeated.filter("hot").isEmpty():
         ranges = ranges.unionByName(_as_rows(contexts.filter("hot").drop("hot"), length, gram))
     ranges = ranges.groupBy("dk", "tie").agg(F.collect_set(F.struct("x", "z")).alias("ranges"))
 
-    names = ["doc_id", "dk", "tie", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * with_text
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text", "rest"] * with_text
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -351,7 +352,18 @@ def remove_repeats(df: DataFrame, *, length: int = LENGTH, gram: int = GRAM, hot
                 for to, v in zip(out, row, strict=True):
                     to.append(v)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("dk"), b.column("tie"), *(pa.array(v, k) for v, k in zip(out, kinds, strict=False))], names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(v, k) for v, k in zip(out, kinds, strict=False)), *[b.column("rest")] * with_text], names)
 
-    done = texts.join(ranges, ["dk", "tie"], "left").select("doc_id", "dk", "tie", "z", "ranges").mapInArrow(cut, "doc_id bigint, dk bigint, tie bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * with_text)
-    return done.select(*(c for c in names if c not in ("dk", "tie")))
+    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    if with_text:
+        schema += f", kept_text string, rest {docs.schema['rest'].dataType.simpleString()}"
+    return texts.join(ranges, ["dk", "tie"], "left").select("doc_id", "z", "rest", "ranges").mapInArrow(cut, schema)
+
+
+def without_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = None, **options) -> DataFrame:
+    """Every row with the columns it has, the text less its repeats (a null text comes back empty), and ``chars_col`` the length of that."""
+    done = remove_repeats(df, id_col=id_col, text_col=text_col, with_text=True, **options)
+    new = {id_col: F.col("doc_id").cast(df.schema[id_col].dataType), text_col: F.col("kept_text")}
+    if chars_col:
+        new[chars_col] = F.length("kept_text").cast(df.schema[chars_col].dataType)
+    return done.select(*(new[c].alias(c) if c in new else F.col("rest")[c].alias(c) for c in df.columns))

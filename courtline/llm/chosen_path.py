@@ -299,3 +299,9 @@ def near_duplicates(df: DataFrame, *, shingle: int = 4, similarity: tuple[int, i
     out = out.join(second.select(F.col("node").alias("c1"), F.col("component").alias("c2")), "c1", "left")
     component = F.when(F.col("n") > 0, F.coalesce("c2", "c1")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def one_of_each(df: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of df that are kept, with the columns they have: of every group, the document with the smallest id."""
+    gone = near_duplicates(df, id_col=id_col, **options).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return df.join(gone, F.col(id_col).cast("bigint") == F.col("__gone"), "left_anti")

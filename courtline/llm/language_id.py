@@ -37,6 +37,8 @@ DIMENSIONS = 16
 RANGE_BYTES = 2 << 20
 #: One number of the model per language; more languages than this would not be a label.
 MAX_LANGUAGES = 1000
+#: Parts in which a language's rows are ranked first.
+SHARES = 256
 SNIPPETS = (24, 64, 160)  # bytes
 
 
@@ -154,8 +156,12 @@ def fit(df: DataFrame, *, per_language: int = 1500, id_col: str = "doc_id", text
     """Train on rows with a label and a text that are not held out: at most ``per_language`` of each language."""
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     may = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = may.select("doc_id", "lang").withColumn("k", F.row_number().over(by_hash)).filter(F.col("k") <= per_language).select("doc_id", "lang").distinct()
+    # in two steps: no task sorts more of a language than a share of its rows, then a bounded number of them
+    order = F.xxhash64("doc_id"), F.col("doc_id")
+    chosen = may.select("doc_id", "lang").distinct().withColumn("share", F.pmod(F.hash("doc_id"), F.lit(SHARES)))
+    for by in (("lang", "share"), ("lang",)):
+        chosen = chosen.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("k") <= per_language)
+    chosen = chosen.select("doc_id", "lang")
     texts = may.filter(F.col("text").isNotNull()).join(chosen, ["doc_id", "lang"], "left_semi").collect()
     texts.sort(key=lambda r: (r["doc_id"], r["text"]))
     texts = [r for k, r in enumerate(texts) if not k or r["doc_id"] != texts[k - 1]["doc_id"]]
@@ -171,24 +177,40 @@ def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def identify(df: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """id, ``carry``, lang_pred, score and accepted (a language, scored at the threshold or over) for every row."""
+def judge(column: pa.Array, model: LanguageModel) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, accepted) of every text of an Arrow column."""
+    data, offsets = T.utf8(column)
+    names, scores = [], [np.zeros(0)]
+    for i, j in T.parts(offsets, RANGE_BYTES):
+        part, offs = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+        known = has_letter(part, offs) & bool(model.languages)
+        best, score = model.predict(part, offs) if model.languages else (np.zeros(j - i, int), np.zeros(j - i))
+        names += [model.languages[x] if ok else "und" for x, ok in zip(best.tolist(), known.tolist(), strict=True)]
+        scores.append(np.where(known, score, 0.0))
+    score = np.concatenate(scores)
+    return names, score, np.array([x != "und" for x in names], bool) & (score >= model.threshold)
+
+
+def identify(df: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, lang_pred, score and accepted (a language, scored at the threshold or over) for every row."""
+    tune(df.sparkSession)
+    rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, score, accepted = judge(b.column("__text"), model)
+            yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array(names, pa.string()), pa.array(score), pa.array(accepted)], ["__id", "lang_pred", "score", "accepted"])
+
+    kind = rows.schema["__id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"__id {kind}, lang_pred string, score double, accepted boolean").withColumnRenamed("__id", id_col)
+
+
+def keep_accepted(df: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
+    """The rows that are accepted, with the columns they have."""
     tune(df.sparkSession)
-    rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *(F.col(c) for c in carry))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offsets = T.utf8(b.column("__text"))
-            names, scores = [], []
-            for i, j in T.parts(offsets, RANGE_BYTES):
-                part, offs = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-                known = has_letter(part, offs) & bool(model.languages)
-                best, score = model.predict(part, offs) if model.languages else (np.zeros(j - i, int), np.zeros(j - i))
-                names += [model.languages[x] if ok else "und" for x, ok in zip(best.tolist(), known.tolist(), strict=True)]
-                scores.append(np.where(known, score, 0.0))
-            score = np.concatenate(scores) if scores else np.zeros(0)
-            accepted = np.array([x != "und" for x in names], bool) & (score >= model.threshold)
-            yield pa.RecordBatch.from_arrays([b.column("__id"), *(b.column(c) for c in carry), pa.array(names, pa.string()), pa.array(score), pa.array(accepted)], ["__id", *carry, "lang_pred", "score", "accepted"])
-
-    schema = ", ".join([f"__id {rows.schema['__id'].dataType.simpleString()}", *(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carry), "lang_pred string, score double, accepted boolean"])
-    return rows.mapInArrow(run, schema).withColumnRenamed("__id", id_col)
+            yield b.filter(pa.array(judge(b.column(text_col), model)[2]))
+
+    return df.mapInArrow(run, df.schema)

@@ -153,8 +153,15 @@ def judge(data: np.ndarray, offsets: np.ndarray, *, max_covered: float, longest_
     return out | {"n_repeat_words": repeated, "covered_share": share, "longest_repeat": longest, "base_failed": failed, "kept": ~failed & (share <= max_covered) & ~too_long}
 
 
-def repetition_rules(df: DataFrame, *, max_covered: float = 0.30, longest_words: int = 64, longest_share: float = 0.20, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """id, the columns ``carry`` and COLUMNS for every row.
+def _judged(column: pa.Array, limits: dict) -> dict[str, np.ndarray]:
+    """All columns for an Arrow column of texts, range by range."""
+    data, offsets = T.utf8(column)
+    got = [judge(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], **limits) for i, j in T.parts(offsets, RANGE_BYTES)]
+    return {c: np.concatenate([g[c] for g in got]) for c in got[0]} if got else {}
+
+
+def repetition_rules(df: DataFrame, *, max_covered: float = 0.30, longest_words: int = 64, longest_share: float = 0.20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id and COLUMNS for every row.
 
     n_words; word_chars (code points in words); n_symbols (``[#*$%&|<>]``);
     n_dup_lines (lines with a word, equal to an earlier line); n_repeat_words
@@ -163,15 +170,29 @@ def repetition_rules(df: DataFrame, *, max_covered: float = 0.30, longest_words:
     over 30 in 100 words repeat); kept.
     """
     tune(df.sparkSession)
-    rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *(F.col(c) for c in carry))
+    rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     names = [c.split()[0] for c in COLUMNS.split(", ")]
+    limits = {"max_covered": max_covered, "longest_words": longest_words, "longest_share": longest_share}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = _judged(b.column("__text"), limits)
+            if got:
+                yield pa.RecordBatch.from_arrays([b.column("__id"), *(pa.array(got[c]) for c in names)], ["__id", *names])
+
+    kind = rows.schema["__id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"__id {kind}, {COLUMNS}").withColumnRenamed("__id", id_col)
+
+
+def keep_unrepeated(df: DataFrame, *, max_covered: float = 0.30, longest_words: int = 64, longest_share: float = 0.20, text_col: str = "text") -> DataFrame:
+    """The rows that are kept, with the columns they have."""
+    tune(df.sparkSession)
+    limits = {"max_covered": max_covered, "longest_words": longest_words, "longest_share": longest_share}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, offsets = T.utf8(b.column("__text"))
-            got = [judge(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], max_covered=max_covered, longest_words=longest_words, longest_share=longest_share) for i, j in T.parts(offsets, RANGE_BYTES)]
+            got = _judged(b.column(text_col), limits)
             if got:
-                yield pa.RecordBatch.from_arrays([b.column("__id"), *(b.column(c) for c in carry), *(pa.array(np.concatenate([g[c] for g in got])) for c in names)], ["__id", *carry, *names])
+                yield b.filter(pa.array(got["kept"]))
 
-    schema = ", ".join([f"__id {rows.schema['__id'].dataType.simpleString()}", *(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carry), COLUMNS])
-    return rows.mapInArrow(run, schema).withColumnRenamed("__id", id_col)
+    return df.mapInArrow(run, df.schema)
