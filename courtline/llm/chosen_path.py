@@ -11,9 +11,12 @@ members, so no task holds more than two blocks.  The trees are independent and
 as many as ``recall`` of a pair at the very threshold takes.
 
 Every link is confirmed on the full sets.  Only connectivity is asked for, so
-pairs are confirmed in two rounds: first each node's maximum spanning forest
-on the sketches, then every pair of a node that the first round's links leave
-in different components.  No pair between copies of a text is made.
+there are two rounds.  First, each node's maximum spanning forest on the
+sketches is confirmed, pair by pair.  Then, in each node whose members are left
+in different components although their sketches say that they may be linked,
+those members' full sets are compared with each other where they meet, and only
+a forest of the links between components leaves the task.  So rows grow with
+the members of a group, never with its pairs.
 
 Defined cases: a null or empty text, or one without words, has an empty set,
 is linked with nothing and kept; with fewer words than a shingle, the whole
@@ -39,7 +42,7 @@ from courtline.llm.store import stored, tune
 
 COORDS = 128
 LEAF = 256
-BLOCK = 1024
+BLOCK = 512
 DEPTH = 4
 #: Standard deviations of the sketch's estimate by which a pair may fall short of the threshold and still be confirmed.
 MARGIN = 4.0
@@ -203,41 +206,136 @@ def _forest(match: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _candidates(rows: DataFrame, similarity: float, whole: bool) -> DataFrame:
-    """Pairs (a, b) of units' members to confirm.  rows: unit, rep, n, component, sketch."""
-    # two sketches' bytes agree by chance in one of 256 places
-    least = math.floor(COORDS * (similarity - MARGIN * math.sqrt(similarity * (1 - similarity) / COORDS)))
+def _similar(n: np.ndarray, similarity: float) -> np.ndarray:
+    """Which sizes allow the similarity."""
+    return np.minimum(n[:, None], n[None]) >= similarity * np.maximum(n[:, None], n[None])
+
+
+def _matches(sketch: np.ndarray) -> np.ndarray:
+    m = len(sketch)
+    out = np.zeros((m, m), np.int16)
+    for k in range(0, m, 64):                                    # bounds the three-dimensional comparison
+        for z in range(0, m, 256):
+            out[k:k + 64, z:z + 256] = (sketch[k:k + 64, None, :] == sketch[None, z:z + 256, :]).sum(2)
+    return out
+
+
+def _least_match(similarity: float) -> int:
+    return math.floor(COORDS * (similarity - MARGIN * math.sqrt(similarity * (1 - similarity) / COORDS)))
+
+
+def _by_unit(rows: DataFrame) -> DataFrame:
+    return rows.repartition("unit").sortWithinPartitions("unit", "rep")
+
+
+def _candidates(rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) to confirm: a forest of each unit.  rows: unit, rep, n, component, sketch."""
+    least = _least_match(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit, rep, n, component, sketch in _groups(batches):
-            a, b = [], []
+        for unit, rep, n, _, sketch in _groups(batches):
             heads = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
             sizes = np.diff(np.append(heads, len(unit)))
-
             two = heads[sizes == 2]                              # most units: both members next to each other
-            ok = ((sketch[two] == sketch[two + 1]).sum(1) >= least) & (rep[two] != rep[two + 1]) & (component[two] != component[two + 1])
+            ok = (sketch[two] == sketch[two + 1]).sum(1) >= least
             ok &= np.minimum(n[two], n[two + 1]) >= similarity * np.maximum(n[two], n[two + 1])
-            a.append(rep[two[ok]])
-            b.append(rep[two[ok] + 1])
+            a, b = [rep[two[ok]]], [rep[two[ok] + 1]]
             for h, m in zip(heads[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-                r, c, s, size = rep[h:h + m], component[h:h + m], sketch[h:h + m], n[h:h + m]
-                if whole and (c == c[0]).all():
-                    continue
-                match = np.zeros((m, m), np.int16)
-                for k in range(0, m, 64):                        # bounds the three-dimensional comparison
-                    for z in range(0, m, 256):
-                        match[k:k + 64, z:z + 256] = (s[k:k + 64, None, :] == s[None, z:z + 256, :]).sum(2)
-                match[match < least] = 0
-                match[np.minimum(size[:, None], size[None]) < similarity * np.maximum(size[:, None], size[None])] = 0
-                match[c[:, None] == c[None]] = 0
-                pairs = np.argwhere(np.triu(match, 1)) if whole else np.array(_forest(match), np.int64).reshape(-1, 2)
-                a.append(r[pairs[:, 0]])
-                b.append(r[pairs[:, 1]])
+                match = _matches(sketch[h:h + m])
+                match[(match < least) | ~_similar(n[h:h + m], similarity)] = 0
+                pairs = np.array(_forest(match), np.int64).reshape(-1, 2)
+                a.append(rep[h:h + m][pairs[:, 0]])
+                b.append(rep[h:h + m][pairs[:, 1]])
             a, b = np.concatenate(a), np.concatenate(b)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    together = rows.select("unit", "rep", "n", "component", "sketch").repartition("unit").sortWithinPartitions("unit", "rep")
-    return together.mapInArrow(run, "a bigint, b bigint").filter("a < b").distinct()
+    return _by_unit(rows.select("unit", "rep", "n", "component", "sketch")).mapInArrow(run, "a bigint, b bigint").filter("a < b").distinct()
+
+
+def _open(rows: DataFrame, similarity: float) -> DataFrame:
+    """(unit, rep, component) of members that may be linked to another component of their unit."""
+    least = _least_match(similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit, rep, n, component, sketch in _groups(batches):
+            heads = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
+            sizes = np.diff(np.append(heads, len(unit)))
+            hit = np.zeros(len(unit), bool)
+            for h, m in zip(heads[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):   # of two, the forest was all
+                c = component[h:h + m]
+                hit[h:h + m] = ((_matches(sketch[h:h + m]) >= least) & (c[:, None] != c[None]) & _similar(n[h:h + m], similarity)).any(1)
+            yield pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (unit, rep, component)], ["unit", "rep", "component"])
+
+    return _by_unit(rows.select("unit", "rep", "n", "component", "sketch")).mapInArrow(run, "unit bigint, rep bigint, component bigint")
+
+
+def shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members every two sets share."""
+    m = len(sets)
+    who = np.repeat(np.arange(m), [len(s) for s in sets])
+    every = np.concatenate(sets)
+    by = np.argsort(every, kind="stable")
+    heads = np.flatnonzero(np.concatenate([[True], every[by][1:] != every[by][:-1]]))
+    counts = np.diff(np.append(heads, len(by)))
+    who = who[by]
+    out = np.zeros((m, m), np.float32)
+    # what few sets hold is counted pair by pair, what many hold as products of columns
+    for c in np.unique(counts[(counts > 1) & (counts < 16)]).tolist():
+        block = who[heads[counts == c][:, None] + np.arange(c)]
+        for i in range(c):
+            for j in range(c):
+                np.add.at(out, (block[:, i], block[:, j]), 1)
+    many = heads[counts >= 16]
+    if len(many):
+        sizes = counts[counts >= 16]
+        for k in range(0, len(many), 4096):
+            part = np.zeros((m, min(4096, len(many) - k)), np.float32)
+            width = sizes[k:k + 4096]
+            part[who[T.take_ranges(many[k:k + 4096], width)], np.repeat(np.arange(len(width)), width)] = 1
+            out += part @ part.T
+    return out
+
+
+def _settled(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Links (a, b) between components, by full sets: a forest of each unit.  rows: unit, rep, component, members (a sorted set)."""
+    num, den = similarity
+
+    def unit(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rep, c = (np.concatenate([h.column(x).to_numpy() for h in held]) for x in ("rep", "component"))
+        sets = [np.frombuffer(x, np.uint64) for h in held for x in h.column("members").to_pylist()]
+        n, common = np.array([len(s) for s in sets], np.int64), shared(sets)
+        linked = (den * common >= num * (n[:, None] + n[None] - common)) & (c[:, None] != c[None])
+        pairs = np.array(_forest(linked.astype(np.int16)), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(c[pairs[:, 0]]), pa.array(c[pairs[:, 1]])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            names = b.column("unit").to_numpy()
+            heads = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
+            for s, e in zip(heads[:-1], heads[1:], strict=True):
+                if s == e:
+                    continue
+                if held and held[-1].column("unit")[0].as_py() != names[s]:
+                    yield unit(held)
+                    held = []
+                held.append(b.slice(s, e - s))
+        if held:
+            yield unit(held)
+
+    return _by_unit(rows).mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """rep and members, its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = T.utf8(b.column("text"))
+            sets = [s.tobytes() for i, j in T.parts(offsets, RANGE_BYTES) for s in shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], size)]
+            yield pa.RecordBatch.from_arrays([b.column("rep"), pa.array(sets, pa.binary())], ["rep", "members"])
+
+    return texts.mapInArrow(run, "rep bigint, members binary")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: tuple[int, int]) -> DataFrame:
@@ -280,19 +378,16 @@ def near_duplicates(df: DataFrame, *, shingle: int = 4, similarity: tuple[int, i
     texts = docs.join(named.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text").distinct()
 
     rows = units.join(known, "rep").withColumn("component", F.col("rep"))
-    pairs = stored(_candidates(rows, level, whole=False), "pairs")
+    pairs = stored(_candidates(rows, level), "pairs")
     links = stored(_confirmed(pairs, texts, shingle, similarity), "links")
     first = stored(components(links), "components")
 
     # what the first round's links leave apart within a unit
     placed = units.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    apart = placed.groupBy("unit").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("unit")
-    rows = placed.join(apart, "unit", "left_semi").join(known, "rep")
-    more = _candidates(rows, level, whole=True).join(pairs, ["a", "b"], "left_anti")
-    links = stored(_confirmed(stored(more, "pairs"), texts, shingle, similarity), "links")
-    of = first.withColumnRenamed("component", "c")
-    across = links.join(of.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a", "left").join(of.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b", "left")
-    second = components(across.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    apart = placed.groupBy("unit").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).filter("x < y and m > 2").select("unit")
+    left = stored(_open(placed.join(apart, "unit", "left_semi").join(known, "rep"), level), "open")
+    need = texts.join(left.select("rep").distinct(), "rep", "left_semi")
+    second = components(_settled(left.join(_sets(need, shingle), "rep").select("unit", "rep", "component", "members"), similarity))
 
     out = signed.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
     out = out.join(first.select(F.col("node").alias("rep"), F.col("component").alias("c1")), "rep", "left").withColumn("c1", F.coalesce("c1", "rep", "doc_id"))
