@@ -1,107 +1,72 @@
-"""Oracle SQL for the analytics queries.
+"""Oracle SQL for the analytics queries (D1-D6), for all teams or players at once.
 
-Each dashboard query takes one team or player as a parameter; the oracle binds
-the parameter by joining the set of all teams / players, keeping the OR forms.
+Everything starts from unpivoted rows: ``legs`` has a match once for each team
+name or id on it, ``lineups`` a team once for each of its players.  Means are
+rounded in whole-number arithmetic, written here and not taken from the library.
 """
 
-from courtline.functions.numeric import avg_rounded_sql as _avg
+
+def _mean(value: str, digits: int, scale: int = 0) -> str:
+    """The mean of values with ``scale`` decimals, rounded half away from zero to ``digits``."""
+    units = f"cast(round({value} * {10 ** scale}) as hugeint)" if scale else f"cast({value} as hugeint)"
+    top, under = f"sum({units}) * {10 ** digits}", f"(count({value}) * {10 ** scale})"
+    whole = f"abs({top}) // nullif({under}, 0)"
+    rest = f"abs({top}) % nullif({under}, 0)"
+    return f"cast(sign({top}) * ({whole} + if(2 * ({rest}) >= {under}, 1, 0)) as double) / {10 ** digits}"
+
+
+def _legs(first: str, second: str, name: str) -> str:
+    """A match (each row of the fact) once for each ``name`` on it; won is unknown without a winner, and for a loss to a side without a name."""
+    return f"""
+, numbered as (select row_number() over () as leg, * from fct_matches),
+legs as (
+  select leg, tournament_id, {name}, bool_or(won) as won
+  from (select leg, tournament_id, unnest([{{'{name}': {first}, 'won': if(is_winner_team1 or {second} is not null, is_winner_team1, null)}},
+                                            {{'{name}': {second}, 'won': if(not is_winner_team1 or {first} is not null, not is_winner_team1, null)}}], recursive := true) from numbered)
+  where {name} is not null group by leg, tournament_id, {name})"""
+
+
+_HOSTS = "hosts as (select tournament_id, country_code as host_country, country_name as host_country_name from dim_tournaments)"
+_LINEUPS = "lineups as (select team_id, tournament_id, unnest(list_distinct([player_a_id, player_b_id])) as player_id from dim_team_tournaments)"
+
+
+def _record(who: str, legs: str, finishes: str) -> str:
+    """Wins, losses and the mean finish of ``who`` by host country."""
+    return f"""
+select {who}, host_country, host_country_name, cast(countif(won) as int) as wins, cast(countif(not won) as int) as losses,
+       cast(countif(won) + countif(not won) as int) as total_matches, any_value(mean_finish) as avg_finish_pos
+from {legs} join hosts using (tournament_id)
+left join (select {who}, host_country, {_mean("finishing_pos", 2)} as mean_finish
+           from (select distinct {who}, host_country, tournament_id, finishing_pos from {finishes}) group by {who}, host_country) using ({who}, host_country)
+group by {who}, host_country, host_country_name"""
+
+
+def _figures(who: str, rows: str) -> str:
+    """The mart's figures of ``who`` by host country."""
+    return f"""
+select {who}, tournament_country_code as host_country, tournament_country_name as host_country_name,
+       cast(sum(match_wins) as int) as wins, cast(sum(match_losses) as int) as losses, cast(sum(match_wins + match_losses) as bigint) as total_matches,
+       {_mean("finishing_pos", 2)} as avg_finish_pos, {_mean("quality_win_loss_score", 4, 6)} as avg_quality_win_loss_score,
+       {_mean("quality_win_loss_score_points", 4, 6)} as avg_quality_win_loss_score_points, {_mean("sum_opponent_points_beaten", 2)} as avg_sum_opponent_points_beaten
+from {rows} group by all"""
+
 
 ANALYTICS_SELECTS = {
-    "teams_list": """
-select distinct team_display_name from dim_team_tournaments where team_display_name is not null""",
-    "players_list": """
-select player_id, full_name from stg_players where full_name is not null""",
-    "perf_country_team_core": f"""
-, team_names as (
-  select distinct n as team from (select team1_display_name as n from fct_matches
-                                  union all select team2_display_name from fct_matches) u where n is not null),
-matches_with_host as (
-  select t.team as team_display_name, m.tournament_id, d.country_code as host_country,
-         d.country_name as host_country_name,
-         (m.team1_display_name = t.team and m.is_winner_team1)
-           or (m.team2_display_name = t.team and (m.is_winner_team1 = false)) as won
-  from fct_matches m
-  join team_names t on m.team1_display_name = t.team or m.team2_display_name = t.team
-  join dim_tournaments d on d.tournament_id = m.tournament_id),
-wins_losses as (
-  select team_display_name, host_country, host_country_name,
-         cast(sum(case when won then 1 else 0 end) as int) as wins,
-         cast(sum(case when not won then 1 else 0 end) as int) as losses
-  from matches_with_host group by team_display_name, host_country, host_country_name),
-finish_by_tournament as (
-  select m.team_display_name, m.host_country, m.tournament_id, s.finishing_pos
-  from matches_with_host m
-  join fct_tournament_standings s on s.tournament_id = m.tournament_id and s.team_display_name = m.team_display_name
-  group by m.team_display_name, m.host_country, m.tournament_id, s.finishing_pos),
-avg_depth as (
-  select team_display_name, host_country, {_avg("finishing_pos", 2)} as avg_finish_pos
-  from finish_by_tournament group by team_display_name, host_country)
-select wl.team_display_name, wl.host_country, wl.host_country_name, wl.wins, wl.losses,
-       wl.wins + wl.losses as total_matches, ad.avg_finish_pos
-from wins_losses wl
-left join avg_depth ad on ad.team_display_name = wl.team_display_name and ad.host_country = wl.host_country""",
-    "perf_country_team": f"""
-select team_display_name, tournament_country_code as host_country, tournament_country_name as host_country_name,
-       cast(sum(match_wins) as int) as wins, cast(sum(match_losses) as int) as losses,
-       cast(sum(match_wins) + sum(match_losses) as bigint) as total_matches,
-       {_avg("finishing_pos", 2)} as avg_finish_pos,
-       {_avg("quality_win_loss_score", 4, 6)} as avg_quality_win_loss_score,
-       {_avg("quality_win_loss_score_points", 4, 6)} as avg_quality_win_loss_score_points,
-       {_avg("sum_opponent_points_beaten", 2)} as avg_sum_opponent_points_beaten
-from tournament_mart
-group by team_display_name, tournament_country_code, tournament_country_name""",
-    "perf_country_player": f"""
-, player_ids as (
-  select distinct p as player_id from (select player_a_id as p from dim_team_tournaments
-                                       union all select player_b_id from dim_team_tournaments) u where p is not null)
-select pl.player_id, tm.tournament_country_code as host_country, tm.tournament_country_name as host_country_name,
-       cast(sum(tm.match_wins) as int) as wins, cast(sum(tm.match_losses) as int) as losses,
-       cast(sum(tm.match_wins) + sum(tm.match_losses) as bigint) as total_matches,
-       {_avg("tm.finishing_pos", 2)} as avg_finish_pos,
-       {_avg("tm.quality_win_loss_score", 4, 6)} as avg_quality_win_loss_score,
-       {_avg("tm.quality_win_loss_score_points", 4, 6)} as avg_quality_win_loss_score_points,
-       {_avg("tm.sum_opponent_points_beaten", 2)} as avg_sum_opponent_points_beaten
-from tournament_mart tm
-join dim_team_tournaments dtt on dtt.team_id = tm.team_id and dtt.tournament_id = tm.tournament_id
-join player_ids pl on dtt.player_a_id = pl.player_id or dtt.player_b_id = pl.player_id
-group by pl.player_id, tm.tournament_country_code, tm.tournament_country_name""",
-    "perf_country_player_core": f"""
-, player_ids as (
-  select distinct p as player_id from (select player_a_id as p from dim_team_tournaments
-                                       union all select player_b_id from dim_team_tournaments) u where p is not null),
-player_teams as (
-  select pl.player_id, x.team_id, x.tournament_id
-  from dim_team_tournaments x join player_ids pl on x.player_a_id = pl.player_id or x.player_b_id = pl.player_id),
-matches_with_host as (
-  select pt.player_id, m.tournament_id, d.country_code as host_country, d.country_name as host_country_name,
-         (pt.team_id = m.team1_id and m.is_winner_team1) or (pt.team_id = m.team2_id and (m.is_winner_team1 = false)) as won
-  from fct_matches m
-  join player_teams pt on (m.team1_id = pt.team_id and m.tournament_id = pt.tournament_id)
-                       or (m.team2_id = pt.team_id and m.tournament_id = pt.tournament_id)
-  join dim_tournaments d on d.tournament_id = m.tournament_id),
-wins_losses as (
-  select player_id, host_country, host_country_name,
-         cast(sum(case when won then 1 else 0 end) as int) as wins,
-         cast(sum(case when not won then 1 else 0 end) as int) as losses
-  from matches_with_host group by player_id, host_country, host_country_name),
-finish_by_tournament as (
-  select pt.player_id, d.country_code as host_country, pt.tournament_id, s.finishing_pos
-  from player_teams pt
-  join fct_tournament_standings s on s.team_id = pt.team_id and s.tournament_id = pt.tournament_id
-  join dim_tournaments d on d.tournament_id = pt.tournament_id
-  group by pt.player_id, d.country_code, d.country_name, pt.tournament_id, s.finishing_pos),
-avg_depth as (
-  select player_id, host_country, {_avg("finishing_pos", 2)} as avg_finish_pos
-  from finish_by_tournament group by player_id, host_country)
-select wl.player_id, wl.host_country, wl.host_country_name, wl.wins, wl.losses,
-       wl.wins + wl.losses as total_matches, ad.avg_finish_pos
-from wins_losses wl
-left join avg_depth ad on ad.player_id = wl.player_id and ad.host_country = wl.host_country""",
+    "teams_list": "select team_display_name from dim_team_tournaments where team_display_name is not null group by all",
+    "players_list": "select player_id, full_name from stg_players where full_name is not null",
+    "perf_country_team_core": _legs("team1_display_name", "team2_display_name", "team_display_name") + f", {_HOSTS}" + _record(
+        "team_display_name", "legs",
+        "legs join hosts using (tournament_id) join fct_tournament_standings using (tournament_id, team_display_name)"),
+    "perf_country_team": _figures("team_display_name", "tournament_mart"),
+    "perf_country_player": f", {_LINEUPS}" + _figures("player_id", "tournament_mart join lineups using (team_id, tournament_id) where player_id is not null"),
+    "perf_country_player_core": _legs("team1_id", "team2_id", "team_id") + f", {_HOSTS}, {_LINEUPS}, player_legs as (select * from legs join lineups using (team_id, tournament_id) where player_id is not null)" + _record(
+        "player_id", "player_legs",
+        "lineups join hosts using (tournament_id) join fct_tournament_standings using (tournament_id, team_id) where player_id is not null"),
     "perf_over_time": """
-select tournament_id, team_id, team_display_name, tournament_name, tournament_country_code, tournament_country_name,
-       season, season_year, tournament_start_date, tournament_tier, tournament_gender, tournament_is_major,
-       finishing_pos, tournament_points, sum_opponent_points_beaten, match_wins, match_losses, wins_vs_higher_seed,
-       losses_vs_lower_seed, pool_wins, elimination_wins, quality_win_loss_score, quality_win_loss_score_points
+select tournament_id, team_id, team_display_name, tournament_name, tournament_country_code, tournament_country_name, season, season_year,
+       tournament_start_date, tournament_tier, tournament_gender, tournament_is_major, finishing_pos, tournament_points,
+       columns(lambda c: c in ('sum_opponent_points_beaten', 'match_wins', 'match_losses', 'wins_vs_higher_seed', 'losses_vs_lower_seed', 'pool_wins',
+                          'elimination_wins', 'quality_win_loss_score', 'quality_win_loss_score_points'))
 from tournament_mart
-where tournament_is_major = true and tournament_gender = 'W' and season_year is not null""",
+where tournament_is_major and tournament_gender = 'W' and season_year is not null""",
 }
