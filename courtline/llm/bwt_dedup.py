@@ -5,9 +5,12 @@ in a document with a smaller id, or earlier in the same document.
 
 *Shards.*  Two equal strings of ``length`` bytes hold the same k-gram of least
 hash at the same place, so only strings around such anchors can meet.  Anchors
-that occur once in the corpus are dropped after a count; the contexts of the
-others are dealt out by anchor.  What one map task sends is a shard: contexts
-aligned at their anchor, whose suffixes from any column are comparable.
+that occur once in the corpus are dropped: one that occurs twice in a range of
+texts is known to repeat at once, the others meet by their hash, one row a
+range at most (so a passage that every text holds makes no hot key).  The
+contexts of the repeated ones, as far as strings are theirs, are dealt out by
+anchor.  What one map task sends is a shard: contexts aligned at their anchor,
+whose suffixes from any column are comparable.
 
 *Merge.*  A task takes the shards' contexts of its anchors and merges their
 transforms by iterative interleave refinement: it holds one interleave, the
@@ -45,7 +48,7 @@ from courtline.llm import textops as T
 from courtline.llm.store import stored, tune
 
 LENGTH = 100
-GRAM = 24
+GRAM = 16
 HOT = 200_000
 RANGE_BYTES = 2 << 20
 #: Contexts merged at once, but for an anchor that has more.
@@ -79,10 +82,12 @@ def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
     return op(x[:len(x) - (width - step)], x[width - step:]) if step < width else x
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of k-grams that are least in some window of ``length`` bytes inside one text."""
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """K-grams that are least in some window of ``length`` bytes inside one text: their positions, hashes,
+    and how many bytes before and behind them those windows reach."""
+    empty = np.zeros(0, np.int64)
     if len(data) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return empty, empty.astype(np.uint64), empty, empty
     full = gram_hashes(data, gram)
     short = (full >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     width = length - gram + 1
@@ -91,49 +96,108 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     least[np.arange(len(least)) + length > ends] = 0
     padded = np.concatenate([np.zeros(width - 1, np.uint32), least, np.zeros(width - 1, np.uint32)])
     at = np.flatnonzero(_sliding(padded, width, np.maximum) == short)
-    return at, full[at]
-
-
-def _prepared(docs: DataFrame) -> DataFrame:
+    # the windows of an anchor are one run of equal minima, the last such run that begins at the anchor or before
+    heads = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    tails = np.append(heads[1:], len(least)) - 1
+    run = np.searchsorted(heads, at, "right") - 1
+    other = np.flatnonzero(least[heads[run]] != short[at])
+    while len(other):
+        run[other] -= 1
+        other = other[least[heads[run[other]]] != short[at[other]]]
+    first, last = np.maximum(heads[run], at - width + 1), np.minimum(tails[run], at)
+    return at, full[at], at - first, last + length - at - gram
+
+
+def _prepared(docs: DataFrame, tied: bool) -> DataFrame:
     """doc_id, dk (its place in the order), tie, z (the text's bytes, packed for the shuffle), rest (the other columns)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=3)
         for b in batches:
             data, offsets = T.utf8(b.column("text"))
             view = memoryview(np.ascontiguousarray(data))
             each = [view[s:e] for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("doc_id").fill_null(_LAST), _ties(each), pa.array([pack.compress(x) for x in each], pa.binary()), b.column("rest")], ["doc_id", "dk", "tie", "z", "rest"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("doc_id").fill_null(_LAST), _ties(each, tied), pa.array([pack.compress(x) for x in each], pa.binary()), b.column("rest")], ["doc_id", "dk", "tie", "z", "rest"])
 
     return docs.mapInArrow(run, f"doc_id bigint, dk bigint, tie bigint, z binary, rest {docs.schema['rest'].dataType.simpleString()}")
 
 
-def _ties(each: list) -> pa.Array:
-    return pa.array(np.array([xxhash.xxh3_64_intdigest(x) for x in each], np.uint64).view(np.int64))
+def _ties(each: list, tied: bool) -> pa.Array:
+    """What orders texts that share an id; 0 where no id occurs twice."""
+    return pa.array(np.array([xxhash.xxh3_64_intdigest(x) if tied else 0 for x in each], np.uint64).view(np.int64))
 
 
-def _anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """dk, tie, fps and ats: a document's anchors."""
+def _anchored(docs: DataFrame, length: int, gram: int, tied: bool, known: bool) -> DataFrame:
+    """Anchors as rows fp, dk, tie, at (position, then the bytes before and behind, 8 bits each), many.
+
+    ``known``: those that occur twice or more in their range of texts.  Else
+    the single ones, and for each of the known a row without a document that
+    counts them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = T.utf8(b.column("text"))
             view = memoryview(np.ascontiguousarray(data))
-            ties = _ties([view[s:e] for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
+            dk = b.column("doc_id").fill_null(_LAST).to_numpy()
+            tie = _ties([view[s:e] for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)] if tied else [b""] * b.num_rows, tied).to_numpy()
             for i, j in T.parts(offsets, RANGE_BYTES):
                 offs = offsets[i:j + 1] - offsets[i]
-                at, fp = anchors(data[offsets[i]:offsets[j]], offs, length, gram)
-                per = np.searchsorted(at, offs)
-                where = at - np.repeat(offs[:-1], np.diff(per))
-                lists = pa.array(per.astype(np.int32))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i).fill_null(_LAST), ties.slice(i, j - i), pa.ListArray.from_arrays(lists, pa.array(fp.view(np.int64))), pa.ListArray.from_arrays(lists, pa.array(where.astype(np.int32)))], ["dk", "tie", "fps", "ats"])
+                at, fp, before, behind = anchors(data[offsets[i]:offsets[j]], offs, length, gram)
+                doc = np.repeat(np.arange(i, j), np.diff(np.searchsorted(at, offs)))
+                where = ((at - offs[doc - i]) << 16) | (before << 8) | behind
+                by = np.argsort(fp, kind="stable")
+                new = np.concatenate([[True], fp[by][1:] != fp[by][:-1]]) if len(fp) else np.zeros(0, bool)
+                heads = np.flatnonzero(new)
+                size = np.diff(np.append(heads, len(by)))
+                mine = by[np.repeat(size, size) > 1] if known else by[np.repeat(size, size) == 1]
+                cols = [pa.array(fp[mine].view(np.int64)), pa.array(dk[doc[mine]]), pa.array(tie[doc[mine]]), pa.array(where[mine]), pa.array(np.ones(len(mine), np.int64))]
+                names = ["fp", "dk", "tie", "at", "many"]
+                yield pa.RecordBatch.from_arrays(cols, names)
+                if not known:
+                    marks, none = fp[by[heads[size > 1]]].view(np.int64), pa.nulls(int((size > 1).sum()), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(marks), none, none, none, pa.array(size[size > 1])], names)
+
+    return docs.mapInArrow(run, "fp bigint, dk bigint, tie bigint, at bigint, many bigint")
+
+
+def _repeated(rows: DataFrame, hot: int) -> DataFrame:
+    """Of the single anchors those that occur elsewhere too (fp, dk, tie, at), and a row without a document for each anchor over ``hot``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
 
-    return docs.mapInArrow(run, "dk bigint, tie bigint, fps array<bigint>, ats array<int>")
+        def done(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+            t = pa.Table.from_batches(rows).combine_chunks()
+            fp, many = t["fp"].to_numpy(), t["many"].to_numpy()
+            heads = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]]))
+            total = np.add.reduceat(many, heads)
+            again = np.repeat(total > 1, np.diff(np.append(heads, len(fp))))
+            keep = t.filter(pa.array(again & t["dk"].is_valid().to_numpy())).select(["fp", "dk", "tie", "at"])
+            over = pa.array(fp[heads[total > hot]])
+            none = pa.nulls(len(over), pa.int64())
+            out = pa.concat_tables([keep, pa.table([over, none, none, none], names=["fp", "dk", "tie", "at"])]).combine_chunks()
+            return out.to_batches()[0] if out.num_rows else pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 4, ["fp", "dk", "tie", "at"])
+
+        for b in batches:
+            fp = b.column("fp").to_numpy()
+            if not len(fp):
+                continue
+            cut = int(np.searchsorted(fp, fp[-1]))                # the last anchor may go on in the next batch
+            if cut or held and held[-1].column("fp")[0].as_py() != fp[-1]:
+                ready = [*held, b.slice(0, cut)] if cut else held
+                yield done(ready)
+                held = [b.slice(cut)]
+            else:
+                held.append(b)
+        if held:
+            yield done(held)
+
+    return rows.repartition("fp").sortWithinPartitions("fp").mapInArrow(run, "fp bigint, dk bigint, tie bigint, at bigint")
 
 
-def _contexts(found: DataFrame, length: int, gram: int) -> DataFrame:
-    """fp, dk, tie, at, l (bytes before the anchor), hot, s: the bytes within reach of each repeated anchor."""
-    reach = length - gram
+def _contexts(found: DataFrame, gram: int) -> DataFrame:
+    """fp, dk, tie, at, l (bytes before the anchor), hot, s: the bytes before and behind each repeated anchor, as far as its windows reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -141,7 +205,7 @@ def _contexts(found: DataFrame, length: int, gram: int) -> DataFrame:
             own, packed = b.column("own"), b.column("z").to_pylist()
             flat, sizes = own.flatten(), own.value_lengths().to_numpy()
             fp, at, hot = (flat.field(c) for c in ("fp", "at", "hot"))
-            pos = at.to_numpy().astype(np.int64)
+            place = at.to_numpy()
             first, k = 0, 0
             while k < len(packed):
                 texts, size, k0 = [], 0, k
@@ -151,17 +215,16 @@ def _contexts(found: DataFrame, length: int, gram: int) -> DataFrame:
                 n = int(sizes[k0:k].sum())
                 base = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
                 row = np.repeat(np.arange(k0, k), sizes[k0:k])
-                p, begin, end = pos[first:first + n], base[row - k0], base[row - k0 + 1]
-                left = np.minimum(p, reach)
-                start = begin + p - left
-                stop = np.minimum(begin + p + length, end)
+                here = place[first:first + n]
+                p, left, right = here >> 16, (here >> 8) & 0xFF, here & 0xFF
+                start = base[row - k0] + p
                 data = np.frombuffer(b"".join(texts), np.uint8)
                 for c in range(0, n, 20_000):                    # bounds an output batch
                     z = slice(c, min(n, c + 20_000))
-                    width = (stop - start)[z]
-                    out = data[T.take_ranges(start[z], width)]
-                    offs = np.concatenate([[0], np.cumsum(width)]).astype(np.int32)
                     m = z.stop - z.start
+                    begins = np.stack([start[z] - left[z], start[z] + gram], 1).ravel()
+                    out = data[T.take_ranges(begins, np.stack([left[z], right[z]], 1).ravel())]
+                    offs = np.concatenate([[0], np.cumsum(left[z] + right[z])]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([
                         fp.slice(first + c, m), b.column("dk").take(pa.array(row[z])), b.column("tie").take(pa.array(row[z])), pa.array(p[z]), pa.array(left[z].astype(np.int32)), hot.slice(first + c, m),
                         pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(offs), pa.py_buffer(out)])], ["fp", "dk", "tie", "at", "l", "hot", "s"])
@@ -174,18 +237,19 @@ def merge(fp: np.ndarray, rank: np.ndarray, left: np.ndarray, data: np.ndarray,
     """Which strings repeat: [d, i] for the string that starts d bytes before the anchor of context i.
 
     ``fp``: sorted.  ``rank``: the contexts' places in the order of documents
-    and positions.  ``left``: bytes a context has before its anchor.
+    and positions.  ``left``: bytes a context has before its anchor; those
+    behind it follow at once, the anchor itself is left out.
     """
     n, reach = len(fp), length - gram
     group = np.cumsum(np.concatenate([[0], (fp[1:] != fp[:-1]).astype(np.int64)])) << 9
-    anchor, size = offsets[:-1] + left, np.diff(offsets)
-    right = size - left
+    anchor = offsets[:-1] + left
+    right = np.diff(offsets) - left
     out = np.zeros((reach + 1, n), bool)
     order = np.arange(n)                                          # the interleave: shard after shard, by anchor
     lcp = np.zeros(n + 1, np.int32)
 
     def refine(column: int) -> None:
-        """From the order of the suffixes after ``column`` (counted from the anchor) to that of those from it on."""
+        """From the order of the suffixes after ``column`` (counted from the anchor's end, before it below 0) to that of those from it on."""
         nonlocal order, lcp
         has = column < right if column >= 0 else -column <= left
         symbol = data[np.clip(anchor + column, 0, len(data) - 1)].astype(np.int64)
@@ -207,7 +271,7 @@ def merge(fp: np.ndarray, rank: np.ndarray, left: np.ndarray, data: np.ndarray,
         lcp = new
 
     # before the first column every suffix is empty and equals its neighbour so far
-    for column in range(length - 1, gram - 1, -1):
+    for column in range(reach - 1, -1, -1):
         refine(column)
     lcp[:-1][1:] += gram * (fp[order][1:] == fp[order][:-1])      # the anchor itself: equal throughout a group
     for d in range(reach + 1):
@@ -291,12 +355,15 @@ def _merged(contexts: DataFrame, length: int, gram: int) -> DataFrame:
 
 def _as_rows(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     """The same for hot anchors: every string of a context as a row, the earliest start by its hash."""
+    size = length - gram
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for dk, tie, at, left, s in zip(*(b.column(c).to_pylist() for c in ("dk", "tie", "at", "l", "s")), strict=True):
-                starts = range(max(0, len(s) - length + 1))
-                got = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s[k:k + length]) for k in starts), "<i8").reshape(-1, 2)
-                m = len(got)
+            for fp, dk, tie, at, left, s in zip(*(b.column(c).to_pylist() for c in ("fp", "dk", "tie", "at", "l", "s")), strict=True):
+                m = max(0, len(s) - size + 1)                     # strings start left, left - 1, ... bytes before the anchor
+                if not m:
+                    continue
+                got = np.frombuffer(b"".join(xxhash.xxh3_128_digest(b"%d %d " % (fp, left - k) + s[k:k + size]) for k in range(m)), "<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(got[:, 0])), pa.array(np.ascontiguousarray(got[:, 1])), pa.array(np.full(m, dk)), pa.array(np.full(m, tie)), pa.array(at - left + np.arange(m))], ["h1", "h2", "dk", "tie", "x"])
 
     rows = contexts.mapInArrow(run, "h1 bigint, h2 bigint, dk bigint, tie bigint, x bigint")
@@ -310,18 +377,21 @@ def remove_repeats(df: DataFrame, *, length: int = LENGTH, gram: int = GRAM, hot
     tune(df.sparkSession)
     other = [F.col(f"`{c}`") for c in df.columns if with_text and c not in (id_col, text_col)]
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), (F.struct(*other) if other else F.lit(True)).alias("rest"))
-    each = stored(_anchored(docs.select("doc_id", "text"), length, gram), "anchors")
-    flat = each.select("dk", "tie", F.explode(F.arrays_zip("fps", "ats")).alias("p")).select("dk", "tie", F.col("p.fps").alias("fp"), F.col("p.ats").alias("at"))
-    counts = each.select(F.explode("fps").alias("fp")).groupBy("fp").agg(F.count("*").alias("c")).filter("c > 1")
-    repeated = stored(counts.select("fp", (F.col("c") > hot).alias("hot")), "repeated")
-    own = flat.join(repeated, "fp").groupBy("dk", "tie").agg(F.collect_set(F.struct("fp", "at", "hot")).alias("own"))  # as many as the text has anchors
-
-    texts = _prepared(docs)
+    key, plain = F.coalesce("doc_id", F.lit(_LAST)).alias("dk"), docs.select("doc_id", "text")
+    tied = not docs.select(key).groupBy("dk").count().filter("count > 1").isEmpty()
+    twice = stored(_repeated(_anchored(plain, length, gram, tied, known=False), hot), "repeated")
+    over = twice.filter("dk is null").select("fp", F.lit(True).alias("hot"))
+    any_hot = not over.isEmpty()
+    places = twice.filter("dk is not null").unionByName(_anchored(plain, length, gram, tied, known=True).drop("many"))
+    places = places.join(over, "fp", "left").withColumn("hot", F.coalesce("hot", F.lit(False))) if any_hot else places.withColumn("hot", F.lit(False))
+    own = places.groupBy("dk", "tie").agg(F.collect_set(F.struct("fp", "at", "hot")).alias("own"))  # as many as the text has anchors
+
+    texts = _prepared(docs, tied)
     # both joins read the same shuffle of the texts
-    contexts = _contexts(texts.join(own, ["dk", "tie"]).select("doc_id", "dk", "tie", "z", "rest", "own"), length, gram)
+    contexts = _contexts(texts.join(own, ["dk", "tie"]).select("doc_id", "dk", "tie", "z", "rest", "own"), gram)
     cold = _merged(contexts.filter(~F.col("hot")).drop("hot"), length, gram)
     ranges = cold
-    if not repeated.filter("hot").isEmpty():
+    if any_hot:
         ranges = ranges.unionByName(_as_rows(contexts.filter("hot").drop("hot"), length, gram))
     ranges = ranges.groupBy("dk", "tie").agg(F.collect_set(F.struct("x", "z")).alias("ranges"))
 
