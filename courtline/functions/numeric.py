@@ -39,12 +39,3 @@ def avg_parts(name: str, c: Column, scale: int = 0) -> list[Column]:
 def avg_rounded(name: str, decimals: int, scale: int = 0) -> Column:
     """The rounded average from the columns made by :func:`avg_parts`."""
     return round_ratio(F.col(f"_s_{name}"), F.col(f"_n_{name}"), decimals, scale).alias(name)
-
-
-def avg_rounded_sql(col: str, decimals: int, scale: int = 0) -> str:
-    """The same computation as SQL text (used by the DuckDB oracle)."""
-    m, p = 10 ** scale, 10 ** decimals
-    s = f"sum(cast(round({col} * {m}) as bigint))" if scale else f"sum(cast({col} as bigint))"
-    n = f"count({col})"
-    return (f"(case when {n} > 0 then (case when {s} < 0 then -1 else 1 end) * "
-            f"((abs({s}) * {2 * p} + {n} * {m}) // ({n} * {2 * m})) / {float(p)} end)")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtline.league import League
+from courtline.registry_store import league
 from courtline.operators import preview, upsert as up
 from courtline.sources import ingest as ing
 from courtline.sources.sinks import csv_roundtrip
@@ -44,7 +45,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return League.from_testdata(spark, sf_dir).raw["results"]
+    return league(spark, sf_dir).raw["results"]
 
 
 def phase_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,16 +60,13 @@ def phase_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rk = League.from_testdata(spark, sf_dir).raw["team_rankings"]
-    latest = rk.filter(F.col("snapshot_date") == rk.select(F.max("snapshot_date")).scalar())
-    cols = ["position", "no_player1", "no_player2", "team_name", "earned_points"]
-    lists = {(t, g): latest.filter((F.col("ranking_type") == t) & (F.col("gender") == g)).select(*cols)
-             for t in ("beach_world_tour", "beach_olympic") for g in ("M", "W")}
-    return up.snapshot_stamp(lists, F.to_date(_lit_ts(AS_OF)))
+    rk = league(spark, sf_dir).raw["team_rankings"]
+    fetched = rk.withColumnRenamed("snapshot_date", "fetched_on")
+    return up.snapshot_stamp(fetched, F.date_add("fetched_on", 1))
 
 
 def expand_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = League.from_testdata(spark, sf_dir).raw["tournaments"]
+    t = league(spark, sf_dir).raw["tournaments"]
     return up.expand_set(t, F.to_date(_lit_ts(AS_OF)), FIXTURE_MIN_YEAR)
 
 
@@ -93,13 +91,13 @@ def _checked_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def empty_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lg = League.from_testdata(spark, sf_dir)
+    lg = league(spark, sf_dir)
     return up.empty_checks(_checked_ids(spark, sf_dir), lg.raw["results"], lg.raw["rounds"],
                            _lit_ts(AS_OF))
 
 
 def ingest_skip_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lg = League.from_testdata(spark, sf_dir)
+    lg = league(spark, sf_dir)
     res, rnd = _ingest_times(lg)
     checks = up.empty_checks(_checked_ids(spark, sf_dir), lg.raw["results"], lg.raw["rounds"],
                              _lit_ts(AS_OF))
@@ -114,12 +112,12 @@ def ingest_skip_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = League.from_testdata(spark, sf_dir).raw["tournaments"]
+    t = league(spark, sf_dir).raw["tournaments"]
     return up.source_filter_tournaments(t, SOURCE_SEASONS)
 
 
 def source_filter_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = League.from_testdata(spark, sf_dir).raw["events"]
+    e = league(spark, sf_dir).raw["events"]
     return up.source_filter_events(e, EVENT_RANGE[0], EVENT_RANGE[1])
 
 
@@ -214,7 +212,7 @@ def match_bodies(m: DataFrame) -> DataFrame:
 
 
 def norm_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = League.from_testdata(spark, sf_dir).raw["matches"]
+    m = league(spark, sf_dir).raw["matches"]
     recs = ing.usable(ing.parse_json(match_bodies(m)))
     return ing.norm_match(recs, ingested_at=_lit_ts(UPSERT_AT)).filter(
         F.col("match_id").isNotNull()).drop("payload")
@@ -254,7 +252,7 @@ def team_bodies(t: DataFrame) -> DataFrame:
 
 
 def norm_team(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = League.from_testdata(spark, sf_dir).raw["teams"]
+    t = league(spark, sf_dir).raw["teams"]
     recs = ing.parse_xml(team_bodies(t), "BeachTeam",
                          ["No", "NoTournament", "NoPlayer1", "NoPlayer2", "CountryCode", "Status",
                           "ValidFrom", "ValidTo"])
@@ -326,7 +324,7 @@ def result_bodies(r: DataFrame) -> DataFrame:
 
 
 def norm_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = League.from_testdata(spark, sf_dir).raw["results"]
+    r = league(spark, sf_dir).raw["results"]
     recs = ing.parse_xml(result_bodies(r), "BeachTeamRanking",
                          ["Rank", "Position", "NoTeam", "EarnedPointsTeam", "Points",
                           "EarningsTotalTeam", "PrizeMoney"], wrapper="BeachTournamentRanking")
@@ -346,7 +344,7 @@ def round_bodies(r: DataFrame) -> DataFrame:
 
 
 def norm_round(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = League.from_testdata(spark, sf_dir).raw["rounds"]
+    r = league(spark, sf_dir).raw["rounds"]
     recs = ing.parse_xml(round_bodies(r), "BeachRound",
                          ["No", "NoTournament", "Code", "Name", "Bracket", "Phase", "StartDate",
                           "EndDate", "RankMethod"])
@@ -366,7 +364,7 @@ def round_ranking_bodies(r: DataFrame) -> DataFrame:
 
 
 def norm_round_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = League.from_testdata(spark, sf_dir).raw["results"]
+    r = league(spark, sf_dir).raw["results"]
     recs = ing.usable(ing.parse_xml(round_ranking_bodies(r), "BeachRoundRanking",
                                     ["Position", "Rank", "TeamFederationCode", "TeamName",
                                      "MatchPoints", "MatchesWon", "MatchesLost"]), ["Position"])
@@ -385,7 +383,7 @@ def team_ranking_bodies(rk: DataFrame) -> DataFrame:
 
 
 def norm_team_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rk = League.from_testdata(spark, sf_dir).raw["team_rankings"]
+    rk = league(spark, sf_dir).raw["team_rankings"]
     recs = ing.usable(ing.parse_json(team_ranking_bodies(rk)), ["Position"])
     return ing.norm_team_ranking(recs, F.col("ranking_type"), F.col("snapshot_date"),
                                  F.col("gender"), _lit_ts(UPSERT_AT)).drop("payload")

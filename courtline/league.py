@@ -6,18 +6,20 @@ property; Catalyst sees each requested model as one plan.
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Mapping
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from courtline.plans import analytics, core, marts, ratings
 from courtline.plans.staging import staging
 from courtline.sources import league as fixture
+from courtline.sources.tables import LazyTables
 
 
 class League:
-    def __init__(self, raw: dict[str, DataFrame], asof_method: str = "fill", store=None):
-        """``store(name, df) -> df`` materialises reused models (None: keep them as plans)."""
+    def __init__(self, raw: Mapping[str, DataFrame], asof_method: str = "fill", store=None):
+        """``store(name, build) -> df`` materialises reused models (None: keep them as plans)."""
         self.raw = raw
         self.stg = staging(raw)
         self.asof_method = asof_method
@@ -29,18 +31,21 @@ class League:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, asof_method: str = "fill",
-                      materialize: bool = True) -> "League":
+                      tables: "fixture.TableStore | None" = None) -> "League":
         """Models over the raw layer derived from the driver's tables.
 
-        With ``materialize`` the raw layer is written once per session (as a
-        real warehouse's raw tables are stored); otherwise it stays a plan.
+        ``tables`` is the caller's store: raw tables and reused models are written
+        there when first asked for, and used again by every League with the same
+        store and unchanged input files.  Without one, a new store is made.
         """
         from courtline.session import configure
         configure(spark)
-        if not materialize:
-            return cls(fixture.raw_tables(spark, sf_dir), asof_method)
-        store = fixture.ModelStore(spark, (sf_dir.rstrip("/"), asof_method))
-        return cls(fixture.materialized_raw_tables(spark, sf_dir), asof_method, store)
+        tables = tables if tables is not None else fixture.TableStore()
+        version = fixture.input_version(spark, sf_dir)
+        plans = fixture.raw_tables(spark, sf_dir)
+        raw = LazyTables({n: partial(tables, spark, (version, "raw", n), lambda df=df: df)
+                          for n, df in plans.items()})
+        return cls(raw, asof_method, lambda name, build: tables(spark, (version, asof_method, name), build))
 
     # core
     @cached_property
@@ -56,11 +61,16 @@ class League:
     def fct_team_rankings(self) -> DataFrame:
         return core.fct_team_rankings(self.stg["team_rankings"], self.stg["players"])
 
+    @cached_property
+    def match_spine(self) -> DataFrame:
+        """Matches with tournament, round and both teams; three steps of the fact read it."""
+        return self._stored("match_spine", lambda: core.match_base(
+            self.stg["matches"], self.dim_tournaments, self.stg["rounds"], self.dim_team_tournaments))
+
     @cached_property
     def fct_matches(self) -> DataFrame:
         return self._stored("fct_matches", lambda: core.fct_matches(
-            self.stg["matches"], self.dim_tournaments, self.stg["rounds"], self.stg["teams"],
-            self.stg["players"], self.stg["team_rankings"], self.asof_method))
+            self.match_spine, self.stg["team_rankings"], self.asof_method))
 
     @cached_property
     def fct_tournament_standings(self) -> DataFrame:
@@ -106,11 +116,7 @@ class League:
 
     @cached_property
     def elo_expected_score(self) -> DataFrame:
-        from pyspark.sql import functions as F
-        return self.elo_ratings.select(
-            "player_id", "gender", "match_id",
-            F.round("expected", 6).alias("expected_score"),
-            F.round("expected_rw", 6).alias("expected_score_rw"))
+        return ratings.expected_scores(self.elo_match_feed, self.elo_ratings)
 
     def _history(self, rw: bool) -> DataFrame:
         return ratings.elo_history(self.elo_ratings, round_weighted=rw)
@@ -168,6 +174,10 @@ class League:
         return analytics.perf_over_time(self.tournament_mart, majors_only=True, gender="W",
                                         time_axis="season_year")
 
+    @cached_property
+    def perf_over_time_all(self) -> DataFrame:
+        return analytics.perf_over_time(self.tournament_mart)
+
     @cached_property
     def elo_history_components(self) -> DataFrame:
         """``elo_history`` rated per connected component of players (same rows)."""

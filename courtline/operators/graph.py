@@ -14,13 +14,14 @@ from courtline.session import ensure_checkpoint_dir
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
-                         max_iterations: int = 200, checkpoint_every: int = 4) -> DataFrame:
+                         checkpoint_every: int = 4) -> DataFrame:
     """(node, component): component = smallest node id connected to the node.
 
     Each round sends every node's label to its neighbours and keeps the
     minimum: one join and one aggregation, both keyed by node.  The driver
     only sees the number of labels that changed.  Lineage is cut every few
-    rounds with ``checkpoint()`` into the shared checkpoint folder.
+    rounds with ``checkpoint()`` into the shared checkpoint folder.  Rounds go
+    on until no label changes, however long the longest path is.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -29,7 +30,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     und = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     und = und.repartition("a").checkpoint()
     labels = und.select(F.col("a").alias("node")).distinct().withColumn("comp", F.col("node"))
-    for i in range(1, max_iterations + 1):
+    i = 0
+    while True:
+        i += 1
         sent = und.join(labels, und["a"] == labels["node"]).select(
             F.col("b").alias("node"), F.col("comp"))
         new = labels.unionByName(sent).groupBy("node").agg(F.min("comp").alias("comp"))
@@ -39,5 +42,4 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                    .filter(F.col("n.comp") != F.col("o.comp")).limit(1).count())
         labels = new
         if changed == 0:
-            break
-    return labels
+            return labels

@@ -21,16 +21,31 @@ PROFILE_COLUMNS = ["table", "column", "data_type", "row_count", "null_count",
                    "null_proportion", "distinct_count", "min", "max"]
 
 
-def _value_struct(name: str, dt: T.DataType, pos: int) -> Column:
-    c = F.col(f"`{name}`")
-    long_v = c.cast("long") if isinstance(dt, _INTEGRAL) else F.lit(None).cast("long")
-    dbl_v = c.cast("double") if isinstance(dt, _FRACTIONAL) else F.lit(None).cast("double")
-    is_num = isinstance(dt, _INTEGRAL + _FRACTIONAL)
-    str_v = F.lit(None).cast("string") if is_num else c.cast("string")
-    return F.struct(F.lit(pos).alias("pos"), F.lit(name).alias("column"),
-                    F.lit(dt.simpleString()).alias("data_type"),
-                    F.lit(isinstance(dt, _TEMPORAL) or is_num).alias("ordered"),
-                    long_v.alias("v_long"), dbl_v.alias("v_double"), str_v.alias("v_str"))
+# A value sits in the slot of its kind; a DECIMAL keeps all its digits (scales differ, so values are normalised).
+_SLOTS = {"v_long": "bigint", "v_double": "double", "v_decimal": "decimal(38,18)", "v_str": "string"}
+_WIDE = "v_wide"
+
+
+def _slot(dt: T.DataType) -> str:
+    if isinstance(dt, _INTEGRAL):
+        return "v_long"
+    if isinstance(dt, T.DecimalType):
+        # the slot holds 20 digits before and 18 after the point; a wider column is aggregated on its own
+        return "v_decimal" if dt.precision - dt.scale <= 20 and dt.scale <= 18 else _WIDE
+    return "v_double" if isinstance(dt, _FRACTIONAL) else "v_str"
+
+
+def _cell(name: str, dt: T.DataType, pos: int) -> Column:
+    c, own = F.col(f"`{name}`"), _slot(dt)
+    slots = [(c.cast(t) if s == own else F.lit(None).cast(t)).alias(s) for s, t in _SLOTS.items()]
+    return F.struct(F.lit(pos).alias("pos"), F.lit(name).alias("column"), F.lit(dt.simpleString()).alias("data_type"),
+                    F.lit(own != "v_str" or isinstance(dt, _TEMPORAL)).alias("ordered"), *slots)
+
+
+def _plain(c: Column) -> Column:
+    """A decimal's digits without trailing zeros."""
+    text = c.cast("string")
+    return F.when(text.contains("."), F.regexp_replace(F.regexp_replace(text, "0+$", ""), "[.]$", "")).otherwise(text)
 
 
 def profile(df: DataFrame, table: str) -> DataFrame:
@@ -39,31 +54,45 @@ def profile(df: DataFrame, table: str) -> DataFrame:
     One pass: every row is unpivoted into (column, value); a first aggregation
     keyed by (column, value) counts occurrences (map-side combined, so a hot
     value costs one row per task), a second one per column sums them up with
-    partial aggregation, so no task receives all values of a column.
+    partial aggregation, so no task receives all values of a column.  DECIMAL
+    values stay exact; a column too wide for the common slot is aggregated in
+    its own type.
     """
-    fields = df.schema.fields
-    cells = F.explode(F.array(*[_value_struct(f.name, f.dataType, i)
-                                for i, f in enumerate(fields)]))
-    x = df.select(cells.alias("c")).select("c.*")
-    per_value = x.groupBy("pos", "column", "data_type", "ordered", "v_long", "v_double",
-                          "v_str").agg(F.count(F.lit(1)).alias("n"))
-    is_null = F.col("v_long").isNull() & F.col("v_double").isNull() & F.col("v_str").isNull()
-    agg = per_value.groupBy("pos", "column", "data_type", "ordered").agg(
-        F.sum("n").alias("row_count"),
-        F.sum(F.when(is_null, F.col("n")).otherwise(0)).alias("null_count"),
-        F.count_if(~is_null).alias("distinct_count"),
-        F.min("v_long").alias("min_l"), F.max("v_long").alias("max_l"),
-        F.min("v_double").alias("min_d"), F.max("v_double").alias("max_d"),
-        F.min("v_str").alias("min_s"), F.max("v_str").alias("max_s"))
-    ordered = F.col("ordered")
-    lo = F.when(ordered, F.coalesce(F.col("min_l").cast("string"), F.col("min_d").cast("string"),
-                                    F.col("min_s")))
-    hi = F.when(ordered, F.coalesce(F.col("max_l").cast("string"), F.col("max_d").cast("string"),
-                                    F.col("max_s")))
-    return agg.select(
+    fields = list(enumerate(df.schema.fields))
+    wide = [(i, f) for i, f in fields if _slot(f.dataType) == _WIDE]
+    parts = []
+    if len(wide) < len(fields):
+        cells = F.explode(F.array(*[_cell(f.name, f.dataType, i) for i, f in fields if _slot(f.dataType) != _WIDE]))
+        x = df.select(cells.alias("c")).select("c.*")
+        values = list(_SLOTS)
+        per_value = x.groupBy("pos", "column", "data_type", "ordered", *values).agg(F.count(F.lit(1)).alias("n"))
+        is_null = F.coalesce(*[F.col(v).cast("string") for v in values]).isNull()
+        agg = per_value.groupBy("pos", "column", "data_type", "ordered").agg(
+            F.sum("n").alias("row_count"),
+            F.sum(F.when(is_null, F.col("n")).otherwise(0)).alias("null_count"),
+            F.count_if(~is_null).alias("distinct_count"),
+            *[f(v).alias(f"{m}_{v}") for m, f in (("min", F.min), ("max", F.max)) for v in values])
+
+        def end(m: str) -> Column:
+            shown = [_plain(F.col(f"{m}_{v}")) if v == "v_decimal" else F.col(f"{m}_{v}").cast("string") for v in values]
+            return F.when(F.col("ordered"), F.coalesce(*shown)).alias(m)
+
+        parts.append(agg.select("pos", "column", "data_type", "row_count", "null_count", "distinct_count", end("min"), end("max")))
+    for i, f in wide:
+        v = F.col(f"`{f.name}`")
+        counts = df.groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counts.agg(
+            F.sum("n").alias("row_count"), F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
+            F.count("v").alias("distinct_count"), _plain(F.min("v")).alias("min"), _plain(F.max("v")).alias("max")).select(
+            F.lit(i).alias("pos"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("data_type"),
+            "row_count", "null_count", "distinct_count", "min", "max").filter(F.col("row_count").isNotNull()))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(
         F.lit(table).alias("table"), "column", "data_type", "row_count", "null_count",
         round_ratio(F.col("null_count"), F.col("row_count"), 4).alias("null_proportion"),
-        "distinct_count", lo.alias("min"), hi.alias("max"), "pos").orderBy("pos").drop("pos")
+        "distinct_count", "min", "max", "pos").orderBy("pos").drop("pos")
 
 
 def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Keyed upsert and the incremental-ingest decisions.
 
-``upsert`` produces the new state of a keyed table as a DataFrame: one shuffle
-on the key (union of target and batch, newest per key).  Writing it is the
+``upsert`` produces the new state of a keyed table as a DataFrame: the target
+less the batch's keys, and the newest row of each key of the batch.  Writing it is the
 caller's choice (``courtline.sources.sinks``); on a table format with MERGE
 the same keys and order give the same result.
 """
@@ -36,13 +36,21 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], seq: str,
     Within the batch the row with the greatest ``seq`` wins; ``ingested_at``
     of replaced or inserted rows is set to the given time; target rows whose
     key is not in the batch are kept unchanged.  Columns are the target's.
+
+    Only the batch is aggregated.  The target loses the batch's keys by an
+    anti-join, for which Spark broadcasts the keys when they measure small, so
+    a small batch moves no row of the target.  A target holds a key once; keys
+    with a NULL are matched like any other value.
     """
     cols = [c for c in target.columns]
     b = batch.withColumn("ingested_at", ingested_at.cast("timestamp")) \
         if "ingested_at" in cols else batch
-    u = (target.select(*cols, F.lit(0).alias("_src"))
-         .unionByName(b.select(*cols, F.lit(1).alias("_src"))))
-    return last_wins(u, keys, ["_src", seq]).select(*cols)
+    newest = last_wins(b.select(*cols), keys, [seq])
+    gone = newest.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return target.select(*cols).join(gone, same, "left_anti").unionByName(newest)
 
 
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -69,14 +77,11 @@ def phase_merge(phases: Mapping[str, DataFrame], keys: Sequence[str],
     return last_wins(u, keys, ["_prio"]).drop("_prio")
 
 
-def snapshot_stamp(lists: Mapping[tuple[str, str], DataFrame], snapshot_date: Column) -> DataFrame:
-    """Stamp each fetched ranking list with its type, gender and the snapshot date."""
-    u = None
-    for (rtype, gender), df in lists.items():
-        s = df.select(F.lit(rtype).alias("ranking_type"), snapshot_date.cast("date").alias("snapshot_date"),
-                      F.lit(gender).alias("gender"), *df.columns)
-        u = s if u is None else u.unionByName(s)
-    return u
+def snapshot_stamp(lists: DataFrame, snapshot_date: Column) -> DataFrame:
+    """Stamp the rows of fetched ranking lists (each with its type and gender) with the snapshot
+    date, all lists in one pass."""
+    return lists.select("ranking_type", snapshot_date.cast("date").alias("snapshot_date"), "gender",
+                        *[c for c in lists.columns if c not in ("ranking_type", "snapshot_date", "gender")])
 
 
 def tournament_year(season: Column, start: Column, end: Column) -> Column:

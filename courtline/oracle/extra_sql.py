@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from courtline.oracle.sql import model_sql
 
-# Column catalogue of the profiled driver tables (name, Spark type name).
-PROFILE_SCHEMAS = {
-    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
-                 ("c_acctbal", "double"), ("c_mktsegment", "string")],
-    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
-               ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"),
-               ("o_orderpriority", "string")],
+# Column catalogue of the raw layer (name and type letter: l bigint, i int, f double, s string, d date, t timestamp, b boolean).
+_TYPES = {"l": "bigint", "i": "int", "f": "double", "s": "string", "d": "date", "t": "timestamp", "b": "boolean"}
+_COLUMNS = {
+    "raw_players": "player_id:l first_name:s last_name:s full_name:s gender:s birth_date:d height_cm:i country_code:s profile_url:s",
+    "raw_tournaments": "tournament_id:l name:s season:s tier:s start_date:d end_date:d city:s country_code:s country_name:s gender:s status:s timezone:s",
+    "raw_teams": "team_id:l tournament_id:l player_a_id:l player_b_id:l country_code:s status:s valid_from:d valid_to:d",
+    "raw_matches": "match_id:l tournament_id:l phase:s round:s team1_id:l team2_id:l winner_team_id:l score_sets:s duration_minutes:i played_at:t result_type:s status:s",
+    "raw_results": "tournament_id:l team_id:l finishing_pos:i points:i prize_money:f",
+    "raw_rounds": "round_id:l tournament_id:l code:s name:s bracket:s phase:s start_date:d end_date:d rank_method:s",
+    "raw_team_rankings": "ranking_type:s snapshot_date:d gender:s position:i no_player1:l no_player2:l team_name:s earned_points:i",
+    "raw_events": "event_id:l code:s name:s start_date:d end_date:d type:s no_parent_event:l country_code:s has_beach_tournament:b has_men_tournament:b has_women_tournament:b is_vis_managed:b",
 }
-_ORDERED = {"bigint", "int", "double", "timestamp_ntz", "date"}
+PROFILE_SCHEMAS = {t: [(c.split(":")[0], _TYPES[c[-1]]) for c in cols.split()] for t, cols in _COLUMNS.items()}
+_ORDERED = {"bigint", "int", "double", "timestamp", "date"}
 
 
 def _profile_sql() -> str:
@@ -63,10 +68,12 @@ def _schema_tests_sql() -> str:
 def queries() -> dict[str, str]:
     from courtline.oracle.elo_sql import ELO_CTES
     out = {
-        "column_profile": _profile_sql(),
+        "column_profile": model_sql(_profile_sql()),
         "minmax_profile": """
 select cast(min(o_orderkey) as double) as o_orderkey_min, cast(max(o_orderkey) as double) as o_orderkey_max,
        cast(min(o_custkey) as double) as o_custkey_min, cast(max(o_custkey) as double) as o_custkey_max,
+       min(o_orderstatus) as o_orderstatus_min, max(o_orderstatus) as o_orderstatus_max,
+       min(o_orderpriority) as o_orderpriority_min, max(o_orderpriority) as o_orderpriority_max,
        min(o_totalprice) as o_totalprice_min, max(o_totalprice) as o_totalprice_max,
        cast(min(o_orderdate) as date) as o_orderdate_min, cast(max(o_orderdate) as date) as o_orderdate_max
 from orders""",

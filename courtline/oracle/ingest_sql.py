@@ -44,9 +44,7 @@ where not exists (select 1 from b where b.user_id = t.user_id)""",
 select tournament_id, team_id, finishing_pos, points, prize_money, phase from phased
 qualify row_number() over (partition by tournament_id, team_id order by prio desc) = 1"""),
     "snapshot_stamp": model_sql("""
-select ranking_type, date '2001-09-01' as snapshot_date, gender, position, no_player1, no_player2, team_name,
-       earned_points
-from raw_team_rankings where snapshot_date = (select max(snapshot_date) from raw_team_rankings)"""),
+select * exclude (snapshot_date), snapshot_date as fetched_on, cast(snapshot_date + 1 as date) as snapshot_date from raw_team_rankings"""),
     "expand_set": model_sql(_EXPAND),
     "empty_checks": model_sql(_CHECKS),
     "ingest_skip_set": model_sql(f"""

@@ -2,11 +2,10 @@
 
 LG_CTES = r"""
 lg_players as (
-  select c_custkey + 1 as player_id, c_name as full_name, n_name as country_code,
+  select case when c_custkey = 40 then -41 else c_custkey + 1 end as player_id, c_name as full_name, n_name as country_code,
          case when c_custkey % 2 = 0 then 'M' else 'W' end as gender,
          case when c_custkey % 11 = 0 then null else cast(160 + c_custkey % 50 as int) end as height_cm
-  from customer join nation on n_nationkey = c_nationkey
-  where c_custkey <> 40),
+  from customer join nation on n_nationkey = c_nationkey),
 lg_base as (
   select o_orderkey as match_id, cast(o_orderdate as date) as d, o_orderstatus as st, o_custkey % 2 as g,
          (year(o_orderdate) * 100 + month(o_orderdate)) * 10 + o_custkey % 2 as tournament_id,

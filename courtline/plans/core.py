@@ -90,41 +90,13 @@ def _phase_text(r_phase: Column, m_phase: Column) -> Column:
     return F.lower(F.coalesce(r_phase, m_phase, F.lit("")))
 
 
-def attach_team(df: DataFrame, team_col: str, tid_col: str, stg_teams: DataFrame,
-                stg_players: DataFrame, prefix: str,
-                extra: tuple[str, ...] = ()) -> DataFrame:
-    """Left-join a team row and its two players onto ``df`` (star join on base tables).
-
-    The same rows as joining ``dim_team_tournaments`` (teams left-joined to
-    players), reassociated so each join has a stored table on its right:
-    Spark checks the file size of each against the broadcast threshold and
-    broadcasts it, or falls back to a shuffle join beyond it.
-    """
-    t = stg_teams.select(
-        F.col("team_id").alias(f"{prefix}team_id"), F.col("tournament_id").alias(f"{prefix}tid"),
-        F.col("player_a_id").alias(f"{prefix}player_a_id"),
-        F.col("player_b_id").alias(f"{prefix}player_b_id"),
-        F.col("country_code").alias(f"{prefix}country_code"))
-    pcols = ["full_name", *extra]
-    pa = stg_players.select(F.col("player_id").alias(f"{prefix}pa_id"),
-                            *[F.col(c).alias(f"{prefix}pa_{c}") for c in pcols])
-    pb = stg_players.select(F.col("player_id").alias(f"{prefix}pb_id"),
-                            *[F.col(c).alias(f"{prefix}pb_{c}") for c in pcols])
-    j = (df.join(t, (F.col(f"{prefix}team_id") == F.col(team_col))
-                 & (F.col(f"{prefix}tid") == F.col(tid_col)), "left")
-         .join(pa, F.col(f"{prefix}pa_id") == F.col(f"{prefix}player_a_id"), "left")
-         .join(pb, F.col(f"{prefix}pb_id") == F.col(f"{prefix}player_b_id"), "left"))
-    name = lambda c: F.coalesce(F.col(c), F.lit("Unknown"))
-    # a name only where a team row matched, as the dimension's column would be
-    return j.withColumn(f"{prefix}team_display_name",
-                        F.when(F.col(f"{prefix}team_id").isNotNull(),
-                               F.concat(name(f"{prefix}pa_full_name"), F.lit(" / "),
-                                        name(f"{prefix}pb_full_name"))))
-
-
 def match_base(stg_matches: DataFrame, dim_t: DataFrame, stg_rounds: DataFrame,
-               stg_teams: DataFrame, stg_players: DataFrame) -> DataFrame:
-    """Matches with tournament, round and both team rows (the left-join spine).
+               dim_tt: DataFrame) -> DataFrame:
+    """Matches with tournament, round and both teams (the left-join spine).
+
+    Players come with the stored team dimension, which is far smaller than the
+    matches; so match rows are only ever dealt out by (tournament, team), of
+    which there are many, and never by a single player.
 
     A duplicated (tournament, round code) multiplies matches here, as the
     model definition does; nothing downstream hides it except the Elo feed.
@@ -137,8 +109,11 @@ def match_base(stg_matches: DataFrame, dim_t: DataFrame, stg_rounds: DataFrame,
     j = (m.join(dt, F.col("dt.tournament_id") == F.col("m.tournament_id"), "left")
          .join(r, (F.col("r.tournament_id") == F.col("m.tournament_id"))
                & (F.col("r.code") == F.col("m.round_code")), "left"))
-    j = attach_team(j, "m.team1_id", "m.tournament_id", stg_teams, stg_players, "t1_")
-    j = attach_team(j, "m.team2_id", "m.tournament_id", stg_teams, stg_players, "t2_")
+    for n in (1, 2):
+        team = dim_tt.select(*[F.col(c).alias(f"t{n}_{c}") for c in (
+            "team_id", "tournament_id", "player_a_id", "player_b_id", "country_code", "team_display_name")])
+        j = j.join(team, (F.col(f"t{n}_tournament_id") == F.col("m.tournament_id"))
+                   & (F.col(f"t{n}_team_id") == F.col(f"m.team{n}_id")), "left")
     match_ts = F.coalesce(F.col("m.played_at"), F.col("r.start_date"), F.col("dt.start_date"))
     return j.select(
         "m.match_id", "m.tournament_id", "m.played_at",
@@ -208,10 +183,9 @@ FCT_MATCH_COLUMNS = [
     "is_pool_phase", "higher_seed_won"]
 
 
-def fct_matches(stg_matches: DataFrame, dim_t: DataFrame, stg_rounds: DataFrame,
-                stg_teams: DataFrame, stg_players: DataFrame, stg_rankings: DataFrame,
-                method: str = "fill") -> DataFrame:
-    base = match_base(stg_matches, dim_t, stg_rounds, stg_teams, stg_players)
+def fct_matches(base: DataFrame, stg_rankings: DataFrame, method: str = "fill") -> DataFrame:
+    """M12 from the spine of :func:`match_base`, best a stored table: it is read for the as-of keys,
+    for their way back to matches, and for the output."""
     ranks = match_side_rankings(base, ranking_snapshots(stg_rankings), method)
     j = base.join(ranks, "match_id", "left")
     winner, t1 = F.col("winner_team_id"), F.col("team1_id")

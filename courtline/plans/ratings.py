@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtline.operators.elo import rate, round_weight
+from courtline.operators.elo import INITIAL_RATING, expected_score, rate, round_weight
 from courtline.operators.pairs import latest_per_key
 
 FEED_COLUMNS = ["match_id", "match_date", "played_at", "tournament_start_date",
@@ -62,6 +62,29 @@ def elo_ratings(feed: DataFrame, pools: str = "gender") -> DataFrame:
     return r.dropDuplicates(["player_id", "gender", "match_id"])
 
 
+def expected_scores(feed: DataFrame, ratings: DataFrame) -> DataFrame:
+    """E2 over given ratings: each player's expected score from both sides' mean rating before the match."""
+    before = Window.partitionBy("player_id", "gender").orderBy("as_of_date", "match_id")
+    kinds = ("elo", "elo_rw")
+    prior = ratings.select("player_id", "gender", "match_id", *[
+        F.lag(c, 1, INITIAL_RATING).over(before).alias(c) for c in kinds])
+    f = weighted_feed(feed).filter(F.col("match_date").isNotNull())
+    members = F.array(*[F.struct(F.col(c).alias("player_id"), F.lit(side).alias("side"))
+                        for c, side in (("a1", 1), ("a2", 1), ("b1", 2), ("b2", 2))])
+    x = f.select("match_id", "gender", F.explode(members).alias("p")).select(
+        "match_id", "gender", "p.player_id", "p.side").join(prior, ["player_id", "gender", "match_id"])
+    means = x.groupBy("match_id", "gender").agg(*[
+        F.avg(F.when(F.col("side") == side, F.col(c))).alias(f"{c}_{side}") for c in kinds for side in (1, 2)])
+    out = x.select("player_id", "gender", "match_id", "side").join(means, ["match_id", "gender"])
+
+    def mine(c: str) -> Column:
+        one = expected_score(F.col(f"{c}_1"), F.col(f"{c}_2"))
+        return F.when(F.col("side") == 1, one).otherwise(1.0 - one)
+
+    return out.select("player_id", "gender", "match_id", F.round(mine("elo"), 6).alias("expected_score"),
+                      F.round(mine("elo_rw"), 6).alias("expected_score_rw")).distinct()
+
+
 def elo_history(ratings: DataFrame, round_weighted: bool = False) -> DataFrame:
     """History table: player_id, gender, as_of_date, match_id, elo_rating (2 dp)."""
     src = "elo_rw" if round_weighted else "elo"

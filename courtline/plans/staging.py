@@ -7,9 +7,13 @@ from the ingest path do; fixture-derived tables do not).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtline.sources.tables import LazyTables
+
 _TRAILER = ("payload", "ingested_at")
 
 
@@ -74,6 +78,6 @@ STAGING = {
 }
 
 
-def staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All staging views from a dict of raw tables."""
-    return {name: fn(raw[name]) for name, fn in STAGING.items() if name in raw}
+def staging(raw: Mapping[str, DataFrame]) -> LazyTables:
+    """All staging views over raw tables, each made when first asked for."""
+    return LazyTables({name: (lambda fn=fn, name=name: fn(raw[name])) for name, fn in STAGING.items() if name in raw})

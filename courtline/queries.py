@@ -10,21 +10,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.league import League
+from courtline.registry_store import league
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _model(name: str, method: str = "fill") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(League.from_testdata(spark, sf_dir, method), name)
+        return getattr(league(spark, sf_dir, method), name)
     run.__name__ = name
     return run
 
 
 def _staging(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return League.from_testdata(spark, sf_dir).stg[name]
+        return league(spark, sf_dir).stg[name]
     run.__name__ = f"stg_{name}"
     return run
 
@@ -39,7 +39,7 @@ def registry() -> dict[str, Query]:
               "elo_match_feed", "elo_round_weight", "elo_expected_score", "elo_history",
               "elo_history_round_weighted", "elo_latest", "elo_latest_round_weighted",
               "teams_list", "players_list", "perf_country_team_core", "perf_country_team",
-              "perf_country_player", "perf_country_player_core", "perf_over_time",
+              "perf_country_player", "perf_country_player_core", "perf_over_time", "perf_over_time_all",
               "elo_history_components", "player_pools"):
         q[n] = _model(n)
     q["fct_matches_range"] = _model("fct_matches", "range")

@@ -8,6 +8,7 @@ results depend on (session time zone).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,8 +55,9 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared folder and is used as is.  Only
-    when it is unset (local tests) do we make one of our own.
+    On a cluster that setting names a shared folder and is used as is; unset
+    there, this is an error, since a folder of one machine would hold a part of
+    every table.  Only a local session (tests, bench) gets a folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="courtline-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -40,7 +40,7 @@ def _strip(s: Column) -> Column:
 
 def _pascal_keys(m: Column) -> Column:
     return F.transform_keys(m, lambda k, _v: F.concat(F.upper(F.substring(k, 1, 1)),
-                                                      F.substring(k, 2, 1 << 20)))
+                                                      F.substr(k, F.lit(2))))
 
 
 def _as_array(v: Column) -> Column:

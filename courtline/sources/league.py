@@ -13,16 +13,22 @@ and on tables produced by the ingest path.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from courtline.session import ensure_checkpoint_dir
 from courtline.sources.tables import read_table
 
+INPUT_TABLES = ("customer", "nation", "orders", "events")
+
 # Fixed fixture parameters (FIXTURES.md part B).
 TEAM_SLOTS = 16            # team index i in 0..15 per tournament
 RANKED_SLOTS = 15          # ranking entries i in 0..14 per (year, quarter, gender)
-MISSING_CUSTKEY = 40       # customer left out of players -> player 41 is missing
+RENUMBERED_CUSTKEY = 40    # this customer's player id is -41, so that teams name a player who is missing
 RANKING_TYPES = (("beach_world_tour", 0), ("beach_olympic", 5))
 
 
@@ -38,9 +44,9 @@ def _str(c: Column | int) -> Column:
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (c.filter(F.col("c_custkey") != MISSING_CUSTKEY)
-            .join(n, F.col("n_nationkey") == F.col("c_nationkey"))
-            .select((F.col("c_custkey") + 1).alias("player_id"),
+    return (c.join(n, F.col("n_nationkey") == F.col("c_nationkey"))
+            .select(F.when(F.col("c_custkey") == RENUMBERED_CUSTKEY, -1 - F.col("c_custkey"))
+                     .otherwise(F.col("c_custkey") + 1).alias("player_id"),
                     F.col("c_name").alias("full_name"),
                     F.col("n_name").alias("country_code"),
                     F.when(F.col("c_custkey") % 2 == 0, "M").otherwise("W").alias("gender"),
@@ -228,61 +234,35 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
-_MATERIALIZED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+def input_version(spark: SparkSession, sf_dir: str) -> tuple:
+    """The files of the tables that the raw layer is derived from: path, size, time of change."""
+    out = []
+    for t in INPUT_TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        out += [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)]
+    return tuple(sorted(out))
 
 
-def materialized_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The raw layer written once per session as parquet, then read back.
+class TableStore:
+    """Tables written once under the shared checkpoint folder and read back.
 
-    In the modelled system the raw layer is a set of stored tables; writing
-    the derived tables to the shared checkpoint folder cuts their lineage and
-    gives the planner real file sizes (small dimensions get broadcast, large
-    facts are shuffled).  Each table goes to a fresh folder and is only
-    registered after its write succeeded; a failed task is retried by Spark.
-    """
-    import uuid
-
-    from courtline.session import ensure_checkpoint_dir
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    tables = _MATERIALIZED.get(key)
-    if tables is None:
-        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/courtline-raw/{uuid.uuid4().hex}"
-        tables = {}
-        for name, df in raw_tables(spark, sf_dir).items():
-            path = f"{base}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            tables[name] = spark.read.parquet(path)
-        _MATERIALIZED[key] = tables
-    return dict(tables)
-
-
-class ModelStore:
-    """Writes a model once per session under the shared checkpoint folder and reads it back.
-
-    Models reused by several others (facts, the tournament mart, Elo ratings)
-    are stored like a warehouse stores them: downstream plans then start from
-    a table instead of re-deriving (and re-analysing) the whole subtree, and
-    a lost executor only costs the tasks of the current job.
+    In the modelled system the raw layer and the reused models are stored
+    tables; writing them cuts lineage and gives the planner real file sizes.
+    The caller owns a store and says by the key what a table was made from, so
+    changed input is a new key.  A table counts only after its write succeeded.
     """
 
-    _TABLES: dict[tuple, DataFrame] = {}
-
-    def __init__(self, spark: SparkSession, key: tuple):
-        self.spark = spark
-        self.key = (spark.sparkContext.applicationId, *key)
-
-    def __call__(self, name: str, build) -> DataFrame:
-        import uuid
+    def __init__(self) -> None:
+        self._tables: dict[tuple, DataFrame] = {}
 
-        from courtline.session import ensure_checkpoint_dir
-        k = (*self.key, name)
-        table = self._TABLES.get(k)
-        if table is None:
-            path = (f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/courtline-models/"
-                    f"{name}-{uuid.uuid4().hex}")
+    def __call__(self, spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+        k = (spark.sparkContext.applicationId, *key)
+        if k not in self._tables:
+            path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/courtline-{key[-1]}-{uuid.uuid4().hex}"
             build().write.mode("overwrite").parquet(path)
-            table = self._TABLES[k] = self.spark.read.parquet(path)
-        return table
+            self._tables[k] = spark.read.parquet(path)
+        return self._tables[k]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 New response files land in a folder; each micro-batch is parsed, normalised
 and upserted by key into a versioned parquet table (one ``version=<batch>``
-folder per batch).  A re-run batch (after a failure) rewrites the same
-version folder, so the sink is idempotent; the stream's checkpoint records
-which files were consumed.  Readers take the newest version.
+folder per batch, each a whole table).  A re-run batch (after a failure) starts
+from the newest committed version before its own and rewrites its own folder;
+the stream's checkpoint records which files were consumed.  Readers take the
+newest committed version.
 """
 
 from __future__ import annotations
@@ -15,33 +16,50 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from courtline.operators.upsert import upsert
+from courtline.operators.upsert import last_wins, upsert
 from courtline.sources.ingest import parse_responses, usable
 
 RESPONSE_SCHEMA = "request_type string, content_type string, body string, seq long"
 
 
-def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
-    """Newest version of a versioned table, or None if nothing was written yet."""
-    try:
-        df = spark.read.parquet(base)
-    except Exception:  # no version folder yet
-        return None
-    newest = df.select(F.max("version")).scalar()
-    return df.filter(F.col("version") == newest).drop("version")
+def committed(spark: SparkSession, base: str) -> list[int]:
+    """Versions whose write was committed (their folder holds the mark that is written last), oldest first.
+
+    Only a folder that is not there counts as "no table yet"; any other failure to read is raised.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for f in fs.listStatus(path):
+        name = f.getPath().getName()
+        if name.startswith("version=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS")):
+            out.append(int(name.partition("=")[2]))
+    return sorted(out)
+
+
+def read_latest(spark: SparkSession, base: str, below: int | None = None) -> DataFrame | None:
+    """Newest committed version (below a given one), or None if there is none."""
+    found = [v for v in committed(spark, base) if below is None or v < below]
+    return spark.read.parquet(f"{base}/version={found[-1]}") if found else None
 
 
 def upsert_batch(spark: SparkSession, batch: DataFrame, base: str, version: int,
                  keys: Sequence[str], seq: str) -> None:
-    """Merge one batch into the newest version and write it as ``version``."""
-    current = read_latest(spark, base)
+    """Merge one batch into the newest committed version below ``version`` and write it as ``version``.
+
+    A replayed batch starts from the same version as it did first, so it
+    writes the same rows again.
+    """
+    current = read_latest(spark, base, below=version)
     batch = batch.withColumn("ingested_at", F.current_timestamp())
     if current is None:
-        from courtline.operators.upsert import last_wins
         new = last_wins(batch, keys, [seq])
     else:
         new = upsert(current, batch.select(*current.columns), keys, seq, F.current_timestamp())
-    new.write.mode("overwrite").parquet(f"{base}/version={version}")
+    new.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(
+        f"{base}/version={version}")
 
 
 def start_ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoint_dir: str,
