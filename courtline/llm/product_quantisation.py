@@ -42,7 +42,9 @@ from courtline.llm.store import stored, tune
 #: Rows the quantiser is fitted on, at most; every row is indexed.
 TRAIN_ROWS = 40_000
 LISTS = 1024
-PER_LIST = 256
+#: Lists are as many as leave the largest label group about this many rows each: a query goes to every list it probes,
+#: so more lists than that would cost more copies of queries than they save comparisons.
+PER_LIST = 2048
 SUBSPACES = 8
 CODES = 256
 BLOCK = 2048
@@ -244,7 +246,7 @@ def embedding_duplicates(df: DataFrame, *, threshold: float = 0.93, train_rows:
     reps = stored(reps, "classes")
     classes = named.filter("ok").join(reps, ["k1", "k2"]).filter("vec_id = rep").dropDuplicates(["k1", "k2"]).select("rep", "grp", "mult", "width", "v")
     classes = stored(classes, "classes")
-    n, width = classes.agg(F.count("*"), F.max("width")).first()
+    n, width = classes.groupBy("grp").agg(F.count("*").alias("n"), F.max("width").alias("w")).agg(F.max("n"), F.max("w")).first()
     if not n:
         return named.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(train_rows).select("v").toArrow()["v"].combine_chunks()
