@@ -144,7 +144,8 @@ def _json_bodies(e: DataFrame) -> DataFrame:
     p = F.col("props")
     shape = F.col("event_id") % 4
     body = (F.when(F.col("event_type") == "error", F.lit("not json"))
-            .when(shape == 0, F.concat(F.lit("["), p, F.lit("]")))
+            # a repeated key: the last value counts
+            .when(shape == 0, F.concat(F.lit('[{"k": -1, '), F.substr(p, F.lit(2)), F.lit("]")))
             .when(shape == 1, F.concat(F.lit('{"data": ['), p, F.lit(", "), p, F.lit("]}")))
             .when(shape == 2, F.concat(F.lit('{"meta": 1, "data": '), p, F.lit("}")))
             .otherwise(F.concat(F.lit('{"count": 1, "items": ['), p, F.lit("]}"))))
@@ -156,30 +157,32 @@ def parse_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recs.select("event_id",
                        F.array_join(F.array_sort(F.map_keys(ing.pascal_keys(F.col("rec")))), ",")
                        .alias("keys"),
-                       ing.safe_int(ing.field(F.col("rec"), "K")).alias("k"))
+                       ing.safe_int(ing.field(F.col("rec"), "K")).alias("k"), F.to_json("rec").alias("payload"))
 
 
 def _xml_bodies(o: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
-    item = F.concat(F.lit('<x:BeachMatch No="'), _s(k), F.lit('" Status="'), F.col("o_orderstatus"),
+    item = F.concat(F.lit('<x:BeachMatch No="'), _s(k), F.lit('" Other="u" Status="'), F.col("o_orderstatus"),
                     F.lit('" Name="A &amp; B &lt;'), _s(F.col("o_custkey")), F.lit('&gt;"><Priority>'),
-                    F.col("o_orderpriority"), F.lit("</Priority><Empty></Empty></x:BeachMatch>"))
+                    F.col("o_orderpriority"), F.lit("</Priority><Empty></Empty><More> m </More></x:BeachMatch>"))
     plain = F.regexp_replace(item, "x:", "")
     body = (F.when(k % 5 == 0, F.lit("<Responses><BeachMatch No=\"1\"")).when(
         k % 2 == 0, F.concat(F.lit('<Responses xmlns:x="urn:v"><BeachMatchs NbItems="1">'), item,
                              F.lit("</BeachMatchs></Responses>")))
+            .when(k % 3 == 0, F.concat(F.lit("<Responses><Outer><Inner><BeachMatchs>"), plain, F.lit("</BeachMatchs></Inner></Outer></Responses>")))
             .otherwise(F.concat(F.lit("<Responses>"), plain, F.lit("</Responses>"))))
     return o.select("o_orderkey", F.lit("text/xml").alias("content_type"), body.alias("body"))
 
 
 def parse_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
-    recs = ing.parse_xml(_xml_bodies(o), "BeachMatch", ["No", "Status", "Name", "Priority", "Empty"])
+    recs = ing.parse_xml(_xml_bodies(o), "BeachMatch")
+
     def r(name):
         return ing.field(F.col("rec"), name)
     return recs.select("o_orderkey", ing.safe_int(r("No")).alias("match_id"),
                        ing.text(r("Status")).alias("status"), ing.text(r("Name")).alias("name"),
-                       ing.text(r("Priority")).alias("priority"), ing.text(r("Empty")).alias("empty"))
+                       ing.text(r("Priority")).alias("priority"), ing.text(r("Empty")).alias("empty"), F.to_json("rec").alias("payload"))
 
 
 def _num(c: Column) -> Column:
@@ -213,9 +216,8 @@ def match_bodies(m: DataFrame) -> DataFrame:
 
 def norm_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = league(spark, sf_dir).raw["matches"]
-    recs = ing.usable(ing.parse_json(match_bodies(m)))
-    return ing.norm_match(recs, ingested_at=_lit_ts(UPSERT_AT)).filter(
-        F.col("match_id").isNotNull()).drop("payload")
+    recs = ing.usable_matches(ing.parse_json(match_bodies(m)))
+    return ing.norm_match(recs, ingested_at=_lit_ts(UPSERT_AT)).drop("payload")
 
 
 def player_bodies(c: DataFrame) -> DataFrame:
@@ -253,9 +255,7 @@ def team_bodies(t: DataFrame) -> DataFrame:
 
 def norm_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = league(spark, sf_dir).raw["teams"]
-    recs = ing.parse_xml(team_bodies(t), "BeachTeam",
-                         ["No", "NoTournament", "NoPlayer1", "NoPlayer2", "CountryCode", "Status",
-                          "ValidFrom", "ValidTo"])
+    recs = ing.parse_xml(team_bodies(t), "BeachTeam")
     return ing.norm_team(recs, _lit_ts(UPSERT_AT)).filter(
         F.col("team_id").isNotNull() & F.col("tournament_id").isNotNull()).drop("payload")
 
@@ -325,10 +325,8 @@ def result_bodies(r: DataFrame) -> DataFrame:
 
 def norm_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = league(spark, sf_dir).raw["results"]
-    recs = ing.parse_xml(result_bodies(r), "BeachTeamRanking",
-                         ["Rank", "Position", "NoTeam", "EarnedPointsTeam", "Points",
-                          "EarningsTotalTeam", "PrizeMoney"], wrapper="BeachTournamentRanking")
-    return ing.norm_result(recs, F.col("tournament_id"), _lit_ts(UPSERT_AT)).drop("payload")
+    recs = ing.parse_xml(result_bodies(r), "BeachTeamRanking")
+    return ing.norm_result(ing.usable_results(recs), F.col("tournament_id"), _lit_ts(UPSERT_AT)).drop("payload")
 
 
 def round_bodies(r: DataFrame) -> DataFrame:
@@ -345,9 +343,7 @@ def round_bodies(r: DataFrame) -> DataFrame:
 
 def norm_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = league(spark, sf_dir).raw["rounds"]
-    recs = ing.parse_xml(round_bodies(r), "BeachRound",
-                         ["No", "NoTournament", "Code", "Name", "Bracket", "Phase", "StartDate",
-                          "EndDate", "RankMethod"])
+    recs = ing.parse_xml(round_bodies(r), "BeachRound")
     return ing.norm_round(recs, _lit_ts(UPSERT_AT)).drop("payload")
 
 
@@ -365,9 +361,7 @@ def round_ranking_bodies(r: DataFrame) -> DataFrame:
 
 def norm_round_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = league(spark, sf_dir).raw["results"]
-    recs = ing.usable(ing.parse_xml(round_ranking_bodies(r), "BeachRoundRanking",
-                                    ["Position", "Rank", "TeamFederationCode", "TeamName",
-                                     "MatchPoints", "MatchesWon", "MatchesLost"]), ["Position"])
+    recs = ing.usable(ing.parse_xml(round_ranking_bodies(r), "BeachRoundRanking"), ["Position"])
     return ing.norm_round_ranking(recs, F.col("round_id"), _lit_ts(UPSERT_AT)).drop("payload")
 
 

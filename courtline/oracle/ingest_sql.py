@@ -101,13 +101,13 @@ order by o_orderkey limit 10000""",
     "parse_json_records": """
 with ok as (select event_id, props from events
             where coalesce(event_type, '') <> 'error' and props is not null)
-select event_id, 'K' as keys, cast(json_extract(props, '$.k') as bigint) as k from ok
-union all
-select event_id, 'K', cast(json_extract(props, '$.k') as bigint) from ok where event_id % 4 = 1""",
+select event_id, 'K' as keys, cast(json_extract(props, '$.k') as bigint) as k, '{"k":' || json_extract_string(props, '$.k') || '}' as payload
+from ok, range(if(event_id % 4 = 1, 2, 1))""",
     "parse_xml_records": """
 select o_orderkey, o_orderkey as match_id, nullif(o_orderstatus, '') as status,
        'A & B <' || cast(o_custkey as varchar) || '>' as name, nullif(o_orderpriority, '') as priority,
-       cast(null as varchar) as empty
+       cast(null as varchar) as empty,
+       '{"More":"m","Name":"A & B <' || o_custkey || '>","No":"' || o_orderkey || '","Other":"u","Priority":"' || o_orderpriority || '","Status":"' || o_orderstatus || '"}' as payload
 from orders where o_orderkey % 5 <> 0""",
     "norm_match": model_sql("""
 select match_id, tournament_id, cast(null as varchar) as phase, round, team1_id, team2_id,

@@ -16,6 +16,8 @@ from pyspark.sql import SparkSession
 # Settings a correct result depends on.  Applied to any session handed to us.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # of a JSON object's repeated key the last value counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 # Settings for throughput; the cluster may override them.

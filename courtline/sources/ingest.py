@@ -111,30 +111,52 @@ def strip_namespaces(xml: Column) -> Column:
     return F.regexp_replace(no_decl, r"(</?)[A-Za-z_][\w.-]*:", "$1")
 
 
-def parse_xml(responses: DataFrame, node: str, fields: Sequence[str], body: str = "body",
-              wrapper: str | None = None) -> DataFrame:
-    """XML bodies -> one row per ``node`` element with column ``rec``.
-
-    A record holds the element's attributes and the text of its leaf children
-    (a child overrides an attribute of the same name).  Elements are found
-    directly under the root or inside one wrapper element (default
-    ``node + 's'``).  Malformed bodies give no rows.
-    """
-    wrapper = wrapper or node + "s"
-    elem = ", ".join([f"_{f}: string" for f in fields] + [f"{f}: string" for f in fields])
-    schema = (f"{node} array<struct<{elem}>>, "
-              f"{wrapper} struct<{node}: array<struct<{elem}>>>")
-    parsed = F.from_xml(strip_namespaces(F.col(body)), schema)
-    nodes = F.concat(F.coalesce(parsed[node], F.array()),
-                     F.coalesce(parsed[wrapper][node], F.array()))
-    others = [c for c in responses.columns if c != body]
-    x = responses.select(*others, F.explode(nodes).alias("_n"))
-    rec_struct = F.struct(*[F.coalesce(F.col(f"_n.{f}"), F.col(f"_n._{f}")).alias(f)
-                            for f in fields])
-    return x.select(*others, F.parse_json(F.to_json(rec_struct)).alias("rec"))
+# Option names of the XML reader: attributes are told from children by this sign, which no tag can hold.
+_ATTRIBUTE = "@"
+_PROBE = "x__"
+
 
+def parse_xml(responses: DataFrame, node: str, fields: Sequence[str] | None = None,
+              body: str = "body") -> DataFrame:
+    """XML bodies -> one row per ``node`` element at any depth, with column ``rec``.
 
-def parse_responses(responses: DataFrame, node: str, fields: Sequence[str]) -> DataFrame:
+    A record holds all of the element's attributes and the text of all its leaf
+    children (a child overrides an attribute of the same name; empty children
+    are left out), and the element's own text as ``_text`` if it has nothing
+    else.  ``fields`` keeps only some of them.  Malformed bodies give no rows.
+    """
+    others = [c for c in responses.columns if c != body]
+    x = responses.select(*others, strip_namespaces(F.col(body)).alias("_xml"))
+    # well-formed or not is for the parser to say; elements are then cut out one by one
+    bad = F.from_xml("_xml", "_corrupt_record string", {"mode": "PERMISSIVE"})["_corrupt_record"]
+    x = x.filter(F.col("_xml").isNotNull() & bad.isNull())
+    plain = F.regexp_replace("_xml", r"(?s)<!--.*?-->", "")
+    element = F.lit(rf"""(?s)<{node}((?:\s+[\w.:-]+\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*(?:/>|>(.*?)</{node}\s*>)""")
+    x = x.select(*others, F.explode(F.arrays_zip(
+        F.regexp_extract_all(plain, element, F.lit(1)).alias("attributes"),
+        F.regexp_extract_all(plain, element, F.lit(2)).alias("inner"))).alias("_n"))
+    # a child of our own makes the reader see an element that has attributes only
+    whole = F.concat(F.lit(f"<r><{node}"), F.col("_n.attributes"), F.lit(f"><{_PROBE}>1</{_PROBE}>"),
+                     F.col("_n.inner"), F.lit(f"</{node}></r>"))
+    x = x.select(*others, F.col("_n.inner").alias("_inner"), F.from_xml(
+        whole, f"{node} map<string,string>", {"attributePrefix": _ATTRIBUTE, "valueTag": _PROBE})[node].alias("_m"))
+    branches = F.regexp_extract_all("_inner", F.lit(r"<([\w.-]+)(?:\s[^<>]*)?>\s*<(?![/!])"), F.lit(1))
+    x = x.select(*others, "_inner", "_m", branches.alias("_branches"))
+    child = F.map_filter("_m", lambda k, v: ~k.startswith(_ATTRIBUTE) & (k != _PROBE) & (F.trim(v) != "")
+                         & ~F.array_contains("_branches", k))
+    x = x.select(*others, "_inner", "_m", F.transform_values(child, lambda k, v: _strip(v)).alias("_child"))
+    own = F.map_filter("_m", lambda k, v: k.startswith(_ATTRIBUTE)
+                       & ~F.map_contains_key("_child", F.substr(k, F.lit(len(_ATTRIBUTE) + 1))))
+    attributes = F.transform_keys(own, lambda k, v: F.substr(k, F.lit(len(_ATTRIBUTE) + 1)))
+    text_only = ~F.col("_inner").contains("<") & (F.trim("_inner") != "")
+    no_map = F.create_map().cast("map<string,string>")
+    rec = F.map_concat(attributes, F.col("_child"), F.when(text_only, F.create_map(F.lit("_text"), _strip(F.col("_inner")))).otherwise(no_map))
+    if fields is not None:
+        rec = F.map_filter(rec, lambda k, v: k.isin(list(fields)))
+    return x.select(*others, F.parse_json(F.to_json(rec)).alias("rec"))
+
+
+def parse_responses(responses: DataFrame, node: str, fields: Sequence[str] | None = None) -> DataFrame:
     """JSON or XML by content type (JSON when it mentions ``json``)."""
     is_json = F.lower(F.coalesce(F.col("content_type"), F.lit(""))).contains("json")
     return (parse_json(responses.filter(is_json))
@@ -180,6 +202,19 @@ def usable(records: DataFrame, required: Sequence[str] = ()) -> DataFrame:
     return records.filter(cond)
 
 
+def usable_results(records: DataFrame) -> DataFrame:
+    """S4 of results: no ``Errors``, a Rank or a Position, and a team number that is a whole number."""
+    rec = F.col("rec")
+    place = ~is_missing(field(rec, "Rank")) | ~is_missing(field(rec, "Position"))
+    return usable(records).filter(place & safe_int(field(rec, "NoTeam")).isNotNull())
+
+
+def usable_matches(records: DataFrame) -> DataFrame:
+    """S4 of matches: no ``Errors``, a tournament number and a match number."""
+    rec = F.col("rec")
+    return usable(records).filter(safe_int(field(rec, "NoTournament")).isNotNull() & safe_int(field(rec, "No")).isNotNull())
+
+
 def norm_event(records: DataFrame, ingested_at: Column | None = None,
         carry: Sequence[str] = ()) -> DataFrame:
     records = with_fields(records, ENTITY_FIELDS["event"])

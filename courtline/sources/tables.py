@@ -27,6 +27,9 @@ class LazyTables(Mapping):
             self._made[name] = self._makers[name]()
         return self._made[name]
 
+    def __contains__(self, name: object) -> bool:
+        return name in self._makers
+
     def __iter__(self):
         return iter(self._makers)
 

@@ -98,3 +98,9 @@ def test_connected_components(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y"), ("d", "c")], "src string, dst string")
     got = {r.node: r.comp for r in connected_components(e).collect()}
     assert got == {"a": "a", "b": "a", "c": "a", "d": "a", "x": "x", "y": "x"}
+
+
+def test_components_of_a_long_chain(spark):
+    from courtline.operators.graph import connected_components
+    e = spark.createDataFrame([(f"n{k:02d}", f"n{k + 1:02d}") for k in range(30)], "src string, dst string")
+    assert {r.comp for r in connected_components(e).collect()} == {"n00"}

@@ -2,6 +2,8 @@
 
 import datetime as d
 
+import json
+
 from pyspark.sql import functions as F
 
 from courtline.sources import ingest as I
@@ -83,7 +85,7 @@ def test_result_fallbacks(spark):
            '</BeachTournamentRanking></Responses>')
     df = spark.createDataFrame([("r", "text/xml", xml)], RESP)
     recs = I.parse_xml(df, "Team", ["Rank", "Position", "NoTeam", "EarnedPointsTeam", "Points",
-                                    "EarningsTotalTeam", "PrizeMoney"], wrapper="BeachTournamentRanking")
+                                    "EarningsTotalTeam", "PrizeMoney"])
     out = _rows(I.norm_result(recs, F.lit(9)))
     assert [(r["finishing_pos"], r["points"], r["prize_money"]) for r in out] == [(1, 0, 100.0), (2, 7, None)]
     # JSON number 0 falls through, text '0' does not
@@ -96,3 +98,41 @@ def test_usable_drops_errors(spark):
     body = '{"data":[{"no":1},{"no":2,"errors":"x"},{"name":"no id"}]}'
     recs = I.usable(I.parse_json(spark.createDataFrame([("p", "json", body)], RESP)), ["No"])
     assert recs.count() == 1
+
+
+def _records(spark, body, node="BeachMatch", kind="text/xml"):
+    df = spark.createDataFrame([("r", kind, body)], RESP)
+    recs = I.parse_responses(df, node)
+    return [json.loads(r.j) for r in recs.select(F.to_json("rec").alias("j")).collect()]
+
+
+def test_xml_at_any_depth_with_all_fields(spark):
+    inner = ('<BeachMatch No="1" Odd=\'a "b"\' Both="attr"><Both>child</Both><Kept> t </Kept><Deep><In>1</In></Deep>'
+             '<Errors>bad</Errors><C><![CDATA[x < y]]></C></BeachMatch><BeachMatch No="2"/><BeachMatchX No="3"/>')
+    want = [{"No": "1", "Odd": 'a "b"', "Both": "child", "Kept": "t", "Errors": "bad", "C": "x < y"}, {"No": "2"}]
+    for body in (f"<R>{inner}</R>", f"<R><Outer><Other><BeachMatchs>{inner}</BeachMatchs></Other></Outer></R>",
+                 f'<v:R xmlns:v="urn:x"><!-- <BeachMatch No="9"/> -->{inner}</v:R>'):
+        assert _records(spark, body) == want
+    assert _records(spark, "<R><BeachMatch> free </BeachMatch></R>") == [{"_text": "free"}]
+    assert _records(spark, f"<R>{inner}") == []
+    df = spark.createDataFrame([("r", "text/xml", f"<R>{inner}</R>")], RESP)
+    assert I.usable(I.parse_xml(df, "BeachMatch")).count() == 1          # the first carries Errors
+
+
+def test_json_repeated_key_keeps_the_last(spark):
+    assert _records(spark, '{"data":[{"no":1,"no":2}]}', kind="json") == [{"no": 2}]
+
+
+def test_long_keys_are_kept_whole(spark):
+    key = "k" * 40_000
+    df = spark.createDataFrame([("r", "json", json.dumps([{key: 1}]))], RESP)
+    assert I.parse_json(df).select(F.map_keys(I.pascal_keys(F.col("rec")))[0]).first()[0] == "K" + key[1:]
+
+
+def test_results_and_matches_that_are_dropped(spark):
+    def left(rule, *records):
+        df = spark.createDataFrame([("r", "json", json.dumps(list(records)))], RESP)
+        return rule(I.parse_json(df)).count()
+    assert left(I.usable_results, {"rank": 1, "noTeam": 5}, {"position": 2, "noTeam": "6"}, {"noTeam": 7}, {"rank": 1, "noTeam": "x"},
+                {"rank": 1, "noTeam": 8, "errors": "e"}) == 2
+    assert left(I.usable_matches, {"no": 1, "noTournament": 2}, {"no": 1}, {"noTournament": 3}, {"no": "a", "noTournament": 2}) == 1

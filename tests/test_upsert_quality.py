@@ -100,3 +100,22 @@ def test_rows_capped_floor_of_one(spark):
     from courtline.operators.preview import rows_capped
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "g long, o long")
     assert rows_capped(df, ["g"], ["o"], 0).count() == 2      # max(1, cap)
+
+
+def test_profile_keeps_decimals_exact(spark):
+    df = spark.sql("select * from values (12345678901234567.01BD), (12345678901234567.02BD), (null) as t(a)")
+    p = {r.column: r for r in Q.profile(df, "t").collect()}
+    assert (p["a"].distinct_count, p["a"].min, p["a"].max, p["a"].null_count) == (2, "12345678901234567.01", "12345678901234567.02", 1)
+    wide = spark.sql("select cast(v as decimal(38, 0)) as w from values ('12345678901234567890123456789012345678'), ('12345678901234567890123456789012345679') as t(v)")
+    r = Q.profile(wide, "t").first()
+    assert (r.distinct_count, r.min, r.max) == (2, "12345678901234567890123456789012345678", "12345678901234567890123456789012345679")
+
+
+def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
+    spark.range(20000).selectExpr("id as k", "id % 7 as v").write.parquet(str(tmp_path / "target"))
+    target = spark.read.parquet(str(tmp_path / "target"))
+    batch = spark.createDataFrame([(5, 100, 1), (5, 101, 2), (30000, 1, 1)], "k long, v long, seq long")
+    out = U.upsert(target, batch.withColumn("v", F.col("v")), ["k"], "v", now())
+    assert out.count() == 20001 and out.filter("k = 5").first().v == 101
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" not in plan
