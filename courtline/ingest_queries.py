@@ -14,11 +14,12 @@ from courtline.league import League
 from courtline.registry_store import league
 from courtline.operators import preview, upsert as up
 from courtline.sources import ingest as ing
-from courtline.sources.sinks import csv_roundtrip
+from courtline.sources.sinks import csv_roundtrip, export_json, scratch_path, write_table
 from courtline.sources.tables import read_table
 
 # Fixed parameters of the registered ingest queries.
 AS_OF = "2001-09-01 00:00:00"          # the "now" of the fixture
+EARLIER = "2001-08-01 00:00:00"        # when marks were set before
 UPSERT_AT = "2024-12-31 00:00:00"
 FIXTURE_MIN_YEAR = 1998                 # fixture years are 1995-2001
 SOURCE_SEASONS = ("1997", "1998-99", "2001")
@@ -387,8 +388,47 @@ def export_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_roundtrip(read_table(spark, sf_dir, "nation"), "nation")
 
 
+def export_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = read_table(spark, sf_dir, "nation")
+    return spark.read.schema(nation.schema).json(export_json(nation, name="nation"))
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return o.filter(F.col("o_orderkey") % 2 == 0), o.filter(F.col("o_orderkey") % 2 == 1)
+
+
+def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writes to one table, the second appending."""
+    even, odd = _halves(spark, sf_dir)
+    path = scratch_path(even, "append")
+    write_table(even, path)
+    write_table(odd, path, mode="append")
+    return spark.read.parquet(path)
+
+
+def table_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writes to one table, the second replacing the first."""
+    even, odd = _halves(spark, sf_dir)
+    path = scratch_path(even, "reload")
+    write_table(even, path)
+    write_table(odd, path)
+    return spark.read.parquet(path)
+
+
+def empty_checks_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S14 with earlier marks: every tournament was marked empty once; the even ones are checked now."""
+    lg = league(spark, sf_dir)
+    ids = _checked_ids(spark, sf_dir)
+    before = _lit_ts(EARLIER)
+    previous = ids.select("tournament_id", before.alias("results_empty_at"), before.alias("rounds_empty_at"))
+    return up.empty_checks(ids.filter(F.col("tournament_id") % 2 == 0), lg.raw["results"], lg.raw["rounds"],
+                           _lit_ts(AS_OF), previous)
+
+
 def registry() -> dict:
     return {f.__name__: f for f in (
+        export_json_roundtrip, table_append, table_reload, empty_checks_again,
         upsert_latest, phase_merge, snapshot_stamp, expand_set, empty_checks, ingest_skip_set,
         source_filter, source_filter_events, rows_capped, head_tail_sample, typed_filter_preview, parse_json_records,
         parse_xml_records, norm_match, norm_player, norm_team, norm_event, norm_tournament,

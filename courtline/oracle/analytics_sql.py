@@ -33,8 +33,8 @@ _LINEUPS = "lineups as (select team_id, tournament_id, unnest(list_distinct([pla
 def _record(who: str, legs: str, finishes: str) -> str:
     """Wins, losses and the mean finish of ``who`` by host country."""
     return f"""
-select {who}, host_country, host_country_name, cast(countif(won) as int) as wins, cast(countif(not won) as int) as losses,
-       cast(countif(won) + countif(not won) as int) as total_matches, any_value(mean_finish) as avg_finish_pos
+select {who}, host_country, host_country_name, cast(count(*) filter (won) as int) as wins, cast(count(*) filter (not won) as int) as losses,
+       cast(count(*) filter (won) + count(*) filter (not won) as int) as total_matches, any_value(mean_finish) as avg_finish_pos
 from {legs} join hosts using (tournament_id)
 left join (select {who}, host_country, {_mean("finishing_pos", 2)} as mean_finish
            from (select distinct {who}, host_country, tournament_id, finishing_pos from {finishes}) group by {who}, host_country) using ({who}, host_country)

@@ -81,7 +81,7 @@ entered as (
   from (select match_id, tournament_id, winner_team_id, unnest(list_distinct([team1_id, team2_id])) as team_id from stg_matches)
   join dim_team_tournaments using (team_id, tournament_id)),
 totals as (
-  select player_id, gender, count(*) as matches_played, countif(won) as wins from {src} join entered using (match_id, player_id) group by all)
+  select player_id, gender, count(*) as matches_played, count(*) filter (won) as wins from {src} join entered using (match_id, player_id) group by all)
 select n.player_id, w.* exclude (player_id), n.gender, elo_rating, ifnull(matches_played, 0) as matches_played, cast(ifnull(wins, 0) as bigint) as wins,
        cast(ifnull(matches_played - wins, 0) as bigint) as losses, last_match_played_at, match_id as last_match_id,
        g.tournament_id as last_match_tournament_id, g.tournament_name as last_match_tournament_name, g.tournament_season as last_match_tournament_season

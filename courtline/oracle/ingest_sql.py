@@ -141,6 +141,14 @@ select team_id, tournament_id, player_a_id, player_b_id, country_code, cast(team
        timestamp '2024-12-31 00:00:00' as ingested_at
 from raw_teams"""),
     "export_csv_roundtrip": "select * from nation",
+    "export_json_roundtrip": "select * from nation",
+    "table_append": "select o_orderkey, o_custkey, o_totalprice from orders",
+    "table_reload": "select o_orderkey, o_custkey, o_totalprice from orders where o_orderkey % 2 = 1",
+    "empty_checks_again": model_sql(f"""
+, now_checked as ({_CHECKS})
+select tournament_id, if(tournament_id % 2 = 0, results_empty_at, timestamp '2001-08-01 00:00:00') as results_empty_at,
+       if(tournament_id % 2 = 0, rounds_empty_at, timestamp '2001-08-01 00:00:00') as rounds_empty_at
+from now_checked"""),
     "norm_event": """
 select event_id, upper(event_type) as code, cast(null as varchar) as name, cast(ts as date) as start_date,
        cast(null as date) as end_date, event_type as type, user_id % 3 as no_parent_event,

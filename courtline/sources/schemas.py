@@ -101,3 +101,43 @@ def conforms(df_schema: T.StructType, table: str) -> list[str]:
     out += [f"{n}: {have[n].simpleString()} != {want[n].simpleString()}"
             for n in want if n in have and have[n] != want[n]]
     return out
+
+
+# The fields that each request type asks for.
+REQUEST_FIELDS: dict[str, tuple[str, ...]] = {name: tuple(fields.split()) for name, fields in {
+    "GetBeachTournamentList": "No Name Code CountryCode CountryName City StartDate EndDate Season Gender Type Status Timezone "
+                              "NoEvent Title Version StartDateMainDraw EndDateMainDraw StartDateQualification EndDateQualification "
+                              "NbTeamsMainDraw NbTeamsQualification NbTeamsFromQualification",
+    "GetBeachTournament": "No Name Code CountryCode City StartDate EndDate Season Gender Type Status Timezone "
+                          "NoEvent Title Version StartDateMainDraw EndDateMainDraw StartDateQualification EndDateQualification "
+                          "NbTeamsMainDraw NbTeamsQualification",
+    **dict.fromkeys(("GetBeachMatchList", "GetBeachMatch"),
+                    "No NoTournament NoRound NoTeamA NoTeamB NoInTournament MatchPointsA MatchPointsB "
+                    "DateTimeLocal LocalDate LocalTime ResultType Status Phase "
+                    "NoPlayerA1 NoPlayerA2 NoPlayerB1 NoPlayerB2 TeamAName TeamBName "
+                    "PointsTeamASet1 PointsTeamASet2 PointsTeamASet3 PointsTeamBSet1 PointsTeamBSet2 PointsTeamBSet3 "
+                    "DurationSet1 DurationSet2 DurationSet3 Court RoundCode RoundName TournamentCode TournamentName "
+                    "WinnerRank LoserRank BeginDateTimeUtc"),
+    "GetBeachTeamList": "No NoTournament NoPlayer1 NoPlayer2 Name CountryCode ConfederationCode Status Rank "
+                        "EarnedPointsTeam EarnedPointsPlayer PositionInMainDraw PositionInQualification "
+                        "IsInMainDraw IsInQualification TournamentName TournamentTitle TournamentType ValidFrom ValidTo",
+    "GetBeachTeam": "No NoTournament NoPlayer1 NoPlayer2 Name CountryCode ConfederationCode Status Rank "
+                    "EarnedPointsTeam EarnedPointsPlayer PositionInMainDraw PositionInQualification "
+                    "IsInMainDraw IsInQualification TournamentName TournamentTitle ValidFrom ValidTo",
+    "GetBeachTournamentRanking": "Rank Position NoTeam TeamName TeamFederationCode EarnedPointsTeam EarningsTotalTeam",
+    **dict.fromkeys(("GetBeachRoundList", "GetBeachRound"),
+                    "No NoTournament NoInTournament Code Name Bracket Phase StartDate EndDate Version RankMethod"),
+    "GetBeachRoundRanking": "Position Rank TeamFederationCode TeamName MatchPoints MatchesWon MatchesLost",
+    "GetBeachWorldTourRanking": "Position Rank TeamName TeamFederationCode NbParticipations "
+                                "EarnedPointsTeam EarnedPointsPlayer EarningsTotalTeam EarningsTeam EarningsPlayer "
+                                "EarningsBonusTeam EarningsBonusPlayer EarningsTotalPlayer NoPlayer1 NoPlayer2 HasTournamentsRemoved",
+    "GetBeachOlympicSelectionRanking": "Position TeamName TeamCountryCode NbParticipations SelectionRank Points Status "
+                                       "NoPlayer1 NoPlayer2 GamesYear",
+    "GetPlayer": "No FederationCode FirstName LastName Gender Nationality NationalityCode BirthDate BirthPlace Height Weight "
+                 "PlaysBeach PlaysVolley TeamName CountryCode ConfederationCode ActiveBeach ActiveVolley",
+    "GetPlayerList": "No FirstName LastName BirthDate BirthPlace Height Weight CountryCode Gender "
+                     "FederationCode NationalityCode PlaysBeach PlaysVolley TeamName ConfederationCode",
+    "GetEventList": "No Code Name StartDate EndDate Type Version NoParentEvent CountryCode HasBeachTournament HasMenTournament "
+                    "HasWomenTournament IsVisManaged",
+    "GetEvent": "No Code Name StartDate EndDate Type Version NoParentEvent CountryCode HasBeachTournament IsVisManaged",
+}.items()}

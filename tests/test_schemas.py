@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from courtline.sources import ingest as I
 from courtline.sources.league import raw_tables
-from courtline.sources.schemas import ENTITY_FIELDS, RAW_KEYS, RAW_SCHEMAS, conforms
+from courtline.sources.schemas import ENTITY_FIELDS, RAW_KEYS, RAW_SCHEMAS, REQUEST_FIELDS, conforms
 
 
 def test_fixture_raw_layer_conforms(spark, small_dir):
@@ -31,3 +31,9 @@ def test_keys_and_fields_declared():
     for table, keys in RAW_KEYS.items():
         assert all(k in RAW_SCHEMAS[table].fieldNames() for k in keys)
     assert len(ENTITY_FIELDS) == 9
+
+
+def test_request_fields():
+    assert len(REQUEST_FIELDS) == 16
+    assert all(len(set(f)) == len(f) and f for f in REQUEST_FIELDS.values())
+    assert len(REQUEST_FIELDS["GetBeachMatch"]) == 37
