@@ -51,8 +51,10 @@ LENGTH = 100
 GRAM = 16
 HOT = 200_000
 RANGE_BYTES = 2 << 20
+#: Hashes of all positions are held for so many bytes at a time.
+STEP_BYTES = 1 << 18
 #: Contexts merged at once, but for an anchor that has more.
-MERGE_ROWS = 50_000
+MERGE_ROWS = 30_000
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 _LAST = (1 << 63) - 1
 
@@ -143,7 +145,9 @@ def _anchored(docs: DataFrame, length: int, gram: int, tied: bool, known: bool)
             tie = _ties([view[s:e] for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)] if tied else [b""] * b.num_rows, tied).to_numpy()
             for i, j in T.parts(offsets, RANGE_BYTES):
                 offs = offsets[i:j + 1] - offsets[i]
-                at, fp, before, behind = anchors(data[offsets[i]:offsets[j]], offs, length, gram)
+                steps = [(offs[a], anchors(data[offsets[i] + offs[a]:offsets[i] + offs[z]], offs[a:z + 1] - offs[a], length, gram)) for a, z in T.parts(offs, STEP_BYTES)]
+                at = np.concatenate([start + got[0] for start, got in steps])
+                fp, before, behind = (np.concatenate([got[c] for _, got in steps]) for c in (1, 2, 3))
                 doc = np.repeat(np.arange(i, j), np.diff(np.searchsorted(at, offs)))
                 where = ((at - offs[doc - i]) << 16) | (before << 8) | behind
                 by = np.argsort(fp, kind="stable")
@@ -219,8 +223,8 @@ def _contexts(found: DataFrame, gram: int) -> DataFrame:
                 p, left, right = here >> 16, (here >> 8) & 0xFF, here & 0xFF
                 start = base[row - k0] + p
                 data = np.frombuffer(b"".join(texts), np.uint8)
-                for c in range(0, n, 20_000):                    # bounds an output batch
-                    z = slice(c, min(n, c + 20_000))
+                for c in range(0, n, 4096):                      # bounds an output batch
+                    z = slice(c, min(n, c + 4096))
                     m = z.stop - z.start
                     begins = np.stack([start[z] - left[z], start[z] + gram], 1).ravel()
                     out = data[T.take_ranges(begins, np.stack([left[z], right[z]], 1).ravel())]
