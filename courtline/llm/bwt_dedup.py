@@ -61,19 +61,22 @@ _LAST = (1 << 63) - 1
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of the ``size`` bytes from every position on, by doubling."""
-    known = {1: T.mix((data.astype(np.uint64) + np.uint64(1)) * _C[0])}
-
-    def of(n: int) -> np.ndarray:
-        if n not in known:
-            left = 1 << ((n - 1).bit_length() - 1)
-            x, y = of(left), of(n - left)
-            both = x[:len(data) - n + 1] * _C[left.bit_length() % 7]
-            both ^= both >> np.uint64(29)
-            both += y[left:left + len(data) - n + 1]
-            known[n] = both
-        return known[n]
-
-    return T.mix(of(size) * _C[1])
+    whole, done, power, width = None, 0, T.mix((data.astype(np.uint64) + np.uint64(1)) * _C[0]), 1
+    while True:                                                  # the powers of two that make up size, smallest first
+        if size & width:
+            whole, done = (power, width) if whole is None else (_joined(power, whole, width, done), done + width)
+        if done == size:
+            return T.mix(whole * _C[1])
+        power, width = _joined(power, power, width, width), 2 * width
+
+
+def _joined(x: np.ndarray, y: np.ndarray, left: int, right: int) -> np.ndarray:
+    """Hashes of ``left`` bytes followed by ``right`` bytes, from the hashes of both."""
+    n = min(len(x), len(y) - left)
+    both = x[:n] * _C[left.bit_length() % 7]
+    both ^= both >> np.uint64(29)
+    both += y[left:left + n]
+    return both
 
 
 def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
