@@ -24,14 +24,30 @@ from pyspark.sql import functions as F
 TRUE_WORDS = ("1", "true", "yes", "on")
 _INT_TEXT = r"^[+-]?[0-9]+$"
 _DATE_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
-_NUMBER_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
+_BLANK = " \t\n\r\x0b\x0c"
 
+# Kinds of a VARIANT value, as numbers, so that rules compare numbers and not type names.
+VOID, STRING, WHOLE, FRACTION, BOOLEAN, OTHER = range(6)
 
-def kind(v: Column) -> Column:
-    """Variant value kind: STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, OBJECT..., VOID."""
+
+def kind_name(v: Column) -> Column:
+    """The value's type name: STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, OBJECT..., VOID."""
     return F.schema_of_variant(v)
 
 
+def kind_of(name: Column) -> Column:
+    """The kind of a type name.  VARIANT stores an integer that fits a long as BIGINT, so a DECIMAL
+    of up to 18 digits came from text with a fraction or exponent (1.0 is DECIMAL(1,0))."""
+    return (F.when(name == "STRING", STRING).when(name == "BIGINT", WHOLE).when(name == "VOID", VOID)
+            .when(name.startswith("DECIMAL"), F.when(name.rlike(r"^DECIMAL\((19|[2-3][0-9]),\s*0\)$"), WHOLE).otherwise(FRACTION))
+            .when(name.isin("INT", "SMALLINT", "TINYINT"), WHOLE).when(name.isin("DOUBLE", "FLOAT"), FRACTION)
+            .when(name == "BOOLEAN", BOOLEAN).when(name.isNotNull(), OTHER))
+
+
+def kind(v: Column) -> Column:
+    return kind_of(kind_name(v))
+
+
 class Val:
     """A VARIANT value with its kind, so the kind is derived once per field.
 
@@ -54,35 +70,30 @@ def _val(x: Column | Val) -> Val:
 def is_missing(x: Column | Val) -> Column:
     """Absent key or JSON null."""
     x = _val(x)
-    return x.v.isNull() | (x.k == "VOID")
+    return x.v.isNull() | (x.k == VOID)
 
 
 def _is_number(x: Val) -> Column:
-    return x.k.isin(*_NUMBER_KINDS) | x.k.startswith("DECIMAL")
+    return (x.k == WHOLE) | (x.k == FRACTION)
 
 
 def _is_string(x: Val) -> Column:
-    return x.k == "STRING"
+    return x.k == STRING
 
 
 def as_string(x: Column | Val) -> Column:
     """The value as text; NULL for null/absent.
 
     A fractional JSON number is a float to the loader, so 1.0 reads "1.0"
-    (not "1"); integers keep their digits.  VARIANT stores an integer that
-    fits a long as BIGINT, so a DECIMAL of up to 18 digits came from text with
-    a fraction or exponent (1.0 is DECIMAL(1,0)).
+    (not "1"); integers keep their digits.
     """
     x = _val(x)
-    k = x.k
-    big_integer = k.rlike(r"^DECIMAL\((19|[2-3][0-9]),\s*0\)$")
-    fractional = (k.startswith("DECIMAL") & ~big_integer) | k.isin("DOUBLE", "FLOAT")
-    return F.when(fractional, F.try_variant_get(x.v, "$", "double").cast("string")) \
+    return F.when(x.k == FRACTION, F.try_variant_get(x.v, "$", "double").cast("string")) \
         .otherwise(x.s)
 
 
 def _strip(s: Column) -> Column:
-    return F.regexp_replace(s, r"^\s+|\s+$", "")
+    return F.trim(s, F.lit(_BLANK))
 
 
 def safe_int(x: Column | Val) -> Column:
@@ -90,7 +101,7 @@ def safe_int(x: Column | Val) -> Column:
     s = _strip(x.s)
     from_text = F.when(s.rlike(_INT_TEXT), s.try_cast("long"))
     from_number = F.try_variant_get(x.v, "$", "double").try_cast("long")
-    from_bool = F.when(x.k == "BOOLEAN", F.try_variant_get(x.v, "$", "boolean").cast("long"))
+    from_bool = F.when(x.k == BOOLEAN, F.try_variant_get(x.v, "$", "boolean").cast("long"))
     return (F.when(_is_string(x), from_text)
             .when(_is_number(x), from_number)
             .otherwise(from_bool))
@@ -101,7 +112,7 @@ def safe_double(x: Column | Val) -> Column:
     s = _strip(x.s)
     return (F.when(_is_string(x), F.when(s != "", s.try_cast("double")))
             .when(_is_number(x), F.try_variant_get(x.v, "$", "double"))
-            .when(x.k == "BOOLEAN", F.try_variant_get(x.v, "$", "boolean").cast("double")))
+            .when(x.k == BOOLEAN, F.try_variant_get(x.v, "$", "boolean").cast("double")))
 
 
 def safe_date(x: Column | Val) -> Column:
@@ -119,7 +130,7 @@ def safe_timestamp(x: Column | Val) -> Column:
 def safe_bool(x: Column | Val) -> Column:
     x = _val(x)
     word = F.lower(_strip(as_string(x)))
-    return (F.when(x.k == "BOOLEAN", F.try_variant_get(x.v, "$", "boolean"))
+    return (F.when(x.k == BOOLEAN, F.try_variant_get(x.v, "$", "boolean"))
             .otherwise(F.coalesce(word.isin(*TRUE_WORDS), F.lit(False))))
 
 
@@ -129,8 +140,8 @@ def truthy(x: Column | Val) -> Column:
         return x.t
     k = x.k
     return (F.when(is_missing(x), F.lit(False))
-            .when(k == "STRING", x.s != "")
-            .when(k == "BOOLEAN", F.try_variant_get(x.v, "$", "boolean"))
+            .when(k == STRING, x.s != "")
+            .when(k == BOOLEAN, F.try_variant_get(x.v, "$", "boolean"))
             .when(_is_number(x), F.try_variant_get(x.v, "$", "double") != 0)
             .otherwise(F.lit(True)))
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtline.sources.schemas import ENTITY_FIELDS
-from courtline.functions.casts import (Val, as_string, first_truthy, is_missing, kind,
+from courtline.functions.casts import (Val, as_string, first_truthy, is_missing, kind_name, kind_of,
                                        safe_bool, safe_date, safe_double, safe_int,
                                        safe_timestamp, text, text_if_present, truthy)
 
@@ -180,9 +180,10 @@ def with_fields(records: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Project each needed field and its VARIANT kind once (the casts reuse them)."""
     rec = F.col("rec")
     x = records.select("*", *[field(rec, f).alias(f"__v{_cname(f)}") for f in fields])
-    x = x.select("*", *[kind(F.col(f"__v{_cname(f)}")).alias(f"__k{_cname(f)}") for f in fields],
+    x = x.select("*", *[kind_name(F.col(f"__v{_cname(f)}")).alias(f"__n{_cname(f)}") for f in fields],
                  *[F.try_variant_get(F.col(f"__v{_cname(f)}"), "$", "string").alias(f"__s{_cname(f)}")
                    for f in fields])
+    x = x.select("*", *[kind_of(F.col(f"__n{_cname(f)}")).alias(f"__k{_cname(f)}") for f in fields])
     # truthiness per field from the projected value/kind/text (one small CASE each)
     return x.select("*", *[truthy(Val(F.col(f"__v{_cname(f)}"), F.col(f"__k{_cname(f)}"),
                                       F.col(f"__s{_cname(f)}"))).alias(f"__t{_cname(f)}")
