@@ -24,7 +24,8 @@ members but the earliest are repeats.
 
 An anchor with over ``hot`` occurrences would make one task long.  Its strings
 are resolved as rows instead (window hash, earliest start), with partial
-aggregation on the map side.
+aggregation on the map side.  Before either, equal contexts of a range of texts
+are reduced to the earliest.
 
 Defined cases: a null or empty text, or one under ``length`` bytes, loses
 nothing; rows without an id come last; rows that share an id are ordered by a
@@ -204,7 +205,13 @@ def _repeated(rows: DataFrame, hot: int) -> DataFrame:
 
 
 def _contexts(found: DataFrame, gram: int) -> DataFrame:
-    """fp, dk, tie, at, l (bytes before the anchor), hot, s: the bytes before and behind each repeated anchor, as far as its windows reach."""
+    """fp, dk, tie, at, l (bytes before the anchor), hot, s: the bytes before and behind each repeated anchor, as far as its windows reach.
+
+    Of equal contexts in a range of texts the earliest goes on.  All strings of the others are repeats, so those come as rows
+    without s that say what to remove (l bytes from at), under a key of their own that spreads them.
+    """
+
+    names = ["fp", "dk", "tie", "at", "l", "hot", "s"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -226,15 +233,26 @@ def _contexts(found: DataFrame, gram: int) -> DataFrame:
                 p, left, right = here >> 16, (here >> 8) & 0xFF, here & 0xFF
                 start = base[row - k0] + p
                 data = np.frombuffer(b"".join(texts), np.uint8)
-                for c in range(0, n, 4096):                      # bounds an output batch
-                    z = slice(c, min(n, c + 4096))
-                    m = z.stop - z.start
+                same = T.combine(T.hash_spans(data, start - left, start), T.hash_spans(data, start + gram, start + gram + right), fp.slice(first, n).to_numpy().view(np.uint64))
+                dk, tie = (b.column(c).to_numpy()[row] for c in ("dk", "tie"))
+                by = np.lexsort((p, tie, dk, same))
+                new = np.ones(n, bool)
+                new[1:] = same[by][1:] != same[by][:-1]
+                head = by[new][np.cumsum(new) - 1]                # a row that is there twice is no repeat of itself
+                later = (dk[by] != dk[head]) | (tie[by] != tie[head]) | (p[by] != p[head])
+                again, kept = by[later], np.sort(by[new])
+                if len(again):
+                    spread = T.mix(dk[again].view(np.uint64) + p[again].view(np.uint64)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(dk[again]), pa.array(tie[again]), pa.array((p - left)[again]), pa.array((left + gram + right)[again].astype(np.int32)), pa.array(np.zeros(len(again), bool)), pa.nulls(len(again), pa.binary())], names)
+                for c in range(0, len(kept), 4096):              # bounds an output batch
+                    z = kept[c:c + 4096]
                     begins = np.stack([start[z] - left[z], start[z] + gram], 1).ravel()
                     out = data[T.take_ranges(begins, np.stack([left[z], right[z]], 1).ravel())]
                     offs = np.concatenate([[0], np.cumsum(left[z] + right[z])]).astype(np.int32)
+                    own_rows = pa.array(z + first)
                     yield pa.RecordBatch.from_arrays([
-                        fp.slice(first + c, m), b.column("dk").take(pa.array(row[z])), b.column("tie").take(pa.array(row[z])), pa.array(p[z]), pa.array(left[z].astype(np.int32)), hot.slice(first + c, m),
-                        pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(offs), pa.py_buffer(out)])], ["fp", "dk", "tie", "at", "l", "hot", "s"])
+                        fp.take(own_rows), pa.array(dk[z]), pa.array(tie[z]), pa.array(p[z]), pa.array(left[z].astype(np.int32)), hot.take(own_rows),
+                        pa.Array.from_buffers(pa.binary(), len(z), [None, pa.py_buffer(offs), pa.py_buffer(out)])], names)
                 first += n
 
     return found.mapInArrow(run, "fp bigint, dk bigint, tie bigint, at bigint, l int, hot boolean, s binary")
@@ -307,6 +325,12 @@ def _merged(contexts: DataFrame, length: int, gram: int) -> DataFrame:
 
     def work(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows).combine_chunks()
+        said = t.filter(t["s"].is_null())
+        t = t.filter(t["s"].is_valid()).combine_chunks()
+        done = [said[c].to_numpy().astype(np.int64) for c in ("dk", "tie", "at", "l")]
+        done[3] = done[2] + done[3]
+        if not t.num_rows:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in done], ["dk", "tie", "x", "z"])
         dk, tie, at = (t[c].to_numpy() for c in ("dk", "tie", "at"))
         by = np.lexsort((at, tie, dk))
         new = np.ones(len(by), np.int64)
@@ -319,7 +343,7 @@ def _merged(contexts: DataFrame, length: int, gram: int) -> DataFrame:
         data = np.frombuffer(s.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
         flags = merge(t["fp"].to_numpy(), rank, t["l"].to_numpy().astype(np.int64), data, offsets - offsets[0], length, gram)
         who, x, z = _runs(flags, at, length)
-        return pa.RecordBatch.from_arrays([pa.array(dk[who]), pa.array(tie[who]), pa.array(x), pa.array(z)], ["dk", "tie", "x", "z"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in zip((dk[who], tie[who], x, z), done, strict=True)], ["dk", "tie", "x", "z"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []

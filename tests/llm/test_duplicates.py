@@ -157,6 +157,18 @@ def test_repeats_with_hot_anchors_resolved_as_rows(spark):
         assert Counter(tuple(r) for r in bwt_dedup.remove_repeats(df, hot=hot).collect()) == want
 
 
+def test_repeated_rows_and_long_runs(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    alone, line = " ".join(word() for _ in range(60)), "the same line over and over " * 30
+    rows = [(1, alone), (1, alone), (2, word() + line), (3, line), (4, "=" * 900), (5, "ab" * 300), (6, "x" + "ab" * 200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    want = brute_removal(rows)[0]
+    assert want[1, alone][2] == 0 and want[4, "=" * 900][2] > 0
+    for hot in (3, 10_000):
+        assert Counter(tuple(r) for r in bwt_dedup.remove_repeats(df, hot=hot).collect()) == Counter(want[r] for r in rows)
+
+
 def test_merge_holds_whole_groups_across_batches(spark, monkeypatch):
     monkeypatch.setattr(bwt_dedup, "MERGE_ROWS", 7)
     rng = random.Random(10)
