@@ -2,8 +2,8 @@
 
 A text becomes its words (A-Z lower-cased, ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``)
 with one blank before, between and after.  Base phrases are counted on that.
-Signatures (``license_rules``) are tried only if the text holds a gate word,
-and then only those whose keyword it holds.  Detections are intervals; one is
+Signatures (``license_rules``) are tried only if the text holds their gate and
+their keyword, which are words of every match.  Detections are intervals; one is
 suppressed if another of the same or a higher priority contains it (of equal
 intervals the earlier signature stays).  A running maximum over a text's
 detections, sorted by place, finds that out, so no pairs are made.
@@ -17,10 +17,13 @@ table gives none; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
+from dataclasses import asdict
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtline.llm.license_rules import GATES, WEIGHTS, rules
+from courtline.llm.license_rules import WEIGHTS, gates, rules
 from courtline.llm.store import stored
 
 #: phrase and label of the base scan (fixed values)
@@ -41,7 +44,8 @@ def with_words(df: DataFrame, text: Column) -> DataFrame:
 
 
 def _rule_array() -> Column:
-    return F.array(*(F.struct(F.lit(r.number).alias("number"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"), F.lit(r.priority).alias("priority")) for r in rules()))
+    """All signatures as one constant, which is folded once (thousands of literals would take the driver half a minute to plan)."""
+    return F.from_json(F.lit(json.dumps([asdict(r) for r in rules()])), "array<struct<number int, label string, keyword string, pattern string, priority int, gate string>>")
 
 
 def scan(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -63,11 +67,10 @@ def scan(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Da
     # signatures: for each that is tried, the lengths of what stands before each match and of the match
     every = rules()
     keywords = F.array(*(F.lit(k) for k in dict.fromkeys(r.keyword for r in every)))
-    gate = F.lit(False)
-    for g in GATES:
-        gate = gate | F.contains("words", F.lit(g))
-    docs = docs.withColumn("held", F.when(gate, F.filter(keywords, lambda k: F.contains("words", k))))
-    tried = F.filter(_rule_array(), lambda r: F.array_contains("held", r["keyword"]))
+    # a signature's gate and keyword are both in any text that it matches
+    docs = docs.withColumn("gates", F.filter(F.array(*(F.lit(g) for g in gates())), lambda g: F.contains("words", g)))
+    docs = docs.withColumn("held", F.when(F.size("gates") > 0, F.filter(keywords, lambda k: F.contains("words", k))))
+    tried = F.filter(_rule_array(), lambda r: F.array_contains("held", r["keyword"]) & F.array_contains("gates", r["gate"]))
 
     def lengths(r: Column) -> Column:
         got = F.regexp_extract_all("words", r["pattern"], F.lit(0))

@@ -74,3 +74,48 @@ def test_license_scan(edge_docs, edge_rows, no_docs, spark):
     assert license_scan.scan(no_docs).count() == 0
     assert len(rules()) >= 300
     assert not re.search("Python|Pandas|Arrow", license_scan.scan(df)._jdf.queryExecution().toString())
+
+
+MIT_BODY = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+and to permit persons to whom the Software is furnished to do so"""
+BSD_BODY = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+WARRANTY = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.'
+ISC_BODY = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+NOTICE = "provided that the above copyright notice and this permission notice appear in all copies."
+#: Texts with labels set by hand, from what the licenses say.
+LABELLED = [
+    (f"{MIT_BODY}, subject to the following conditions: The above copyright notice and this permission notice shall be included", "mit"), (f"{MIT_BODY}. THE SOFTWARE IS PROVIDED AS IS", "mit-0"),
+    (f"{ISC_BODY}, {NOTICE}", "isc"), (f"{ISC_BODY}. THE SOFTWARE IS PROVIDED AS IS", "0bsd"),
+    (BSD_BODY + WARRANTY, "bsd-2-clause"), (BSD_BODY + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse products. " + WARRANTY, "bsd-3-clause"),
+    (BSD_BODY + "3. All advertising materials mentioning features or use of this software must display: made by X. 4. Neither the name of X nor the names of its contributors. " + WARRANTY, "bsd-4-clause"),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted.", "bsd"),
+    ("Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely", "zlib"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"), ("released under the GPL", "gpl"), ("It is GPLv2 code", "gpl-2"), ("LGPLv2.1+", "lgpl-2.1"), ("AGPL v3", "agpl-3"),
+    ("distributed under the terms of the MPL 2.0", "mpl-2.0"), ("made available under MIT", "mit"), ("released as open source under the Apache 2.0", "apache-2.0"), ("released under the Apache License v2.0", "apache-2.0"),
+    ("under version 2 of the GPL", "gpl-2"), ("Apache License v2.0", "apache-2.0"), ("GNU Lesser General Public License v2.1", "lgpl-2.1"), ("General Public License v3 or later", "gpl-3"), ("Mozilla Public License, v. 2.0", "mpl-2.0"),
+    ("GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version", "gpl-2"),
+    ("CC0 1.0 Universal", "cc0-1.0"), ("CC0", "cc0"), ("This work is in the public domain", "public-domain"), ("dedicated to the public domain", "public-domain"), ("see the Unlicense", "unlicense"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International", "cc-by-sa-4.0"), ("http://creativecommons.org/licenses/by-nc/3.0/", "cc-by-nc-3.0"), ("Do What The Fuck You Want To Public License", "wtfpl"),
+    # texts without a license
+    ("this photograph is not in the public domain", ""), ("running under Apache 2 for years", ""), ("we wrote it in Python 2 under pressure", ""), ("permission to use the kitchen is hereby granted to any person", ""), ("the redistribution of source water", ""),
+]
+
+
+def test_license_labels_set_by_hand(spark):
+    df = spark.createDataFrame([(k, f"Read this first. {t} ... and the rest") for k, (t, _) in enumerate(LABELLED)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["labels"] for r in license_scan.scan(df).collect()}
+    # "general public license" is a base phrase, whose label stands beside a signature's
+    assert {t: ",".join(x for x in got[k].split(",") if x not in (["gpl"] if "eneral Public License" in t else ["apache"] if "Apache License" in t else [])) for k, (t, _) in enumerate(LABELLED)} == dict(LABELLED)
+
+
+def test_a_match_holds_its_gate_and_keyword():
+    for r in rules():
+        for t, _ in LABELLED:
+            s = f" {' '.join(re.findall('[a-z0-9]+', t.lower()))} "
+            for m in re.finditer(r.pattern, s):
+                end = s[m.start():m.end() + 1]
+                assert r.keyword in end and r.gate in end, (r, end)
