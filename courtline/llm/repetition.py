@@ -7,8 +7,10 @@ From those ranks, the longest common prefix of neighbours follows by binary
 lifting.  Neighbours with a common prefix of ``min_words`` or more bound the
 intervals of maximal repeated substrings; the union of all their occurrences
 is what repeats.  A text is kept if that union covers at most ``max_covered``
-of its word bytes and the longest repeat is at most ``longest_words`` words or
-``longest_share`` of the text.
+of its word bytes and the longest repeat is at most ``longest_words`` words,
+however long the text is.  (A limit in shares could not act by itself: two
+places of a repeat over 15% of the words already cover more than the base
+rule's 30%.)
 
 Base counts (words are ``[^\\x20\\x09-\\x0D]+``): see ``repetition_rules``.
 
@@ -101,7 +103,7 @@ def common_prefixes(order: np.ndarray, levels: list[np.ndarray], ends: np.ndarra
     return lcp
 
 
-def judge(data: np.ndarray, offsets: np.ndarray, *, max_covered: float, longest_words: int, longest_share: float) -> dict[str, np.ndarray]:
+def judge(data: np.ndarray, offsets: np.ndarray, *, max_covered: float, longest_words: int) -> dict[str, np.ndarray]:
     """All columns for the texts of one range."""
     docs = len(offsets) - 1
     space = T.IS_SPACE[data]
@@ -149,7 +151,7 @@ def judge(data: np.ndarray, offsets: np.ndarray, *, max_covered: float, longest_
     repeated = np.bincount(doc, weights=covered, minlength=docs).astype(np.int64)
     share = np.divide(covered_bytes, word_bytes, out=np.zeros(docs), where=word_bytes > 0)
     failed = (n_words < 20) | (100 * repeated > 30 * n_words)
-    too_long = (longest > longest_words) & (longest > longest_share * n_words)
+    too_long = longest > longest_words
     return out | {"n_repeat_words": repeated, "covered_share": share, "longest_repeat": longest, "base_failed": failed, "kept": ~failed & (share <= max_covered) & ~too_long}
 
 
@@ -160,19 +162,19 @@ def _judged(column: pa.Array, limits: dict) -> dict[str, np.ndarray]:
     return {c: np.concatenate([g[c] for g in got]) for c in got[0]} if got else {}
 
 
-def repetition_rules(df: DataFrame, *, max_covered: float = 0.30, longest_words: int = 64, longest_share: float = 0.20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repetition_rules(df: DataFrame, *, max_covered: float = 0.30, longest_words: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and COLUMNS for every row.
 
     n_words; word_chars (code points in words); n_symbols (``[#*$%&|<>]``);
     n_dup_lines (lines with a word, equal to an earlier line); n_repeat_words
     (words in 8-word windows found twice or more); covered_share (of word
     bytes, by repeats); longest_repeat (words); base_failed (under 20 words, or
-    over 30 in 100 words repeat); kept.
+    over 30 in 100 words repeat); kept (not base_failed, and within both limits).
     """
     tune(df.sparkSession)
     rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
     names = [c.split()[0] for c in COLUMNS.split(", ")]
-    limits = {"max_covered": max_covered, "longest_words": longest_words, "longest_share": longest_share}
+    limits = {"max_covered": max_covered, "longest_words": longest_words}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -184,10 +186,10 @@ def repetition_rules(df: DataFrame, *, max_covered: float = 0.30, longest_words:
     return rows.mapInArrow(run, f"__id {kind}, {COLUMNS}").withColumnRenamed("__id", id_col)
 
 
-def keep_unrepeated(df: DataFrame, *, max_covered: float = 0.30, longest_words: int = 64, longest_share: float = 0.20, text_col: str = "text") -> DataFrame:
+def keep_unrepeated(df: DataFrame, *, max_covered: float = 0.30, longest_words: int = 64, text_col: str = "text") -> DataFrame:
     """The rows that are kept, with the columns they have."""
     tune(df.sparkSession)
-    limits = {"max_covered": max_covered, "longest_words": longest_words, "longest_share": longest_share}
+    limits = {"max_covered": max_covered, "longest_words": longest_words}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -84,6 +84,18 @@ def test_repetition_rules(edge_docs, edge_rows, no_docs):
     assert repetition.repetition_rules(no_docs).count() == repetition.keep_unrepeated(no_docs).count() == 0
 
 
+def test_the_longest_repeat_rejects_by_itself(spark):
+    def text(n, k):
+        """n distinct words, the first k of them once more at the end."""
+        words = [f"w{x}" for x in range(n)]
+        return " ".join([*words, "between", *words[:k]])
+    rows = [(1, text(6000, 900)), (2, text(6000, 65)), (3, text(6000, 64)), (4, text(6000, 0)), (5, text(200, 20)), (6, text(200, 150))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["longest_repeat"], r["base_failed"], r["kept"]) for r in repetition.repetition_rules(df).collect()}
+    assert got == {1: (900, False, False), 2: (65, False, False), 3: (64, False, True), 4: (0, False, True), 5: (20, False, True), 6: (150, True, False)}
+    assert sorted(r["doc_id"] for r in repetition.keep_unrepeated(df).collect()) == [3, 4, 5]
+
+
 def test_suffix_ranks_are_a_suffix_array():
     rng = np.random.default_rng(1)
     for _ in range(30):
