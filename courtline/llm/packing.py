@@ -12,7 +12,9 @@ Jobs: (1) tokenize once, write ids with each document's place in its source's
 queue within its input partition; (2) sum tokens per (source, partition) and
 prefix those sums per source; (3) cut every document where a window or a
 sequence ends.  No text or token is shuffled.  The plan that goes to every
-task has one entry per source (at most ``MAX_SOURCES``; more is an error).
+task has one entry per source.  With more than ``MAX_SOURCES`` the plan is a
+table of the runs (source, window) instead, joined to the documents' fragments
+(``_by_table``): the same pieces, but tokens are shuffled twice.
 
 Without ``weights`` the targets are the sources' shares of the corpus, so all
 queues end together and each window holds every source in proportion.  With
@@ -28,6 +30,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,11 @@ from courtline.llm.store import stored, tune
 from courtline.llm.token_counts import vocabulary
 
 RANGE_BYTES = 8 << 20
+#: Sources in the plan that goes to tasks; more are joined as a table.
 MAX_SOURCES = 10_000
+BATCH_ROWS = 10_000
+#: Windows whose starts are summed together.
+BLOCK = 1024
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, source string, window_id bigint"
 
 _CACHES: dict[str, ChunkCache] = {}
@@ -125,6 +132,87 @@ def given_until(w: np.ndarray, totals: np.ndarray, quota: np.ndarray, den: int)
     return np.minimum(w * q + w * r // den, totals)
 
 
+def _batches(rows: Iterator[tuple], schema: str) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of a schema of bigint, string and binary columns."""
+    names, kinds = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    types = [{"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}[k] for k in kinds]
+    while some := list(islice(rows, BATCH_ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*some, strict=True), types, strict=True)], list(names))
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for b in batches:
+        yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
+
+
+def _by_table(tokens: DataFrame, per_part: DataFrame, base: DataFrame, *, length: int, window: int, weights: dict[str, int] | None) -> DataFrame:
+    """What pack() returns, for any number of sources: nothing that grows with them is held by the driver or a task."""
+    totals = per_part.groupBy("source").agg(F.sum("n").alias("total"))
+    if weights is None:
+        den = max(1, -(-totals.agg(F.sum("total")).first()[0] // window))
+        sources = totals.select("source", "total", F.col("total").alias("quota"))
+    else:
+        def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _batches(((s, total, max(0, int(weights.get(s, 1))) * window) for s, total in _read(batches)), "source string, total bigint, quota bigint")
+
+        sources = totals.mapInArrow(shared, "source string, total bigint, quota bigint")
+        least, quotas = sources.agg(F.min("quota"), F.sum("quota")).first()
+        if least == 0:
+            raise ValueError("a weight of 0 would never pack its source; leave those rows out instead")
+        den = quotas // window
+
+    def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for source, total, q in _read(batches):
+                one, by, last = np.array([total]), np.array([q]), (total * den - 1) // q
+                for lo in range(0, min(total, last + 1), BATCH_ROWS):
+                    at = np.arange(lo, min(total, last + 1, lo + BATCH_ROWS))
+                    # the windows one by one, or those that hold the source's tokens, if these are fewer
+                    w = at if last < total else ((at + 1) * den - 1) // q
+                    before, after = given_until(w, one, by, den)[:, 0], given_until(w + 1, one, by, den)[:, 0]
+                    own = (after > before) & ((last < total) | (before == at))
+                    yield from zip([source] * int(own.sum()), w[own].tolist(), (after - before)[own].tolist(), strict=True)
+        return _batches(rows(), "source string, w bigint, run bigint")
+
+    # where each run begins in the whole order: by window, then by source
+    runs = sources.mapInArrow(runs_of, "source string, w bigint, run bigint")
+    windows = runs.groupBy("w").agg(F.sum("run").alias("run")).withColumn("block", F.floor(F.col("w") / BLOCK))
+    windows = windows.withColumn("in_block", F.sum("run").over(Window.partitionBy("block").orderBy("w")) - F.col("run"))
+    blocks = windows.groupBy("block").agg(F.sum("run").alias("all")).select("block", (F.sum("all").over(Window.orderBy("block")) - F.col("all")).alias("to_block"))
+    starts = windows.join(blocks, "block").select("w", (F.col("in_block") + F.col("to_block")).alias("start"))
+    in_window = F.sum("run").over(Window.partitionBy("w").orderBy("source")) - F.col("run")
+    begins = runs.withColumn("in_window", in_window).join(starts, "w").select("source", "w", (F.col("start") + F.col("in_window")).alias("begin"))
+
+    fragment = "doc_id bigint, source string, w bigint, start bigint, past bigint, n bigint, ids binary"
+
+    def fragments_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for doc, source, first, n, ids, total, q in _read(batches):
+                at = first
+                while at < first + n:
+                    w = ((at + 1) * den - 1) // q
+                    until = min((w + 1) * q // den, total, first + n)
+                    yield doc, source, w, at - first, at - w * q // den, n, ids[4 * (at - first):4 * (until - first)]
+                    at = until
+        return _batches(rows(), fragment)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for doc, source, w, start, past, n, ids, begin in _read(batches):
+                at, place, end = 0, begin + past, len(ids) // 4
+                while at < end:
+                    size = min(end - at, length - place % length)
+                    yield doc, start + at, size, zlib.crc32(ids[4 * at:4 * (at + size)]), n, place // length, place % length, source, w
+                    at, place = at + size, place + size
+        return _batches(rows(), PIECES)
+
+    known = base.alias("b").join(sources.alias("s"), F.col("b.source").eqNullSafe(F.col("s.source"))).select("b.source", "part", "base", "total", "quota")
+    placed = tokens.alias("t").join(known.alias("k"), F.col("t.source").eqNullSafe(F.col("k.source")) & (F.col("t.part") == F.col("k.part")))
+    fragments = placed.select("doc_id", "t.source", (F.col("place") + F.col("base")).alias("first"), "n", "ids", "total", "quota").mapInArrow(fragments_of, fragment)
+    put = fragments.alias("f").join(begins.alias("g"), F.col("f.source").eqNullSafe(F.col("g.source")) & (F.col("f.w") == F.col("g.w")))
+    return put.select("doc_id", "f.source", "f.w", "start", "past", "n", "ids", "begin").mapInArrow(cut, PIECES)
+
+
 def pack(df: DataFrame, *, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, length: int = 4096, window: int = 64 * 4096,
          weights: dict[str, int] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Pieces of documents in sequences of ``length`` tokens (columns: PIECES).
@@ -139,7 +227,7 @@ def pack(df: DataFrame, *, tokenizer: str = "word_bpe_49k.json", end_id: int = 2
     base = per_part.select("source", "part", (F.sum("n").over(Window.partitionBy("source").orderBy("part")) - F.col("n")).alias("base"))
     rows = per_part.groupBy("source").agg(F.sum("n").alias("n")).orderBy("source").limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: name a coarser column, a mixture has one share per source")
+        return _by_table(tokens, per_part, base, length=length, window=window, weights=weights)
     names = [r["source"] for r in rows]
     totals = np.array([r["n"] for r in rows], np.int64)
     if weights is None:

@@ -160,6 +160,24 @@ def test_packing_keeps_the_mixture(spark):
                     assert abs(c[s] - share) <= 1          # the deficit is under one token
 
 
+def test_packing_of_many_sources(spark, edge_docs, monkeypatch):
+    """More sources than the plan of a task takes: the same pieces by a joined table."""
+    cases = (None, {"s0": 3, "s1": 1})
+    want = [sorted(packing.pack(edge_docs, length=64, window=512, weights=w).collect(), key=str) for w in cases]
+    few = spark.range(40).selectExpr("id as doc_id", "'a b' as text", "if(id < 2, 'x', 'y') as source")  # fewer tokens of x than windows
+    want.append(sorted(packing.pack(few, length=4, window=8).collect(), key=str))
+    monkeypatch.setattr(packing, "MAX_SOURCES", 1)
+    got = [sorted(packing.pack(edge_docs, length=64, window=512, weights=w).collect(), key=str) for w in cases]
+    got.append(sorted(packing.pack(few, length=4, window=8).collect(), key=str))
+    assert got == want
+    monkeypatch.undo()
+    hosts = spark.range(10_050).selectExpr("id as doc_id", "'of it' as text", "concat('host', id) as source")
+    rows = packing.pack(hosts, length=64, window=4096).collect()
+    assert len({r["doc_id"] for r in rows}) == 10_050
+    placed = sorted((r["sequence_id"] * 64 + r["offset"], r["length"]) for r in rows)
+    assert [a for a, _ in placed] == list(np.cumsum([0, *(n for _, n in placed)])[:-1])
+
+
 def test_language_model_learns_and_rejects():
     rng = np.random.default_rng(3)
     sound = {"xx": ["ka", "ro", "mi", "ta"], "yy": ["schu", "ver", "lich", "en"], "zz": ["été", "ment", "eau", "qu"]}
