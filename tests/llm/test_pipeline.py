@@ -47,6 +47,6 @@ def test_stages_take_empty_and_odd_tables(edge_docs, no_docs, spark, small_dir):
 def test_every_operator_has_one_query():
     import __spark_entry__
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
