@@ -396,7 +396,16 @@ def near_duplicates(df: DataFrame, *, shingle: int = 4, similarity: tuple[int, i
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def one_of_each(df: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of df that are kept, with the columns they have: of every group, the document with the smallest id."""
-    gone = near_duplicates(df, id_col=id_col, **options).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of df that are kept, with the columns they have: of every group, the document with the smallest id.
+
+    Of rows alike in id and text one stays (a document that was taken in twice,
+    copies without an id); other texts under one id are one document.
+    """
+    twice = stored(df.groupBy(F.col(id_col).alias("__twice")).count().filter("count > 1").select("__twice"), "ids-twice")
+    if not twice.isEmpty():
+        same = F.col(id_col).eqNullSafe(F.col("__twice"))
+        # ids that occur once don't move
+        df = df.join(twice, same, "left_anti").unionByName(df.join(twice, same, "left_semi").dropDuplicates([id_col, text_col]))
+    gone = near_duplicates(df, id_col=id_col, text_col=text_col, **options).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
     return df.join(gone, F.col(id_col).cast("bigint") == F.col("__gone"), "left_anti")

@@ -1,21 +1,33 @@
 """Language identification (operator 5): averaged hashed subword embeddings under a linear softmax.
 
-Training: up to ``per_language`` labelled rows of every language (those with
-the smallest hash of their id; the bound is a parameter) come to the driver.
+Training: up to ``per_language`` labelled rows of every language, and about
+``sample_rows`` in all (those with the smallest hash of their id), come to the
+driver; of a text over ``sample_chars`` a stretch of that size, from a place
+chosen by hash.  These three bounds are parameters.
 Byte n-grams of 2 to 4, A-Z lower-cased, are hashed into buckets; a snippet's
 vector is the mean of its buckets' embeddings.  Embeddings and the softmax
 layer are trained by stochastic gradient descent in numpy on snippets of mixed
 length.  A fifth of the sample is kept back: it sets the softmax temperature
-and the score under which a prediction is rejected (at most ``reject`` of the
-kept-back texts fall under it, and never a score over one half).
-
-Prediction: mean and layer are both linear, so each bucket's embedding is
-folded into its logits once; a task adds those up over the whole text.  The
-model that goes to tasks has 3 * BUCKETS rows of one number a language.
+and what is rejected.
+
+Rejection: a softmax compares the languages it knows, so its score can't tell a
+text in none of them (with two languages it is never under one half).  What can
+is how usual the text's 3-grams are in the sample: their mean log frequency,
+less the kept-back texts' mean, times the root of their number.  Texts more
+unusual than all but ``reject`` of the kept-back ones (and snippets of them, so
+that short texts count), with a margin, are rejected; so are scores under the
+same share of theirs.
+
+Prediction: mean and layer are both linear, so a task adds up each bucket's
+numbers over the whole text.  With up to DIMENSIONS languages these are its
+logits, else its embedding, and the layer follows: the model that goes to tasks
+has 3 * BUCKETS rows of DIMENSIONS + 1 numbers at most, however many languages
+there are.
 
 Defined cases: ``und`` with score 0 for a null text, one without a letter, and
 where there is no labelled row at all; a text shorter than an n-gram is judged
-by the bias; repeated rows are judged alike; extra columns are ignored.
+by the bias and not rejected for its 3-grams; equally good languages: the first
+by name; repeated rows are judged alike; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,8 +47,10 @@ SIZES = (2, 3, 4)
 BUCKETS = 1 << 15
 DIMENSIONS = 16
 RANGE_BYTES = 2 << 20
-#: One number of the model per language; more languages than this would not be a label.
-MAX_LANGUAGES = 1000
+#: 3-grams of a text that count as independent evidence, at most.
+EVIDENCE = 400
+#: A text may be so many times as unusual as the most unusual of the kept-back ones that stay.
+MARGIN = 1.25
 #: Parts in which a language's rows are ranked first.
 SHARES = 256
 SNIPPETS = (24, 64, 160)  # bytes
@@ -61,32 +75,45 @@ def buckets(low: np.ndarray, size: int) -> np.ndarray:
 @dataclass
 class LanguageModel:
     languages: list[str]
-    table: np.ndarray        # logits by bucket; the last row is zero
+    table: np.ndarray        # by bucket: logits, or the embedding if there is a layer, then the log frequency of 3-grams; the last row is zero
     bias: np.ndarray
     temperature: float
     threshold: float
+    layer: np.ndarray | None = None
+    usual: float = 0.0       # mean log frequency of known texts' 3-grams
+    unusual_limit: float = np.inf
 
-    def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def measure(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each text's logits, and how unusual its 3-grams are."""
         low, n, pad = T.LOWER[data], len(offsets) - 1, len(self.table) - 1
-        total, grams = np.zeros((n, len(self.languages))), np.zeros(n, np.int64)
+        width = self.table.shape[1]
+        total, grams = np.zeros((n, width)), np.zeros(n, np.int64)
         lengths = np.diff(offsets)
         full = np.flatnonzero(lengths > 0)
-        if not len(full):
-            return total + self.bias
-        for size in SIZES:
-            at = buckets(low, size)
-            for back in range(1, size):                     # n-grams that would cross a text's end
-                end = offsets[1:] - back
-                at[end[lengths >= back]] = pad
-            for k in range(len(self.languages)):
-                total[full, k] += np.add.reduceat(self.table[:, k][at], offsets[:-1][full], dtype=np.float64)
-            grams += np.maximum(lengths - size + 1, 0)
-        return total / np.maximum(grams, 1)[:, None] + self.bias
-
-    def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each text's best language (its index) and calibrated score."""
-        p = softmax(self.logits(data, offsets) / self.temperature)
-        return p.argmax(1), p.max(1)
+        if len(full):
+            for size in SIZES:
+                at = buckets(low, size)
+                for back in range(1, size):                     # n-grams that would cross a text's end
+                    end = offsets[1:] - back
+                    at[end[lengths >= back]] = pad
+                for k in range(width if size == 3 else width - 1):
+                    total[full, k] += np.add.reduceat(self.table[:, k][at], offsets[:-1][full], dtype=np.float64)
+                grams += np.maximum(lengths - size + 1, 0)
+        mean = total[:, :-1] / np.maximum(grams, 1)[:, None]
+        threes = np.maximum(lengths - 2, 0)
+        unusual = (self.usual - total[:, -1] / np.maximum(threes, 1)) * np.sqrt(np.minimum(threes, EVIDENCE))
+        return (mean if self.layer is None else mean @ self.layer) + self.bias, unusual
+
+    def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each text's best language (its index), calibrated score, and whether that is accepted."""
+        logits, unusual = self.measure(data, offsets)
+        p = softmax(logits / self.temperature)
+        score = p.max(1)
+        return p.argmax(1), score, (score >= self.threshold) & (unusual <= self.unusual_limit)
+
+
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -98,11 +125,10 @@ def train(texts: list[bytes], labels: list[str], *, seed: int = 7, epochs: int =
     """Fit on the texts; every fifth one only calibrates."""
     languages = sorted(set(labels))
     if not languages:
-        return LanguageModel([], np.zeros((1, 0), np.float32), np.zeros(0), 1.0, 0.0)
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+        return LanguageModel([], np.zeros((1, 1), np.float32), np.zeros(0), 1.0, 0.0)
     rng = np.random.default_rng(seed)
-    of = np.array([languages.index(x) for x in labels])
+    index = {x: k for k, x in enumerate(languages)}
+    of = np.array([index[x] for x in labels])
     fit = [k for k in range(len(texts)) if k % 5 != 4 or len(texts) < 10]
     rest = [k for k in range(len(texts)) if k % 5 == 4] if len(texts) >= 10 else fit
     rows, width = BUCKETS * len(SIZES), max(SNIPPETS)
@@ -138,24 +164,45 @@ def train(texts: list[bytes], labels: list[str], *, seed: int = 7, epochs: int =
         flat, per = at.ravel(), np.repeat(back, at.shape[1], axis=0)
         used = flat < rows
         np.subtract.at(emb, flat[used], (lr * 64) * per[used])
-    model = LanguageModel(languages, np.ascontiguousarray(emb @ layer), bias.astype(np.float64), 1.0, 0.0)
-
-    data = np.frombuffer(b"".join(texts[k] for k in rest), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(texts[k]) for k in rest])])
-    short = [texts[k][:160] for k in rest]
-    logits = model.logits(np.frombuffer(b"".join(short), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in short])]))
+    # log frequency of the 3-grams of the texts that are fitted, languages weighing alike
+    seen, first = np.zeros(BUCKETS), BUCKETS * SIZES.index(3)
+    for k in fit:
+        low = T.LOWER[np.frombuffer(texts[k], np.uint8)]
+        at = buckets(low, 3)[:max(0, len(low) - 2)] - first
+        seen += np.bincount(at, minlength=BUCKETS) * (weight[of[k]] / max(1, len(at)))
+    usual = np.zeros((rows + 1, 1), np.float32)
+    usual[first:first + BUCKETS, 0] = np.log(seen / max(seen.sum(), 1e-9) + 0.01 / BUCKETS)
+    few = len(languages) <= DIMENSIONS
+    model = LanguageModel(languages, np.ascontiguousarray(np.concatenate([emb @ layer if few else emb, usual], 1)), bias.astype(np.float64), 1.0, 0.0, None if few else layer.astype(np.float64))
+
+    whole = [texts[k] for k in rest]
+    short = [t[:160] for t in whole]
     gold = of[rest]
+    logits, _ = model.measure(*joined(short))
     loss = {t: -np.log(softmax(logits / t)[np.arange(len(rest)), gold] + 1e-12).mean() for t in np.geomspace(0.02, 50, 60)}
     model.temperature = float(min(loss, key=loss.get))
-    scores = np.sort(model.predict(data, offsets)[1])
+    scores = np.sort(model.predict(*joined(whole))[1])
     model.threshold = float(min(0.5, scores[int(reject * len(scores))]))
+    # per 3-gram, without a usual level yet, the statistic is -mean * root: the level is the kept-back texts' mean
+    parts = whole + [t[(len(t) - n) // 2:][:n] for n in SNIPPETS for t in whole if len(t) > n]
+    _, raw = model.measure(*joined(parts))
+    root = np.sqrt(np.clip([len(t) - 2 for t in parts], 1, EVIDENCE))
+    model.usual = float(-(raw / root)[:len(whole)].mean())
+    unusual = np.sort(raw + model.usual * root)
+    model.unusual_limit = float(max(1.0, MARGIN * unusual[-1 - int(reject * len(unusual))]))
     return model
 
 
-def fit(df: DataFrame, *, per_language: int = 1500, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> LanguageModel:
-    """Train on rows with a label and a text that are not held out: at most ``per_language`` of each language."""
+def fit(df: DataFrame, *, per_language: int = 1500, sample_rows: int = 40_000, sample_chars: int = 4000,
+        id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> LanguageModel:
+    """Train on rows with a label and a text that are not held out: at most ``per_language`` of each language and about
+    ``sample_rows`` in all (one of each language at least), of each at most ``sample_chars``."""
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     may = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    languages = may.select("lang").distinct().count()
+    per_language = max(1, min(per_language, sample_rows // max(1, languages)))
+    begin = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - sample_chars + 1, F.lit(1))).cast("int") + 1
+    may = may.withColumn("text", F.substring(F.col("text"), begin, F.lit(sample_chars)))
     # in two steps: no task sorts more of a language than a share of its rows, then a bounded number of them
     order = F.xxhash64("doc_id"), F.col("doc_id")
     chosen = may.select("doc_id", "lang").distinct().withColumn("share", F.pmod(F.hash("doc_id"), F.lit(SHARES)))
@@ -180,19 +227,19 @@ def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def judge(column: pa.Array, model: LanguageModel) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(language, score, accepted) of every text of an Arrow column."""
     data, offsets = T.utf8(column)
-    names, scores = [], [np.zeros(0)]
+    names, scores, accepted = [], [np.zeros(0)], [np.zeros(0, bool)]
     for i, j in T.parts(offsets, RANGE_BYTES):
         part, offs = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         known = has_letter(part, offs) & bool(model.languages)
-        best, score = model.predict(part, offs) if model.languages else (np.zeros(j - i, int), np.zeros(j - i))
+        best, score, fine = model.predict(part, offs) if model.languages else (np.zeros(j - i, int), np.zeros(j - i), known)
         names += [model.languages[x] if ok else "und" for x, ok in zip(best.tolist(), known.tolist(), strict=True)]
         scores.append(np.where(known, score, 0.0))
-    score = np.concatenate(scores)
-    return names, score, np.array([x != "und" for x in names], bool) & (score >= model.threshold)
+        accepted.append(known & fine)
+    return names, np.concatenate(scores), np.concatenate(accepted)
 
 
 def identify(df: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, lang_pred, score and accepted (a language, scored at the threshold or over) for every row."""
+    """id, lang_pred, score and accepted (a language, by score and 3-grams) for every row."""
     tune(df.sparkSession)
     rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
 

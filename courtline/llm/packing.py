@@ -27,6 +27,7 @@ pieces; extra columns are ignored.  Only the last sequence is not full.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -47,31 +48,50 @@ RANGE_BYTES = 8 << 20
 #: Sources in the plan that goes to tasks; more are joined as a table.
 MAX_SOURCES = 10_000
 BATCH_ROWS = 10_000
+#: Numbers of window plans that a task keeps: windows x sources.
+PLAN_SIZE = 1_000_000
 #: Windows whose starts are summed together.
 BLOCK = 1024
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, source string, window_id bigint"
 
-_CACHES: dict[str, ChunkCache] = {}
+_CACHES: dict[str, tuple[ChunkCache, bool]] = {}
 #: The printable stand-ins of bytes in a byte-level vocabulary: visible Latin-1 characters stand for themselves, the rest for U+0100 and up.
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _STAND_IN = {b: chr(b) for b in _VISIBLE} | {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _VISIBLE)}
 
 
-def _cache(name: str) -> ChunkCache:
+#: How word_bpe_49k.json normalises and splits texts.
+_WORDS = {"normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+          "pattern": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
+
+
+def _lower_case_words(tok) -> bool:
+    """Whether a tokenizer lower-cases texts and takes their words one by one as byte-level BPE: then A-Z may be
+    lower-cased first, and a word of letters is one pre-token."""
+    about = json.loads(tok.to_str())
+    split, level = ((about["pre_tokenizer"] or {}).get("pretokenizers") or [{}, {}])[:2]
+    return (about["normalizer"] == _WORDS["normalizer"] and about["model"]["type"] == "BPE" and split.get("pattern") == {"Regex": _WORDS["pattern"]} and split.get("behavior") == "Removed"
+            and level.get("type") == "ByteLevel" and not level["add_prefix_space"] and not level["use_regex"])
+
+
+def _cache(name: str) -> tuple[ChunkCache, bool]:
     """A piece without its blanks that is made of ASCII and Latin-1 letters only
     is one pre-token, and goes to the library's BPE model at once; any other
-    goes through the whole tokenizer."""
+    goes through the whole tokenizer, as does every piece of another
+    kind of tokenizer (``_lower_case_words``, the second value)."""
     if name not in _CACHES:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(vocabulary(name))
-        model = tok.model
+        tok.no_truncation()
+        tok.no_padding()
+        model, lower = tok.model, _lower_case_words(tok)
 
         def encode(pieces: list[bytes]) -> list:
             out, rest = [None] * len(pieces), []
             for k, p in enumerate(pieces):
                 w = p.decode().strip(" \n")
-                if w.isalpha() and (w.isascii() or max(w) < "Ā" and min(filter(lambda c: c > "\x7f", w)) >= "À"):
+                if lower and w.isalpha() and (w.isascii() or max(w) < "Ā" and min(filter(lambda c: c > "\x7f", w)) >= "À"):
                     w = w.lower()
                     if not w.isascii():
                         w = "".join(_STAND_IN[b] for b in w.encode())
@@ -83,19 +103,19 @@ def _cache(name: str) -> ChunkCache:
                     out[k] = e.ids
             return out
 
-        _CACHES[name] = ChunkCache(encode)
+        _CACHES[name] = ChunkCache(encode), lower
     return _CACHES[name]
 
 
 def token_ids(column: pa.Array, name: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For ranges [i, j) of the texts: their ids one after the other, and each text's offsets in them."""
     data, offsets = T.utf8(column)
-    cache = _cache(name)
+    cache, lower = _cache(name)
     for i, j in T.parts(offsets, RANGE_BYTES):
         part, offs = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-        if b"<|" not in part.tobytes():  # the vocabulary is lower-case; a special string's spelling counts
+        if lower and b"<|" not in part.tobytes():  # a special string's spelling counts
             part = T.LOWER[part]
-        starts = cuts_before_space(part, offs, marks=True)
+        starts = cuts_before_space(part, offs, marks=lower)
         slots = cache.find(part, starts, np.append(starts[1:], len(part)))
         sizes = np.concatenate([[0], np.cumsum(cache.sizes[slots], dtype=np.int64)])
         yield i, j, cache.ids(slots), sizes[T.per_text(starts, offs)]
@@ -242,14 +262,14 @@ def pack(df: DataFrame, *, tokenizer: str = "word_bpe_49k.json", end_id: int = 2
 
     index = {s: k for k, s in enumerate(names)}
 
-    def window_plan(w: int, known: dict) -> tuple[list[int], list[int], list[int]]:
+    def window_plan(w: int, known: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """What each source has given before w and after w, and where its run of w begins in the whole order."""
         if w not in known:
-            if len(known) > 1000:
+            if (len(known) + 1) * len(totals) > PLAN_SIZE:
                 known.clear()
             two = given_until([w, w + 1], totals, quota, den)
             run = two[1] - two[0]
-            known[w] = two[0].tolist(), two[1].tolist(), (int(two[0].sum()) + np.cumsum(run) - run).tolist()
+            known[w] = two[0], two[1], int(two[0].sum()) + np.cumsum(run) - run
         return known[w]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +285,7 @@ def pack(df: DataFrame, *, tokenizer: str = "word_bpe_49k.json", end_id: int = 2
                     # the window that holds the queue's token `at`: the last w with given(w) <= at
                     w = ((at + 1) * den - 1) // q
                     before, after, begins = window_plan(w, known)
-                    until, begin = min(after[s], first + n), begins[s] + at - before[s]
+                    until, begin = min(int(after[s]), first + n), int(begins[s] + at - before[s])
                     while at < until:
                         size = min(until - at, length - begin % length)
                         a, z = 4 * (at - first), 4 * (at - first + size)

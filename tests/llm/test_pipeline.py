@@ -3,7 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from courtline.llm import language_id, packing, repetition
+from courtline.llm import chosen_path, language_id, packing, repetition
 from tests.llm.test_duplicates import brute_components, brute_removal
 
 
@@ -44,6 +44,14 @@ def test_stages_take_empty_and_odd_tables(edge_docs, no_docs, spark, small_dir):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, small_dir).count() >= 0
 
 
+def test_rows_alike_in_id_and_text_are_kept_once(spark):
+    long = "one two three four five six seven eight nine ten " * 4
+    rows = [(1, long), (1, long), (1, "another text under the id of the first " * 3), (2, long), (None, "no id " * 9), (None, "no id " * 9), (None, None), (None, None), (3, None), (3, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id bigint, text string, k1 string").repartition(4)
+    got = Counter((r["doc_id"], r["text"]) for r in chosen_path.one_of_each(docs, shingle=5, similarity=(80, 100)).collect())
+    assert got == Counter([(1, long), (1, rows[2][1]), (None, "no id " * 9), (None, None), (3, None), (4, "")])
+
+
 def test_every_operator_has_one_query():
     import __spark_entry__
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
