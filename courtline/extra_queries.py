@@ -100,4 +100,6 @@ def registry() -> dict:
         dq_schema_tests, core_nonempty, pipeline_funnel, distinct_player_ids)}
     from courtline import ingest_queries
     out.update(ingest_queries.registry())
+    from courtline import upkeep_queries
+    out.update(upkeep_queries.registry())
     return out

@@ -110,6 +110,14 @@ def skip_set(tournaments: DataFrame, results: DataFrame, rounds: DataFrame,
     recent window; older or undated ones if within the older window.  A
     window of 0 disables that part.  ``now`` is a parameter, not the clock.
     """
+    last = latest_ingest([results, rounds], "tournament_id")
+    return skip_by_last(tournaments, last, empty_checks, now, recent_cutoff_days, recent_window_hours, older_window_days)
+
+
+def skip_by_last(tournaments: DataFrame, last: DataFrame, empty_checks: DataFrame, now: Column,
+                 recent_cutoff_days: float = RECENT_CUTOFF_DAYS, recent_window_hours: float = RECENT_WINDOW_HOURS,
+                 older_window_days: float = OLDER_WINDOW_DAYS) -> DataFrame:
+    """S13 from each tournament's newest ingest (``last_ingested``) and marks, as ``operators.freshness`` keeps them."""
     now_ts = now.cast("timestamp")
     today = F.to_date(now_ts)
 
@@ -118,7 +126,6 @@ def skip_set(tournaments: DataFrame, results: DataFrame, rounds: DataFrame,
 
     parts = []
     if recent_window_hours > 0 or older_window_days > 0:
-        last = latest_ingest([results, rounds], "tournament_id")
         cutoff = F.date_sub(today, int(recent_cutoff_days)) if float(recent_cutoff_days).is_integer() \
             else F.to_date(ago(recent_cutoff_days * 86400))
         start = F.col("start_date")

@@ -103,4 +103,6 @@ select distinct id from (select player_a_id as id from raw_teams where player_a_
     }
     from courtline.oracle.ingest_sql import INGEST_SQL
     out.update(INGEST_SQL)
+    from courtline.oracle.upkeep_sql import UPKEEP_SQL
+    out.update(UPKEEP_SQL)
     return out

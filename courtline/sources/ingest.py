@@ -116,9 +116,40 @@ _ATTRIBUTE = "@"
 _PROBE = "x__"
 
 
+_XML_ATTRIBUTES = r"""(?:\s+[\w.:-]+\s*=\s*(?:"[^"]*"|'[^']*'))*"""
+
+
+def _nested_elements(bodies: DataFrame, text: str, node: str) -> DataFrame:
+    """``_n`` (attributes, inner) of all ``node`` elements where some lie within others, else NULL.
+
+    The running depth of the tags tells which end tag is an element's own: the
+    first one after it that takes the depth back to what it was before.  Depths
+    are only listed for bodies that nest; a single count says which do.
+    """
+    tag = F.lit(rf"(?s)<{node}{_XML_ATTRIBUTES}\s*/?>|</{node}\s*>")
+    x = bodies.withColumn("_tags", F.regexp_extract_all(F.col(text), tag, F.lit(0)))
+    x = x.withColumn("_steps", F.transform("_tags", lambda t: F.when(t.startswith("</"), -1).when(t.endswith("/>"), 0).otherwise(1)))
+    zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("most"))
+    most = F.aggregate("_steps", zero, lambda a, s: F.struct((a["depth"] + s).alias("depth"), F.greatest(a["most"], a["depth"] + F.when(s < 0, 0).otherwise(1)).alias("most")), lambda a: a["most"])
+    x = x.withColumn("_nests", most > 1)
+    x = x.withColumn("_depth", F.when(F.col("_nests"), F.aggregate("_steps", F.array(F.lit(0)), lambda a, s: F.concat(a, F.array(F.element_at(a, -1) + s)))))
+    x = x.withColumn("_parts", F.when(F.col("_nests"), F.split(F.col(text), rf"(?s)<{node}{_XML_ATTRIBUTES}\s*/?>|</{node}\s*>")))
+
+    def element(i: Column) -> Column:
+        t = F.get("_tags", i)
+        # tag i + p - 1 takes the depth back
+        p = F.array_position(F.slice("_depth", i + 2, F.size("_depth")), F.get("_depth", i)).cast("int")
+        end = F.when(F.get("_steps", i) == 0, i).otherwise(i + p - 1)
+        inner = F.when(end > i, F.array_join(F.transform(F.sequence(i + 1, end), lambda k: F.concat(F.get("_parts", k), F.when(k < end, F.get("_tags", k)).otherwise(F.lit("")))), ""))
+        return F.struct(F.regexp_extract(t, rf"(?s)^<{node}({_XML_ATTRIBUTES})", 1).alias("attributes"), F.coalesce(inner, F.lit("")).alias("inner"))
+
+    opening = F.filter(F.sequence(F.lit(0), F.size("_tags") - 1), lambda i: F.get("_steps", i) >= 0)
+    return x.withColumn("_nested", F.when(F.col("_nests"), F.transform(opening, element))).drop("_tags", "_steps", "_nests", "_depth", "_parts")
+
+
 def parse_xml(responses: DataFrame, node: str, fields: Sequence[str] | None = None,
               body: str = "body") -> DataFrame:
-    """XML bodies -> one row per ``node`` element at any depth, with column ``rec``.
+    """XML bodies -> one row per ``node`` element at any depth, also within one of its own name, with column ``rec``.
 
     A record holds all of the element's attributes and the text of all its leaf
     children (a child overrides an attribute of the same name; empty children
@@ -130,11 +161,12 @@ def parse_xml(responses: DataFrame, node: str, fields: Sequence[str] | None = No
     # well-formed or not is for the parser to say; elements are then cut out one by one
     bad = F.from_xml("_xml", "_corrupt_record string", {"mode": "PERMISSIVE"})["_corrupt_record"]
     x = x.filter(F.col("_xml").isNotNull() & bad.isNull())
-    plain = F.regexp_replace("_xml", r"(?s)<!--.*?-->", "")
-    element = F.lit(rf"""(?s)<{node}((?:\s+[\w.:-]+\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*(?:/>|>(.*?)</{node}\s*>)""")
-    x = x.select(*others, F.explode(F.arrays_zip(
-        F.regexp_extract_all(plain, element, F.lit(1)).alias("attributes"),
-        F.regexp_extract_all(plain, element, F.lit(2)).alias("inner"))).alias("_n"))
+    plain = F.regexp_replace("_xml", r"(?s)<!--.*?-->", "").alias("_plain")
+    element = F.lit(rf"(?s)<{node}({_XML_ATTRIBUTES})\s*(?:/>|>(.*?)</{node}\s*>)")
+    x = _nested_elements(x.select(*others, plain), "_plain", node)
+    x = x.select(*others, F.explode(F.coalesce("_nested", F.arrays_zip(
+        F.regexp_extract_all("_plain", element, F.lit(1)).alias("attributes"),
+        F.regexp_extract_all("_plain", element, F.lit(2)).alias("inner")))).alias("_n"))
     # a child of our own makes the reader see an element that has attributes only
     whole = F.concat(F.lit(f"<r><{node}"), F.col("_n.attributes"), F.lit(f"><{_PROBE}>1</{_PROBE}>"),
                      F.col("_n.inner"), F.lit(f"</{node}></r>"))
@@ -205,15 +237,15 @@ def usable(records: DataFrame, required: Sequence[str] = ()) -> DataFrame:
 
 def usable_results(records: DataFrame) -> DataFrame:
     """S4 of results: no ``Errors``, a Rank or a Position, and a team number that is a whole number."""
-    rec = F.col("rec")
-    place = ~is_missing(field(rec, "Rank")) | ~is_missing(field(rec, "Position"))
-    return usable(records).filter(place & safe_int(field(rec, "NoTeam")).isNotNull())
+    x = with_fields(usable(records), ("Rank", "Position", "NoTeam"))
+    place = ~is_missing(_f("Rank").v) | ~is_missing(_f("Position").v)
+    return x.filter(place & safe_int(_f("NoTeam")).isNotNull()).select(*records.columns)
 
 
 def usable_matches(records: DataFrame) -> DataFrame:
     """S4 of matches: no ``Errors``, a tournament number and a match number."""
-    rec = F.col("rec")
-    return usable(records).filter(safe_int(field(rec, "NoTournament")).isNotNull() & safe_int(field(rec, "No")).isNotNull())
+    x = with_fields(usable(records), ("NoTournament", "No"))
+    return x.filter(safe_int(_f("NoTournament")).isNotNull() & safe_int(_f("No")).isNotNull()).select(*records.columns)
 
 
 def norm_event(records: DataFrame, ingested_at: Column | None = None,

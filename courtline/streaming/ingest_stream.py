@@ -1,11 +1,14 @@
 """Incremental ingest as a Structured Streaming job.
 
 New response files land in a folder; each micro-batch is parsed, normalised
-and upserted by key into a versioned parquet table (one ``version=<batch>``
-folder per batch, each a whole table).  A re-run batch (after a failure) starts
-from the newest committed version before its own and rewrites its own folder;
-the stream's checkpoint records which files were consumed.  Readers take the
-newest committed version.
+and upserted by key into a stored table (``sources.keyed_table``): a batch
+rewrites the buckets its keys fall in, under its own version.  A batch that was
+committed before a failure is left alone when it is run again; the stream's
+checkpoint records which files were consumed.  Readers take the newest
+committed version.
+
+``upsert_batch`` writes the older layout, a whole table for each version;
+``read_latest`` reads both.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from courtline.operators.upsert import last_wins, upsert
+from courtline.sources import keyed_table
 from courtline.sources.ingest import parse_responses, usable
 
 RESPONSE_SCHEMA = "request_type string, content_type string, body string, seq long"
@@ -41,6 +45,9 @@ def committed(spark: SparkSession, base: str) -> list[int]:
 
 def read_latest(spark: SparkSession, base: str, below: int | None = None) -> DataFrame | None:
     """Newest committed version (below a given one), or None if there is none."""
+    keyed = keyed_table.latest(spark, base, below)
+    if keyed is not None:
+        return keyed_table.read(spark, base, keyed.version)
     found = [v for v in committed(spark, base) if below is None or v < below]
     return spark.read.parquet(f"{base}/version={found[-1]}") if found else None
 
@@ -66,8 +73,8 @@ def start_ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoin
                  node: str, fields: Sequence[str],
                  normalise: Callable[[DataFrame], DataFrame], keys: Sequence[str],
                  seq: str = "seq", available_now: bool = True,
-                 required: Sequence[str] = ()) -> StreamingQuery:
-    """Stream JSON-lines response files from ``source_dir`` into ``table_dir``.
+                 required: Sequence[str] = (), buckets: int = keyed_table.BUCKETS) -> StreamingQuery:
+    """Stream JSON-lines response files from ``source_dir`` into the keyed table at ``table_dir``.
 
     ``normalise`` maps parsed records (column ``rec`` plus the response's
     columns) to typed rows that keep the ``seq`` column.
@@ -77,7 +84,7 @@ def start_ingest(spark: SparkSession, source_dir: str, table_dir: str, checkpoin
     def apply(batch: DataFrame, batch_id: int) -> None:
         recs = usable(parse_responses(batch, node, fields), required)
         rows = normalise(recs)
-        upsert_batch(spark, rows, table_dir, batch_id, keys, seq)
+        keyed_table.upsert_stored(spark, table_dir, rows, batch_id, keys, seq, F.current_timestamp(), buckets)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
