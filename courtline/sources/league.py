@@ -251,8 +251,15 @@ class TableStore:
     tables; writing them cuts lineage and gives the planner real file sizes.
     The caller owns a store and says by the key what a table was made from, so
     changed input is a new key.  A table counts only after its write succeeded.
+
+    A table of a few MB ends up in one or two files, and every reader would run
+    on as many cores (parsing is work for the CPU, not for the disk).  Such a
+    table is dealt out to a file a core; larger ones are left as written.
     """
 
+    #: Dealt out to a file a core: tables from SPREAD_FROM bytes to SPREAD_TO bytes a core.
+    SPREAD_FROM, SPREAD_TO = 256 << 10, 4 << 20
+
     def __init__(self) -> None:
         self._tables: dict[tuple, DataFrame] = {}
 
@@ -261,9 +268,19 @@ class TableStore:
         if k not in self._tables:
             path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/courtline-{key[-1]}-{uuid.uuid4().hex}"
             build().write.mode("overwrite").parquet(path)
-            self._tables[k] = spark.read.parquet(path)
+            self._tables[k] = self._spread(spark, path)
         return self._tables[k]
 
+    def _spread(self, spark: SparkSession, path: str) -> DataFrame:
+        written = spark.read.parquet(path)
+        root = spark._jvm.org.apache.hadoop.fs.Path(path)
+        sizes = [f.getLen() for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root) if f.getPath().getName().endswith(".parquet")]
+        cores = spark.sparkContext.defaultParallelism
+        if len(sizes) >= cores or not self.SPREAD_FROM <= sum(sizes) < self.SPREAD_TO * cores:
+            return written
+        written.repartition(cores).write.parquet(f"{path}-spread")
+        return spark.read.parquet(f"{path}-spread")
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events from the driver's ``events`` table (one per event_id)."""
