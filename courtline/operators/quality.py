@@ -21,87 +21,95 @@ PROFILE_COLUMNS = ["table", "column", "data_type", "row_count", "null_count",
                    "null_proportion", "distinct_count", "min", "max"]
 
 
-# A value sits in the slot of its kind; a DECIMAL keeps all its digits (scales differ, so values are normalised).
-_SLOTS = {"v_long": "bigint", "v_double": "double", "v_decimal": "decimal(38,18)", "v_str": "string"}
-_WIDE = "v_wide"
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _slot(dt: T.DataType) -> str:
+def _kind(c: str, dt: T.DataType) -> tuple[str, str]:
+    """The type in which a column's distinct values are counted, and the column (SQL text) in it."""
     if isinstance(dt, _INTEGRAL):
-        return "v_long"
-    if isinstance(dt, T.DecimalType):
-        # the slot holds 20 digits before and 18 after the point; a wider column is aggregated on its own
-        return "v_decimal" if dt.precision - dt.scale <= 20 and dt.scale <= 18 else _WIDE
-    return "v_double" if isinstance(dt, _FRACTIONAL) else "v_str"
-
-
-def _cell(name: str, dt: T.DataType, pos: int) -> Column:
-    c, own = F.col(f"`{name}`"), _slot(dt)
-    slots = [(c.cast(t) if s == own else F.lit(None).cast(t)).alias(s) for s, t in _SLOTS.items()]
-    return F.struct(F.lit(pos).alias("pos"), F.lit(name).alias("column"), F.lit(dt.simpleString()).alias("data_type"),
-                    F.lit(own != "v_str" or isinstance(dt, _TEMPORAL)).alias("ordered"), *slots)
+        return "bigint", f"cast({c} as bigint)"
+    if isinstance(dt, (T.BooleanType, *_FRACTIONAL, *_TEMPORAL)):
+        return dt.simpleString(), c
+    return "string", f"cast({c} as string)"
 
 
-def _plain(c: Column) -> Column:
-    """A decimal's digits without trailing zeros."""
-    text = c.cast("string")
-    return F.when(text.contains("."), F.regexp_replace(F.regexp_replace(text, "0+$", ""), "[.]$", "")).otherwise(text)
+_FIGURES = ("row_count", "null_count", "min", "max", "distinct_count")
 
 
-def profile(df: DataFrame, table: str) -> DataFrame:
-    """Per column: rows, nulls, null share (4 dp), distinct values, min/max (numbers, dates).
+def _ends(df: DataFrame, no: int, approximate: float | None) -> DataFrame:
+    """(no, pos, figures) of a table's columns but for exact distinct counts: one aggregation, one row.
 
-    One pass: every row is unpivoted into (column, value); a first aggregation
-    keyed by (column, value) counts occurrences (map-side combined, so a hot
-    value costs one row per task), a second one per column sums them up with
-    partial aggregation, so no task receives all values of a column.  DECIMAL
-    values stay exact; a column too wide for the common slot is aggregated in
-    its own type.
+    The expressions are SQL text: a table of many columns is one call to the JVM, not one for each operation.
     """
-    fields = list(enumerate(df.schema.fields))
-    wide = [(i, f) for i, f in fields if _slot(f.dataType) == _WIDE]
-    parts = []
-    if len(wide) < len(fields):
-        cells = F.explode(F.array(*[_cell(f.name, f.dataType, i) for i, f in fields if _slot(f.dataType) != _WIDE]))
-        x = df.select(cells.alias("c")).select("c.*")
-        values = list(_SLOTS)
-        per_value = x.groupBy("pos", "column", "data_type", "ordered", *values).agg(F.count(F.lit(1)).alias("n"))
-        is_null = F.coalesce(*[F.col(v).cast("string") for v in values]).isNull()
-        agg = per_value.groupBy("pos", "column", "data_type", "ordered").agg(
-            F.sum("n").alias("row_count"),
-            F.sum(F.when(is_null, F.col("n")).otherwise(0)).alias("null_count"),
-            F.count_if(~is_null).alias("distinct_count"),
-            *[f(v).alias(f"{m}_{v}") for m, f in (("min", F.min), ("max", F.max)) for v in values])
-
-        def end(m: str) -> Column:
-            shown = [_plain(F.col(f"{m}_{v}")) if v == "v_decimal" else F.col(f"{m}_{v}").cast("string") for v in values]
-            return F.when(F.col("ordered"), F.coalesce(*shown)).alias(m)
-
-        parts.append(agg.select("pos", "column", "data_type", "row_count", "null_count", "distinct_count", end("min"), end("max")))
-    for i, f in wide:
-        v = F.col(f"`{f.name}`")
-        counts = df.groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(counts.agg(
-            F.sum("n").alias("row_count"), F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
-            F.count("v").alias("distinct_count"), _plain(F.min("v")).alias("min"), _plain(F.max("v")).alias("max")).select(
-            F.lit(i).alias("pos"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("data_type"),
-            "row_count", "null_count", "distinct_count", "min", "max").filter(F.col("row_count").isNotNull()))
-    out = parts[0]
+    aggs, rows = ["count(1) as n"], []
+    for i, f in enumerate(df.schema.fields):
+        c = _quoted(f.name)
+        aggs.append(f"count({c}) as c{i}")
+        lo = hi = "cast(null as string)"
+        if isinstance(f.dataType, (*_INTEGRAL, *_FRACTIONAL, *_TEMPORAL)):
+            aggs += [f"min({c}) as lo{i}", f"max({c}) as hi{i}"]
+            lo, hi = (_shown(f"{end}{i}", f.dataType) for end in ("lo", "hi"))
+        distinct = "cast(null as bigint)"
+        if approximate is not None:
+            aggs.append(f"approx_count_distinct({_kind(c, f.dataType)[1]}, {approximate}) as d{i}")
+            distinct = f"d{i}"
+        rows.append(f"struct({no} as no, {i} as pos, n as row_count, n - c{i} as null_count, {lo} as min, {hi} as max, {distinct} as distinct_count)")
+    return df.agg(*map(F.expr, aggs)).selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def _shown(c: str, dt: T.DataType) -> str:
+    """SQL text: a least or greatest value as text; a decimal's digits without trailing zeros."""
+    if isinstance(dt, T.DecimalType):
+        return f"if(contains(cast({c} as string), '.'), rtrim('.', rtrim('0', cast({c} as string))), cast({c} as string))"
+    return f"cast(cast({c} as double) as string)" if isinstance(dt, _FRACTIONAL) else f"cast({c} as string)"
+
+
+def _distinct(tables: Sequence[DataFrame]) -> list[DataFrame]:
+    """(no, pos, distinct_count) of all tables' columns, a DataFrame for each type."""
+    by_kind: dict[str, DataFrame] = {}
+    for no, df in enumerate(tables):
+        own: dict[str, list[str]] = {}
+        for i, f in enumerate(df.schema.fields):
+            kind, c = _kind(_quoted(f.name), f.dataType)
+            own.setdefault(kind, []).append(f"struct({no} as no, {i} as pos, {c} as v)")
+        for kind, cells in own.items():
+            x = df.selectExpr(f"inline(array({', '.join(cells)}))").filter("v is not null")
+            by_kind[kind] = by_kind[kind].unionByName(x) if kind in by_kind else x
+    return [x.distinct().groupBy("no", "pos").agg(F.count(F.lit(1)).alias("distinct_count")) for x in by_kind.values()]
+
+
+def profile_tables(tables: Mapping[str, DataFrame], approximate: float | None = None) -> DataFrame:
+    """Per column of each table: rows, nulls, null share (4 dp), distinct values, min/max (numbers, dates, times).
+
+    Counts and ends are one aggregation a table with partial sums: nothing but a
+    row a task is shuffled.  Distinct values are counted exactly by unpivoting
+    the columns of one type, of all tables, to (column, value) in that type: equal values
+    leave a task once, so neither a hot value nor a column of many values lands
+    in one task.  ``approximate``: a relative standard deviation; distinct
+    values are then estimated by a sketch (HyperLogLog++) in the first
+    aggregation and no value is shuffled.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    names = sorted(tables)
+    parts = [_ends(tables[n], no, approximate) for no, n in enumerate(names)]
+    if approximate is None:
+        parts += _distinct([tables[n] for n in names])
+    union = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(
-        F.lit(table).alias("table"), "column", "data_type", "row_count", "null_count",
+        union = union.unionByName(p, allowMissingColumns=True)
+    one = union.groupBy("no", "pos").agg(*[F.max(c).alias(c) for c in _FIGURES])
+    about = spark.createDataFrame([(no, i, n, f.name, f.dataType.simpleString()) for no, n in enumerate(names) for i, f in enumerate(tables[n].schema.fields)],
+                                  "no int, pos int, table string, column string, data_type string")
+    return about.join(one, ["no", "pos"]).orderBy("no", "pos").select(
+        "table", "column", "data_type", "row_count", "null_count",
         round_ratio(F.col("null_count"), F.col("row_count"), 4).alias("null_proportion"),
-        "distinct_count", "min", "max", "pos").orderBy("pos").drop("pos")
+        F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"), "min", "max")
 
 
-def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """:func:`profile` of several tables, one result (ordered by table)."""
-    out = None
-    for name in sorted(tables):
-        p = profile(tables[name], name)
-        out = p if out is None else out.unionByName(p)
-    return out
+def profile(df: DataFrame, table: str, approximate: float | None = None) -> DataFrame:
+    """:func:`profile_tables` of one table."""
+    return profile_tables({table: df}, approximate)
 
 
 def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -17,6 +17,7 @@ _MODEL_SELECTS: dict[str, str] = {
     "fct_team_rankings": "select * from fct_team_rankings",
     "fct_matches": "select * from fct_matches",
     "fct_matches_range": "select * from fct_matches",
+    "fct_matches_buckets": "select * from fct_matches",
     "fct_tournament_standings": "select * from fct_tournament_standings",
     "match_mart": "select * from match_mart",
     "tournament_mart": "select * from tournament_mart",

@@ -43,6 +43,7 @@ def registry() -> dict[str, Query]:
               "elo_history_components", "player_pools"):
         q[n] = _model(n)
     q["fct_matches_range"] = _model("fct_matches", "range")
+    q["fct_matches_buckets"] = _model("fct_matches", "buckets")
     from courtline import extra_queries
     q.update(extra_queries.registry())
     return q

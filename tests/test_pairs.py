@@ -36,6 +36,7 @@ def test_asof_edges(spark):
     want = [(1, d.date(2020, 1, 14), "beach_world_tour", 7), (1, d.date(2020, 1, 15), "beach_olympic", 9)]
     assert _asof(spark, "range") == want
     assert _asof(spark, "fill") == want
+    assert _asof(spark, "buckets") == want
 
 
 def test_range_equals_fill_random(spark):
@@ -60,3 +61,22 @@ def test_range_equals_fill_random(spark):
             best = min(cands, key=lambda x: (-x[3].toordinal(), x[4], x[5]))
             want.add((g, lo, hi, dt, best[3], best[4], best[5]))
     assert got["range"] == got["fill"] == sorted(want)
+
+
+def test_buckets_equal_fill_at_any_width(spark):
+    rnd = random.Random(11)
+    base = d.date(1969, 6, 1)                      # days before 1970 too
+    day = lambda: base + d.timedelta(days=rnd.randint(0, 900))
+    hot = [("W", 1, 2, day()) for _ in range(500)]
+    ev = hot + [("W", rnd.randint(1, 4), 5, day()) for _ in range(60)]
+    sn = [(*rnd.choice([("W", 1, 2), ("W", 2, 5), ("W", 3, 5)]), day(), rnd.choice("ab"), rnd.randint(1, 9)) for _ in range(90)]
+    e = spark.createDataFrame(ev, "gender string, p_lo long, p_hi long, ev_date date")
+    s = spark.createDataFrame(sn, "gender string, p_lo long, p_hi long, snap_date date, ranking_type string, position int")
+    args = (["gender", "p_lo", "p_hi"], "ev_date", "snap_date", ["ranking_type", "position"], ["ranking_type", "position"])
+    want = sorted(tuple(r) for r in asof_latest(e, s, *args, "fill").collect())
+    assert len(want) > 300
+    for width in (1, 7, 90, 365, 100_000):
+        got = asof_latest(e, s, *args, "buckets", width)
+        assert sorted(tuple(r) for r in got.collect()) == want, width
+    # the carry is dealt out by key and span
+    assert "__b" in got._jdf.queryExecution().executedPlan().toString().split("Window")[1]

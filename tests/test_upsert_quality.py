@@ -119,3 +119,15 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert out.count() == 20001 and out.filter("k = 5").first().v == 101
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" not in plan
+
+
+def test_profile_by_sketch_is_near_and_counts_stay_exact(spark):
+    df = spark.range(20_000).selectExpr("id as a", "cast(id % 300 as string) as b", "if(id % 2 = 0, null, cast(id as double)) as `odd ``name`", "cast(null as decimal(30,25)) as d")
+    exact = {r.column: r for r in Q.profile(df, "t").collect()}
+    near = {r.column: r for r in Q.profile(df, "t", approximate=0.02).collect()}
+    assert (exact["a"].distinct_count, exact["b"].distinct_count, exact["odd `name"].distinct_count, exact["d"].distinct_count) == (20_000, 300, 10_000, 0)
+    for c, r in exact.items():
+        assert abs(near[c].distinct_count - r.distinct_count) <= 0.08 * r.distinct_count
+        assert near[c][:6] == r[:6] and near[c][7:] == r[7:]
+    empty = Q.profile(df.limit(0), "t").collect()
+    assert [(r.column, r.row_count, r.distinct_count, r.min) for r in empty] == [(c, 0, 0, None) for c in df.columns]
