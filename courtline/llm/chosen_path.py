@@ -5,18 +5,25 @@ one class from the start.  A class is described by ``COORDS`` minwise tokens.
 In every tree, a node picks one or two of these coordinates by a hash of its
 path (1 / similarity of them on average) and its members branch by the token
 they hold there.  Nodes of up to ``LEAF`` members are compared exhaustively on
-the short sketch; larger ones branch on, up to ``DEPTH`` levels; what is still
-large then is compared exhaustively all the same, as pairs of blocks of ``BLOCK``
-members, so no task holds more than two blocks.  The trees are independent and
-as many as ``recall`` of a pair at the very threshold takes.
+the short sketch; larger ones branch on, up to ``DEPTH`` levels.  The trees draw
+from the same coordinates, so their number is what ``recall`` of a pair at the
+very threshold takes on average over the coordinates that such a pair agrees on.
+
+Members of a node that is still large at ``DEPTH`` are mostly copies of few
+texts.  So each is first compared, on full sets, with ``PIVOTS`` members of its
+largest node; then those still apart from a node's largest component, with some
+of that component and some of their own kind, ``PEELS`` times in all.  Then only members outside of the largest component
+are compared with the rest of the node, as pairs of blocks of ``BLOCK``; no task
+holds more than two blocks.  A node of m members of which o stay outside costs
+m * (PIVOTS + o) comparisons and m * (1 + o / BLOCK) rows: in proportion to m
+for copies of a text, m * m only where most of a node is linked to nothing.
 
 Every link is confirmed on the full sets.  Only connectivity is asked for, so
 there are two rounds.  First, each node's maximum spanning forest on the
 sketches is confirmed, pair by pair.  Then, in each node whose members are left
 in different components although their sketches say that they may be linked,
 those members' full sets are compared with each other where they meet, and only
-a forest of the links between components leaves the task.  So rows grow with
-the members of a group, never with its pairs.
+a forest of the links between components leaves the task, never their pairs.
 
 Defined cases: a null or empty text, or one without words, has an empty set,
 is linked with nothing and kept; with fewer words than a shingle, the whole
@@ -33,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtline.llm import textops as T
@@ -44,6 +51,8 @@ COORDS = 128
 LEAF = 256
 BLOCK = 512
 DEPTH = 4
+PIVOTS = 4
+PEELS = 3
 #: Standard deviations of the sketch's estimate by which a pair may fall short of the threshold and still be confirmed.
 MARGIN = 4.0
 RANGE_BYTES = 2 << 20
@@ -53,16 +62,36 @@ _MUL = (_rng.integers(0, 1 << 32, COORDS, dtype=np.uint64) | np.uint64(1)).astyp
 _ADD = _rng.integers(0, 1 << 32, COORDS, dtype=np.uint64).astype(np.uint32)
 
 
-def survival(similarity: float, depth: int) -> float:
-    """The probability that a pair at ``similarity`` shares a node at ``depth`` in one tree (one coordinate, or two with the probability that makes 1 / similarity on average)."""
-    two, s = 1 / similarity - 1, 1.0
+def survival(similarity: float, depth: int, agree: float | None = None) -> float:
+    """The probability that a pair shares a node at ``depth`` in one tree built for ``similarity`` (one coordinate, or two with the probability that makes 1 / similarity on average), if it agrees on the share ``agree`` of the coordinates."""
+    two, a, s = 1 / similarity - 1, similarity if agree is None else agree, 1.0
     for _ in range(depth):
-        s = (1 - two) * similarity * s + two * (1 - (1 - similarity * s) ** 2)
+        s = (1 - two) * a * s + two * (1 - (1 - a * s) ** 2)
     return s
 
 
+def forks(keys: np.ndarray, similarity: float) -> np.ndarray:
+    """Which nodes branch by two coordinates."""
+    return (T.mix(keys.copy()) >> np.uint64(40)).astype(np.float64) / float(1 << 24) < 1 / similarity - 1
+
+
+def missed(similarity: float, trees: int, depth: int = DEPTH) -> float:
+    """How likely a pair at the very threshold is never compared by the first ``trees`` trees: over the coordinates it agrees on, which all trees share, and with those too few to pass the sketch."""
+    two = int(forks(np.arange(1, trees + 1, dtype=np.uint64), similarity).sum())    # every pair has the same roots
+    out = 0.0
+    for k in range(COORDS + 1):
+        chance = math.comb(COORDS, k) * similarity ** k * (1 - similarity) ** (COORDS - k)
+        apart = 1 - k / COORDS * survival(similarity, depth - 1, k / COORDS)
+        out += chance * (apart ** (trees + two) if k >= _least_match(similarity) else 1)
+    return out
+
+
 def trees_needed(similarity: float, recall: float, depth: int = DEPTH) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, depth)))
+    """The fewest trees that miss a pair at the threshold with at most 1 - recall."""
+    for trees in range(1, 1000):
+        if missed(similarity, trees, depth) <= 1 - recall:
+            return trees
+    raise ValueError(f"sketches of {COORDS} coordinates don't allow a recall of {recall}")
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -124,7 +153,7 @@ def branch(keys: np.ndarray, coords: np.ndarray, similarity: float) -> tuple[np.
     h = T.mix(keys.copy())
     first = (h % np.uint64(COORDS)).astype(np.int64)
     second = (first + 1 + ((h >> np.uint64(16)) % np.uint64(COORDS - 1)).astype(np.int64)) % COORDS
-    two = (h >> np.uint64(40)).astype(np.float64) / float(1 << 24) < 1 / similarity - 1
+    two = forks(keys, similarity)
     rows = np.arange(len(keys))
     rows, at = np.concatenate([rows, rows[two]]), np.concatenate([first, second[two]])
     return T.combine(keys[rows], at.astype(np.uint64), coords[rows, at].astype(np.uint64)), rows
@@ -145,9 +174,9 @@ def _branched(frontier: DataFrame, similarity: float, trees: int | None) -> Data
     return frontier.mapInArrow(run, "node bigint, rep bigint")
 
 
-def _units(classes: DataFrame, similarity: float, trees: int) -> DataFrame:
-    """(unit, rep): the groups to compare exhaustively, each of at most LEAF members or two blocks."""
-    found, level = [], _branched(classes, similarity, trees)
+def _units(classes: DataFrame, similarity: float, trees: int) -> tuple[DataFrame, DataFrame | None]:
+    """(unit, rep): the groups of at most LEAF members, to compare exhaustively; and (node, rep) of the nodes still large at DEPTH, None if there are none."""
+    found, deep, level = [], None, _branched(classes, similarity, trees)
     for depth in range(1, DEPTH + 1):
         level = stored(level, "paths")
         size = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
@@ -157,16 +186,101 @@ def _units(classes: DataFrame, similarity: float, trees: int) -> DataFrame:
         if large.isEmpty():
             break
         if depth == DEPTH:
-            blocks = F.ceil(F.col("size") / BLOCK)
-            own = F.pmod(F.xxhash64("rep"), blocks)
-            with_each = large.select("node", "rep", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("other"))
-            found.append(with_each.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "rep"))
+            deep = large
         else:
             level = _branched(large.join(classes.select("rep", "coords"), "rep").select("node", "rep", "coords"), similarity, None)
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return out
+    return out, deep
+
+
+def _block_of(rep: str, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(rep), blocks)
+
+
+def _peeled(deep: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Links (a, b) of large nodes' members to a few of them, on full sets, until most of a node is one component.
+
+    Every member counts in one node, the largest of those where it is apart from the largest component (at first, of
+    all that it is in).  A unit is a block of a node's members with all its pivots, so a pivot that links a million members is compared in as many tasks as they have blocks.
+    """
+    num, den = similarity
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, pivots = None, []
+        for b in batches:
+            names, is_pivot, reps = (b.column(c).to_numpy(zero_copy_only=False) for c in ("unit", "pivot", "rep"))
+            sets = [np.frombuffer(x, np.uint64) for x in b.column("members").to_pylist()]
+            heads = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
+            for s, e in zip(heads[:-1], heads[1:], strict=True):
+                if s == e:
+                    continue
+                if unit != names[s]:
+                    unit, pivots = names[s], []
+                cut = s + int(is_pivot[s:e].sum())                # pivots come first, perhaps in the batch before
+                pivots += [(reps[k], sets[k]) for k in range(s, cut)]
+                if cut == e:
+                    continue
+                rep, n = reps[cut:e], np.array([len(x) for x in sets[cut:e]], np.int64)
+                every, begins = np.concatenate(sets[cut:e]), np.cumsum(n) - n
+                for p, own in pivots:
+                    at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                    common = np.add.reduceat((own[at] == every).astype(np.int64), begins)
+                    hit = rep[(den * common >= num * (n + len(own) - common)) & (rep != p)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(hit, p)), pa.array(np.maximum(hit, p))], ["a", "b"])
+
+    def picks(turn: int) -> Column:
+        by = [F.min_by("rep", F.struct(F.xxhash64("rep", F.lit(turn * PIVOTS + k)), "rep")) for k in range(PIVOTS)]
+        return F.array_distinct(F.array(*by))
+
+    links, parted = None, deep.withColumn("main", F.lit(False))
+    for turn in range(PEELS):
+        home = parted.filter("not main").groupBy("rep").agg(F.max(F.struct("size", "node"))["node"].alias("node"))
+        home = stored(home, "homes")
+        if home.isEmpty():
+            break
+        nodes = home.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), picks(turn).alias("own"))
+        if turn:                                                  # and members of the component that they are apart from
+            nodes = nodes.join(parted.filter("main").groupBy("node").agg(picks(turn).alias("main")), "node")
+            nodes = nodes.withColumn("own", F.array_union("own", "main"))
+        nodes = stored(nodes.select("node", "blocks", "own"), "pivots")
+        members = home.join(nodes, "node").select(F.xxhash64("node", _block_of("rep", F.col("blocks"))).alias("unit"), F.lit(False).alias("pivot"), "rep")
+        pivots = nodes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(F.xxhash64("node", "block").alias("unit"), F.explode("own").alias("rep"))
+        rows = members.unionByName(pivots.select("unit", F.lit(True).alias("pivot"), "rep")).join(sets, "rep").select("unit", "pivot", "rep", "members")
+        rows = rows.repartition("unit").sortWithinPartitions("unit", F.desc("pivot"), "rep")
+        found = stored(rows.mapInArrow(run, "a bigint, b bigint").distinct(), "links")
+        links = found if links is None else links.unionByName(found)
+        if turn + 1 < PEELS:
+            parted = stored(_parted(deep, stored(components(links), "components")), "parted")
+    return links
+
+
+def _parted(deep: DataFrame, known: DataFrame) -> DataFrame:
+    """(node, rep, size, main): whether a member is of its node's largest component.  known: node, component."""
+    placed = deep.select("node", "rep", "size").join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    sizes = placed.groupBy("node", "component").agg(F.count("*").alias("held"))
+    largest = sizes.groupBy("node").agg(F.max_by("component", F.struct("held", "component")).alias("largest"))
+    return placed.join(largest, "node").select("node", "rep", "size", (F.col("component") == F.col("largest")).alias("main"))
+
+
+def _deep_units(deep: DataFrame, known: DataFrame) -> DataFrame:
+    """(unit, rep): blocks of the members outside of their node's largest component, each with each and with all blocks of that component."""
+    parted = stored(_parted(deep, known), "parted")
+    outside = F.ceil(F.count_if(~F.col("main")) / BLOCK)
+    blocks = parted.groupBy("node").agg(outside.alias("outer"), F.ceil(F.count_if(F.col("main")) / BLOCK).alias("inner")).filter("outer > 0")
+    placed = parted.join(blocks, "node")
+
+    def each(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+    own = _block_of("rep", F.col("outer"))
+    among = placed.filter("not main").select("node", "rep", own.alias("own"), each("outer").alias("other"))
+    among = among.select(F.xxhash64("node", F.lit(0), F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "rep")
+    # a component that is one member has its one block
+    outer = placed.filter("not main").select("node", "rep", own.alias("own"), each("inner").alias("other")).select(F.xxhash64("node", F.lit(1), "own", "other").alias("unit"), "rep")
+    inner = placed.filter("main").select("node", "rep", _block_of("rep", F.col("inner")).alias("own"), each("outer").alias("other")).select(F.xxhash64("node", F.lit(1), "other", "own").alias("unit"), "rep")
+    return among.unionByName(outer).unionByName(inner)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -229,20 +343,22 @@ def _by_unit(rows: DataFrame) -> DataFrame:
 
 
 def _candidates(rows: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) to confirm: a forest of each unit.  rows: unit, rep, n, component, sketch."""
+    """Pairs (a, b) to confirm: a forest of each unit over what is not one component yet.  rows: unit, rep, n, component, sketch."""
     least = _least_match(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit, rep, n, _, sketch in _groups(batches):
+        for unit, rep, n, component, sketch in _groups(batches):
             heads = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
             sizes = np.diff(np.append(heads, len(unit)))
             two = heads[sizes == 2]                              # most units: both members next to each other
             ok = (sketch[two] == sketch[two + 1]).sum(1) >= least
+            ok &= component[two] != component[two + 1]
             ok &= np.minimum(n[two], n[two + 1]) >= similarity * np.maximum(n[two], n[two + 1])
             a, b = [rep[two[ok]]], [rep[two[ok] + 1]]
             for h, m in zip(heads[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
                 match = _matches(sketch[h:h + m])
-                match[(match < least) | ~_similar(n[h:h + m], similarity)] = 0
+                c = component[h:h + m]
+                match[(match < least) | (c[:, None] == c[None]) | ~_similar(n[h:h + m], similarity)] = 0
                 pairs = np.array(_forest(match), np.int64).reshape(-1, 2)
                 a.append(rep[h:h + m][pairs[:, 0]])
                 b.append(rep[h:h + m][pairs[:, 1]])
@@ -372,15 +488,24 @@ def near_duplicates(df: DataFrame, *, shingle: int = 4, similarity: tuple[int, i
     named = stored(named, "classes")
     classes = stored(linkable.join(named, ["k1", "k2"]).filter("doc_id = rep").dropDuplicates(["k1", "k2"]).select("rep", "n", "coords", "sketch"), "classes")
 
-    units = stored(_units(classes, level, trees_needed(level, recall)), "units")
+    units, deep = _units(classes, level, trees_needed(level, recall))
     known = classes.select("rep", "n", "sketch")
     # rows that repeat an id are one document: each of its texts is compared
     texts = docs.join(named.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text").distinct()
 
+    before = None                                                 # links of large nodes' members
+    if deep is not None:
+        far = stored(_sets(texts.join(deep.select("rep").distinct(), "rep", "left_semi"), shingle).filter("length(members) > 0"), "sets")
+        before = _peeled(deep, far, similarity)
+        held = stored(components(before), "components")
+        units = units.unionByName(_deep_units(deep, held))
+    units = stored(units, "units")
     rows = units.join(known, "rep").withColumn("component", F.col("rep"))
+    if before is not None:
+        rows = rows.drop("component").join(held.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     pairs = stored(_candidates(rows, level), "pairs")
     links = stored(_confirmed(pairs, texts, shingle, similarity), "links")
-    first = stored(components(links), "components")
+    first = stored(components(links if before is None else links.unionByName(before)), "components")
 
     # what the first round's links leave apart within a unit
     placed = units.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))

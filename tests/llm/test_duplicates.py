@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from courtline.llm import bwt_dedup, chosen_path, components, product_quantisation
@@ -97,19 +98,53 @@ def test_near_duplicates_at_the_threshold_and_in_large_nodes(spark, monkeypatch)
     check_near(df, rows, 4)
 
 
+def test_large_nodes_cost_rows_in_proportion_to_their_members(spark, monkeypatch):
+    """Different copies of one text, and texts that share much with it but link nothing: all links, and no block of the copies meets another."""
+    for name, value in (("LEAF", 8), ("BLOCK", 16), ("DEPTH", 2)):
+        monkeypatch.setattr(chosen_path, name, value)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    rows = [(k, family(rng, base, 1 + k % 3)) for k in range(240)]
+    seen, deep_units = {}, chosen_path._deep_units
+
+    def spy(deep, known):
+        out = deep_units(deep, known)
+        seen["members"], seen["rows"] = deep.count(), out.count()
+        return out
+
+    monkeypatch.setattr(chosen_path, "_deep_units", spy)
+    check_near(spark.createDataFrame(rows, "doc_id bigint, text string"), rows, 4)
+    assert seen["members"] > 240 and seen["rows"] == 0           # all is one component, no pairs of blocks are left
+    rows += [(1000 + k, family(rng, base, 14)) for k in range(60)] + [(2000 + k, family(rng, rows[k][1].split(" "), 6)) for k in range(60)]
+    check_near(spark.createDataFrame(rows, "doc_id bigint, text string"), rows, 4)
+    assert seen["rows"] > 0
+    monkeypatch.setattr(chosen_path, "PEELS", 1)
+    check_near(spark.createDataFrame(rows, "doc_id bigint, text string"), rows, 4)
+
+
 def test_recall_of_the_trees():
-    """Pairs at the very threshold share a node in some tree as often as promised."""
+    """Pairs at the very threshold share a node in some tree as often as promised, although all trees share their coordinates."""
     assert math.isclose(chosen_path.survival(0.8, 1), 0.84)
-    rng = np.random.default_rng(2)
-    trees, found = chosen_path.trees_needed(0.8, 0.99), 0
-    for _ in range(300):
+    for recall in (0.9, 0.99, 0.9999):
+        trees = chosen_path.trees_needed(0.8, recall)
+        assert chosen_path.missed(0.8, trees) <= 1 - recall < chosen_path.missed(0.8, trees - 1)
+    with pytest.raises(ValueError):
+        chosen_path.trees_needed(0.8, 1 - 1e-9)
+    rng, pairs = np.random.default_rng(2), 600
+    found = Counter()
+    for _ in range(pairs):
         same = rng.integers(0, 1 << 63, 800, dtype=np.uint64)
         a, b = (chosen_path.minwise(np.concatenate([same, rng.integers(0, 1 << 63, 100, dtype=np.uint64)])) for _ in range(2))
-        keys = [np.arange(1, trees + 1, dtype=np.uint64)] * 2
-        for _ in range(chosen_path.DEPTH):
-            keys = [chosen_path.branch(k, np.repeat(c[None], len(k), 0), 0.8)[0] for k, c in zip(keys, (a, b), strict=True)]
-        found += bool(set(keys[0].tolist()) & set(keys[1].tolist()))
-    assert found >= 0.97 * 300
+        for t in range(1, 10):
+            keys = [np.array([t], np.uint64)] * 2
+            for _ in range(chosen_path.DEPTH):
+                keys = [chosen_path.branch(k, np.repeat(c[None], len(k), 0), 0.8)[0] for k, c in zip(keys, (a, b), strict=True)]
+            if set(keys[0].tolist()) & set(keys[1].tolist()):
+                found.update(range(t, 10))
+                break
+    for trees in range(1, 10):
+        miss = chosen_path.missed(0.8, trees)
+        assert abs((pairs - found[trees]) - pairs * miss) <= 4 * math.sqrt(pairs * miss) + 1
 
 
 def brute_removal(rows, length=100):
