@@ -10,13 +10,14 @@ from the same coordinates, so their number is what ``recall`` of a pair at the
 very threshold takes on average over the coordinates that such a pair agrees on.
 
 Members of a node that is still large at ``DEPTH`` are mostly copies of few
-texts.  So each is first compared, on full sets, with ``PIVOTS`` members of its
-largest node; then those still apart from a node's largest component, with some
-of that component and some of their own kind, ``PEELS`` times in all.  Then only members outside of the largest component
-are compared with the rest of the node, as pairs of blocks of ``BLOCK``; no task
-holds more than two blocks.  A node of m members of which o stay outside costs
-m * (PIVOTS + o) comparisons and m * (1 + o / BLOCK) rows: in proportion to m
-for copies of a text, m * m only where most of a node is linked to nothing.
+texts.  They are compared within blocks of ``BLOCK``, one in ``THIN`` of them
+(by hash) in blocks mixed anew, one in ``THIN ** 2`` again, until a block holds
+all that are left of a node.  What that leaves apart is compared exactly in the
+second round (below): members outside of the node's largest component with each
+other and with the rest, as pairs of blocks.  A node of m members of which o
+are outside then costs m * (1 + o / BLOCK) rows and m * (BLOCK + o)
+comparisons: in proportion to m for copies of a text, m * m only where most of
+a node is linked to nothing.
 
 Every link is confirmed on the full sets.  Only connectivity is asked for, so
 there are two rounds.  First, each node's maximum spanning forest on the
@@ -51,8 +52,7 @@ COORDS = 128
 LEAF = 256
 BLOCK = 512
 DEPTH = 4
-PIVOTS = 4
-PEELS = 3
+THIN = 8
 #: Standard deviations of the sketch's estimate by which a pair may fall short of the threshold and still be confirmed.
 MARGIN = 4.0
 RANGE_BYTES = 2 << 20
@@ -175,14 +175,15 @@ def _branched(frontier: DataFrame, similarity: float, trees: int | None) -> Data
 
 
 def _units(classes: DataFrame, similarity: float, trees: int) -> tuple[DataFrame, DataFrame | None]:
-    """(unit, rep): the groups of at most LEAF members, to compare exhaustively; and (node, rep) of the nodes still large at DEPTH, None if there are none."""
+    """(unit, rep): the groups to compare exhaustively; and (node, rep, size) of the nodes over BLOCK at DEPTH, None if there are none."""
     found, deep, level = [], None, _branched(classes, similarity, trees)
     for depth in range(1, DEPTH + 1):
         level = stored(level, "paths")
         size = level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
         level = level.join(size, "node")
-        found.append(level.filter(F.col("size") <= LEAF).select(F.col("node").alias("unit"), "rep"))
-        large = stored(level.filter(F.col("size") > LEAF), "paths")
+        whole = F.col("size") <= (BLOCK if depth == DEPTH else LEAF)
+        found.append(level.filter(whole).select(F.col("node").alias("unit"), "rep"))
+        large = stored(level.filter(~whole), "paths")
         if large.isEmpty():
             break
         if depth == DEPTH:
@@ -195,92 +196,35 @@ def _units(classes: DataFrame, similarity: float, trees: int) -> tuple[DataFrame
     return out, deep
 
 
-def _block_of(rep: str, blocks: Column) -> Column:
-    return F.pmod(F.xxhash64(rep), blocks)
+def _block_of(blocks: Column, *by: str | Column) -> Column:
+    return F.pmod(F.xxhash64("rep", *by), blocks)
 
 
-def _peeled(deep: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Links (a, b) of large nodes' members to a few of them, on full sets, until most of a node is one component.
+def _thinned(deep: DataFrame) -> DataFrame:
+    """(unit, rep): blocks of each node's members, of one in THIN of them, of one in THIN ** 2, to the block that holds all that are left."""
+    last = F.ceil(F.log(float(THIN), F.col("size") / BLOCK))
+    stays = F.transform(F.sequence(F.lit(0).cast("bigint"), last), lambda t: F.when(F.pmod(F.xxhash64("rep"), F.pow(F.lit(THIN), t).cast("bigint")) == 0, t))
+    rows = deep.select("node", "rep", "size", F.explode(F.array_compact(stays)).alias("turn"))
+    blocks = F.ceil(F.col("size") / (F.pow(F.lit(THIN), F.col("turn")) * BLOCK))
+    return rows.select(F.xxhash64("node", "turn", _block_of(blocks, "turn")).alias("unit"), "rep")
 
-    Every member counts in one node, the largest of those where it is apart from the largest component (at first, of
-    all that it is in).  A unit is a block of a node's members with all its pivots, so a pivot that links a million members is compared in as many tasks as they have blocks.
-    """
-    num, den = similarity
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, pivots = None, []
-        for b in batches:
-            names, is_pivot, reps = (b.column(c).to_numpy(zero_copy_only=False) for c in ("unit", "pivot", "rep"))
-            sets = [np.frombuffer(x, np.uint64) for x in b.column("members").to_pylist()]
-            heads = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
-            for s, e in zip(heads[:-1], heads[1:], strict=True):
-                if s == e:
-                    continue
-                if unit != names[s]:
-                    unit, pivots = names[s], []
-                cut = s + int(is_pivot[s:e].sum())                # pivots come first, perhaps in the batch before
-                pivots += [(reps[k], sets[k]) for k in range(s, cut)]
-                if cut == e:
-                    continue
-                rep, n = reps[cut:e], np.array([len(x) for x in sets[cut:e]], np.int64)
-                every, begins = np.concatenate(sets[cut:e]), np.cumsum(n) - n
-                for p, own in pivots:
-                    at = np.minimum(np.searchsorted(own, every), len(own) - 1)
-                    common = np.add.reduceat((own[at] == every).astype(np.int64), begins)
-                    hit = rep[(den * common >= num * (n + len(own) - common)) & (rep != p)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(hit, p)), pa.array(np.maximum(hit, p))], ["a", "b"])
-
-    def picks(turn: int) -> Column:
-        by = [F.min_by("rep", F.struct(F.xxhash64("rep", F.lit(turn * PIVOTS + k)), "rep")) for k in range(PIVOTS)]
-        return F.array_distinct(F.array(*by))
-
-    links, parted = None, deep.withColumn("main", F.lit(False))
-    for turn in range(PEELS):
-        home = parted.filter("not main").groupBy("rep").agg(F.max(F.struct("size", "node"))["node"].alias("node"))
-        home = stored(home, "homes")
-        if home.isEmpty():
-            break
-        nodes = home.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), picks(turn).alias("own"))
-        if turn:                                                  # and members of the component that they are apart from
-            nodes = nodes.join(parted.filter("main").groupBy("node").agg(picks(turn).alias("main")), "node")
-            nodes = nodes.withColumn("own", F.array_union("own", "main"))
-        nodes = stored(nodes.select("node", "blocks", "own"), "pivots")
-        members = home.join(nodes, "node").select(F.xxhash64("node", _block_of("rep", F.col("blocks"))).alias("unit"), F.lit(False).alias("pivot"), "rep")
-        pivots = nodes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(F.xxhash64("node", "block").alias("unit"), F.explode("own").alias("rep"))
-        rows = members.unionByName(pivots.select("unit", F.lit(True).alias("pivot"), "rep")).join(sets, "rep").select("unit", "pivot", "rep", "members")
-        rows = rows.repartition("unit").sortWithinPartitions("unit", F.desc("pivot"), "rep")
-        found = stored(rows.mapInArrow(run, "a bigint, b bigint").distinct(), "links")
-        links = found if links is None else links.unionByName(found)
-        if turn + 1 < PEELS:
-            parted = stored(_parted(deep, stored(components(links), "components")), "parted")
-    return links
-
-
-def _parted(deep: DataFrame, known: DataFrame) -> DataFrame:
-    """(node, rep, size, main): whether a member is of its node's largest component.  known: node, component."""
-    placed = deep.select("node", "rep", "size").join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    sizes = placed.groupBy("node", "component").agg(F.count("*").alias("held"))
-    largest = sizes.groupBy("node").agg(F.max_by("component", F.struct("held", "component")).alias("largest"))
-    return placed.join(largest, "node").select("node", "rep", "size", (F.col("component") == F.col("largest")).alias("main"))
-
-
-def _deep_units(deep: DataFrame, known: DataFrame) -> DataFrame:
-    """(unit, rep): blocks of the members outside of their node's largest component, each with each and with all blocks of that component."""
-    parted = stored(_parted(deep, known), "parted")
-    outside = F.ceil(F.count_if(~F.col("main")) / BLOCK)
-    blocks = parted.groupBy("node").agg(outside.alias("outer"), F.ceil(F.count_if(F.col("main")) / BLOCK).alias("inner")).filter("outer > 0")
-    placed = parted.join(blocks, "node")
+def _left_apart(deep: DataFrame, known: DataFrame) -> DataFrame:
+    """(unit, rep): blocks of the members outside of their node's largest component, each with each and with all blocks of that component.  known: node, component."""
+    placed = deep.select("node", "rep").join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    held = placed.groupBy("node", "component").agg(F.count("*").alias("held"))
+    sizes = held.groupBy("node").agg(F.max_by("component", F.struct("held", "component")).alias("largest"), F.max("held").alias("most"), F.sum("held").alias("size")).filter("size > most")
+    blocks = sizes.select("node", "largest", F.ceil((F.col("size") - F.col("most")) / BLOCK).alias("outer"), F.ceil(F.col("most") / BLOCK).alias("inner"))
+    parted = stored(placed.join(blocks, "node").withColumn("main", F.col("component") == F.col("largest")), "parted")
 
     def each(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
 
-    own = _block_of("rep", F.col("outer"))
-    among = placed.filter("not main").select("node", "rep", own.alias("own"), each("outer").alias("other"))
-    among = among.select(F.xxhash64("node", F.lit(0), F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "rep")
-    # a component that is one member has its one block
-    outer = placed.filter("not main").select("node", "rep", own.alias("own"), each("inner").alias("other")).select(F.xxhash64("node", F.lit(1), "own", "other").alias("unit"), "rep")
-    inner = placed.filter("main").select("node", "rep", _block_of("rep", F.col("inner")).alias("own"), each("outer").alias("other")).select(F.xxhash64("node", F.lit(1), "other", "own").alias("unit"), "rep")
-    return among.unionByName(outer).unionByName(inner)
+    outside, inside = parted.filter("not main").withColumn("own", _block_of(F.col("outer"))), parted.filter("main").withColumn("own", _block_of(F.col("inner")))
+    among = outside.select("node", "rep", "own", each("outer").alias("other")).select(F.xxhash64("node", F.lit(0), F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "rep")
+    out = outside.select("node", "rep", "own", each("inner").alias("other")).select(F.xxhash64("node", F.lit(1), "own", "other").alias("unit"), "rep")
+    into = inside.select("node", "rep", "own", each("outer").alias("other")).select(F.xxhash64("node", F.lit(1), "other", "own").alias("unit"), "rep")
+    return among.unionByName(out).unionByName(into)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -343,22 +287,20 @@ def _by_unit(rows: DataFrame) -> DataFrame:
 
 
 def _candidates(rows: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) to confirm: a forest of each unit over what is not one component yet.  rows: unit, rep, n, component, sketch."""
+    """Pairs (a, b) to confirm: a forest of each unit.  rows: unit, rep, n, component, sketch."""
     least = _least_match(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit, rep, n, component, sketch in _groups(batches):
+        for unit, rep, n, _, sketch in _groups(batches):
             heads = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
             sizes = np.diff(np.append(heads, len(unit)))
             two = heads[sizes == 2]                              # most units: both members next to each other
             ok = (sketch[two] == sketch[two + 1]).sum(1) >= least
-            ok &= component[two] != component[two + 1]
             ok &= np.minimum(n[two], n[two + 1]) >= similarity * np.maximum(n[two], n[two + 1])
             a, b = [rep[two[ok]]], [rep[two[ok] + 1]]
             for h, m in zip(heads[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
                 match = _matches(sketch[h:h + m])
-                c = component[h:h + m]
-                match[(match < least) | (c[:, None] == c[None]) | ~_similar(n[h:h + m], similarity)] = 0
+                match[(match < least) | ~_similar(n[h:h + m], similarity)] = 0
                 pairs = np.array(_forest(match), np.int64).reshape(-1, 2)
                 a.append(rep[h:h + m][pairs[:, 0]])
                 b.append(rep[h:h + m][pairs[:, 1]])
@@ -377,7 +319,7 @@ def _open(rows: DataFrame, similarity: float) -> DataFrame:
             heads = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
             sizes = np.diff(np.append(heads, len(unit)))
             hit = np.zeros(len(unit), bool)
-            for h, m in zip(heads[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):   # of two, the forest was all
+            for h, m in zip(heads[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
                 c = component[h:h + m]
                 hit[h:h + m] = ((_matches(sketch[h:h + m]) >= least) & (c[:, None] != c[None]) & _similar(n[h:h + m], similarity)).any(1)
             yield pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (unit, rep, component)], ["unit", "rep", "component"])
@@ -493,23 +435,19 @@ def near_duplicates(df: DataFrame, *, shingle: int = 4, similarity: tuple[int, i
     # rows that repeat an id are one document: each of its texts is compared
     texts = docs.join(named.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text").distinct()
 
-    before = None                                                 # links of large nodes' members
-    if deep is not None:
-        far = stored(_sets(texts.join(deep.select("rep").distinct(), "rep", "left_semi"), shingle).filter("length(members) > 0"), "sets")
-        before = _peeled(deep, far, similarity)
-        held = stored(components(before), "components")
-        units = units.unionByName(_deep_units(deep, held))
     units = stored(units, "units")
-    rows = units.join(known, "rep").withColumn("component", F.col("rep"))
-    if before is not None:
-        rows = rows.drop("component").join(held.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    rows = (units if deep is None else units.unionByName(_thinned(deep))).join(known, "rep").withColumn("component", F.col("rep"))
     pairs = stored(_candidates(rows, level), "pairs")
     links = stored(_confirmed(pairs, texts, shingle, similarity), "links")
-    first = stored(components(links if before is None else links.unionByName(before)), "components")
+    first = stored(components(links), "components")
 
     # what the first round's links leave apart within a unit
+    units = units.withColumn("met", F.lit(True))
+    if deep is not None:
+        units = units.unionByName(_left_apart(deep, first).withColumn("met", F.lit(False)))
     placed = units.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    apart = placed.groupBy("unit").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).filter("x < y and m > 2").select("unit")
+    apart = placed.groupBy("unit").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m"), F.first("met").alias("met"))
+    apart = apart.filter("x < y and (m > 2 or not met)").select("unit")           # of two that met, the forest was all
     left = stored(_open(placed.join(apart, "unit", "left_semi").join(known, "rep"), level), "open")
     need = texts.join(left.select("rep").distinct(), "rep", "left_semi")
     second = components(_settled(left.join(_sets(need, shingle), "rep").select("unit", "rep", "component", "members"), similarity))

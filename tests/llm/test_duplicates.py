@@ -105,21 +105,19 @@ def test_large_nodes_cost_rows_in_proportion_to_their_members(spark, monkeypatch
     rng = random.Random(6)
     base = [f"w{rng.randrange(5000)}" for _ in range(200)]
     rows = [(k, family(rng, base, 1 + k % 3)) for k in range(240)]
-    seen, deep_units = {}, chosen_path._deep_units
+    seen, left_apart = {}, chosen_path._left_apart
 
     def spy(deep, known):
-        out = deep_units(deep, known)
+        out = left_apart(deep, known)
         seen["members"], seen["rows"] = deep.count(), out.count()
         return out
 
-    monkeypatch.setattr(chosen_path, "_deep_units", spy)
+    monkeypatch.setattr(chosen_path, "_left_apart", spy)
     check_near(spark.createDataFrame(rows, "doc_id bigint, text string"), rows, 4)
     assert seen["members"] > 240 and seen["rows"] == 0           # all is one component, no pairs of blocks are left
     rows += [(1000 + k, family(rng, base, 14)) for k in range(60)] + [(2000 + k, family(rng, rows[k][1].split(" "), 6)) for k in range(60)]
     check_near(spark.createDataFrame(rows, "doc_id bigint, text string"), rows, 4)
-    assert seen["rows"] > 0
-    monkeypatch.setattr(chosen_path, "PEELS", 1)
-    check_near(spark.createDataFrame(rows, "doc_id bigint, text string"), rows, 4)
+    assert 0 < seen["rows"] < seen["members"] ** 2 / 16 / 4
 
 
 def test_recall_of_the_trees():
