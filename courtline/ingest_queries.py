@@ -218,7 +218,7 @@ def match_bodies(m: DataFrame) -> DataFrame:
 def norm_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = league(spark, sf_dir).raw["matches"]
     recs = ing.usable_matches(ing.parse_json(match_bodies(m)))
-    return ing.norm_match(recs, ingested_at=_lit_ts(UPSERT_AT)).drop("payload")
+    return ing.norm_match(recs, ingested_at=_lit_ts(UPSERT_AT))
 
 
 def player_bodies(c: DataFrame) -> DataFrame:
@@ -239,7 +239,7 @@ def player_bodies(c: DataFrame) -> DataFrame:
 
 def norm_player(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = ing.usable(ing.parse_json(player_bodies(read_table(spark, sf_dir, "customer"))), ["No"])
-    return ing.norm_player(recs, _lit_ts(UPSERT_AT)).drop("payload")
+    return ing.norm_player(recs, _lit_ts(UPSERT_AT))
 
 
 def team_bodies(t: DataFrame) -> DataFrame:
@@ -258,7 +258,7 @@ def norm_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = league(spark, sf_dir).raw["teams"]
     recs = ing.parse_xml(team_bodies(t), "BeachTeam")
     return ing.norm_team(recs, _lit_ts(UPSERT_AT)).filter(
-        F.col("team_id").isNotNull() & F.col("tournament_id").isNotNull()).drop("payload")
+        F.col("team_id").isNotNull() & F.col("tournament_id").isNotNull())
 
 
 def _json_q(c: Column) -> Column:
@@ -285,7 +285,7 @@ def norm_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = event_bodies(read_table(spark, sf_dir, "events"))
     # the records sit one level down: {"data": {"items": 1, "row": {...}}} -> data is the object
     recs = ing.parse_json(bodies).select(ing.field(F.col("rec"), "Row").alias("rec"))
-    return ing.norm_event(recs, _lit_ts(UPSERT_AT)).drop("payload")
+    return ing.norm_event(recs, _lit_ts(UPSERT_AT))
 
 
 def tournament_bodies(t: DataFrame) -> DataFrame:
@@ -307,7 +307,7 @@ def norm_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
     from courtline.sources.league import base, tournaments
     t = tournaments(base(spark, sf_dir))
     recs = ing.parse_json(tournament_bodies(t))
-    return ing.norm_tournament(recs, _lit_ts(UPSERT_AT)).drop("payload")
+    return ing.norm_tournament(recs, _lit_ts(UPSERT_AT))
 
 
 def _attr(name: str, c: Column) -> Column:
@@ -327,7 +327,7 @@ def result_bodies(r: DataFrame) -> DataFrame:
 def norm_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = league(spark, sf_dir).raw["results"]
     recs = ing.parse_xml(result_bodies(r), "BeachTeamRanking")
-    return ing.norm_result(ing.usable_results(recs), F.col("tournament_id"), _lit_ts(UPSERT_AT)).drop("payload")
+    return ing.norm_result(ing.usable_results(recs), F.col("tournament_id"), _lit_ts(UPSERT_AT))
 
 
 def round_bodies(r: DataFrame) -> DataFrame:
@@ -345,7 +345,7 @@ def round_bodies(r: DataFrame) -> DataFrame:
 def norm_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = league(spark, sf_dir).raw["rounds"]
     recs = ing.parse_xml(round_bodies(r), "BeachRound")
-    return ing.norm_round(recs, _lit_ts(UPSERT_AT)).drop("payload")
+    return ing.norm_round(recs, _lit_ts(UPSERT_AT))
 
 
 def round_ranking_bodies(r: DataFrame) -> DataFrame:
@@ -363,7 +363,7 @@ def round_ranking_bodies(r: DataFrame) -> DataFrame:
 def norm_round_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = league(spark, sf_dir).raw["results"]
     recs = ing.usable(ing.parse_xml(round_ranking_bodies(r), "BeachRoundRanking"), ["Position"])
-    return ing.norm_round_ranking(recs, F.col("round_id"), _lit_ts(UPSERT_AT)).drop("payload")
+    return ing.norm_round_ranking(recs, F.col("round_id"), _lit_ts(UPSERT_AT))
 
 
 def team_ranking_bodies(rk: DataFrame) -> DataFrame:
@@ -381,7 +381,7 @@ def norm_team_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     rk = league(spark, sf_dir).raw["team_rankings"]
     recs = ing.usable(ing.parse_json(team_ranking_bodies(rk)), ["Position"])
     return ing.norm_team_ranking(recs, F.col("ranking_type"), F.col("snapshot_date"),
-                                 F.col("gender"), _lit_ts(UPSERT_AT)).drop("payload")
+                                 F.col("gender"), _lit_ts(UPSERT_AT))
 
 
 def export_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

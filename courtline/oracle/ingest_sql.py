@@ -119,6 +119,12 @@ select match_id, tournament_id, cast(null as varchar) as phase, round, team1_id,
        case when match_id % 900 + match_id % 700 <> 0
             then cast(floor((match_id % 900 + match_id % 700) / 60) as int) end as duration_minutes,
        played_at, cast(null as varchar) as result_type, cast(match_id % 3 as varchar) as status,
+       cast(json_object('BeginDateTimeUtc', strftime(played_at, '%Y-%m-%d %H:%M:%S'), 'DurationSet1', match_id % 900,
+         'DurationSet2', cast(match_id % 700 as varchar), 'DurationSet3', case when match_id % 4 = 0 then 'x' end,
+         'MatchPointsA', case when winner_team_id = team1_id then 2 when winner_team_id = team2_id then 0 else 1 end,
+         'MatchPointsB', cast(case when winner_team_id = team1_id then 0 when winner_team_id = team2_id then 2 else 1 end as varchar),
+         'No', match_id, 'NoRound', if(match_id % 3 = 0, to_json(0), to_json('')), 'NoTeamA', team1_id,
+         'NoTeamB', cast(team2_id as varchar), 'NoTournament', tournament_id, 'RoundCode', round, 'Status', match_id % 3) as varchar) as payload,
        timestamp '2024-12-31 00:00:00' as ingested_at
 from raw_matches"""),
     "norm_player": """
@@ -133,11 +139,20 @@ select c_custkey as player_id,
        cast(case c_custkey % 4 when 0 then null when 1 then 100 + c_custkey when 2 then 150 + c_custkey % 60
                  else case when c_custkey % 900 < 500 then c_custkey % 900 end end as int) as height_cm,
        'N' || cast(c_nationkey as varchar) as country_code, cast(null as varchar) as profile_url,
+       cast(json_object('Birthdate', (1950 + c_custkey % 50) || '-' || (1 + c_custkey % 12) || '-' || (1 + c_custkey % 28),
+         'FederationCode', ' N' || c_nationkey || ' ', 'FirstName', if(c_custkey % 3 = 0, '', 'F' || c_custkey),
+         'FullName', c_name, 'Gender', c_custkey % 2,
+         'Height', case c_custkey % 4 when 0 then to_json('') when 1 then to_json(1000000 + c_custkey * 10000)
+                   when 2 then to_json(150 + c_custkey % 60) else to_json(cast(c_custkey % 900 as varchar)) end,
+         'LastName', c_mktsegment, 'No', if(c_custkey % 2 = 0, to_json(c_custkey), to_json(cast(c_custkey as varchar)))) as varchar) as payload,
        timestamp '2024-12-31 00:00:00' as ingested_at
 from customer""",
     "norm_team": model_sql("""
 select team_id, tournament_id, player_a_id, player_b_id, country_code, cast(team_id % 3 as varchar) as status,
        date '2001-01-05' as valid_from, cast(null as date) as valid_to,
+       cast(json_object('CountryCode', country_code, 'No', cast(team_id as varchar), 'NoPlayer1', cast(player_a_id as varchar),
+         'NoPlayer2', coalesce(cast(player_b_id as varchar), ''), 'NoTournament', cast(tournament_id as varchar),
+         'Status', cast(team_id % 3 as varchar), 'ValidFrom', '2001-1-5') as varchar) as payload,
        timestamp '2024-12-31 00:00:00' as ingested_at
 from raw_teams"""),
     "export_csv_roundtrip": "select * from nation",
@@ -154,6 +169,10 @@ select event_id, upper(event_type) as code, cast(null as varchar) as name, cast(
        cast(null as date) as end_date, event_type as type, user_id % 3 as no_parent_event,
        cast(null as varchar) as country_code, event_id % 4 <> 3 as has_beach_tournament,
        true as has_men_tournament, false as has_women_tournament, false as is_vis_managed,
+       cast(json_object('Code', upper(event_type), 'CountryCode', '', 'EndDate', null,
+         'HasBeachTournament', case event_id % 4 when 0 then to_json('1') when 1 then to_json(true) when 2 then to_json('yes ') else to_json(0) end,
+         'HasMenTournament', 'On', 'HasWomenTournament', null, 'IsVisManaged', 'false', 'Name', '', 'No', event_id,
+         'NoParentEvent', user_id % 3, 'StartDate', strftime(ts, '%Y-%m-%d'), 'Type', event_type) as varchar) as payload,
        timestamp '2024-12-31 00:00:00' as ingested_at
 from events""",
     "norm_tournament": model_sql("""
@@ -161,25 +180,42 @@ select tournament_id, case when m % 3 = 0 then 'C' || cast(m as varchar) else na
        cast(m as varchar) as tier, start_date, coalesce(end_date, start_date + 3) as end_date,
        case when m % 3 = 0 then 'C' || cast(m as varchar) end as city, country_code, country_name,
        cast(g as varchar) as gender, cast(null as varchar) as status, cast(null as varchar) as timezone,
+       cast(json_object('CountryCode', country_code, 'CountryName', country_name, 'EndDateMainDraw', cast(end_date as varchar),
+         'EndDateQualification', cast(start_date + 3 as varchar), 'Gender', g, 'Name', if(m % 3 = 0, 'C' || m, name),
+         'No', tournament_id, 'Season', season, 'StartDate', cast(start_date as varchar), 'Timezone', '', 'Type', m) as varchar) as payload,
        timestamp '2024-12-31 00:00:00' as ingested_at
 from lg_tournaments"""),
     "norm_result": model_sql("""
 select tournament_id, team_id, finishing_pos, coalesce(points, 999) as points,
-       coalesce(prize_money, 5.0) as prize_money, timestamp '2024-12-31 00:00:00' as ingested_at
+       coalesce(prize_money, 5.0) as prize_money, cast(json_object('EarnedPointsTeam', coalesce(cast(points as varchar), ''),
+         'EarningsTotalTeam', coalesce(cast(cast(trunc(prize_money) as bigint) as varchar), ''), 'NoTeam', cast(team_id as varchar),
+         'Points', '999', 'PrizeMoney', '5', 'Rank', cast(finishing_pos as varchar)) as varchar) as payload,
+       timestamp '2024-12-31 00:00:00' as ingested_at
 from raw_results"""),
     "norm_round": model_sql("""
 select round_id, tournament_id, code, name, bracket, phase, start_date, cast(null as date) as end_date,
-       '<DirectElimination />' as rank_method, timestamp '2024-12-31 00:00:00' as ingested_at
+       '<DirectElimination />' as rank_method, cast(case when bracket is null then json_object('Code', coalesce(code, ''), 'Name', coalesce(name, ''), 'No', cast(round_id as varchar),
+           'NoTournament', cast(tournament_id as varchar), 'Phase', coalesce(phase, ''), 'RankMethod', '<DirectElimination />',
+           'StartDate', coalesce(cast(start_date as varchar), ''))
+         else json_object('Bracket', bracket, 'Code', coalesce(code, ''), 'Name', coalesce(name, ''), 'No', cast(round_id as varchar),
+           'NoTournament', cast(tournament_id as varchar), 'Phase', coalesce(phase, ''), 'RankMethod', '<DirectElimination />',
+           'StartDate', coalesce(cast(start_date as varchar), '')) end as varchar) as payload,
+       timestamp '2024-12-31 00:00:00' as ingested_at
 from raw_rounds"""),
     "norm_round_ranking": model_sql("""
 select tournament_id * 10 as round_id, finishing_pos as position,
        case when finishing_pos % 4 = 0 then -1 else finishing_pos end as rank,
        'N' || cast(team_id % 6 as varchar) as team_federation_code, cast(null as varchar) as team_name,
        points as match_points, 15 - finishing_pos as matches_won, finishing_pos - 1 as matches_lost,
+       cast(json_object('MatchPoints', coalesce(cast(points as varchar), ''), 'MatchesLost', cast(finishing_pos - 1 as varchar),
+         'MatchesWon', cast(15 - finishing_pos as varchar), 'Position', cast(finishing_pos as varchar),
+         'Rank', cast(if(finishing_pos % 4 = 0, -1, finishing_pos) as varchar), 'TeamFederationCode', 'N' || (team_id % 6), 'TeamName', '') as varchar) as payload,
        timestamp '2024-12-31 00:00:00' as ingested_at
 from raw_results"""),
     "norm_team_ranking": model_sql("""
 select ranking_type, snapshot_date, gender, position, no_player1, no_player2, cast(null as varchar) as team_name,
-       earned_points, timestamp '2024-12-31 00:00:00' as ingested_at
+       earned_points, cast(json_object('EarnedPointsTeam', if(ranking_type = 'beach_world_tour', earned_points, 0), 'NoPlayer1', no_player1,
+         'NoPlayer2', cast(no_player2 as varchar), 'Points', earned_points, 'Position', position, 'TeamName', '') as varchar) as payload,
+       timestamp '2024-12-31 00:00:00' as ingested_at
 from raw_team_rankings"""),
 }

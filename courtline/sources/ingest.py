@@ -39,8 +39,11 @@ def _strip(s: Column) -> Column:
 
 
 def _pascal_keys(m: Column) -> Column:
-    return F.transform_keys(m, lambda k, _v: F.concat(F.upper(F.substring(k, 1, 1)),
-                                                      F.substr(k, F.lit(2))))
+    """Keys in PascalCase; of a key sent in both forms the PascalCase one counts, as in :func:`field`."""
+    def pascal(k: Column) -> Column:
+        return F.concat(F.upper(F.substring(k, 1, 1)), F.substr(k, F.lit(2)))
+    once = F.map_filter(m, lambda k, _v: (pascal(k) == k) | ~F.map_contains_key(m, pascal(k)))
+    return F.transform_keys(once, lambda k, _v: pascal(k))
 
 
 def _as_array(v: Column) -> Column:
@@ -66,6 +69,15 @@ def pascal_keys(rec: Column) -> Column:
     return _pascal_keys(_as_object(rec))
 
 
+def payload_text(rec: Column) -> Column:
+    """The record as canonical JSON text: PascalCase keys, objects at any depth sorted by key, no blanks, one form a number.
+
+    Two bodies that say the same give the same text, so payloads can be compared
+    and hashed.  The number form is VARIANT's (1.50 is 1.5, 1e2 is 100.0).
+    """
+    return F.to_json(F.to_variant_object(pascal_keys(rec)))
+
+
 def field(rec: Column, name: str) -> Column:
     """Field ``name`` (PascalCase) of a record, as sent in PascalCase or camelCase."""
     camel = name[:1].lower() + name[1:]
@@ -224,7 +236,7 @@ def with_fields(records: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 def _trailer(ingested_at: Column | None) -> list[Column]:
     ts = ingested_at if ingested_at is not None else F.current_timestamp()
-    return [F.to_json(F.col("rec")).alias("payload"), ts.cast("timestamp").alias("ingested_at")]
+    return [payload_text(F.col("rec")).alias("payload"), ts.cast("timestamp").alias("ingested_at")]
 
 
 def usable(records: DataFrame, required: Sequence[str] = ()) -> DataFrame:

@@ -136,3 +136,17 @@ def test_results_and_matches_that_are_dropped(spark):
     assert left(I.usable_results, {"rank": 1, "noTeam": 5}, {"position": 2, "noTeam": "6"}, {"noTeam": 7}, {"rank": 1, "noTeam": "x"},
                 {"rank": 1, "noTeam": 8, "errors": "e"}) == 2
     assert left(I.usable_matches, {"no": 1, "noTournament": 2}, {"no": 1}, {"noTournament": 3}, {"no": "a", "noTournament": 2}) == 1
+
+
+def test_payload_is_canonical(spark):
+    """Records that say the same give the same text, whatever their order, blanks and key case."""
+    same = ['[ {"no": 1, "name": "é \\"x\\"", "inner": {"b": [1, {"z": null, "a": 2}], "a": 1.50}, "empty": "", "none": null} ]',
+            '[{"None":null,"Empty":"","Inner":{"a":1.5,"b":[1,{"a":2,"z":null}]},"Name":"\\u00e9 \\"x\\"","No":1}]',
+            '{"data": {"none":null, "name":"é \\"x\\"","inner": {"a": 1.5, "b": [1, {"z": null, "a": 2}]}, "empty": "", "No": 1}}']
+    want = '{"Empty":"","Inner":{"a":1.5,"b":[1,{"a":2,"z":null}]},"Name":"é \\"x\\"","No":1,"None":null}'
+    rows = spark.createDataFrame([(b,) for b in [*same, '{"data": {"no": 1, "No": 2}}', '{"data": [{}]}']], "body string")
+    got = [r.payload for r in I.parse_json(rows).select(I.payload_text(F.col("rec")).alias("payload")).collect()]
+    assert sorted(got) == sorted([want] * 3 + ['{"No":2}', "{}"])       # of both forms the PascalCase one counts
+    xml = spark.createDataFrame([('<r><T No="1" Name=""><Code> c </Code></T></r>',), ('<r><T Name="" No="1" Code="c"/></r>',)], "body string")
+    got = [r.payload for r in I.parse_xml(xml, "T").select(I.payload_text(F.col("rec")).alias("payload")).collect()]
+    assert got == ['{"Code":"c","Name":"","No":"1"}'] * 2
