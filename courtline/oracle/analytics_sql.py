@@ -6,15 +6,22 @@ rounded in whole-number arithmetic, written here and not taken from the library.
 """
 
 
-def _mean(value: str, digits: int, scale: int = 0) -> str:
-    """The mean of values with ``scale`` decimals, rounded half away from zero to ``digits``."""
-    units = f"cast(round({value} * {10 ** scale}) as hugeint)" if scale else f"cast({value} as hugeint)"
-    top, under = f"sum({units}) * {10 ** digits}", f"(count({value}) * {10 ** scale})"
+def _mean(value: str, digits: int) -> str:
+    """The mean of whole numbers, rounded half away from zero to ``digits``."""
+    top, under = f"sum(cast({value} as hugeint)) * {10 ** digits}", f"count({value})"
     whole = f"abs({top}) // nullif({under}, 0)"
     rest = f"abs({top}) % nullif({under}, 0)"
     return f"cast(sign({top}) * ({whole} + if(2 * ({rest}) >= {under}, 1, 0)) as double) / {10 ** digits}"
 
 
+def _mean_ratio(num: str, den: str, digits: int) -> str:
+    """The exact mean of num / den over their least common denominator, rounded half away from zero to ``digits``."""
+    over = f"list_reduce(list_distinct(list(cast({den} as hugeint))), lambda a, b: lcm(a, b))"
+    top = f"list_sum(list_transform(list({{'n': cast({num} as hugeint), 'd': cast({den} as hugeint)}}), lambda x: x.n * ({over} // x.d))) * {10 ** digits}"
+    under = f"({over} * count({num}))"
+    return f"cast(sign({top}) * (abs({top}) // {under} + if(2 * (abs({top}) % {under}) >= {under}, 1, 0)) as double) / {10 ** digits}"
+
+
 def _legs(first: str, second: str, name: str) -> str:
     """A match (each row of the fact) once for each ``name`` on it; won is unknown without a winner, and for a loss to a side without a name."""
     return f"""
@@ -46,8 +53,8 @@ def _figures(who: str, rows: str) -> str:
     return f"""
 select {who}, tournament_country_code as host_country, tournament_country_name as host_country_name,
        cast(sum(match_wins) as int) as wins, cast(sum(match_losses) as int) as losses, cast(sum(match_wins + match_losses) as bigint) as total_matches,
-       {_mean("finishing_pos", 2)} as avg_finish_pos, {_mean("quality_win_loss_score", 4, 6)} as avg_quality_win_loss_score,
-       {_mean("quality_win_loss_score_points", 4, 6)} as avg_quality_win_loss_score_points, {_mean("sum_opponent_points_beaten", 2)} as avg_sum_opponent_points_beaten
+       {_mean("finishing_pos", 2)} as avg_finish_pos, {_mean_ratio("quality_num", "quality_den", 4)} as avg_quality_win_loss_score,
+       {_mean_ratio("quality_points_num", "quality_points_den", 4)} as avg_quality_win_loss_score_points, {_mean("sum_opponent_points_beaten", 2)} as avg_sum_opponent_points_beaten
 from {rows} group by all"""
 
 

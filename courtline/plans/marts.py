@@ -108,7 +108,9 @@ def tournament_mart(fm: DataFrame, standings: DataFrame, dim_t: DataFrame) -> Da
 
     All per-team metrics come from a single aggregation.  The two quality
     scores are sums of ratios with a per-tournament denominator, so we sum
-    the integer numerators exactly and divide once.
+    the integer numerators exactly and divide once.  Both numbers are kept
+    beside the rounded score (``quality_num`` / ``quality_den``, and the same
+    for points), so that averages over tournaments are exact.
     """
     tstats = standings.groupBy("tournament_id").agg(
         F.count(F.lit(1)).cast("int").alias("n_teams"),
@@ -158,7 +160,9 @@ def tournament_mart(fm: DataFrame, standings: DataFrame, dim_t: DataFrame) -> Da
                F.col("_sum_win_pts").cast("int")).alias("sum_opponent_points_beaten"),
         F.round(F.col("_qnum") / F.col("_qden"), SCORE_DECIMALS).alias("quality_win_loss_score"),
         F.round(F.col("_pnum") / F.col("_pden"), SCORE_DECIMALS)
-         .alias("quality_win_loss_score_points")).alias("a")
+         .alias("quality_win_loss_score_points"),
+        F.when(F.col("_qden").isNotNull(), F.col("_qnum")).alias("quality_num"), F.col("_qden").cast("int").alias("quality_den"),
+        F.when(F.col("_pden").isNotNull(), F.col("_pnum")).alias("quality_points_num"), F.col("_pden").cast("int").alias("quality_points_den")).alias("a")
 
     s = standings.alias("s")
     dt = dim_t.alias("dt")
@@ -187,7 +191,9 @@ def tournament_mart(fm: DataFrame, standings: DataFrame, dim_t: DataFrame) -> Da
         zero("elimination_wins"),
         F.coalesce(F.col("a.quality_win_loss_score"), F.lit(0.0)).alias("quality_win_loss_score"),
         F.coalesce(F.col("a.quality_win_loss_score_points"), F.lit(0.0))
-         .alias("quality_win_loss_score_points"))
+         .alias("quality_win_loss_score_points"),
+        *[F.coalesce(F.col(f"a.{c}"), F.lit(empty)).cast(t).alias(c) for c, empty, t in (
+            ("quality_num", 0, "long"), ("quality_den", 1, "int"), ("quality_points_num", 0, "long"), ("quality_points_den", 1, "int"))])
 
 
 def champion_mart(standings: DataFrame, dim_t: DataFrame, fm: DataFrame, dim_tt: DataFrame,
