@@ -1,16 +1,24 @@
 """SentencePiece encoding and decoding on the tokenizers library (operator 10).
 
 The model protobuf is read field by field (no protobuf package is needed) and
-rebuilt: normaliser (identity, dummy prefix, blanks to the metaspace marker),
-scores, byte fallback, decoder.  A unigram model gets its scores as they are; a
-BPE model gets merges ranked by the score of the piece they make.  Control,
-unknown and byte pieces are never made by merging.
-
-Texts are cut before a blank after a character that surely is none (no piece
-holds a marker after another character, which is checked on loading); each
+rebuilt: normaliser (charsmap, extra blanks, dummy prefix, blanks to the metaspace
+marker), scores, byte fallback, decoder.  A unigram model gets its scores as they are; a
+BPE model gets merges ranked by the score of the piece they make.  No text makes a
+control, unknown, unused or byte piece, also if it spells one out: while encoding these
+go by names with a blank, which normalised texts don't hold.  A unigram model's unknown
+characters become byte pieces after the search.
+
+With the identity normaliser, texts are cut before a blank after a character that surely
+is none (if no piece holds a marker after another character); each
 distinct piece is encoded once a worker, in multithreaded batches, and
-compared with the sentencepiece library.  ``encode`` gives ids and ``parity``:
-whether all of a text's pieces agree with that library.
+compared with the sentencepiece library.  Other models get whole texts: a charsmap
+may make blanks or join characters, and blanks that go depend on their neighbours.
+``encode`` gives ids and ``parity``: whether all of a text agrees with that library.  The
+tokenizers library applies a charsmap by grapheme, the other by longest match; where
+that matters, parity is false.
+
+Refused with a ValueError: word and character models, blanks as suffixes or unescaped,
+user-defined pieces in a BPE model.
 
 Defined cases: a null text has null ids, an empty one no ids; decoding null
 ids gives null; extra columns are ignored; repeated rows stay.
@@ -78,6 +86,9 @@ class PieceModel:
     unknown: int
     byte_fallback: bool
     dummy_prefix: bool
+    charsmap: bytes = b""
+    trim: bool = True
+    cuttable: bool = False
 
     @classmethod
     def parse(cls, data: bytes) -> PieceModel:
@@ -91,26 +102,56 @@ class PieceModel:
             elif number == 2:
                 got = dict(wire_fields(value))
                 out.kind, out.byte_fallback = got.get(3, UNIGRAM), bool(got.get(35, 0))
+                if got.get(24):
+                    raise ValueError("models that take blanks as suffixes are not rebuilt")
             elif number == 3:
                 got = dict(wire_fields(value))
-                out.dummy_prefix = bool(got.get(3, 1))
-                if got.get(2) or got.get(4, 1) or not got.get(5, 1):
-                    raise ValueError("only models with the identity normaliser that keep all blanks are rebuilt")
+                out.charsmap, out.dummy_prefix, out.trim = got.get(2, b""), bool(got.get(3, 1)), bool(got.get(4, 1))
+                if not got.get(5, 1):
+                    raise ValueError("models that keep blanks as they are are not rebuilt")
         if out.kind not in (UNIGRAM, BPE):
             raise ValueError("only unigram and BPE models are rebuilt")
+        if out.kind == BPE and USER in out.types:
+            raise ValueError("user-defined pieces of a BPE model are not rebuilt")
         out.unknown = out.types.index(UNKNOWN)
-        if any(MARK in p.lstrip(MARK) for p, t in zip(out.pieces, out.types, strict=True) if t == NORMAL):
-            raise ValueError("a piece crosses a blank, so texts can't be cut at blanks")
+        crosses = any(MARK in p.lstrip(MARK) for p, t in zip(out.pieces, out.types, strict=True) if t in (NORMAL, USER))
+        out.cuttable = not (out.charsmap or out.trim or crosses)
         return out
 
+    def normaliser(self):
+        """The model's normaliser for whole texts."""
+        from tokenizers import Regex, normalizers
+        steps = [normalizers.Precompiled(self.charsmap)] if self.charsmap else []
+        if self.trim:
+            steps += [normalizers.Replace(Regex(f"^ +|[ {MARK}]+$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
+        if self.dummy_prefix:
+            steps.append(normalizers.Prepend(MARK))
+        return normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
+
+    def _unigram_vocabulary(self) -> list[tuple[str, float]]:
+        """Pieces and scores to encode with; a user-defined piece's score makes the search always take it."""
+        top = max((s for s, t in zip(self.scores, self.types, strict=True) if t == NORMAL), default=0.0)
+        low = min((s for s, t in zip(self.scores, self.types, strict=True) if t == NORMAL), default=0.0)
+        out = []
+        for k, (p, s, t) in enumerate(zip(self.pieces, self.scores, self.types, strict=True)):
+            if t == USER:
+                s = len(p.encode()) * top - 0.1
+            out.append((p, s) if t in (NORMAL, USER) else (f" {k}", low))
+        return out
+
+    def byte_ids(self) -> np.ndarray:
+        """The id of each byte's piece."""
+        at = {p: k for k, (p, t) in enumerate(zip(self.pieces, self.types, strict=True)) if t == BYTE}
+        return np.array([at[f"<0x{b:02X}>"] for b in range(256)])
+
     def tokenizer(self, merges: bool = True):
         """The rebuilt tokenizer; it encodes one piece of text that starts with a blank, which is the marker.  Decoding needs no merges."""
         from tokenizers import Tokenizer, decoders, models, normalizers
         if self.kind == UNIGRAM:
-            model = models.Unigram(list(zip(self.pieces, self.scores, strict=True)), unk_id=self.unknown, byte_fallback=self.byte_fallback)
+            model = models.Unigram(self._unigram_vocabulary() if merges else list(zip(self.pieces, self.scores, strict=True)), unk_id=self.unknown, byte_fallback=False)
         else:
             vocab = {p: k for k, p in enumerate(self.pieces)}
-            made = [p for p, t in zip(self.pieces, self.types, strict=True) if t in (NORMAL, USER)] if merges else []
+            made = [p for p, t in zip(self.pieces, self.types, strict=True) if t == NORMAL] if merges else []
             plain = set(made)
             ranked = [(-self.scores[vocab[p]], -at, p[:at], p[at:]) for p in made for at in range(1, len(p)) if p[:at] in plain and p[at:] in plain]
             ranked.sort(key=lambda m: m[:2])
@@ -130,12 +171,37 @@ class _Encoder:
         import sentencepiece
         self.model = _parsed(name)
         self.tok = self.model.tokenizer()
+        if not self.model.cuttable:
+            self.tok.normalizer = self.model.normaliser()
+        self.bytes = self.model.byte_ids() if self.model.kind == UNIGRAM and self.model.byte_fallback else None
         self.peer = sentencepiece.SentencePieceProcessor(model_file=vocabulary(name))
         self.cache = ChunkCache(self._encode)
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
+        if self.bytes is None:
+            return [e.ids for e in got]
+        out = [e.ids for e in got]
+        unknown = [k for k, ids in enumerate(out) if self.model.unknown in ids]
+        # the fast call leaves out what the unknown characters are
+        for k, e in zip(unknown, self.tok.encode_batch([texts[k] for k in unknown], add_special_tokens=False), strict=True):
+            out[k] = self._with_bytes(e)
+        return out
+
+    def _with_bytes(self, encoding) -> list[int]:
+        out = []
+        for i, token in zip(encoding.ids, encoding.tokens, strict=True):
+            out += self.bytes[list(token.encode())].tolist() if i == self.model.unknown else [i]
+        return out
+
+    def whole(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
+        """Ids and parity of whole texts."""
+        got = self._ids(texts)
+        return got, [a == b for a, b in zip(got, self.peer.encode(texts, num_threads=1), strict=True)]
+
     def _encode(self, chunks: list[bytes]) -> list[list[int]]:
         texts = [c.decode() for c in chunks]
-        got = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        got = self._ids(texts)
         # the peer puts its own marker first; parity goes with the ids, as one more number
         peer = self.peer.encode([t[1:] if self.model.dummy_prefix else t for t in texts], num_threads=1)
         return [[*a, int(a == b or t in (" ", ""))] for a, b, t in zip(got, peer, texts, strict=True)]
@@ -175,6 +241,10 @@ def encode_batch(column: pa.Array, name: str, threads: int = 2) -> Iterator[tupl
     back = _kept(_Encoder, name, threads)
     data, offsets = T.utf8(column)
     for i, j in T.parts(offsets, RANGE_BYTES):
+        if not back.model.cuttable:
+            lists, agree = back.whole([t or "" for t in column.slice(i, j - i).to_pylist()])
+            yield i, j, np.array([x for ids in lists for x in ids], np.int64), np.concatenate([[0], np.cumsum([len(ids) for ids in lists])]), np.array(agree, bool)
+            continue
         offs = offsets[i:j + 1] - offsets[i]
         part = data[offsets[i]:offsets[j]]
         if back.model.dummy_prefix:

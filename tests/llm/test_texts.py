@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -60,6 +62,57 @@ def test_unigram_model_is_rebuilt(tmp_path):
     assert model.tokenizer().encode(" ab", add_special_tokens=False).ids == [1, 3]
 
 
+def piece_file(pieces, kind, normaliser, fallback=False):
+    """A model's bytes from (piece, score, type), model type and the fields of its normaliser."""
+    import struct
+
+    def varint(n):
+        return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+
+    def field(n, wire, body):
+        return varint(n << 3 | wire) + (varint(len(body)) + body if wire == 2 else body)
+    out = b"".join(field(1, 2, field(1, 2, p.encode()) + field(2, 5, struct.pack("<f", s)) + field(3, 0, varint(t))) for p, s, t in pieces)
+    trainer = field(3, 0, varint(kind)) + (field(35, 0, varint(1)) if fallback else b"")
+    rules = b"".join(field(n, 2 if isinstance(v, bytes) else 0, v if isinstance(v, bytes) else varint(v)) for n, v in normaliser.items())
+    return out + field(2, 2, trainer) + field(3, 2, rules)
+
+
+UNIGRAM_PIECES = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *((f"<0x{b:02X}>", 0.0, 6) for b in range(256)), ("ab", -9.0, 5), ("▁", -2.0, 1), ("▁a", -2.25, 1), ("abc", -2.5, 1), ("[user]", 0.0, 4),
+                  ("▁b▁c", -3.0, 1), *((c, -4.0 - k / 8, 1) for k, c in enumerate("abcdefgh<>/s0x41")), ("fi", -3.5, 1), ("é", -5.0, 1)]
+NORMALISED_TEXTS = ["", " ", "   ", "abc  abc", "  abc b c ", "b c", "<s>abc</s>", "<unk>", "<0x41>", "[user]abc", "x[user][user]", "ﬁ Ａ ａ", "e\u0301 é", "a\u00a0b\tc\nd", "\u3000a\u200bb", "日本 a", "🙂", "▁a ▁", "a ▁", "ab" * 50, "ℌ①½",
+                    None]
+
+
+@pytest.mark.parametrize("trim", [0, 1])
+@pytest.mark.parametrize("rule", ["identity", "nmt_nfkc", "nmt_nfkc_cf"])
+@pytest.mark.parametrize("fallback", [False, True])
+def test_unigram_models_with_normalisers_against_the_library(tmp_path, trim, rule, fallback):
+    """Charsmap, extra blanks, byte fallback; texts that spell out control, unknown, unused and byte pieces."""
+    rules = {3: 1, 4: trim}
+    if rule != "identity":
+        spec = dict(piece_model.wire_fields(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto()))
+        rules[2] = dict(piece_model.wire_fields(spec[3]))[2]
+    pieces = UNIGRAM_PIECES if fallback else [p for p in UNIGRAM_PIECES if p[2] != piece_model.BYTE]
+    path = str(tmp_path / "own.model")
+    with open(path, "wb") as f:
+        f.write(piece_file(pieces, piece_model.UNIGRAM, rules, fallback))
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    got, agree = {}, {}
+    for i, _, ids, at, parity in piece_model.encode_batch(pa.array(NORMALISED_TEXTS), path):
+        for k in range(len(parity)):
+            got[i + k], agree[i + k] = ids[at[k]:at[k + 1]].tolist(), bool(parity[k])
+    for k, t in enumerate(NORMALISED_TEXTS):
+        assert got[k] == sp.encode(t or ""), (t, sp.encode(t or "", out_type=str))
+        assert agree[k]
+
+
+def test_models_that_are_refused():
+    with pytest.raises(ValueError, match="user-defined"):
+        piece_model.PieceModel.parse(piece_file(UNIGRAM_PIECES, piece_model.BPE, {4: 0}))
+    with pytest.raises(ValueError, match="blanks"):
+        piece_model.PieceModel.parse(piece_file(UNIGRAM_PIECES, piece_model.UNIGRAM, {5: 0}))
+
+
 def brute_repetition(t):
     w = WORD.findall(t or "")
     grams = Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
