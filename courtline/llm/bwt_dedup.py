@@ -25,7 +25,7 @@ members but the earliest are repeats.
 An anchor with over ``hot`` occurrences would make one task long.  Its strings
 are resolved as rows instead (window hash, earliest start), with partial
 aggregation on the map side.  Before either, equal contexts of a range of texts
-are reduced to the earliest.
+are reduced to the earliest; they are found by a hash and compared byte by byte.
 
 Defined cases: a null or empty text, or one under ``length`` bytes, loses
 nothing; rows without an id come last; rows that share an id are ordered by a
@@ -204,6 +204,24 @@ def _repeated(rows: DataFrame, hot: int) -> DataFrame:
     return rows.repartition("fp").sortWithinPartitions("fp").mapInArrow(run, "fp bigint, dk bigint, tie bigint, at bigint")
 
 
+def earliest(same: np.ndarray, order: tuple[np.ndarray, ...], starts: np.ndarray, left: np.ndarray, size: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(contexts that equal an earlier one, contexts that go on), given by number.
+
+    ``same``: a hash that brings candidates together.  A context counts as equal to the first
+    of its hash only if all bytes are (its anchor's included); one that merely shares the hash goes on.
+    ``order``: what orders contexts, least weighty first; those alike in it are one row that is there twice.
+    """
+    by = np.lexsort((*order, same))
+    new = np.ones(len(by), bool)
+    new[1:] = same[by][1:] != same[by][:-1]
+    head = by[new][np.cumsum(new) - 1]
+    later = np.any([c[by] != c[head] for c in order], axis=0)
+    x, h = by[later], head[later]
+    equal = (left[x] == left[h]) & (size[x] == size[h])
+    equal[equal] = T.same_spans(data, starts[x[equal]], starts[h[equal]], size[x[equal]])
+    return x[equal], np.sort(np.concatenate([by[new], x[~equal]]))
+
+
 def _contexts(found: DataFrame, gram: int) -> DataFrame:
     """fp, dk, tie, at, l (bytes before the anchor), hot, s: the bytes before and behind each repeated anchor, as far as its windows reach.
 
@@ -235,12 +253,7 @@ def _contexts(found: DataFrame, gram: int) -> DataFrame:
                 data = np.frombuffer(b"".join(texts), np.uint8)
                 same = T.combine(T.hash_spans(data, start - left, start), T.hash_spans(data, start + gram, start + gram + right), fp.slice(first, n).to_numpy().view(np.uint64))
                 dk, tie = (b.column(c).to_numpy()[row] for c in ("dk", "tie"))
-                by = np.lexsort((p, tie, dk, same))
-                new = np.ones(n, bool)
-                new[1:] = same[by][1:] != same[by][:-1]
-                head = by[new][np.cumsum(new) - 1]                # a row that is there twice is no repeat of itself
-                later = (dk[by] != dk[head]) | (tie[by] != tie[head]) | (p[by] != p[head])
-                again, kept = by[later], np.sort(by[new])
+                again, kept = earliest(same, (p, tie, dk), start - left, left, left + gram + right, data)
                 if len(again):
                     spread = T.mix(dk[again].view(np.uint64) + p[again].view(np.uint64)).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(dk[again]), pa.array(tie[again]), pa.array((p - left)[again]), pa.array((left + gram + right)[again].astype(np.int32)), pa.array(np.zeros(len(again), bool)), pa.nulls(len(again), pa.binary())], names)

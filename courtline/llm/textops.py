@@ -122,6 +122,21 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return h
 
 
+def same_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes from a are those from b, for each pair; eight bytes a step for all."""
+    out = np.ones(len(a), bool)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(shape=(len(data) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
+    rest = np.flatnonzero(size > 0)
+    done = 0
+    while len(rest):
+        differ = (eight[a[rest] + done] ^ eight[b[rest] + done]) & _TAIL[np.minimum(size[rest] - done, 8)]
+        out[rest[differ != 0]] = False
+        done += 8
+        rest = rest[(differ == 0) & (size[rest] > done)]
+    return out
+
+
 def combine(*hashes: np.ndarray) -> np.ndarray:
     """One hash of several equally long hash arrays; their order counts."""
     out = hashes[0] * _C1

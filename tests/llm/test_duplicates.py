@@ -258,3 +258,16 @@ def test_embedding_duplicates(spark):
         assert all(r["kept"] == (r["vec_id"] is None or r["vec_id"] == r["component_id"]) for r in got)
     assert product_quantisation.embedding_duplicates(df.limit(0)).count() == 0
     assert product_quantisation.embedding_duplicates(df.filter(F.col("label").isNull())).filter("not kept or n_links > 0").count() == 0
+
+
+def test_contexts_that_share_a_hash_only_go_on():
+    """With one hash for all, bytes decide what is a repeat."""
+    from courtline.llm import bwt_dedup
+    data = np.frombuffer(b"0123456789abcdef" * 3 + b"0123456789abcdeX" + b"0123456789abcdef", np.uint8)
+    starts = np.array([0, 16, 32, 48, 64, 0])
+    size, left = np.array([16, 16, 16, 16, 15, 16]), np.array([4, 4, 5, 4, 4, 4])
+    same = np.zeros(6, np.uint64)
+    again, kept = bwt_dedup.earliest(same, (np.array([7, 8, 9, 10, 11, 7]), np.zeros(6, np.int64), np.zeros(6, np.int64)), starts, left, size, data)
+    assert again.tolist() == [1] and kept.tolist() == [0, 2, 3, 4]          # 2: another anchor place, 3: another byte, 4: shorter; 5 is row 0 again
+    same_spans = bwt_dedup.T.same_spans(data, np.array([0, 0, 0, 0]), np.array([16, 48, 48, 5]), np.array([32, 16, 15, 0]))
+    assert same_spans.tolist() == [True, False, True, True]
