@@ -104,3 +104,36 @@ def test_components_of_a_long_chain(spark):
     from courtline.operators.graph import connected_components
     e = spark.createDataFrame([(f"n{k:02d}", f"n{k + 1:02d}") for k in range(30)], "src string, dst string")
     assert {r.comp for r in connected_components(e).collect()} == {"n00"}
+
+
+def test_long_feed_is_rated_in_stretches(spark, feed, tmp_path):
+    """However long the feed, a walk sorts a stretch of it; the ratings are those of one walk."""
+    whole = {(r.player_id, r.match_id): tuple(r) for r in rate(feed).collect()}
+    cut = rate(feed, chunk_matches=-(-feed.count() // 3))
+    files = {f.rsplit("/", 2)[1] for f in cut.inputFiles()}
+    assert len(files) == 3
+    got = {(r.player_id, r.match_id): tuple(r) for r in cut.collect()}
+    assert got == whole and cut.count() == len(whole)
+
+
+def test_player_listed_twice_has_one_row(spark):
+    feed = spark.createDataFrame([("M", 1, d.date(2020, 1, 1), 1, 1, 2, 1, True, 1.0)],
+                                 "gender string, match_id long, match_date date, a1 long, a2 long, b1 long, b2 long, "
+                                 "is_winner_team1 boolean, weight double")
+    assert sorted(r.player_id for r in rate(feed).collect()) == [1, 2]
+
+
+def test_no_walk_over_all_rows_of_a_player(spark, small_dir):
+    """The latest row needs no sort of the history, and the rating before a match none of a player's whole timeline."""
+    from courtline.operators.pairs import newest_by_date
+    h = spark.createDataFrame([(1, "M", d.date(2020, 1, 1), 5, 1.0), (1, "M", d.date(2020, 1, 2), 3, 2.0),
+                               (1, "M", d.date(2020, 1, 2), 4, 3.0), (1, None, d.date(2019, 1, 1), 9, 4.0)],
+                              "player_id long, gender string, as_of_date date, match_id long, elo double")
+    newest = newest_by_date(h, ["player_id", "gender"], "as_of_date", "match_id", ["elo"])
+    assert sorted(map(tuple, newest.collect()), key=str) == [
+        (1, "M", d.date(2020, 1, 2), 4, 3.0), (1, None, d.date(2019, 1, 1), 9, 4.0)]
+    plan = newest._jdf.queryExecution().sparkPlan().toString()
+    assert "Sort" not in plan and "ObjectHash" not in plan
+    plan = League.from_testdata(spark, small_dir).elo_expected_score._jdf.queryExecution().optimizedPlan().toString()
+    ordered = [line for line in plan.splitlines() if "lag(elo#" in line and "Window" in line]
+    assert sum("_month" in line.rsplit("], [", 2)[-2] for line in ordered) == 1, ordered
