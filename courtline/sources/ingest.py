@@ -75,7 +75,8 @@ def payload_text(rec: Column) -> Column:
     Two bodies that say the same give the same text, so payloads can be compared
     and hashed.  The number form is VARIANT's (1.50 is 1.5, 1e2 is 100.0).
     """
-    return F.to_json(F.to_variant_object(pascal_keys(rec)))
+    # the map is bound once: named again inside the key rules, it would be made anew for every key
+    return F.get(F.transform(F.array(_as_object(rec)), lambda m: F.to_json(F.to_variant_object(_pascal_keys(m)))), 0)
 
 
 def field(rec: Column, name: str) -> Column:
@@ -254,10 +255,15 @@ def usable_results(records: DataFrame) -> DataFrame:
     return x.filter(place & safe_int(_f("NoTeam")).isNotNull()).select(*records.columns)
 
 
+def _is_whole(name: str) -> Column:
+    """Whether a field casts to a whole number; value and kind are bound once, as a filter's columns are inlined into it."""
+    bound = F.transform(F.array(field(F.col("rec"), name)), lambda v: F.struct(v.alias("v"), kind_name(v).alias("n")))
+    return F.exists(bound, lambda x: safe_int(Val(x["v"], kind_of(x["n"]))).isNotNull())
+
+
 def usable_matches(records: DataFrame) -> DataFrame:
     """S4 of matches: no ``Errors``, a tournament number and a match number."""
-    x = with_fields(usable(records), ("NoTournament", "No"))
-    return x.filter(safe_int(_f("NoTournament")).isNotNull() & safe_int(_f("No")).isNotNull()).select(*records.columns)
+    return usable(records).filter(_is_whole("NoTournament") & _is_whole("No"))
 
 
 def norm_event(records: DataFrame, ingested_at: Column | None = None,

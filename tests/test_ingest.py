@@ -150,3 +150,14 @@ def test_payload_is_canonical(spark):
     xml = spark.createDataFrame([('<r><T No="1" Name=""><Code> c </Code></T></r>',), ('<r><T Name="" No="1" Code="c"/></r>',)], "body string")
     got = [r.payload for r in I.parse_xml(xml, "T").select(I.payload_text(F.col("rec")).alias("payload")).collect()]
     assert got == ['{"Code":"c","Name":"","No":"1"}'] * 2
+
+
+def test_payload_reads_the_record_once(spark):
+    """The key rules ask for the record's map at every key; it is bound, not named again."""
+    x = spark.range(1).select(F.try_parse_json(F.lit('{"no": 1, "No": 2, "b": {"z": 1, "a": null}}')).alias("rec"))
+    out = x.select(I.payload_text(F.col("rec")).alias("p"))
+    assert out.first().p == '{"B":{"a":null,"z":1},"No":2}'
+    assert out._jdf.queryExecution().analyzed().toString().count("try_variant_get(rec") == 1
+    recs = spark.createDataFrame([('{"no": "7", "noTournament": 3}',), ('{"No": 1.0, "noTournament": "x"}',), ('{"no": null, "noTournament": 3}',)],
+                                 "j string").select(F.try_parse_json("j").alias("rec"))
+    assert I.usable_matches(recs).count() == 1
