@@ -82,14 +82,17 @@ def changed_keys(before: DataFrame, after: DataFrame, table: str) -> DataFrame:
 
 
 def refresh(stored: Mapping[str, DataFrame], before: Mapping[str, DataFrame], after: Mapping[str, DataFrame],
-            changed: Mapping[str, DataFrame], ids: DataFrame | None = None, asof_method: str = "fill") -> dict[str, DataFrame]:
+            changed: Mapping[str, DataFrame], ids: DataFrame | None = None, asof_method: str = "fill",
+            store=None) -> dict[str, DataFrame]:
     """The stored models (by name, of MODELS) brought to the raw state ``after``.
 
-    ``ids``: the tournaments concerned, if the caller has stored them.
+    ``ids``: the tournaments concerned, if the caller has stored them.  ``store``:
+    where models that the new rows are made from are kept (see League); their
+    sizes are then known, so that small ones are broadcast to the matches.
     """
     ids = concerned(before, after, changed) if ids is None else ids
     part = {name: (after[name].join(ids, "tournament_id", "left_semi") if name in OWN else after[name]) for name in after}
-    anew = League(part, asof_method)
+    anew = League(part, asof_method, store)
     out = {}
     for name, old in stored.items():
         new = getattr(anew, name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from courtline.operators import freshness, migrate, upsert as up
 from courtline.plans import refresh
 from courtline.registry_store import league
 from courtline.sources import keyed_table
+from courtline.sources.league import TableStore
 from courtline.sources.sinks import scratch_path
 from courtline.sources.tables import read_table
 
@@ -105,6 +106,15 @@ def _earlier(raw) -> dict[str, DataFrame]:
     return out
 
 
+#: Models that match rows are joined to: stored, their sizes are known and Spark broadcasts them if they are small.
+JOINED_TO = ("dim_team_tournaments", "fct_tournament_standings")
+
+
+def _kept(spark: SparkSession, tables: TableStore, state: str, name: str, build) -> DataFrame:
+    """A model of one state of the raw layer: written once in a run if match rows are joined to it, else a plan."""
+    return tables(spark, (state, name), build) if name in JOINED_TO else build()
+
+
 def _refreshed(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         after = league(spark, sf_dir).raw
@@ -113,8 +123,10 @@ def _refreshed(name: str):
         ids = refresh.concerned(before, after, changed)
         path = scratch_path(ids, "concerned")
         ids.write.parquet(path)
-        old = getattr(League(before), name)
-        return refresh.refresh({name: old}, before, after, changed, spark.read.parquet(path))[name]
+        tables = TableStore()
+        old, new = (partial(_kept, spark, tables, state) for state in ("before", "after"))
+        stored = getattr(League(before, store=old), name)
+        return refresh.refresh({name: stored}, before, after, changed, spark.read.parquet(path), store=new)[name]
     run.__name__ = f"refreshed_{name}"
     return run
 
