@@ -116,6 +116,20 @@ def test_long_feed_is_rated_in_stretches(spark, feed, tmp_path):
     assert got == whole and cut.count() == len(whole)
 
 
+def test_component_pools_are_rated_in_stretches(spark):
+    """A pool that does not play in every stretch goes on from its last ratings; no walk has more than its stretch."""
+    from courtline.operators.elo import component_pools
+    rows = [("M", k, d.date(2020, 1, 1) + d.timedelta(days=k), *((1, 3, 5, 7) if k < 4 or k > 15 else (2, 4, 6, 8)),
+             k % 3 == 0, 1.5 if k % 2 else 1.0) for k in range(20)]
+    feed = spark.createDataFrame(rows, "gender string, match_id long, match_date date, a1 long, a2 long, b1 long, "
+                                       "b2 long, is_winner_team1 boolean, weight double")
+    want = loop_elo([(r[0], *r[1:]) for r in rows])
+    cut = rate(component_pools(feed), pool="pool", chunk_matches=4)
+    got = {(r.player_id, r.match_id): (r.elo, r.elo_rw) for r in cut.collect()}
+    assert got == want
+    assert len({f.rsplit("/", 2)[1] for f in cut.inputFiles()}) == 5
+
+
 def test_player_listed_twice_has_one_row(spark):
     feed = spark.createDataFrame([("M", 1, d.date(2020, 1, 1), 1, 1, 2, 1, True, 1.0)],
                                  "gender string, match_id long, match_date date, a1 long, a2 long, b1 long, b2 long, "
