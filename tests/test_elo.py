@@ -130,6 +130,19 @@ def test_component_pools_are_rated_in_stretches(spark):
     assert len({f.rsplit("/", 2)[1] for f in cut.inputFiles()}) == 5
 
 
+def test_expected_scores_of_ratings_in_stretches(spark, small_dir):
+    """Across the cuts each side is expected what the walk itself expected before the match."""
+    from courtline.plans.ratings import expected_scores
+    feed = League.from_testdata(spark, small_dir).elo_match_feed
+    wf = weighted_feed(feed)
+    want = {(r.player_id, r.gender, r.match_id): (r.expected, r.expected_rw) for r in rate(wf).collect()}
+    cut = rate(wf, chunk_matches=-(-wf.count() // 3))
+    got = {(r.player_id, r.gender, r.match_id): (r.expected_score, r.expected_score_rw)
+           for r in expected_scores(feed, cut).collect()}
+    assert len(cut.inputFiles()) > 1 and set(got) == set(want)
+    assert all(abs(g - w) < 1e-6 for k in want for g, w in zip(got[k], want[k]))
+
+
 def test_player_listed_twice_has_one_row(spark):
     feed = spark.createDataFrame([("M", 1, d.date(2020, 1, 1), 1, 1, 2, 1, True, 1.0)],
                                  "gender string, match_id long, match_date date, a1 long, a2 long, b1 long, b2 long, "
