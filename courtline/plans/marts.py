@@ -150,9 +150,9 @@ def tournament_mart(fm: DataFrame, standings: DataFrame, dim_t: DataFrame) -> Da
         F.count_if(win & F.col("opp_points").isNotNull()).alias("_n_win_pts"),
         F.sum(F.when(win, F.col("opp_points"))).alias("_sum_win_pts"),
         F.sum(F.when(side, qnum)).alias("_qnum"),
-        F.max(n1).alias("_qden"),
+        F.max(F.when(side, n1)).alias("_qden"),  # a team known only as a winner has no score
         F.sum(F.when(side, pnum)).alias("_pnum"),
-        F.max(mx).alias("_pden"),
+        F.max(F.when(side, mx)).alias("_pden"),
     ).select(
         "tournament_id", "team_id", "matches_played", "match_wins", "match_losses",
         "wins_vs_higher_seed", "losses_vs_lower_seed", "pool_wins", "elimination_wins",
